@@ -14,10 +14,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate, groupby
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1_000_000
@@ -93,10 +95,10 @@ def _as_double(items: DataFrame, name: str) -> Column:
 
 
 def bucket_count(items: DataFrame, rows: int, rows_per_bucket: int | None = None) -> int:
-    """As many buckets as shuffle partitions, more where that would overfill them."""
+    """A few buckets per shuffle partition, more where that would overfill them."""
     size = rows_per_bucket or ROWS_PER_BUCKET
     shuffle = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    spread = min(shuffle, rows // 1_000)
+    spread = min(4 * shuffle, rows // 1_000)  # several per partition even out their hashing
     return max(1, min(max(spread, -(-rows // size)), MAX_BUCKETS))
 
 
@@ -152,6 +154,13 @@ def with_buckets(items: DataFrame, cuts: Cuts) -> DataFrame:
     return finder.transform(numbered).withColumn(BUCKET, outer + bucket).drop("_number", "_range")
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of a few rows held in the plan itself; no task has to make it."""
+    kinds = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return spark.createDataFrame(pa.table(list(map(pa.array, columns, to_arrow_schema(kinds).types)), kinds.names))
+
+
 def number_rows(
     items: DataFrame,
     order: str | Sequence[str],
@@ -175,7 +184,7 @@ def number_rows(
     if len(starts) <= 1:
         return bucketed.withColumn(name, inside.cast("long") + (start - 1)).drop(BUCKET)
     # At most one row per bucket, so the broadcast is bounded by the number of buckets.
-    known = items.sparkSession.createDataFrame(starts, f"{BUCKET} long, _start long")
+    known = small_table(items.sparkSession, starts, f"{BUCKET} long, _start long")
     return (
         bucketed.withColumn("_inside", inside.cast("long"))
         .join(F.broadcast(known), BUCKET)
@@ -206,8 +215,7 @@ def data_rate(items: DataFrame, order: str | Sequence[str], micros: Column, ever
 
     Time is the items' own, so a rerun gives the same rates."""
     timed = number_rows(items.withColumn("_micros", micros), order, "_turn", **options)
-    block = F.floor(F.col("_turn") / every).cast("long") if every > 1 else F.col("_turn")
-    return timed.groupBy(block.alias("block")).agg(
+    return timed.groupBy(F.expr(f"_turn div {int(every)}").alias("block")).agg(
         F.count(F.lit(1)).alias("n"), (F.max("_micros") - F.min("_micros")).alias("span_us")
     )
 

@@ -53,18 +53,24 @@ def emit(
     With `output`, the item itself comes first under `output_label`. `ordinal` names a column for
     the position of the row among those of its item, since Spark keeps no row order.
     """
-    tests = [None if when is None else condition(when) for when in rules.values()]
-    targets = [F.struct(F.lit(queue).alias(label)) for queue in rules]
-    copies = [t if test is None else F.when(test, t) for t, test in zip(targets, tests)]
+    tests = [F.lit(True) if when is None else F.coalesce(condition(when), F.lit(False)) for when in rules.values()]
+    targets: list[tuple[str | None, Column]] = list(zip(rules, tests))
     if output:
-        copies.insert(0, F.struct(F.lit(output_label).cast("string").alias(label)))
-    elif all(test is not None for test in tests):
-        items = items.where(_any_of(tests))
+        targets.insert(0, (output_label, F.lit(True)))
+    elif all(when is not None for when in rules.values()):
+        items = items.where(_any_of([condition(when) for when in rules.values()]))
+    copies, place = [], F.lit(0)
+    for queue, test in targets:
+        copy = F.struct(F.lit(queue).cast("string").alias(label), place.alias("_place"))
+        copies.append(F.when(test, copy))
+        place = place + test.cast("int")
     kept = [name for name in items.columns if name != label]
-    exploded = items.select(*kept, F.posexplode(F.array_compact(F.array(*copies))).alias("_pos", "_to"))
+    # Unwanted copies are dropped after the explode: that keeps the whole step in generated code,
+    # which an array filter would leave.
+    exploded = items.select(*kept, F.explode(F.array(*copies)).alias("_to")).where(F.col("_to").isNotNull())
     ends = [F.col(f"_to.{label}").alias(label)]
     if ordinal:
-        ends.append(F.col("_pos").alias(ordinal))
+        ends.append(F.col("_to._place").alias(ordinal))
     return exploded.select(*kept, *ends)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.lookup import lookup
+from millrace.operators.ordering import small_table
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -58,6 +59,6 @@ def number_arrivals(items: DataFrame, name: str = "id") -> DataFrame:
     for path, rows in files:
         starts.append((path, start))
         start += rows
-    known = spark.createDataFrame(starts, "path string, _start long")
+    known = small_table(spark, starts, "path string, _start long")
     found = lookup(placed, known, "_file", "path", ["_start"])
     return found.withColumn(name, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
