@@ -142,7 +142,10 @@ def keyed_apply(
         return pa.Table.from_pandas(process(rows, state), preserve_index=False)
 
     carried = with_carry(items, key, order, carries, rows_per_segment)
-    return carried.groupBy(key, SEGMENT).applyInArrow(run, schema)
+    # With the number given, adaptive execution does not merge small partitions: Python time, not
+    # bytes, is what one of them costs. The grouping needs no further shuffle.
+    copies = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return carried.repartition(copies, key, SEGMENT).groupBy(key, SEGMENT).applyInArrow(run, schema)
 
 
 def process_partitions(

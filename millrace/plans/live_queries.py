@@ -13,10 +13,9 @@ from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, json_batches, parquet_batches, write_queues_live
 from millrace.streaming.run import run_to_end, writer
-from millrace.streaming.state import SALT, Context, keyed_state, salted
+from millrace.streaming.state import Context, combined, keyed_state
 
 RULES = {"gamma": ERROR, "hadron": CLICK}
-SALTS = 16
 
 
 def live_events(spark: SparkSession, folder: str, **options: int) -> DataFrame:
@@ -42,30 +41,31 @@ def stream_fan_out(spark: SparkSession, folder: str, events: DataFrame | None =
     return gamma.unionByName(spark.read.schema(schema).json(f"{path}/hadron/batch=*"))
 
 
-def count_rows(key: tuple, rows: pd.DataFrame, context: Context) -> pd.DataFrame:
-    """Running number of items of a key, kept in its context."""
-    context.set("n", context.get("n") + len(rows))
-    return pd.DataFrame({"user_id": [key[0]], SALT: [key[1]], "n": [context.get("n")]})
+def count_piece(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.groupby("user_id", dropna=False).size().rename("part").reset_index()
+
+
+def add_counts(key: tuple, rows: pd.DataFrame, context: Context) -> pd.DataFrame:
+    """Running number of items of a user, kept in the context."""
+    context.set("n", context.get("n") + int(rows["part"].sum()))
+    return pd.DataFrame({"user_id": [key[0]], "n": [context.get("n")]})
 
 
 def stream_counts(spark: SparkSession, live: DataFrame) -> DataFrame:
-    """Every update of the running counts per user and salt."""
-    items = salted(live.select("event_id", "user_id"), "event_id", SALTS)
-    schema = f"user_id long, {SALT} int, n long"
-    counts = keyed_state(items, ["user_id", SALT], count_rows, schema, start=lambda c: c.set("n", 0))
+    """Every update of the running counts per user."""
+    parts = combined(live.select("user_id"), count_piece, "user_id long, part long")
+    schema = "user_id long, n long"
+    counts = keyed_state(parts, ["user_id"], add_counts, schema, start=lambda context: context.set("n", 0))
     path = work_dir(spark, "counts")
     run_to_end(writer(counts, "counts").format("parquet").option("path", path))
     return spark.read.schema(schema).parquet(path)
 
 
 def stateful_stream(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
-    """Items per user, counted by Python state that lasts from batch to batch.
-
-    The last count of each salt is its largest; the salts of a user add up.
-    """
+    """Items per user, counted by Python state that lasts from batch to batch: the largest count of
+    a user is the last one."""
     live = live_events(spark, folder) if events is None else events
-    last = stream_counts(spark, live).groupBy("user_id", SALT).agg(F.max("n").alias("n"))
-    return last.groupBy("user_id").agg(F.sum("n").alias("n"))
+    return stream_counts(spark, live).groupBy("user_id").agg(F.max("n").alias("n"))
 
 
 def stream_create_id(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:

@@ -40,6 +40,20 @@ def salted(items: DataFrame, unique: str, salts: int) -> DataFrame:
     return items.withColumn(SALT, F.pmod(F.xxhash64(unique), F.lit(salts)).cast("int"))
 
 
+def combined(items: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Items shrunk where they are, piece by piece, before any shuffle.
+
+    `combine` gives partial results of a piece, such as a count per key. However many items a key
+    has, only one row per piece is left of them.
+    """
+
+    def run(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for piece in pieces:
+            yield combine(piece)
+
+    return items.mapInPandas(run, schema)
+
+
 def keyed_state(
     items: DataFrame,
     keys: list[str],
@@ -50,8 +64,9 @@ def keyed_state(
     """Run `process(key, rows, context)` on the items of each key, batch by batch.
 
     `start` fills the context before the first item of a key. Rows of a key come in Arrow-sized
-    pieces, never all at once. Where a key may be hot, group by key and `SALT` and merge the
-    results of the salts; plain counting needs no Python at all, see `live_counts`.
+    pieces, never all at once. Where a key may be hot, feed it `combined` items; if the process
+    needs the items themselves, group by key and `SALT` and merge the results of the salts. Plain
+    counting needs no Python at all, see `live_counts`.
     """
 
     def run(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -11,7 +11,7 @@ from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, live_counts, parquet_batches, write_queues_live
 from millrace.streaming.run import run_live, run_to_end, writer
-from millrace.streaming.state import Context, keyed_state
+from millrace.streaming.state import SALT, Context, keyed_state, salted
 
 FILES = 6
 
@@ -48,11 +48,31 @@ def test_stream_equals_batch_over_several_batches(spark, data, events, live):
 
 def test_state_lasts_from_batch_to_batch(spark, events, live):
     updates = q.stream_counts(spark, live)
-    users = events.select("user_id").distinct().count()
-    per_group = updates.groupBy("user_id", "salt").agg(F.count(F.lit(1)).alias("updates"))
-    assert per_group.agg(F.max("updates")).first()[0] > 1
+    assert updates.select("user_id").distinct().count() == events.select("user_id").distinct().count()
+    per_user = updates.groupBy("user_id").agg(F.count(F.lit(1)).alias("updates"), F.countDistinct("n").alias("counts"))
+    assert per_user.where("updates <> counts").count() == 0
+    assert per_user.agg(F.min("updates")).first()[0] > 1
     assert updates.agg(F.sum("n")).first()[0] > events.count()  # a later count includes the earlier ones
-    assert updates.select("user_id").distinct().count() == users
+
+
+def test_a_hot_key_that_needs_its_items_is_shared_by_salts(spark, events, live, tmp_path):
+    hot = live.select("event_id", F.when(F.col("event_id") % 3 > 0, -1).otherwise(F.col("user_id")).alias("user_id"))
+
+    def largest(key, rows, context):
+        context.set("top", max(context.get("top"), int(rows["event_id"].max())))
+        return pd.DataFrame({"user_id": [key[0]], SALT: [key[1]], "top": [context.get("top")]})
+
+    tops = keyed_state(
+        salted(hot, "event_id", 4), ["user_id", SALT], largest, f"user_id long, {SALT} int, top long",
+        start=lambda context: context.set("top", -1),
+    )
+    path = str(tmp_path / "tops")
+    run_to_end(writer(tops, "tops").format("parquet").option("path", path))
+    got = spark.read.parquet(path)
+    assert got.where("user_id = -1").select(SALT).distinct().count() == 4
+    key = F.when(F.col("event_id") % 3 > 0, -1).otherwise(F.col("user_id"))
+    want = events.groupBy(key.cast("long").alias("user_id")).agg(F.max("event_id").alias("top"))
+    same(got.groupBy("user_id").agg(F.max("top").alias("top")), want)
 
 
 def test_context_values():
