@@ -33,6 +33,24 @@ def set_value(key: str, value: object, when: Column | str | None = None) -> Step
     return step
 
 
+def only_if(when: Column | str, step: Step) -> Step:
+    """Let a step that sets attributes change only the items that pass the test. The test is made
+    on the item as it was before the step."""
+
+    def run(items: DataFrame) -> DataFrame:
+        old = {name: f"_old_{name}" for name in items.columns}
+        kept = items.withColumns({"_passes": condition(when), **{f"_old_{name}": F.col(name) for name in items.columns}})
+        done = step(kept)
+        new = [name for name in done.columns if name != "_passes" and name not in old.values()]
+        chosen = [
+            F.when(F.col("_passes"), F.col(name)).otherwise(F.col(old[name]) if name in old else None).alias(name)
+            for name in new
+        ]
+        return done.select(*chosen)
+
+    return run
+
+
 def skip(when: Column | str | None = None) -> Step:
     """Drop items that pass the test, or every item without one. An unknown (NULL) test keeps."""
 

@@ -7,6 +7,7 @@ over from the segments before it. The state must therefore be an aggregate that
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import groupby
@@ -15,11 +16,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.ordering import Cuts, is_one_of, range_number
+from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, with_ranges
 
 SEGMENT = "_segment"
+_CALL = "_call"
+_MAX_SHARDS = 1 << 24
+_MAX_HOT = 1 << 13
 ROWS_PER_SEGMENT = 1_000_000
+ROWS_PER_CALL = 100_000
 MAX_SEGMENTS = 4_096
 SAMPLES_PER_SEGMENT = 64
 
@@ -33,34 +39,84 @@ class Carry:
     merge: Callable[[Column], Column]
 
 
-def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> Cuts:
+@dataclass(frozen=True)
+class KeyCuts:
+    """The keys too big for one task, and where their rows are cut. None for a small input."""
+
+    key: str
+    order: tuple[str, ...]
+    rows: int
+    hot: tuple = ()
+    low: float = 0.0
+    high: float = 0.0
+    cuts: Cuts | None = None
+
+
+def _place(number: float | None, low: float, high: float) -> float:
+    """Where a number lies between `low` and `high`, from 0 to 0.5; beyond for NaN."""
+    if number is None or high <= low:
+        return 0.0
+    if math.isnan(number):
+        return 0.75
+    return (min(max(number, low), high) - low) / (high - low) * 0.5
+
+
+def _place_column(number: Column | None, low: float, high: float) -> Column:
+    if number is None or high <= low:
+        return F.lit(0.0)
+    inside = (F.least(F.greatest(number, F.lit(low)), F.lit(high)) - low) / (high - low) * 0.5
+    return F.when(number.isNull(), 0.0).when(F.isnan(number), 0.75).otherwise(inside)
+
+
+def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> KeyCuts:
     """Cuts inside the keys that are too big for one task; none for all others.
 
     Reads the key and order columns of a sample of at most MAX_SEGMENTS * SAMPLES_PER_SEGMENT rows,
-    and nothing at all while the whole input fits one segment.
+    and nothing but the number of rows while the whole input fits one segment.
     """
     columns = (key, *order)
-    kinds = tuple(items.schema[name].dataType for name in columns)
+    types = [items.schema[name].dataType for name in columns]
     keys = items.select(*columns)
     rows = keys.count()
     limit = max(rows_per_segment, -(-rows // MAX_SEGMENTS))
     if rows <= limit:
-        return Cuts(columns, kinds)
+        return KeyCuts(key, tuple(order), rows)
     fraction = min(1.0, SAMPLES_PER_SEGMENT / limit)
     step = max(1, round(limit * fraction))
-    sample = keys.sample(fraction=fraction, seed=23).orderBy(*columns).collect()
-    cuts: list[Row] = []
-    for _, same in groupby(sample, key=lambda row: row[0]):
-        cuts.extend(list(same)[step::step])
-    return Cuts(columns, kinds, refine=tuple(cuts))
+    number = number_of(items, order[0])
+    lead = F.lit(None).cast("double") if number is None else number
+    sample = keys.withColumn("_lead", lead).sample(fraction=fraction, seed=23).orderBy(*columns).collect()
+    finite = [row[-1] for row in sample if row[-1] is not None and math.isfinite(row[-1])]
+    low, high = (min(finite), max(finite)) if finite else (0.0, 0.0)
+    if not math.isfinite(high - low):
+        low = high = 0.0
+    hot, points = [], []
+    for value, same in groupby(sample, key=lambda row: row[0]):
+        cut = list(same)[step::step]
+        points += [Row(*row[:-1], len(hot) + _place(row[-1], low, high)) for row in cut]
+        hot += [value] if cut else []
+    if not hot:
+        return KeyCuts(key, tuple(order), rows)
+    return KeyCuts(key, tuple(order), rows, tuple(hot), low, high, cuts_at(points, columns, types))
 
 
-def with_segments(items: DataFrame, cuts: Cuts) -> DataFrame:
-    """Items with the segment of their key: 0 throughout for a key that was not cut."""
-    if not cuts.refine:
-        return items.withColumn(SEGMENT, F.lit(0))
-    big = is_one_of(cuts.columns[0], cuts.repeated, cuts.types[0])
-    return items.withColumn(SEGMENT, F.when(big, range_number(cuts)).otherwise(F.lit(0)))
+def with_segments(items: DataFrame, found: KeyCuts) -> DataFrame:
+    """Items with the segment of their key: -1 for all keys that were not cut, else a number that
+    grows along the order and belongs to that key alone."""
+    if found.cuts is None:
+        return items.withColumn(SEGMENT, F.lit(-1).cast("long"))
+    key, kind = F.col(found.key), items.schema[found.key].dataType
+    ranks = {value: rank for rank, value in enumerate(found.hot)}
+    schema = T.StructType([T.StructField("_key", kind), T.StructField("_hot", T.LongType())])
+    # At most about MAX_SEGMENTS rows: a hot key holds at least one segment's worth of the sample.
+    known = small_table(items.sparkSession, [pair for pair in ranks.items() if pair[0] is not None], schema)
+    marked = items.join(F.broadcast(known), key == F.col("_key"), "left").drop("_key")
+    if None in ranks:
+        marked = marked.withColumn("_hot", F.when(key.isNull(), ranks[None]).otherwise(F.col("_hot")))
+    place = _place_column(number_of(items, found.order[0]), found.low, found.high)
+    ranged = with_ranges(marked.withColumn(NUMBER, F.col("_hot") + place), found.cuts, SEGMENT)
+    segment = F.when(F.col("_hot").isNull(), -1).otherwise(F.col(SEGMENT) * _MAX_HOT + F.col("_hot"))
+    return ranged.withColumn(SEGMENT, segment).drop("_hot")
 
 
 def group_by_key(
@@ -87,23 +143,25 @@ def with_carry(
     rows_per_segment: int = ROWS_PER_SEGMENT,
 ) -> DataFrame:
     """Items with their segment and the state carried into it, NULL in a key's first segment."""
-    cuts = key_cuts(items, key, order, rows_per_segment)
-    parted = with_segments(items, cuts)
+    return _with_carry(items, key_cuts(items, key, order, rows_per_segment), carries)
+
+
+def _with_carry(items: DataFrame, found: KeyCuts, carries: Mapping[str, Carry]) -> DataFrame:
+    parted = with_segments(items, found)
     partials = [carry.partial.alias(name) for name, carry in carries.items()]
-    if not cuts.refine:
+    if not partials:
+        return parted
+    if found.cuts is None:
         kinds = items.limit(0).agg(*partials).schema
         return parted.withColumns({name: F.lit(None).cast(kinds[name].dataType) for name in carries})
-    big = is_one_of(key, cuts.repeated, cuts.types[0])
-    ended = parted.where(big).groupBy(key, SEGMENT).agg(*partials)
-    before = Window.partitionBy(key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    ended = parted.where(F.col(SEGMENT) >= 0).groupBy(found.key, SEGMENT).agg(*partials)
+    before = Window.partitionBy(found.key).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     merged = ended.select(
-        F.col(key).alias("_key"),
         F.col(SEGMENT).alias("_at"),
         *[carry.merge(F.col(name)).over(before).alias(name) for name, carry in carries.items()],
     )
     # One row per segment of a cut key: at most twice the number of cuts, so broadcasting is safe.
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(SEGMENT) == F.col("_at"))
-    return parted.join(F.broadcast(merged), same, "left").drop("_key", "_at")
+    return parted.join(F.broadcast(merged), F.col(SEGMENT) == F.col("_at"), "left").drop("_at")
 
 
 def running_count(
@@ -117,35 +175,57 @@ def running_count(
     return carried.withColumn(name, total).drop(SEGMENT, "_before")
 
 
+def each_key(
+    key: str, process: Callable[[pd.DataFrame, dict], pd.DataFrame], carried: Sequence[str] = ()
+) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A process for `keyed_apply` from one that takes a single key's rows and its carried state as
+    a dict. Simple to write, but every key costs a Python call."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        done = []
+        for _, part in rows.groupby(key, sort=False, dropna=False):
+            first = part.iloc[0]
+            state = {name: None if pd.api.types.is_scalar(first[name]) and pd.isna(first[name]) else first[name] for name in carried}
+            done.append(process(part.drop(columns=list(carried)).reset_index(drop=True), state))
+        return pd.concat(done, ignore_index=True)
+
+    return run
+
+
 def keyed_apply(
     items: DataFrame,
     key: str,
     order: Sequence[str],
-    process: Callable[[pd.DataFrame, dict], pd.DataFrame],
+    process: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
     carries: Mapping[str, Carry] | None = None,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    rows_per_call: int = ROWS_PER_CALL,
 ) -> DataFrame:
     """Run Python code over the items of each key, in order.
 
-    `process(rows, state)` gets one segment (all of a key, unless it is cut) and the carried state
-    as a dict, None values in the first segment. Columns come with Arrow types, so integers stay
-    exact beside NULL. Select only the columns it needs beforehand.
+    `process(rows)` gets many keys at a time, sorted by key and order, so that it can work on whole
+    columns; see `each_key` for one key at a time. All of a key is in one call, unless it is cut:
+    then a call has one segment of it. Carried state comes as further columns, NULL in a key's first
+    segment. Columns have Arrow types, so integers stay exact beside NULL. Select only the columns
+    it needs beforehand.
     """
-    carries = carries or {}
-    names = list(carries)
-    sort = [(column, "ascending") for column in order]
+    found = key_cuts(items, key, order, rows_per_segment)
 
     def run(group: pa.Table) -> pa.Table:
-        state = {name: group.column(name)[0].as_py() for name in names}
-        rows = group.drop_columns([*names, SEGMENT]).sort_by(sort).to_pandas(types_mapper=pd.ArrowDtype)
-        return pa.Table.from_pandas(process(rows, state), preserve_index=False)
+        rows = group.drop_columns([_CALL, SEGMENT]).to_pandas(types_mapper=pd.ArrowDtype)
+        return pa.Table.from_pandas(process(rows), preserve_index=False)
 
-    carried = with_carry(items, key, order, carries, rows_per_segment)
-    # With the number given, adaptive execution does not merge small partitions: Python time, not
-    # bytes, is what one of them costs. The grouping needs no further shuffle.
     copies = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return carried.repartition(copies, key, SEGMENT).groupBy(key, SEGMENT).applyInArrow(run, schema)
+    shards = min(max(copies, -(-found.rows // rows_per_call)), _MAX_SHARDS)
+    # One number for a shard of keys or a segment, so that a single column is grouped and sorted by.
+    shard = F.pmod(F.xxhash64(key), F.lit(shards))
+    call = F.when(F.col(SEGMENT) < 0, shard).otherwise(F.col(SEGMENT) + _MAX_SHARDS)
+    carried = _with_carry(items, found, carries or {}).withColumn(_CALL, call)
+    # With the number given, adaptive execution does not merge small partitions: Python time, not
+    # bytes, is what one of them costs. The grouping needs no further shuffle and no further sort.
+    placed = carried.repartition(copies, _CALL).sortWithinPartitions(_CALL, key, *order)
+    return placed.groupBy(_CALL).applyInArrow(run, schema)
 
 
 def process_partitions(
@@ -169,3 +249,15 @@ def process_partitions(
             yield finish(instance)
 
     return items.mapInPandas(run, schema)
+
+
+def emit_batches(
+    items: DataFrame, emit: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """Any number of items for each, from Python code that takes a batch of items at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from emit(batch)
+
+    return items.mapInArrow(run, schema)

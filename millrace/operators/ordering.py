@@ -1,97 +1,25 @@
 """Numbering items in an order, without ever sorting them all in one task.
 
-`cut_points` samples the order columns and fixes cut values on the driver; `bucket_column` turns
-them into a bucket number that depends on the row alone. Counting the buckets gives each its
-offset, and inside a bucket `row_number` does the rest. Because a bucket is a value and not a task
-number, a lost executor or another partition count changes nothing. The sample only decides how
-even the buckets are; the numbers are exact for any sample.
+The order is cut into buckets; counting them gives each its offset, and inside a bucket
+`row_number` does the rest. The numbers are exact for any cuts.
 """
 
 from __future__ import annotations
 
-import math
+import os.path
 from collections.abc import Sequence
-from dataclasses import dataclass
-from itertools import accumulate, groupby
+from itertools import accumulate
 
-import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+
+from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, text_number, with_ranges
 
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 48
-_SUB_BUCKETS = 1 << 20
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Cut values over order columns.
-
-    `lead` holds cuts on the first column as a number. Where `crowded` numbers hold too many rows,
-    `refine` cuts them along all columns.
-    """
-
-    columns: tuple[str, ...]
-    types: tuple[T.DataType, ...]
-    lead: tuple[float, ...] = ()
-    crowded: tuple[float | None, ...] = ()
-    refine: tuple[Row, ...] = ()
-
-    @property
-    def repeated(self) -> list:
-        """First-column values that `refine` cuts."""
-        return [value for value, _ in groupby(row[0] for row in self.refine)]
-
-
-def _literal(value: object, kind: T.DataType) -> Column:
-    return F.lit(value).cast(kind)
-
-
-def is_one_of(name: str, values: Sequence, kind: T.DataType) -> Column:
-    """Null-safe test of a column against a bounded list; NULL may be one of the values."""
-    known = [_literal(v, kind) for v in values if v is not None]
-    test = F.coalesce(F.col(name).isin(known), F.lit(False)) if known else F.lit(False)
-    return test | F.col(name).isNull() if None in values else test
-
-
-def range_number(cuts: Cuts) -> Column:
-    """How many of the `refine` cuts lie at or before a row: a binary search in the cut list.
-
-    Struct comparison is the sort order of the columns (NULL first), so numbers grow with the order.
-    """
-    names = cuts.columns
-    points = F.array(
-        *[F.struct(*[_literal(v, t).alias(n) for n, v, t in zip(names, row, cuts.types)]) for row in cuts.refine]
-    )
-    probe = F.struct(*names)
-    total = len(cuts.refine)
-    jumps = [1 << i for i in reversed(range(total.bit_length()))]
-
-    def search(found: Column, jump: Column) -> Column:
-        ahead = found + jump
-        return F.when((ahead <= total) & (F.get(points, ahead - 1) <= probe), ahead).otherwise(found)
-
-    return F.aggregate(F.array(*map(F.lit, jumps)), F.lit(0), search)
-
-
-def _is_plain_number(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-
-
-def _as_double(items: DataFrame, name: str) -> Column:
-    """A double that never decreases while the column grows. Several values may share a double."""
-    kind = items.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.datediff(F.col(name), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        days = F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date"))
-        return (days * 24 + F.hour(name)).cast("double") * 60 + F.minute(name)
-    return F.col(name).cast("double") + 0.0  # makes one zero of the two
 
 
 def bucket_count(items: DataFrame, rows: int, rows_per_bucket: int | None = None) -> int:
@@ -102,63 +30,35 @@ def bucket_count(items: DataFrame, rows: int, rows_per_bucket: int | None = None
     return max(1, min(max(spread, -(-rows // size)), MAX_BUCKETS))
 
 
+def _numbered(items: DataFrame, order: Sequence[str], prefix: str = "") -> DataFrame:
+    number = number_of(items, order[0], prefix)
+    return items.withColumn(NUMBER, F.lit(None).cast("double") if number is None else number)
+
+
 def cut_points(items: DataFrame, order: Sequence[str], rows_per_bucket: int | None = None) -> Cuts:
-    """Choose cuts that split the items into ranges of about equal size.
+    """Choose cuts that split the items into buckets of about equal size.
 
     The sample holds at most MAX_BUCKETS * SAMPLES_PER_BUCKET rows of the order columns, whatever
-    the size of the input. A first-column value with several cuts (it may hold a third of all
-    rows) is cut further along the other columns.
+    the size of the input. A first value with a third of all rows is cut along the other columns.
     """
-    kinds = tuple(items.schema[name].dataType for name in order)
-    empty = Cuts(tuple(order), kinds)
+    types = [items.schema[name].dataType for name in order]
     keys = items.select(*order)
     rows = keys.count()
     buckets = bucket_count(items, rows, rows_per_bucket)
     if buckets == 1:
-        return empty
-    numeric = _is_plain_number(kinds[0])
-    number = _as_double(items, order[0]) if numeric else F.lit(None).cast("double")
+        return cuts_at([], order, types)
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-    sample = keys.select(*order, number.alias("_number")).sample(fraction=fraction, seed=17).orderBy(*order).collect()
+    sample = _numbered(keys, order).sample(fraction=fraction, seed=17).orderBy(*order).collect()
     picked = [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
-    if not numeric:
-        return Cuts(tuple(order), kinds, refine=tuple(Row(*row[:-1]) for row in picked))
-    lead, crowded, refine = set(), [], []
-    for number, same in groupby(picked, key=lambda row: str(row["_number"])):
-        same = list(same)
-        number = same[0]["_number"]
-        ends = [] if number is None else [number]
-        if len(same) > 1:
-            crowded.append(number)
-            refine.extend(Row(*row[:-1]) for row in same)
-            ends += [math.nextafter(end, math.inf) for end in ends]
-        lead.update(end for end in ends if math.isfinite(end))
-    return Cuts(tuple(order), kinds, tuple(sorted(lead)), tuple(crowded), tuple(refine))
+    if types[0] != T.StringType():
+        return cuts_at(picked, order, types)
+    prefix = os.path.commonprefix([row[0] for row in picked if row[0] is not None])
+    return cuts_at([Row(*row[:-1], text_number(row[0], prefix)) for row in picked], order, types, prefix)
 
 
 def with_buckets(items: DataFrame, cuts: Cuts) -> DataFrame:
-    """Items with their bucket number; numbers grow along the order."""
-    if not _is_plain_number(cuts.types[0]):
-        bucket = range_number(cuts) if cuts.refine else F.lit(0)
-        return items.withColumn(BUCKET, bucket.cast("long"))
-    numbered = items.withColumn("_number", _as_double(items, cuts.columns[0]))
-    bucket = F.lit(0)
-    if cuts.refine:
-        crowded = is_one_of("_number", cuts.crowded, T.DoubleType())
-        bucket = F.when(crowded, range_number(cuts)).otherwise(0)
-    if not cuts.lead:
-        return numbered.withColumn(BUCKET, bucket.cast("long")).drop("_number")
-    splits = [-math.inf, *cuts.lead, math.inf]
-    finder = Bucketizer(splits=splits, inputCol="_number", outputCol="_range", handleInvalid="keep")
-    outer = F.coalesce(F.col("_range").cast("long"), F.lit(-1)) * _SUB_BUCKETS
-    return finder.transform(numbered).withColumn(BUCKET, outer + bucket).drop("_number", "_range")
-
-
-def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A table of a few rows held in the plan itself; no task has to make it."""
-    kinds = T.StructType.fromDDL(schema)
-    columns = list(zip(*rows)) if rows else [()] * len(kinds)
-    return spark.createDataFrame(pa.table(list(map(pa.array, columns, to_arrow_schema(kinds).types)), kinds.names))
+    """Items with their bucket; buckets grow along the order."""
+    return with_ranges(_numbered(items, cuts.columns, cuts.prefix), cuts, BUCKET)
 
 
 def number_rows(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, json_batches, parquet_batches, write_queues_live
 from millrace.streaming.run import run_to_end, writer
-from millrace.streaming.state import Context, combined, keyed_state
+from millrace.streaming.state import GROUP, Context, combined, grouped, keyed_state
 
 RULES = {"gamma": ERROR, "hadron": CLICK}
 
@@ -41,24 +42,33 @@ def stream_fan_out(spark: SparkSession, folder: str, events: DataFrame | None =
     return gamma.unionByName(spark.read.schema(schema).json(f"{path}/hadron/batch=*"))
 
 
-def count_piece(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby("user_id", dropna=False).size().rename("part").reset_index()
+def count_piece(rows: pa.Table) -> pa.Table:
+    return rows.group_by("user_id").aggregate([([], "count_all")]).rename_columns(["user_id", "part"])
 
 
 def add_counts(key: tuple, rows: pd.DataFrame, context: Context) -> pd.DataFrame:
-    """Running number of items of a user, kept in the context."""
-    context.set("n", context.get("n") + int(rows["part"].sum()))
-    return pd.DataFrame({"user_id": [key[0]], "n": [context.get("n")]})
+    """Running number of items of each user of the group, kept in the context."""
+    counts = context.get("counts")
+    parts = rows.groupby("user", dropna=False)["part"].sum()
+    users = [None if pd.isna(user) else user for user in parts.index]
+    for user, part in zip(users, parts):
+        name = "null" if user is None else user
+        counts[name] = counts.get(name, 0) + int(part)
+    return pd.DataFrame({"user": users, "n": [counts["null" if user is None else user] for user in users]})
 
 
 def stream_counts(spark: SparkSession, live: DataFrame) -> DataFrame:
     """Every update of the running counts per user."""
     parts = combined(live.select("user_id"), count_piece, "user_id long, part long")
-    schema = "user_id long, n long"
-    counts = keyed_state(parts, ["user_id"], add_counts, schema, start=lambda context: context.set("n", 0))
+    # Users as text from here, since pandas would make a nullable number a float.
+    users = parts.select(F.col("user_id").cast("string").alias("user"), "part")
+    groups = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "user string, n long"
+    items = grouped(users, "user", groups)
+    counts = keyed_state(items, [GROUP], add_counts, schema, start=lambda context: context.set("counts", {}))
     path = work_dir(spark, "counts")
     run_to_end(writer(counts, "counts").format("parquet").option("path", path))
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(F.col("user").cast("long").alias("user_id"), "n")
 
 
 def stateful_stream(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:

@@ -82,6 +82,7 @@ ORACLES = {
         FROM events WHERE value > 10
     """,
     "udtf_emit": _BOTH_SIGNS,
+    "custom_emit": _BOTH_SIGNS,
     "named_output": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "multi_output": "SELECT event_id, output FROM events, (VALUES ('a'), ('b')) t(output) WHERE value > 10",
     "shared_input": """

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +61,6 @@ class BigOrders(sharded.ShardedSource):
         return "big_orders"
 
     def items(self, batch):
-        import pyarrow.compute as pc
-
         return batch.filter(pc.greater(batch.column("o_totalprice"), 100_000.0))
 
 
@@ -262,6 +262,19 @@ def udtf_emit(spark: SparkSession, folder: str) -> DataFrame:
     return emitted.select("event_id", "pos", "v").transform(c.set_value(r.QUEUE, "q1"))
 
 
+def custom_emit(spark: SparkSession, folder: str) -> DataFrame:
+    """Two items for one, made a whole batch at a time."""
+
+    def both_signs(batch: pa.RecordBatch):
+        for pos, values in enumerate((batch["value"], pc.negate(batch["value"]))):
+            places = pa.array([pos] * batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch["event_id"], places, values], ["event_id", "pos", "v"])
+
+    events = _events(spark, folder, "event_id", "value")
+    emitted = k.emit_batches(events, both_signs, "event_id long, pos int, v double")
+    return emitted.transform(c.set_value(r.QUEUE, "q1"))
+
+
 def named_output(spark: SparkSession, folder: str) -> DataFrame:
     flow = Flow({"data": _events(spark, folder)})
     flow.process("count", lambda d: d.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), input="data", output="x")
@@ -333,9 +346,9 @@ def keyed_running_count(spark: SparkSession, folder: str) -> DataFrame:
 def keyed_apply(spark: SparkSession, folder: str) -> DataFrame:
     """How far each event id is from the one before it of the same user."""
 
-    def gaps(rows: pd.DataFrame, state: dict) -> pd.DataFrame:
-        first = rows["event_id"].iloc[0] if state["last"] is None else state["last"]
-        before = rows["event_id"].shift(1, fill_value=first)
+    def gaps(rows: pd.DataFrame) -> pd.DataFrame:
+        before = rows.groupby("user_id", dropna=False)["event_id"].shift(1)
+        before = before.fillna(rows["last"]).fillna(rows["event_id"])
         return rows[["event_id", "user_id"]].assign(d=rows["event_id"] - before)
 
     return k.keyed_apply(
@@ -417,7 +430,7 @@ BATCH = {
         tolerant_read, arrival_id, json_sink, queue_sink, custom_sink, log_tap, terminal_process, process_chain,
         set_value, create_id, alternate_ab, data_rate, instance_tag, attr_access, skip_rows, conditional_set,
         drop_null_items, unrouted_dropped, enqueue_one, enqueue_route, enqueue_multi, enqueue_bulk, split_select,
-        flatmap_emit, udtf_emit, named_output, multi_output, shared_input, chain_by_id, rebind_name,
+        flatmap_emit, udtf_emit, custom_emit, named_output, multi_output, shared_input, chain_by_id, rebind_name,
         output_plus_queues, undeclared_queue, routing_sample, queue_sample, count_sample, key_partition,
         keyed_running_count, keyed_apply, item_count, finish_totals, udf_processor, service_lookup,
         partition_setup, copies_invariant, coalesce_leaf,

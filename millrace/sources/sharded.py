@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.dataset as ds
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,7 +45,8 @@ class ShardedReader(DataSourceReader):
 
     def partitions(self) -> list[Shard]:
         count = max(1, int(self.source.options.get("copies", "8")))
-        dataset = ds.dataset(self.source.options["path"], format="parquet")
+        files, root = pafs.FileSystem.from_uri(self.source.options["path"])
+        dataset = ds.dataset(root, format="parquet", filesystem=files)
         return [Shard(i, count, tuple(part)) for i, part in enumerate(assign_pieces(dataset, count))]
 
     def read(self, partition: Shard) -> Iterator[pa.RecordBatch]:
@@ -55,7 +57,7 @@ class ShardedReader(DataSourceReader):
 
 class ShardedSource(DataSource):
     """Parquet items, dealt to `copies` instances. Subclass and override `items` to read in your own
-    way. Options: `path`, `copies`. Give the schema to read: only its columns leave the file."""
+    way. Options: `path` (absolute, or a URI all executors can read), `copies`. Give the schema to read: only its columns leave the file."""
 
     @classmethod
     def name(cls) -> str:
@@ -69,9 +71,9 @@ class ShardedSource(DataSource):
         return batch
 
     def read_shard(self, shard: Shard, columns: list[str]) -> Iterator[pa.RecordBatch]:
+        files, _ = pafs.FileSystem.from_uri(self.options["path"])
         for path, groups in shard.pieces:
-            fragments = ds.dataset(path, format="parquet").get_fragments()
-            for fragment in fragments:
+            for fragment in ds.dataset(path, format="parquet", filesystem=files).get_fragments():
                 part = fragment if groups is None else fragment.subset(row_group_ids=list(groups))
                 for batch in part.to_batches(columns=columns):
                     yield self.items(batch)

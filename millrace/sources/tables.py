@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.lookup import lookup
-from millrace.operators.ordering import small_table
+from millrace.operators.ranges import small_table
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -31,10 +32,19 @@ def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return reader.option("ignoreCorruptFiles", "true").json(path)
 
 
-def read_live(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1_000) -> DataFrame:
-    """An unbounded source over a growing folder of parquet files. `max_files` is what one
-    micro-batch may take in, so a backlog cannot swamp the cluster."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def read_live(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    max_files: int = 1_000,
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """An unbounded source over a growing folder of parquet files. One micro-batch takes in at most
+    `max_files` files, or about `max_bytes` if given, so a backlog cannot swamp the
+    cluster."""
+    reader = spark.readStream.schema(schema)
+    bound = {"maxBytesPerTrigger": max_bytes} if max_bytes else {"maxFilesPerTrigger": max_files}
+    return reader.options(**bound).parquet(path)
 
 
 def number_arrivals(items: DataFrame, name: str = "id") -> DataFrame:
@@ -44,21 +54,23 @@ def number_arrivals(items: DataFrame, name: str = "id") -> DataFrame:
     (from file footers) and nothing is sorted or shuffled. `items` must come straight from
     `read_items`. A filter belongs after this step, or the numbers have gaps.
     """
-    placed = items.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
     files = (
         items.select(F.col("_metadata.file_path").alias("path"))
         .groupBy("path")
         .agg(F.count(F.lit(1)).alias("rows"))
+        .select("path", "rows", F.xxhash64("path").alias("hash"))
         .orderBy("path")
         .collect()
     )
-    if len(files) == 1:
-        return placed.withColumn(name, F.col("_row")).drop("_file", "_row")
-    spark = items.sparkSession
-    starts, start = [], 0
-    for path, rows in files:
-        starts.append((path, start))
-        start += rows
-    known = small_table(spark, starts, "path string, _start long")
-    found = lookup(placed, known, "_file", "path", ["_start"])
+    row = F.col("_metadata.row_index")
+    if len(files) <= 1:
+        return items.withColumn(name, row)
+    # Names of files are long; their hashes serve as long as no two are alike.
+    hashed = len({file["hash"] for file in files}) == len(files)
+    starts = accumulate((file["rows"] for file in files), initial=0)
+    known = [(file["hash"] if hashed else file["path"], start) for file, start in zip(files, starts)]
+    offsets = small_table(items.sparkSession, known, f"_key {'long' if hashed else 'string'}, _start long")
+    path = F.col("_metadata.file_path")
+    placed = items.withColumns({"_file": F.xxhash64(path) if hashed else path, "_row": row})
+    found = lookup(placed, offsets, "_file", "_key", ["_start"])
     return found.withColumn(name, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")

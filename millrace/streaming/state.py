@@ -6,11 +6,13 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SALT = "salt"
+GROUP = "group"
 
 
 class Context:
@@ -40,18 +42,28 @@ def salted(items: DataFrame, unique: str, salts: int) -> DataFrame:
     return items.withColumn(SALT, F.pmod(F.xxhash64(unique), F.lit(salts)).cast("int"))
 
 
-def combined(items: DataFrame, combine: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def grouped(items: DataFrame, key: str, groups: int) -> DataFrame:
+    """Items with a `group`, which holds many whole keys.
+
+    With state per group, its process keeps the values of each key in the context by itself; one
+    Python call then serves many keys. The number of groups is part of the stored state: keep it
+    for the life of a job.
+    """
+    return items.withColumn(GROUP, F.pmod(F.xxhash64(key), F.lit(groups)).cast("int"))
+
+
+def combined(items: DataFrame, combine: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """Items shrunk where they are, piece by piece, before any shuffle.
 
     `combine` gives partial results of a piece, such as a count per key. However many items a key
     has, only one row per piece is left of them.
     """
 
-    def run(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces:
-            yield combine(piece)
+            yield from combine(pa.Table.from_batches([piece])).to_batches()
 
-    return items.mapInPandas(run, schema)
+    return items.mapInArrow(run, schema)
 
 
 def keyed_state(

@@ -1,8 +1,12 @@
+import datetime as dt
 import random
+import sys
 from collections import defaultdict
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import keyed as k
@@ -23,6 +27,8 @@ def skewed(spark, skewed_rows):
     return spark.createDataFrame(skewed_rows, "key string, at int, seq long").repartition(4)
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # for functions run by Python workers
+
 ORDER = ["at", "seq"]
 
 
@@ -44,7 +50,7 @@ def test_hot_keys_are_cut_and_others_are_not(skewed, skewed_rows):
 
 
 def test_small_input_is_not_sampled(skewed):
-    assert k.key_cuts(skewed, "key", ORDER).refine == ()
+    assert k.key_cuts(skewed, "key", ORDER).cuts is None
 
 
 @pytest.mark.parametrize("limit", [100, 10_000])
@@ -54,20 +60,8 @@ def test_running_count(skewed, skewed_rows, limit):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [100, 10_000])
-def test_keyed_apply_carries_state_over_cuts(skewed, skewed_rows, limit):
-    """Running sum and distance to the item before, in Python."""
-
-    def process(rows: pd.DataFrame, state: dict) -> pd.DataFrame:
-        total = (state["total"] or 0) + rows["at"].cumsum()
-        first = rows["seq"].iloc[0] if state["last"] is None else state["last"]["seq"]
-        before = rows["seq"].shift(1, fill_value=first)
-        return pd.DataFrame({"seq": rows["seq"], "total": total, "d": rows["seq"] - before})
-
-    last = F.max(F.struct("at", "seq"))
-    carries = {"total": k.Carry(F.sum("at"), F.sum), "last": k.Carry(last, F.max)}
-    done = k.keyed_apply(skewed, "key", ORDER, process, "seq long, total long, d long", carries, limit)
-    got = {r["seq"]: (r["total"], r["d"]) for r in done.collect()}
+def wanted_sums(skewed_rows):
+    """Per item: running sum of its key, and distance to the item before."""
     want = {}
     for rows in by_key(skewed_rows).values():
         total, before = 0, rows[0][2]
@@ -75,7 +69,74 @@ def test_keyed_apply_carries_state_over_cuts(skewed, skewed_rows, limit):
             total += at
             want[seq] = (total, seq - before)
             before = seq
-    assert got == want
+    return want
+
+
+def carries():
+    return {"total": k.Carry(F.sum("at"), F.sum), "last": k.Carry(F.max(F.struct("at", "seq")), F.max)}
+
+
+def one_key(rows: pd.DataFrame, state: dict) -> pd.DataFrame:
+    total = (state["total"] or 0) + rows["at"].cumsum()
+    first = rows["seq"].iloc[0] if state["last"] is None else state["last"]["seq"]
+    before = rows["seq"].shift(1, fill_value=first)
+    return pd.DataFrame({"seq": rows["seq"], "total": total, "d": rows["seq"] - before})
+
+
+def many_keys(rows: pd.DataFrame) -> pd.DataFrame:
+    groups = rows.groupby("key", dropna=False)
+    total = groups["at"].cumsum() + rows["total"].fillna(0)
+    last = rows["last"].map(lambda state: None if pd.isna(state) else state["seq"]).astype("int64[pyarrow]")
+    before = groups["seq"].shift(1).fillna(last).fillna(rows["seq"])
+    return pd.DataFrame({"seq": rows["seq"], "total": total, "d": rows["seq"] - before})
+
+
+@pytest.mark.parametrize("limit", [100, 10_000])
+@pytest.mark.parametrize("by_one", [True, False])
+def test_keyed_apply_carries_state_over_cuts(skewed, skewed_rows, limit, by_one):
+    process = k.each_key("key", one_key, ["total", "last"]) if by_one else many_keys
+    schema = "seq long, total long, d long"
+    done = k.keyed_apply(skewed, "key", ORDER, process, schema, carries(), limit, rows_per_call=200)
+    got = {r["seq"]: (r["total"], r["d"]) for r in done.collect()}
+    assert got == wanted_sums(skewed_rows)
+
+
+def test_keyed_apply_shuffles_and_sorts_once(skewed):
+    done = k.keyed_apply(skewed, "key", ORDER, lambda rows: rows[["seq"]], "seq long")
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1
+
+
+def test_one_call_gets_many_keys(skewed):
+    def call(rows):
+        return pd.DataFrame({"keys": [rows["key"].nunique(dropna=False)], "rows": [len(rows)]})
+
+    calls = k.keyed_apply(skewed, "key", ORDER, call, "keys long, rows long", rows_per_call=1_000).collect()
+    assert sum(row["keys"] for row in calls) == 62 and sum(row["rows"] for row in calls) == 3000
+    assert len(calls) <= 8
+
+
+@pytest.mark.parametrize(
+    "order, kind, make",
+    [
+        (["at", "seq"], "string", lambda n: f"t{n % 90:03}"),
+        (["at", "seq"], "timestamp_ntz", lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=n % 500)),
+        (["at", "seq"], "double", lambda n: [float("nan"), float("inf"), -1.0, None][n % 4]),
+        (["at", "seq"], "int", lambda n: 5),
+        (["seq"], "int", lambda n: 0),
+    ],
+)
+def test_orders_of_all_kinds(spark, order, kind, make):
+    """The order's first column may be no number, or too coarse to cut by."""
+    rows = [(-1 if n % 3 == 0 else n % 40, make(n), n) for n in range(2000)]
+    items = spark.createDataFrame(rows, f"key int, at {kind}, seq long").repartition(4)
+    window = Window.partitionBy("key").orderBy(*order)
+    want = {r["seq"]: r["n"] for r in items.withColumn("n", F.row_number().over(window)).collect()}
+    done = k.running_count(items, "key", order, rows_per_segment=60)
+    assert {r["seq"]: r["n"] for r in done.collect()} == want
+    sizes = k.with_segments(items, k.key_cuts(items, "key", order, 60)).groupBy("key", k.SEGMENT).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 240
 
 
 def test_keys_stay_together(skewed):

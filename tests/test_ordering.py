@@ -51,6 +51,16 @@ def test_strings_with_a_hot_value(spark):
     check(spark, rows, "a string, tie long", ["a", "tie"], lambda r: r)
 
 
+def test_texts_around_a_common_beginning(spark):
+    """Few texts lie before and after the beginning that the sampled ones share."""
+    rnd = random.Random(9)
+    made = [f"https://x.org/{'é' if n % 2 else 'z'}{rnd.randrange(10**6)}" for n in range(1995)]
+    rows = list(zip([*made, "", "https", "https://y", "zzz", None], range(2000)))
+    items = spark.createDataFrame(rows, "a string, tie long")
+    assert o.cut_points(items, ["a", "tie"], 50).prefix.startswith("https://x.org/")
+    check(spark, rows, "a string, tie long", ["a", "tie"], lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+
+
 def test_long_values_that_share_a_double(spark):
     base = 1 << 60
     rows = [(base + n // 4, n) for n in range(2000)]

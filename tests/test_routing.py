@@ -95,6 +95,16 @@ def test_set_value_keeps_the_old_one_where_the_test_fails(spark):
     assert [row["k"] for row in done.collect()] == ["z", "y", None]
 
 
+def test_a_whole_step_under_a_condition(spark):
+    items = spark.createDataFrame([(1, 5), (2, 50), (3, None)], "event_id long, v long")
+
+    def step(items):
+        return items.withColumn("v", F.col("v") * 2).withColumn("big", F.lit(True))
+
+    got = items.transform(c.only_if("%{data.v} > 10", step)).orderBy("event_id").collect()
+    assert [tuple(row) for row in got] == [(1, 5, None), (2, 100, True), (3, None, None)]
+
+
 def test_null_items(spark):
     items = spark.createDataFrame([(None, None), (1, None), (None, "a")], "event_id long, k string")
     assert c.drop_null_items(items).count() == 2

@@ -49,12 +49,18 @@ def test_stream_equals_batch_over_several_batches(spark, data, events, live):
 def test_state_lasts_from_batch_to_batch(spark, events, live):
     updates = q.stream_counts(spark, live)
     assert updates.select("user_id").distinct().count() == events.select("user_id").distinct().count()
-    per_user = updates.groupBy("user_id").agg(F.count(F.lit(1)).alias("updates"), F.countDistinct("n").alias("counts"))
-    assert per_user.where("updates <> counts").count() == 0
-    assert per_user.agg(F.min("updates")).first()[0] > 1
+    per_user = updates.groupBy("user_id").agg(F.countDistinct("n").alias("counts"))
+    assert per_user.agg(F.min("counts")).first()[0] > 1
     assert updates.agg(F.sum("n")).first()[0] > events.count()  # a later count includes the earlier ones
 
 
+def test_counts_with_null_and_huge_users(spark, events, live):
+    """A third without a user, and ids that no double can hold."""
+    user = F.when(F.col("event_id") % 3 > 0, F.lit((1 << 60) + 1) + F.col("event_id") % 2)
+    got = q.stateful_stream(spark, "", live.withColumn("user_id", user))
+    same(got, events.groupBy(user.alias("user_id")).agg(F.count(F.lit(1)).alias("n")))
+
+
 def test_a_hot_key_that_needs_its_items_is_shared_by_salts(spark, events, live, tmp_path):
     hot = live.select("event_id", F.when(F.col("event_id") % 3 > 0, -1).otherwise(F.col("user_id")).alias("user_id"))
 
@@ -169,6 +175,12 @@ def test_intake_is_bounded(spark, live):
     assert len(batches) == FILES
 
 
+def test_intake_is_bounded_by_bytes(spark, events, folder):
+    live = read_live(spark, folder, events.schema, max_bytes=1)
+    done = run_to_end(writer(live, "noop").format("noop"))
+    assert len([p for p in done.recentProgress if p["numInputRows"]]) == FILES
+
+
 def test_live_counts_into_memory(spark, events, live):
     sink = writer(live_counts(live, "event_type"), "counts", mode="complete")
     run_to_end(sink.format("memory").queryName("live_counts"))
