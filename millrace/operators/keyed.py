@@ -128,8 +128,11 @@ def group_by_key(
 ) -> DataFrame:
     """All items of a key in one partition; NULL is a key of its own.
 
-    Only a key beyond `rows_per_segment` is spread, by ranges of `order`.
+    Only a key beyond `rows_per_segment` is spread, by ranges of `order`. On a stream, where keys
+    cannot be counted ahead, every key stays whole within a micro-batch.
     """
+    if items.isStreaming:
+        return items.repartition(copies, key) if copies else items.repartition(key)
     parted = with_segments(items, key_cuts(items, key, order, rows_per_segment))
     by = [F.col(key), F.col(SEGMENT)]
     return (parted.repartition(copies, *by) if copies else parted.repartition(*by)).drop(SEGMENT)

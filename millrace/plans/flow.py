@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import merge_streams
 from millrace.operators.chain import Step
+from millrace.operators.copies import parse_copies, with_copies
 from millrace.operators.keyed import group_by_key
 from millrace.operators.routing import QUEUE, emit, empty_queue, enqueue
 
@@ -36,10 +37,13 @@ class Enqueue:
 class Flow:
     """Named streams of one job."""
 
-    def __init__(self, streams: dict[str, DataFrame], queues: str = ""):
+    def __init__(
+        self, streams: dict[str, DataFrame], queues: str = "", services: dict[str, DataFrame] | None = None
+    ):
         if not streams:
             raise ValueError("at least one source is needed")
         self._streams = dict(streams)
+        self._services = dict(services or {})
         self._written: dict[str, list] = {}
         self._queues = {name.strip() for name in queues.split(",") if name.strip()}
 
@@ -51,6 +55,12 @@ class Flow:
     def __contains__(self, name: str) -> bool:
         return name in self._streams
 
+    def service(self, name: str) -> DataFrame:
+        """A side table of the job, for `lookup`."""
+        if name not in self._services:
+            raise KeyError(f"no service {name!r}; known: {sorted(self._services)}")
+        return self._services[name]
+
     def process(
         self,
         name: str,
@@ -59,6 +69,7 @@ class Flow:
         output: str = "",
         group_by: str | None = None,
         order: list[str] | None = None,
+        copies: object = None,
     ) -> DataFrame:
         """Run a chain and publish what it gives.
 
@@ -66,14 +77,17 @@ class Flow:
         published again replaces the stream for later processes; nothing is merged silently. Queues
         that were not declared stay empty. With `output` (names with commas) the items are published
         unsplit: the results, and after them everything written to declared queues. `group_by` needs
-        a unique `order` and brings the items of a key together first. Returns the results, for
-        processes that only feed a sink.
+        a unique `order` and brings the items of a key together first; `copies` spreads the work over
+        so many instances, which costs a shuffle. Returns the results, for processes that only feed a
+        sink.
         """
         items = self[input or name]
         if group_by and group_by.strip():
             if not order:
                 raise ValueError("group_by needs an order")
-            items = group_by_key(items, group_by.strip(), order)
+            items = group_by_key(items, group_by.strip(), order, None if copies is None else parse_copies(copies))
+        elif copies is not None:
+            items = with_copies(items, copies)
         written: dict[str, list[DataFrame]] = {}
         points: list[tuple[DataFrame, list[tuple[str, Column | str | None]]]] = []
         self._written[name] = points

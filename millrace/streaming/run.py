@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.session import work_dir
@@ -27,3 +28,19 @@ def run_to_end(sink: DataStreamWriter) -> StreamingQuery:
 def run_live(sink: DataStreamWriter, every: str = "1 second") -> StreamingQuery:
     """Keep going by processing time until `query.stop()`."""
     return sink.trigger(processingTime=every).start()
+
+
+def live_tap(items: DataFrame, prefix: str) -> DataFrame:
+    """Pass live items through and count them under `prefix`; see `tap_count`."""
+    return items.observe(prefix, F.count(F.lit(1)).alias("items"))
+
+
+def tap_count(query: StreamingQuery, prefix: str) -> int:
+    """Items that passed a tap, over the batches the query still knows of."""
+    seen = [progress["observedMetrics"].get(prefix) for progress in query.recentProgress]
+    return sum(row["items"] for row in seen if row)
+
+
+def print_live(items: DataFrame, count: int = 20) -> DataStreamWriter:
+    """Print the first items of each micro-batch."""
+    return writer(items, "print").format("console").option("numRows", count).option("truncate", False)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.functions import attribute, condition, has_attribute, merge_streams, put
 from millrace.operators import chain as c
 from millrace.operators import routing as r
+from millrace.operators.lookup import lookup
 from millrace.plans import samples
 from millrace.plans.flow import Enqueue, Flow
 
@@ -221,6 +222,18 @@ def test_group_by_in_a_process(events):
         flow.process("p", input="data", group_by="user_id")
 
 
+def test_copies_and_services_of_a_flow(spark, events):
+    service = spark.createDataFrame([("error", 1), ("click", 2)], "kind string, code int")
+    flow = Flow({"data": events.select("event_id", "event_type")}, services={"codes": service})
+    found = flow.process(
+        "p", lambda d: lookup(d, flow.service("codes"), "event_type", "kind", ["code"]), input="data", copies="3"
+    )
+    assert found.where("code = 1").count() == events.where("event_type = 'error'").count()
+    assert flow.process("p", input="data", copies=3).rdd.getNumPartitions() == 3
+    with pytest.raises(KeyError, match="nothing"):
+        flow.service("nothing")
+
+
 def test_samples(spark):
     data = spark.range(1000).withColumnRenamed("id", "seq")
     flow = samples.routing_sample(data, "seq")

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from millrace.operators.lookup import lookup
 from millrace.plans import live_queries as q
+from millrace.plans.flow import Enqueue, Flow
+from millrace.sources import synthetic
 from millrace.sources.tables import read_live
 from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, live_counts, parquet_batches, write_queues_live
-from millrace.streaming.run import run_live, run_to_end, writer
+from millrace.streaming.run import live_tap, print_live, run_live, run_to_end, tap_count, writer
 from millrace.streaming.state import SALT, Context, keyed_state, salted
 
 FILES = 6
@@ -206,3 +208,42 @@ def test_failure_is_raised(spark, live):
 
     with pytest.raises(Exception, match="broken sink"):
         run_to_end(fan_out(live, q.RULES, {"gamma": fail}))
+
+
+def test_a_flow_over_a_live_stream(spark, events, live, tmp_path):
+    flow = Flow({"data": live.select("event_id", "event_type", "user_id")}, "gamma, hadron")
+    flow.process(
+        "split", Enqueue("gamma", q.RULES["gamma"]), Enqueue("hadron", q.RULES["hadron"]),
+        input="data", group_by="user_id", order=["event_id"],
+    )
+    out = str(tmp_path / "out")
+    run_to_end(writer(flow.written("split").select("event_id", "queue"), "flow").format("parquet").option("path", out))
+    same(spark.read.parquet(out), routed(events))
+
+
+def test_tap_on_a_live_stream(events, live):
+    done = run_to_end(writer(live_tap(live, "before"), "noop").format("noop"))
+    assert tap_count(done, "before") == events.count()
+    assert tap_count(done, "other") == 0
+
+
+def test_print_on_a_live_stream(live):
+    done = run_to_end(print_live(live.select("event_id"), 2))
+    assert "ConsoleTable" in done.lastProgress["sink"]["description"]
+    assert done.lastProgress["batchId"] >= FILES - 1
+
+
+def test_endless_sources(spark):
+    for items, columns in (
+        (synthetic.gaussian_stream(spark, 500, ["a", "b"]), ["a", "b"]),
+        (synthetic.constant_stream(spark, 500), ["id", "name", "data"]),
+    ):
+        name = f"endless_{columns[0]}"
+        query = run_live(writer(items, name).format("memory").queryName(name), "200 milliseconds")
+        deadline = time.time() + 30
+        while spark.table(name).count() < 500 and time.time() < deadline:
+            time.sleep(0.2)
+        query.stop()
+        assert spark.table(name).columns == columns
+        assert spark.table(name).count() >= 500
+    assert spark.table("endless_a").distinct().count() == spark.table("endless_a").count()
