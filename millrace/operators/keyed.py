@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, with_ranges
+from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, sorted_sample, with_ranges
 
 SEGMENT = "_segment"
 _CALL = "_call"
@@ -85,7 +85,7 @@ def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment:
     step = max(1, round(limit * fraction))
     number = number_of(items, order[0])
     lead = F.lit(None).cast("double") if number is None else number
-    sample = keys.withColumn("_lead", lead).sample(fraction=fraction, seed=23).orderBy(*columns).collect()
+    sample = sorted_sample(keys.withColumn("_lead", lead), fraction, columns)
     finite = [row[-1] for row in sample if row[-1] is not None and math.isfinite(row[-1])]
     low, high = (min(finite), max(finite)) if finite else (0.0, 0.0)
     if not math.isfinite(high - low):

@@ -14,7 +14,16 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, text_number, with_ranges
+from millrace.operators.ranges import (
+    NUMBER,
+    Cuts,
+    cuts_at,
+    number_of,
+    small_table,
+    sorted_sample,
+    text_number,
+    with_ranges,
+)
 
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1_000_000
@@ -48,7 +57,7 @@ def cut_points(items: DataFrame, order: Sequence[str], rows_per_bucket: int | No
     if buckets == 1:
         return cuts_at([], order, types)
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-    sample = _numbered(keys, order).sample(fraction=fraction, seed=17).orderBy(*order).collect()
+    sample = sorted_sample(_numbered(keys, order), fraction, order)
     picked = [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
     if types[0] != T.StringType():
         return cuts_at(picked, order, types)
@@ -77,9 +86,9 @@ def number_rows(
     order = [order] if isinstance(order, str) else list(order)
     cuts = cut_points(items, order, rows_per_bucket)
     bucketed = with_buckets(items, cuts)
-    sizes = with_buckets(items.select(*order), cuts).groupBy(BUCKET).count().orderBy(BUCKET).collect()
-    offsets = accumulate((row["count"] for row in sizes), initial=start)
-    starts = [(row[BUCKET], offset) for row, offset in zip(sizes, offsets)]
+    sizes = sorted(with_buckets(items.select(*order), cuts).groupBy(BUCKET).count().collect())
+    offsets = accumulate((size for _, size in sizes), initial=start)
+    starts = [(bucket, offset) for (bucket, _), offset in zip(sizes, offsets)]
     inside = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order))
     if len(starts) <= 1:
         return bucketed.withColumn(name, inside.cast("long") + (start - 1)).drop(BUCKET)

@@ -143,6 +143,11 @@ def with_ranges(items: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     return finder.transform(items).withColumn(name, outer + inner).drop(NUMBER, "_range")
 
 
+def sorted_sample(keys: DataFrame, fraction: float, order: Sequence[str]) -> list[Row]:
+    """Sampled rows in Spark's own sort order. Choose the fraction so that a driver can hold them."""
+    return keys.sample(fraction=fraction, seed=17).repartition(1).sortWithinPartitions(*order).collect()
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """A table of a few rows held in the plan itself; no task has to make it."""
     kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

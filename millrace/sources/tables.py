@@ -54,23 +54,17 @@ def number_arrivals(items: DataFrame, name: str = "id") -> DataFrame:
     (from file footers) and nothing is sorted or shuffled. `items` must come straight from
     `read_items`. A filter belongs after this step, or the numbers have gaps.
     """
-    files = (
-        items.select(F.col("_metadata.file_path").alias("path"))
-        .groupBy("path")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("path", "rows", F.xxhash64("path").alias("hash"))
-        .orderBy("path")
-        .collect()
-    )
+    path = F.col("_metadata.file_path")
+    counts = items.select(path.alias("path")).groupBy("path").count()
+    files = sorted(counts.select("path", "count", F.xxhash64("path")).collect())
     row = F.col("_metadata.row_index")
     if len(files) <= 1:
         return items.withColumn(name, row)
     # Names of files are long; their hashes serve as long as no two are alike.
-    hashed = len({file["hash"] for file in files}) == len(files)
-    starts = accumulate((file["rows"] for file in files), initial=0)
-    known = [(file["hash"] if hashed else file["path"], start) for file, start in zip(files, starts)]
+    hashed = len({code for _, _, code in files}) == len(files)
+    starts = accumulate((rows for _, rows, _ in files), initial=0)
+    known = [(code if hashed else file, start) for (file, _, code), start in zip(files, starts)]
     offsets = small_table(items.sparkSession, known, f"_key {'long' if hashed else 'string'}, _start long")
-    path = F.col("_metadata.file_path")
     placed = items.withColumns({"_file": F.xxhash64(path) if hashed else path, "_row": row})
     found = lookup(placed, offsets, "_file", "_key", ["_start"])
     return found.withColumn(name, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")
