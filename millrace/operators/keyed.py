@@ -10,24 +10,23 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ranges import NUMBER, Cuts, cuts_at, number_of, small_table, sorted_sample, with_ranges
+from millrace.operators.ranges import NUMBER, POINT, Cuts, cuts_at, number_of, pick_points, small_table, with_ranges
 
 SEGMENT = "_segment"
 _CALL = "_call"
 _MAX_SHARDS = 1 << 24
-_MAX_HOT = 1 << 13
+_MAX_HOT = 1 << 18
 ROWS_PER_SEGMENT = 1_000_000
 ROWS_PER_CALL = 100_000
-MAX_SEGMENTS = 4_096
-SAMPLES_PER_SEGMENT = 64
+MAX_SEGMENTS = 1 << 17
+SAMPLES_PER_SEGMENT = 24
 
 
 @dataclass(frozen=True)
@@ -38,7 +37,6 @@ class Carry:
     partial: Column
     merge: Callable[[Column], Column]
 
-
 @dataclass(frozen=True)
 class KeyCuts:
     """The keys too big for one task, and where their rows are cut. None for a small input."""
@@ -54,16 +52,16 @@ class KeyCuts:
 
 def _place(number: float | None, low: float, high: float) -> float:
     """Where a number lies between `low` and `high`, from 0 to 0.5; beyond for NaN."""
+    if number is not None and math.isnan(number):
+        return 0.75
     if number is None or high <= low:
         return 0.0
-    if math.isnan(number):
-        return 0.75
     return (min(max(number, low), high) - low) / (high - low) * 0.5
 
 
-def _place_column(number: Column | None, low: float, high: float) -> Column:
-    if number is None or high <= low:
-        return F.lit(0.0)
+def _place_column(number: Column, low: float, high: float) -> Column:
+    if high <= low:
+        return F.when(F.isnan(number), 0.75).otherwise(0.0)
     inside = (F.least(F.greatest(number, F.lit(low)), F.lit(high)) - low) / (high - low) * 0.5
     return F.when(number.isNull(), 0.0).when(F.isnan(number), 0.75).otherwise(inside)
 
@@ -71,11 +69,11 @@ def _place_column(number: Column | None, low: float, high: float) -> Column:
 def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> KeyCuts:
     """Cuts inside the keys that are too big for one task; none for all others.
 
-    Reads the key and order columns of a sample of at most MAX_SEGMENTS * SAMPLES_PER_SEGMENT rows,
-    and nothing but the number of rows while the whole input fits one segment.
+    Reads the key and order columns of a sample of about MAX_SEGMENTS * SAMPLES_PER_SEGMENT rows at
+    most, and nothing but the number of rows while the whole input fits one segment. Only the cuts
+    come to the driver.
     """
-    columns = (key, *order)
-    types = [items.schema[name].dataType for name in columns]
+    columns = [key, *order]
     keys = items.select(*columns)
     rows = keys.count()
     limit = max(rows_per_segment, -(-rows // MAX_SEGMENTS))
@@ -83,21 +81,18 @@ def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment:
         return KeyCuts(key, tuple(order), rows)
     fraction = min(1.0, SAMPLES_PER_SEGMENT / limit)
     step = max(1, round(limit * fraction))
-    number = number_of(items, order[0])
-    lead = F.lit(None).cast("double") if number is None else number
-    sample = sorted_sample(keys.withColumn("_lead", lead), fraction, columns)
-    finite = [row[-1] for row in sample if row[-1] is not None and math.isfinite(row[-1])]
+    numbered = keys.withColumn(NUMBER, number_of(items, order[0]))
+    picked = pick_points(numbered, columns, fraction, step, within=[key])
+    if not picked:
+        return KeyCuts(key, tuple(order), rows)
+    finite = [row[NUMBER] for row in picked if row[NUMBER] is not None and math.isfinite(row[NUMBER])]
     low, high = (min(finite), max(finite)) if finite else (0.0, 0.0)
     if not math.isfinite(high - low):
         low = high = 0.0
-    hot, points = [], []
-    for value, same in groupby(sample, key=lambda row: row[0]):
-        cut = list(same)[step::step]
-        points += [Row(*row[:-1], len(hot) + _place(row[-1], low, high)) for row in cut]
-        hot += [value] if cut else []
-    if not hot:
-        return KeyCuts(key, tuple(order), rows)
-    return KeyCuts(key, tuple(order), rows, tuple(hot), low, high, cuts_at(points, columns, types))
+    hot = list(dict.fromkeys(row[key] for row in picked))
+    ranks = {value: rank for rank, value in enumerate(hot)}
+    points = [(row[POINT], ranks[row[key]] + _place(row[NUMBER], low, high)) for row in picked]
+    return KeyCuts(key, tuple(order), rows, tuple(hot), low, high, cuts_at(points, keys.schema))
 
 
 def with_segments(items: DataFrame, found: KeyCuts) -> DataFrame:
@@ -187,8 +182,8 @@ def each_key(
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         done = []
         for _, part in rows.groupby(key, sort=False, dropna=False):
-            first = part.iloc[0]
-            state = {name: None if pd.api.types.is_scalar(first[name]) and pd.isna(first[name]) else first[name] for name in carried}
+            empty = part[list(carried)].isna().iloc[0]
+            state = {name: None if empty[name] else part[name].iloc[0] for name in carried}
             done.append(process(part.drop(columns=list(carried)).reset_index(drop=True), state))
         return pd.concat(done, ignore_index=True)
 

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.ranges import is_one_of
+from millrace.operators.ranges import small_table
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -52,10 +53,12 @@ def lookup(
         return items.join(side, same, "left").drop("_service_key")
     counts = items.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     limit = max(hot_rows, -(-items.count() // MAX_HOT_KEYS))
-    hot = [row[0] for row in counts.where(F.col(key).isNotNull() & (F.col("_rows") > limit)).collect()]
-    kind = items.schema[key].dataType
-    stays = is_one_of(key, [*hot, None], kind)
-    hot_side = side.where(is_one_of("_service_key", hot, kind))
-    in_place = items.where(stays).join(F.broadcast(hot_side), same, "left")
-    shuffled = items.where(~stays).join(side, same, "left")
-    return in_place.unionByName(shuffled).drop("_service_key")
+    hot = counts.where(F.col(key).isNotNull() & (F.col("_rows") > limit)).select(key).collect()
+    kind = T.StructType([T.StructField("_hot_key", items.schema[key].dataType)])
+    known = F.broadcast(small_table(items.sparkSession, hot, kind))
+    marked = items.join(known, F.col(key) == F.col("_hot_key"), "left")
+    stays = F.col("_hot_key").isNotNull() | F.col(key).isNull()
+    hot_side = side.join(known, F.col("_service_key") == F.col("_hot_key"), "left_semi")
+    in_place = marked.where(stays).join(F.broadcast(hot_side), same, "left")
+    shuffled = marked.where(~stays).join(side, same, "left")
+    return in_place.unionByName(shuffled).drop("_service_key", "_hot_key")

@@ -10,17 +10,18 @@ import os.path
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.ranges import (
     NUMBER,
+    POINT,
     Cuts,
     cuts_at,
     number_of,
+    pick_points,
     small_table,
-    sorted_sample,
     text_number,
     with_ranges,
 )
@@ -40,34 +41,35 @@ def bucket_count(items: DataFrame, rows: int, rows_per_bucket: int | None = None
 
 
 def _numbered(items: DataFrame, order: Sequence[str], prefix: str = "") -> DataFrame:
-    number = number_of(items, order[0], prefix)
-    return items.withColumn(NUMBER, F.lit(None).cast("double") if number is None else number)
+    return items.withColumn(NUMBER, number_of(items, order[0], prefix))
 
 
 def cut_points(items: DataFrame, order: Sequence[str], rows_per_bucket: int | None = None) -> Cuts:
     """Choose cuts that split the items into buckets of about equal size.
 
-    The sample holds at most MAX_BUCKETS * SAMPLES_PER_BUCKET rows of the order columns, whatever
-    the size of the input. A first value with a third of all rows is cut along the other columns.
+    The sample holds about MAX_BUCKETS * SAMPLES_PER_BUCKET rows of the order columns at most,
+    whatever the size of the input. A first value with a third of all rows is cut along the other
+    columns.
     """
-    types = [items.schema[name].dataType for name in order]
     keys = items.select(*order)
     rows = keys.count()
     buckets = bucket_count(items, rows, rows_per_bucket)
     if buckets == 1:
-        return cuts_at([], order, types)
+        return cuts_at([], keys.schema)
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-    sample = sorted_sample(_numbered(keys, order), fraction, order)
-    picked = [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
-    if types[0] != T.StringType():
-        return cuts_at(picked, order, types)
-    prefix = os.path.commonprefix([row[0] for row in picked if row[0] is not None])
-    return cuts_at([Row(*row[:-1], text_number(row[0], prefix)) for row in picked], order, types, prefix)
+    step = max(1, round(rows * fraction / buckets))
+    picked = pick_points(_numbered(keys, order), order, fraction, step)
+    prefix, numbers = "", [row[NUMBER] for row in picked]
+    if keys.schema[0].dataType == T.StringType():
+        texts = [row[order[0]] for row in picked]
+        prefix = os.path.commonprefix([text for text in texts if text is not None])
+        numbers = [text_number(text, prefix) for text in texts]
+    return cuts_at([(row[POINT], number) for row, number in zip(picked, numbers)], keys.schema, prefix)
 
 
 def with_buckets(items: DataFrame, cuts: Cuts) -> DataFrame:
     """Items with their bucket; buckets grow along the order."""
-    return with_ranges(_numbered(items, cuts.columns, cuts.prefix), cuts, BUCKET)
+    return with_ranges(_numbered(items, cuts.schema.names, cuts.prefix), cuts, BUCKET)
 
 
 def number_rows(

@@ -6,19 +6,24 @@ another partition count puts no row into another range.
 
 from __future__ import annotations
 
+import json
 import math
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from millrace.functions import epoch_micros
+
 NUMBER = "_number"
+POINT = "_point"
 _SUB_RANGES = 1 << 20
 _TEXT_BYTES = 6  # what a double holds exactly
 
@@ -27,15 +32,15 @@ _TEXT_BYTES = 6  # what a double holds exactly
 class Cuts:
     """Cut values in an order that begins with a number.
 
-    `lead` cuts the numbers. Where one of the `crowded` numbers holds too many rows, `refine` cuts
-    them along all `columns`.
+    `lead` cuts the numbers into ranges. The `crowded` ones hold too many rows of a single number;
+    they are cut along all columns at the `points`, kept as JSON. `crowded` counts the ranges of
+    `lead` from 0, then the one for NaN, and ends with rows that have no number.
     """
 
-    columns: tuple[str, ...]
-    types: tuple[T.DataType, ...]
+    schema: T.StructType
     lead: tuple[float, ...] = ()
-    crowded: tuple[float | None, ...] = ()
-    refine: tuple[Row, ...] = ()
+    crowded: tuple[bool, ...] = (False,) * 3
+    points: tuple[str, ...] = ()
     prefix: str = ""
 
 
@@ -57,8 +62,8 @@ def _text_number_column(value: Column, prefix: str) -> Column:
     return F.when(value.startswith(prefix), place).when(value.isNotNull(), outside)
 
 
-def number_of(items: DataFrame, name: str, prefix: str = "") -> Column | None:
-    """A double that never decreases while the column grows, None for a column without one.
+def number_of(items: DataFrame, name: str, prefix: str = "") -> Column:
+    """A double that never decreases while the column grows, NULL for kinds of columns without one.
 
     Several values may share a double. Texts go by the bytes after the `prefix` they have in common.
     """
@@ -68,50 +73,59 @@ def number_of(items: DataFrame, name: str, prefix: str = "") -> Column | None:
     if isinstance(kind, T.DateType):
         return F.datediff(value, F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        days = F.datediff(value.cast("date"), F.lit("1970-01-01").cast("date"))
-        return (days * 24 + F.hour(value)).cast("double") * 60 + F.minute(value)
+        return epoch_micros(items, name).cast("double")
     if isinstance(kind, (T.NumericType, T.TimestampType)):
         return value.cast("double") + 0.0  # makes one zero of the two
-    return None
+    return F.lit(None).cast("double")
+
 
+def pick_points(
+    keys: DataFrame, order: Sequence[str], fraction: float, step: int, within: Sequence[str] = ()
+) -> list[Row]:
+    """Every `step`-th row of a sample along the order, in that order, with its POINT.
+
+    Choose the fraction so that the sample is fit for one task: it is sorted as a whole, or per
+    `within`. Only the picked rows reach the driver.
+    """
+    rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+    ranked = keys.sample(fraction=fraction, seed=17).withColumn("_rank", rank)
+    picked = ranked.where((F.col("_rank") > 1) & ((F.col("_rank") - 1) % step == 0))
+    points = picked.withColumn(POINT, F.to_json(F.struct(*order)))
+    return points.repartition(1).sortWithinPartitions(*order).collect()
 
-def cuts_at(
-    points: Sequence[Row], columns: Sequence[str], types: Sequence[T.DataType], prefix: str = ""
-) -> Cuts:
-    """Cuts at sampled rows, in order: the values of `columns`, then the number."""
-    lead, crowded, refine = set(), [], []
-    for _, same in groupby(points, key=lambda row: str(row[-1])):
+
+def cuts_at(points: Sequence[tuple[str, float | None]], schema: T.StructType, prefix: str = "") -> Cuts:
+    """Cuts at picked rows: the POINT and the number of each, in order."""
+    lead, refine, full = set(), [], []
+    for _, same in groupby(points, key=lambda point: str(point[1])):
         same = list(same)
-        number = same[0][-1]
+        number = same[0][1]
         ends = [] if number is None else [number]
         if len(same) > 1:
-            crowded.append(number)
-            refine.extend(Row(*row[:-1]) for row in same)
+            full.append(number)
+            refine.extend(point for point, _ in same)
             ends += [math.nextafter(end, math.inf) for end in ends]
         lead.update(end for end in ends if math.isfinite(end))
-    return Cuts(tuple(columns), tuple(types), tuple(sorted(lead)), tuple(crowded), tuple(refine), prefix)
-
-
-def _literal(value: object, kind: T.DataType) -> Column:
-    return F.lit(value).cast(kind)
+    lead = sorted(lead)
+    crowded = [False] * (len(lead) + 3)
+    for number in full:
+        place = -1 if number is None else -2 if math.isnan(number) else bisect_right(lead, number)
+        crowded[place] = True
+    return Cuts(schema, tuple(lead), tuple(crowded), tuple(refine), prefix)
 
 
-def is_one_of(name: str, values: Sequence, kind: T.DataType) -> Column:
-    """Null-safe test of a column against a bounded list; NULL may be one of the values."""
-    known = [_literal(v, kind) for v in values if v is not None]
-    test = F.coalesce(F.col(name).isin(known), F.lit(False)) if known else F.lit(False)
-    return test | F.col(name).isNull() if None in values else test
+def _list_literal(values: str, kind: str) -> Column:
+    # One literal, folded from JSON: thousands of single literals would take the planner minutes.
+    return F.from_json(F.lit(f"[{values}]"), f"array<{kind}>")
 
 
 def _cuts_passed(cuts: Cuts) -> Column:
-    """How many of the `refine` cuts lie at or before a row: a binary search in the cut list.
+    """How many of the points lie at or before a row: a binary search in the list of points.
 
     Struct comparison is the sort order of the columns, NULL first.
     """
-    points = F.array(
-        *[F.struct(*[_literal(v, t).alias(n) for n, v, t in zip(cuts.columns, row, cuts.types)]) for row in cuts.refine]
-    )
-    total = len(cuts.refine)
+    names, total = cuts.schema.names, len(cuts.points)
+    points = _list_literal(",".join(cuts.points), cuts.schema.simpleString())
     jumps = [1 << i for i in reversed(range(total.bit_length()))]
 
     def passed(row: Column) -> Column:
@@ -122,30 +136,29 @@ def _cuts_passed(cuts: Cuts) -> Column:
         return F.aggregate(F.array(*map(F.lit, jumps)), F.lit(0), search)
 
     # The array of one makes the struct of a row once, not at each step of the search.
-    return F.get(F.transform(F.array(F.struct(*cuts.columns)), passed), 0)
+    return F.get(F.transform(F.array(F.struct(*names)), passed), 0)
 
 
 def with_ranges(items: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     """Items, which have their NUMBER, with the range they fall in. Ranges grow along the order.
 
-    The number alone decides, in generated code; only rows of crowded numbers are searched for in
-    the cut list. Rows without a number come first, in negative ranges.
+    The number alone decides, in generated code; only rows of crowded ranges are searched for in the
+    list of points. Rows without a number come first, in negative ranges.
     """
+    if cuts.lead:
+        splits = [-math.inf, *cuts.lead, math.inf]
+        finder = Bucketizer(splits=splits, inputCol=NUMBER, outputCol="_range", handleInvalid="keep")
+        ranged = finder.transform(items).withColumn("_range", F.col("_range").cast("int"))
+    else:
+        place = F.when(F.isnan(NUMBER), 1).when(F.col(NUMBER).isNotNull(), 0)
+        ranged = items.withColumn("_range", place)
     inner = F.lit(0)
-    if cuts.refine:
-        inner = F.when(is_one_of(NUMBER, cuts.crowded, T.DoubleType()), _cuts_passed(cuts)).otherwise(0)
-    splits = [-math.inf, *cuts.lead, math.inf]
-    if len(splits) == 2:
-        outer = F.when(F.col(NUMBER).isNull(), -1).otherwise(0).cast("long") * _SUB_RANGES
-        return items.withColumn(name, outer + inner).drop(NUMBER)
-    finder = Bucketizer(splits=splits, inputCol=NUMBER, outputCol="_range", handleInvalid="keep")
-    outer = F.coalesce(F.col("_range").cast("long"), F.lit(-1)) * _SUB_RANGES
-    return finder.transform(items).withColumn(name, outer + inner).drop(NUMBER, "_range")
-
-
-def sorted_sample(keys: DataFrame, fraction: float, order: Sequence[str]) -> list[Row]:
-    """Sampled rows in Spark's own sort order. Choose the fraction so that a driver can hold them."""
-    return keys.sample(fraction=fraction, seed=17).repartition(1).sortWithinPartitions(*order).collect()
+    if cuts.points:
+        flags = _list_literal(json.dumps(cuts.crowded[:-1])[1:-1], "boolean")
+        crowded = F.coalesce(F.get(flags, F.col("_range")), F.lit(cuts.crowded[-1]))
+        inner = F.when(crowded, _cuts_passed(cuts)).otherwise(0)
+    outer = F.coalesce(F.col("_range"), F.lit(-1)).cast("long") * _SUB_RANGES
+    return ranged.withColumn(name, outer + inner).drop(NUMBER, "_range")
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
