@@ -7,7 +7,6 @@ over from the segments before it. The state must therefore be an aggregate that
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,7 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ranges import NUMBER, POINT, Cuts, cuts_at, number_of, pick_points, small_table, with_ranges
+from millrace.operators.ranges import (
+    NUMBER,
+    Cuts,
+    Scale,
+    cuts_at,
+    number_of,
+    pick_points,
+    scale_for,
+    small_table,
+    with_ranges,
+)
 
 SEGMENT = "_segment"
 _CALL = "_call"
@@ -45,27 +54,10 @@ class KeyCuts:
     order: tuple[str, ...]
     rows: int
     hot: tuple = ()
-    low: float = 0.0
-    high: float = 0.0
+    scale: Scale | None = None
     cuts: Cuts | None = None
 
 
-def _place(number: float | None, low: float, high: float) -> float:
-    """Where a number lies between `low` and `high`, from 0 to 0.5; beyond for NaN."""
-    if number is not None and math.isnan(number):
-        return 0.75
-    if number is None or high <= low:
-        return 0.0
-    return (min(max(number, low), high) - low) / (high - low) * 0.5
-
-
-def _place_column(number: Column, low: float, high: float) -> Column:
-    if high <= low:
-        return F.when(F.isnan(number), 0.75).otherwise(0.0)
-    inside = (F.least(F.greatest(number, F.lit(low)), F.lit(high)) - low) / (high - low) * 0.5
-    return F.when(number.isNull(), 0.0).when(F.isnan(number), 0.75).otherwise(inside)
-
-
 def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment: int = ROWS_PER_SEGMENT) -> KeyCuts:
     """Cuts inside the keys that are too big for one task; none for all others.
 
@@ -81,18 +73,16 @@ def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment:
         return KeyCuts(key, tuple(order), rows)
     fraction = min(1.0, SAMPLES_PER_SEGMENT / limit)
     step = max(1, round(limit * fraction))
-    numbered = keys.withColumn(NUMBER, number_of(items, order[0]))
-    picked = pick_points(numbered, columns, fraction, step, within=[key])
+    picked = pick_points(keys, columns, fraction, step, within=[key])
     if not picked:
         return KeyCuts(key, tuple(order), rows)
-    finite = [row[NUMBER] for row in picked if row[NUMBER] is not None and math.isfinite(row[NUMBER])]
-    low, high = (min(finite), max(finite)) if finite else (0.0, 0.0)
-    if not math.isfinite(high - low):
-        low = high = 0.0
     hot = list(dict.fromkeys(row[key] for row in picked))
     ranks = {value: rank for rank, value in enumerate(hot)}
-    points = [(row[POINT], ranks[row[key]] + _place(row[NUMBER], low, high)) for row in picked]
-    return KeyCuts(key, tuple(order), rows, tuple(hot), low, high, cuts_at(points, keys.schema))
+    scale = scale_for([row[f"{NUMBER}1"] for row in picked]) or Scale(0.0, 0.0)
+    numbers = [scale.place(ranks[row[key]], row[f"{NUMBER}1"]) for row in picked]
+    kind = keys.schema[1].dataType
+    cuts = cuts_at(picked, numbers, keys.schema, 1, lambda number: scale.is_exact(number, kind, len(hot)))
+    return KeyCuts(key, tuple(order), rows, tuple(hot), scale, cuts)
 
 
 def with_segments(items: DataFrame, found: KeyCuts) -> DataFrame:
@@ -108,8 +98,8 @@ def with_segments(items: DataFrame, found: KeyCuts) -> DataFrame:
     marked = items.join(F.broadcast(known), key == F.col("_key"), "left").drop("_key")
     if None in ranks:
         marked = marked.withColumn("_hot", F.when(key.isNull(), ranks[None]).otherwise(F.col("_hot")))
-    place = _place_column(number_of(items, found.order[0]), found.low, found.high)
-    ranged = with_ranges(marked.withColumn(NUMBER, F.col("_hot") + place), found.cuts, SEGMENT)
+    number = found.scale.column(F.col("_hot").cast("double"), number_of(items, found.order[0]))
+    ranged = with_ranges(marked.withColumn(NUMBER, number), found.cuts, SEGMENT)
     segment = F.when(F.col("_hot").isNull(), -1).otherwise(F.col(SEGMENT) * _MAX_HOT + F.col("_hot"))
     return ranged.withColumn(SEGMENT, segment).drop("_hot")
 

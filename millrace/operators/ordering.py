@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from millrace.operators.ranges import (
     NUMBER,
-    POINT,
     Cuts,
     cuts_at,
+    is_exact,
     number_of,
     pick_points,
     small_table,
@@ -54,17 +54,18 @@ def cut_points(items: DataFrame, order: Sequence[str], rows_per_bucket: int | No
     keys = items.select(*order)
     rows = keys.count()
     buckets = bucket_count(items, rows, rows_per_bucket)
+    schema, kind = keys.schema, keys.schema[0].dataType
     if buckets == 1:
-        return cuts_at([], keys.schema)
+        return cuts_at([], [], schema, 0, bool)
     fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
     step = max(1, round(rows * fraction / buckets))
-    picked = pick_points(_numbered(keys, order), order, fraction, step)
-    prefix, numbers = "", [row[NUMBER] for row in picked]
-    if keys.schema[0].dataType == T.StringType():
+    picked = pick_points(keys, order, fraction, step)
+    prefix, numbers = "", [row[f"{NUMBER}0"] for row in picked]
+    if kind == T.StringType():
         texts = [row[order[0]] for row in picked]
         prefix = os.path.commonprefix([text for text in texts if text is not None])
         numbers = [text_number(text, prefix) for text in texts]
-    return cuts_at([(row[POINT], number) for row, number in zip(picked, numbers)], keys.schema, prefix)
+    return cuts_at(picked, numbers, schema, 0, lambda number: is_exact(number, kind), prefix)
 
 
 def with_buckets(items: DataFrame, cuts: Cuts) -> DataFrame:

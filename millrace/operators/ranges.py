@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import math
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -24,25 +24,100 @@ from millrace.functions import epoch_micros
 
 NUMBER = "_number"
 POINT = "_point"
-_SUB_RANGES = 1 << 20
 _TEXT_BYTES = 6  # what a double holds exactly
 
 
+_EXACT = 1 << 53  # whole numbers below are doubles of their own
+
+
+@dataclass(frozen=True)
+class Scale:
+    """Puts the numbers of a column behind an index: all of index 1 come after all of index 0.
+
+    Numbers beyond the bounds go to the nearest place outside them.
+    """
+
+    low: float
+    high: float
+
+    @property
+    def width(self) -> float:
+        return float(1 << math.ceil(math.log2(self.high - self.low + 5)))
+
+    def place(self, index: int, number: float | None) -> float:
+        if number is None:
+            return index * self.width
+        if math.isnan(number):
+            return index * self.width + (self.high - self.low + 4)
+        return index * self.width + (min(max(number, self.low - 1), self.high + 1) - self.low + 2)
+
+    def column(self, index: Column, number: Column) -> Column:
+        inside = F.least(F.greatest(number, F.lit(self.low - 1)), F.lit(self.high + 1)) - self.low + 2
+        place = F.when(number.isNull(), 0.0).when(F.isnan(number), self.high - self.low + 4).otherwise(inside)
+        return index * self.width + place
+
+    def is_exact(self, number: float | None, kind: T.DataType, indexes: int) -> bool:
+        """Whether all rows at a place have the same index and value."""
+        whole = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType)
+        fits = indexes * self.width < _EXACT and max(abs(self.low), abs(self.high)) < _EXACT
+        if number is None or not isinstance(kind, whole) or not fits:
+            return False
+        offset = number % self.width
+        return offset == 0 or 2 <= offset <= self.high - self.low + 2
+
+
+def scale_for(numbers: Sequence[float | None]) -> Scale | None:
+    """Bounds around sampled numbers; None if they lie too far apart."""
+    finite = [number for number in numbers if number is not None and math.isfinite(number)]
+    low, high = (min(finite), max(finite)) if finite else (0.0, 0.0)
+    return Scale(low, high) if high - low < float(1 << 60) else None
+
+
+def is_exact(number: float | None, kind: T.DataType) -> bool:
+    """Whether all rows with a `number_of` have the same value, and a range to themselves."""
+    if number is not None and math.isinf(number):
+        return False
+    if isinstance(kind, T.DecimalType):
+        return number is None or kind.precision <= 15
+    if isinstance(kind, (T.LongType, T.TimestampType, T.TimestampNTZType)):
+        return number is None or abs(number) < _EXACT
+    if kind == T.StringType():
+        return number is None
+    return isinstance(kind, (T.NumericType, T.DateType))
+
+
 @dataclass(frozen=True)
 class Cuts:
-    """Cut values in an order that begins with a number.
+    """Cut values over the columns of `schema`, beginning with a number for `level`, one of them.
 
-    `lead` cuts the numbers into ranges. The `crowded` ones hold too many rows of a single number;
-    they are cut along all columns at the `points`, kept as JSON. `crowded` counts the ranges of
-    `lead` from 0, then the one for NaN, and ends with rows that have no number.
+    `lead` cuts the numbers into ranges; they count from 0, then comes one for NaN and one for rows
+    without a number. Ranges that hold too many rows of one number are cut further: those in
+    `entered` by the next column (`deeper`, with numbers by `scale`), those in `searched` along all
+    columns at the `points`, kept as JSON. `starts` and `widths` number all the pieces in order.
     """
 
     schema: T.StructType
-    lead: tuple[float, ...] = ()
-    crowded: tuple[bool, ...] = (False,) * 3
-    points: tuple[str, ...] = ()
+    level: int
+    lead: tuple[float, ...]
+    starts: tuple[int, ...]
+    widths: tuple[int, ...]
+    bases: tuple[int, ...]
+    searched: tuple[bool, ...]
+    points: tuple[str, ...]
+    entered: tuple[bool, ...]
+    deeper: Cuts | None
+    scale: Scale | None
     prefix: str = ""
 
+    def range_of(self, number: float | None) -> int:
+        return _range_of(self.lead, number)
+
+
+def _range_of(lead: Sequence[float], number: float | None) -> int:
+    if number is None:
+        return len(lead) + 2
+    return len(lead) + 1 if math.isnan(number) else bisect_right(lead, number)
+
 
 def text_number(text: str | None, prefix: str) -> float | None:
     """The place of a text among those that begin with `prefix`, by the bytes after it."""
@@ -74,15 +149,23 @@ def number_of(items: DataFrame, name: str, prefix: str = "") -> Column:
         return F.datediff(value, F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(kind, T.TimestampNTZType):
         return epoch_micros(items, name).cast("double")
-    if isinstance(kind, (T.NumericType, T.TimestampType)):
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("double")
+    if isinstance(kind, T.NumericType):
         return value.cast("double") + 0.0  # makes one zero of the two
     return F.lit(None).cast("double")
 
 
+def number_columns(items: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Items with the number of each column."""
+    return items.withColumns({f"{NUMBER}{place}": number_of(items, name) for place, name in enumerate(columns)})
+
+
 def pick_points(
     keys: DataFrame, order: Sequence[str], fraction: float, step: int, within: Sequence[str] = ()
 ) -> list[Row]:
-    """Every `step`-th row of a sample along the order, in that order, with its POINT.
+    """Every `step`-th row of a sample along the order, in that order, with its POINT and the number
+    of each column.
 
     Choose the fraction so that the sample is fit for one task: it is sorted as a whole, or per
     `within`. Only the picked rows reach the driver.
@@ -90,28 +173,80 @@ def pick_points(
     rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
     ranked = keys.sample(fraction=fraction, seed=17).withColumn("_rank", rank)
     picked = ranked.where((F.col("_rank") > 1) & ((F.col("_rank") - 1) % step == 0))
-    points = picked.withColumn(POINT, F.to_json(F.struct(*order)))
+    points = number_columns(picked.withColumn(POINT, F.to_json(F.struct(*order))), order)
     return points.repartition(1).sortWithinPartitions(*order).collect()
 
 
-def cuts_at(points: Sequence[tuple[str, float | None]], schema: T.StructType, prefix: str = "") -> Cuts:
-    """Cuts at picked rows: the POINT and the number of each, in order."""
-    lead, refine, full = set(), [], []
-    for _, same in groupby(points, key=lambda point: str(point[1])):
+def cuts_at(
+    points: Sequence[Row],
+    numbers: Sequence[float | None],
+    schema: T.StructType,
+    level: int,
+    exact: Callable[[float | None], bool],
+    prefix: str = "",
+) -> Cuts:
+    """Cuts at picked rows, in order, with their numbers at `level`. `exact` tells of a number
+    whether all its rows are alike up to that column, so that the next column can cut them."""
+    lead, crowded = set(), []
+    for _, same in groupby(zip(points, numbers), key=lambda pair: str(pair[1])):
         same = list(same)
         number = same[0][1]
         ends = [] if number is None else [number]
         if len(same) > 1:
-            full.append(number)
-            refine.extend(point for point, _ in same)
+            crowded.append((number, [point for point, _ in same]))
             ends += [math.nextafter(end, math.inf) for end in ends]
         lead.update(end for end in ends if math.isfinite(end))
     lead = sorted(lead)
-    crowded = [False] * (len(lead) + 3)
-    for number in full:
-        place = -1 if number is None else -2 if math.isnan(number) else bisect_right(lead, number)
-        crowded[place] = True
-    return Cuts(schema, tuple(lead), tuple(crowded), tuple(refine), prefix)
+    count = len(lead) + 3
+    in_turn = [count - 1, *range(count - 1)]  # rows without a number come first
+    turns = {place: turn for turn, place in enumerate(in_turn)}
+    placed = [(_range_of(lead, number), number, rows) for number, rows in crowded]
+    next_number = f"{NUMBER}{level + 1}"
+    enter, scale, deeper = [], None, None
+    if level + 1 < len(schema):
+        enter = [(place, rows) for place, number, rows in placed if exact(number)]
+        scale = scale_for([row[next_number] for _, rows in enter for row in rows])
+    if enter and scale:
+        inner = [(row, scale.place(turns[place], row[next_number])) for place, rows in enter for row in rows]
+        inner.sort(key=lambda pair: pair[1])
+        kind = schema[level + 1].dataType
+        deeper = cuts_at(*zip(*inner), schema, level + 1, lambda number: scale.is_exact(number, kind, count))
+    entered = {place for place, _ in enter} if deeper else set()
+    search = {}
+    for place, _, rows in placed:
+        if place not in entered:
+            search.setdefault(place, []).extend(row[POINT] for row in rows)
+
+    starts, widths, bases = [0] * count, [1] * count, [0] * count
+    start, passed = 0, 0
+    for place in in_turn:
+        starts[place] = start
+        bases[place] = start
+        if place in search:
+            widths[place] = len(search[place]) + 1
+            bases[place] -= passed
+            passed += len(search[place])
+        elif place in entered:
+            first = deeper.range_of(scale.place(turns[place], None))
+            last = deeper.range_of((turns[place] + 1) * scale.width - 1)
+            widths[place] = deeper.starts[last] + deeper.widths[last] - deeper.starts[first]
+            bases[place] -= deeper.starts[first]
+        start += widths[place]
+    in_order = [point for place in in_turn for point in search.get(place, ())]
+    return Cuts(
+        schema,
+        level,
+        tuple(lead),
+        tuple(starts),
+        tuple(widths),
+        tuple(bases),
+        tuple(place in search for place in range(count)),
+        tuple(in_order),
+        tuple(place in entered for place in range(count)),
+        deeper,
+        scale,
+        prefix,
+    )
 
 
 def _list_literal(values: str, kind: str) -> Column:
@@ -142,23 +277,33 @@ def _cuts_passed(cuts: Cuts) -> Column:
 def with_ranges(items: DataFrame, cuts: Cuts, name: str) -> DataFrame:
     """Items, which have their NUMBER, with the range they fall in. Ranges grow along the order.
 
-    The number alone decides, in generated code; only rows of crowded ranges are searched for in the
-    list of points. Rows without a number come first, in negative ranges.
+    Numbers alone decide, in generated code; only where they cannot tell rows apart are these
+    searched for in the list of points.
     """
+    place, inner = f"_range{cuts.level}", f"_inner{cuts.level}"
     if cuts.lead:
         splits = [-math.inf, *cuts.lead, math.inf]
-        finder = Bucketizer(splits=splits, inputCol=NUMBER, outputCol="_range", handleInvalid="keep")
-        ranged = finder.transform(items).withColumn("_range", F.col("_range").cast("int"))
+        finder = Bucketizer(splits=splits, inputCol=NUMBER, outputCol=place, handleInvalid="keep")
+        found = F.col(place).cast("int")
+        items = finder.transform(items)
     else:
-        place = F.when(F.isnan(NUMBER), 1).when(F.col(NUMBER).isNotNull(), 0)
-        ranged = items.withColumn("_range", place)
-    inner = F.lit(0)
+        found = F.when(F.isnan(NUMBER), 1).when(F.col(NUMBER).isNotNull(), 0)
+    items = items.withColumn(place, F.coalesce(found, F.lit(len(cuts.lead) + 2)))
+
+    def listed(values: Sequence, kind: str) -> Column:
+        return F.get(_list_literal(json.dumps(values)[1:-1], kind), F.col(place))
+
+    number = listed(cuts.bases, "int")
     if cuts.points:
-        flags = _list_literal(json.dumps(cuts.crowded[:-1])[1:-1], "boolean")
-        crowded = F.coalesce(F.get(flags, F.col("_range")), F.lit(cuts.crowded[-1]))
-        inner = F.when(crowded, _cuts_passed(cuts)).otherwise(0)
-    outer = F.coalesce(F.col("_range"), F.lit(-1)).cast("long") * _SUB_RANGES
-    return ranged.withColumn(name, outer + inner).drop(NUMBER, "_range")
+        number = number + F.when(listed(cuts.searched, "boolean"), _cuts_passed(cuts)).otherwise(0)
+    if cuts.deeper:
+        next_number = number_of(items, cuts.schema.names[cuts.level + 1])
+        turn = (F.col(place) + 1) % (len(cuts.lead) + 3)
+        behind = cuts.scale.column(turn.cast("double"), next_number)
+        entered = listed(cuts.entered, "boolean")
+        items = with_ranges(items.withColumn(NUMBER, F.when(entered, behind)), cuts.deeper, inner)
+        number = number + F.when(entered, F.col(inner)).otherwise(0)
+    return items.withColumn(name, number).drop(NUMBER, place, inner)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

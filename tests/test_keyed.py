@@ -124,6 +124,8 @@ def test_one_call_gets_many_keys(skewed):
         (["at", "seq"], "timestamp_ntz", lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=n % 500)),
         (["at", "seq"], "double", lambda n: [float("nan"), float("inf"), -1.0, None][n % 4]),
         (["at", "seq"], "int", lambda n: 5),
+        (["at", "seq"], "int", lambda n: n % 3),
+        (["at", "seq"], "date", lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n % 4) if n % 5 else None),
         (["seq"], "int", lambda n: 0),
     ],
 )

@@ -79,6 +79,46 @@ def test_odd_doubles(spark):
     check(spark, rows, "a double, tie long", ["a", "tie"], key, bound=9)
 
 
+def test_three_columns_of_few_values(spark):
+    """Crowded at the first column, again at the second, and cut by the third."""
+    rnd = random.Random(11)
+    day = dt.date(2024, 1, 1)
+    rows = [(day + dt.timedelta(days=n % 2), rnd.choice([None, 1, 1, 2, 90]), n) for n in range(3000)]
+    items = spark.createDataFrame(rows, "a date, b int, tie long")
+    cuts = o.cut_points(items, ["a", "b", "tie"], 50)
+    assert cuts.deeper and cuts.deeper.deeper and not cuts.points
+    check(spark, rows, "a date, b int, tie long", ["a", "b", "tie"], lambda r: (r[0], nulls_first(r[1]), r[2]))
+
+
+def test_values_beyond_the_sample(spark):
+    """The second column has values far outside of what a sample is likely to show."""
+    rows = [(n % 2, [-(1 << 62), 1 << 62][n % 4 // 2] if n % 500 < 4 else n % 7, n) for n in range(3000)]
+    check(spark, rows, "a int, b long, tie long", ["a", "b", "tie"], lambda r: r)
+
+
+def test_text_behind_a_crowded_number(spark):
+    rows = [(n % 2, f"k{n % 3}" if n % 5 else None, n) for n in range(2000)]
+    check(spark, rows, "a int, b string, tie long", ["a", "b", "tie"], lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+
+
+def test_random_tables_against_a_plain_sort(spark):
+    rnd = random.Random(21)
+    choices = {
+        "int": lambda: rnd.choice([None, 0, 5, rnd.randrange(-50, 50)]),
+        "double": lambda: rnd.choice([None, -0.0, 0.0, 2.5, math.inf, -math.inf, rnd.uniform(-9, 9)]),
+        "string": lambda: rnd.choice([None, "", "ab", "abc", f"ab{rnd.randrange(99)}"]),
+        "long": lambda: rnd.choice([1 << 60, (1 << 60) + 1, rnd.randrange(20), None]),
+    }
+    for kinds in (("int", "double"), ("string", "int"), ("double", "long"), ("long", "string"), ("int", "int")):
+        rows = [(*(choices[kind]() for kind in kinds), n) for n in range(1500)]
+        schema = f"a {kinds[0]}, b {kinds[1]}, tie long"
+
+        def key(row):
+            return tuple((x is not None, x if x is not None else 0) for x in row)
+
+        check(spark, rows, schema, ["a", "b", "tie"], key, bound=9)
+
+
 def test_timestamps_within_one_minute(spark):
     start = dt.datetime(2024, 1, 1)
     rows = [(start + dt.timedelta(milliseconds=n * 7919 % 50_000), n) for n in range(1500)]
