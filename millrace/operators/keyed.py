@@ -7,6 +7,7 @@ over from the segments before it. The state must therefore be an aggregate that
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -76,10 +77,12 @@ def key_cuts(items: DataFrame, key: str, order: Sequence[str], rows_per_segment:
     picked = pick_points(keys, columns, fraction, step, within=[key])
     if not picked:
         return KeyCuts(key, tuple(order), rows)
-    hot = list(dict.fromkeys(row[key] for row in picked))
+    keys_of = [math.nan if row[key] != row[key] else row[key] for row in picked]  # one NaN object for all
+    hot = list(dict.fromkeys(keys_of))
     ranks = {value: rank for rank, value in enumerate(hot)}
-    scale = scale_for([row[f"{NUMBER}1"] for row in picked]) or Scale(0.0, 0.0)
-    numbers = [scale.place(ranks[row[key]], row[f"{NUMBER}1"]) for row in picked]
+    leads = [row[f"{NUMBER}1"] for row in picked]
+    scale = scale_for(leads) or Scale(0.0, 0.0)
+    numbers = [scale.place(ranks[value], lead) for value, lead in zip(keys_of, leads)]
     kind = keys.schema[1].dataType
     cuts = cuts_at(picked, numbers, keys.schema, 1, lambda number: scale.is_exact(number, kind, len(hot)))
     return KeyCuts(key, tuple(order), rows, tuple(hot), scale, cuts)

@@ -25,6 +25,10 @@ from millrace.functions import epoch_micros
 NUMBER = "_number"
 POINT = "_point"
 _TEXT_BYTES = 6  # what a double holds exactly
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 _EXACT = 1 << 53  # whole numbers below are doubles of their own
@@ -173,7 +177,7 @@ def pick_points(
     rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
     ranked = keys.sample(fraction=fraction, seed=17).withColumn("_rank", rank)
     picked = ranked.where((F.col("_rank") > 1) & ((F.col("_rank") - 1) % step == 0))
-    points = number_columns(picked.withColumn(POINT, F.to_json(F.struct(*order))), order)
+    points = number_columns(picked.withColumn(POINT, F.to_json(F.struct(*order), _JSON)), order)
     return points.repartition(1).sortWithinPartitions(*order).collect()
 
 
@@ -251,7 +255,7 @@ def cuts_at(
 
 def _list_literal(values: str, kind: str) -> Column:
     # One literal, folded from JSON: thousands of single literals would take the planner minutes.
-    return F.from_json(F.lit(f"[{values}]"), f"array<{kind}>")
+    return F.from_json(F.lit(f"[{values}]"), f"array<{kind}>", _JSON)
 
 
 def _cuts_passed(cuts: Cuts) -> Column:
@@ -260,7 +264,8 @@ def _cuts_passed(cuts: Cuts) -> Column:
     Struct comparison is the sort order of the columns, NULL first.
     """
     names, total = cuts.schema.names, len(cuts.points)
-    points = _list_literal(",".join(cuts.points), cuts.schema.simpleString())
+    # Sorted once more, should a kind of value come back from JSON in another order.
+    points = F.sort_array(_list_literal(",".join(cuts.points), cuts.schema.simpleString()))
     jumps = [1 << i for i in reversed(range(total.bit_length()))]
 
     def passed(row: Column) -> Column:

@@ -141,6 +141,14 @@ def test_orders_of_all_kinds(spark, order, kind, make):
     assert sizes.agg(F.max("count")).first()[0] <= 240
 
 
+def test_keys_that_are_no_number(spark):
+    """NaN is one key, although no NaN equals another."""
+    rows = [(float("nan") if n % 3 == 0 else [0.0, -0.0, 1.5][n % 3], n) for n in range(900)]
+    items = spark.createDataFrame(rows, "key double, seq long").repartition(4)
+    got = {r["seq"]: r["n"] for r in k.running_count(items, "key", ["seq"], rows_per_segment=50).collect()}
+    assert got == {n: n // 3 + 1 for n in range(900)}
+
+
 def test_keys_stay_together(skewed):
     placed = k.group_by_key(skewed, "key", ORDER, copies=6).withColumn("part", F.spark_partition_id())
     assert placed.count() == 3000

@@ -119,6 +119,15 @@ def test_random_tables_against_a_plain_sort(spark):
         check(spark, rows, schema, ["a", "b", "tie"], key, bound=9)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_crowded_microseconds(spark, kind):
+    """Points must keep their microseconds, or they are out of order with the columns behind."""
+    rnd = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(microseconds=rnd.randrange(20)), rnd.random() < 0.5, n) for n in range(1500)]
+    check(spark, rows, f"a {kind}, b boolean, tie long", ["a", "b", "tie"], lambda r: r)
+
+
 def test_timestamps_within_one_minute(spark):
     start = dt.datetime(2024, 1, 1)
     rows = [(start + dt.timedelta(milliseconds=n * 7919 % 50_000), n) for n in range(1500)]
