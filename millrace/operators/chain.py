@@ -39,7 +39,7 @@ def only_if(when: Column | str, step: Step) -> Step:
 
     def run(items: DataFrame) -> DataFrame:
         old = {name: f"_old_{name}" for name in items.columns}
-        kept = items.withColumns({"_passes": condition(when), **{f"_old_{name}": F.col(name) for name in items.columns}})
+        kept = items.withColumns({"_passes": condition(when), **{copy: F.col(name) for name, copy in old.items()}})
         done = step(kept)
         new = [name for name in done.columns if name != "_passes" and name not in old.values()]
         chosen = [

@@ -29,8 +29,6 @@ _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-
-
 _EXACT = 1 << 53  # whole numbers below are doubles of their own
 
 
@@ -79,7 +77,7 @@ def scale_for(numbers: Sequence[float | None]) -> Scale | None:
 
 def is_exact(number: float | None, kind: T.DataType) -> bool:
     """Whether all rows with a `number_of` have the same value, and a range to themselves."""
-    if number is not None and math.isinf(number):
+    if number is not None and math.isinf(math.nextafter(number, math.inf)):
         return False
     if isinstance(kind, T.DecimalType):
         return number is None or kind.precision <= 15
@@ -253,9 +251,9 @@ def cuts_at(
     )
 
 
-def _list_literal(values: str, kind: str) -> Column:
+def _list_literal(values: str, kind: T.DataType) -> Column:
     # One literal, folded from JSON: thousands of single literals would take the planner minutes.
-    return F.from_json(F.lit(f"[{values}]"), f"array<{kind}>", _JSON)
+    return F.from_json(F.lit(f"[{values}]"), T.ArrayType(kind), _JSON)
 
 
 def _cuts_passed(cuts: Cuts) -> Column:
@@ -265,7 +263,7 @@ def _cuts_passed(cuts: Cuts) -> Column:
     """
     names, total = cuts.schema.names, len(cuts.points)
     # Sorted once more, should a kind of value come back from JSON in another order.
-    points = F.sort_array(_list_literal(",".join(cuts.points), cuts.schema.simpleString()))
+    points = F.sort_array(_list_literal(",".join(cuts.points), cuts.schema))
     jumps = [1 << i for i in reversed(range(total.bit_length()))]
 
     def passed(row: Column) -> Column:
@@ -295,17 +293,17 @@ def with_ranges(items: DataFrame, cuts: Cuts, name: str) -> DataFrame:
         found = F.when(F.isnan(NUMBER), 1).when(F.col(NUMBER).isNotNull(), 0)
     items = items.withColumn(place, F.coalesce(found, F.lit(len(cuts.lead) + 2)))
 
-    def listed(values: Sequence, kind: str) -> Column:
+    def listed(values: Sequence, kind: T.DataType) -> Column:
         return F.get(_list_literal(json.dumps(values)[1:-1], kind), F.col(place))
 
-    number = listed(cuts.bases, "int")
+    number = listed(cuts.bases, T.IntegerType())
     if cuts.points:
-        number = number + F.when(listed(cuts.searched, "boolean"), _cuts_passed(cuts)).otherwise(0)
+        number = number + F.when(listed(cuts.searched, T.BooleanType()), _cuts_passed(cuts)).otherwise(0)
     if cuts.deeper:
         next_number = number_of(items, cuts.schema.names[cuts.level + 1])
         turn = (F.col(place) + 1) % (len(cuts.lead) + 3)
         behind = cuts.scale.column(turn.cast("double"), next_number)
-        entered = listed(cuts.entered, "boolean")
+        entered = listed(cuts.entered, T.BooleanType())
         items = with_ranges(items.withColumn(NUMBER, F.when(entered, behind)), cuts.deeper, inner)
         number = number + F.when(entered, F.col(inner)).otherwise(0)
     return items.withColumn(name, number).drop(NUMBER, place, inner)

@@ -15,7 +15,7 @@ from millrace.functions import merge_streams
 from millrace.operators.chain import Step
 from millrace.operators.copies import parse_copies, with_copies
 from millrace.operators.keyed import group_by_key
-from millrace.operators.routing import QUEUE, emit, empty_queue, enqueue
+from millrace.operators.routing import emit, empty_queue, enqueue
 
 
 @dataclass(frozen=True)
@@ -151,6 +151,3 @@ class Flow:
         return merge_streams(
             *[items.withColumn(tag, F.explode(F.array(*map(F.lit, shared)))) for items, shared in groups]
         )
-
-
-__all__ = ["QUEUE", "Enqueue", "Flow"]

@@ -73,7 +73,8 @@ def random_source(spark: SparkSession, folder: str) -> DataFrame:
     """As many items as there are events; per attribute, whether it looks standard normal."""
     size = _events(spark, folder).count()
     items = synthetic.gaussian_items(spark, size, ["att1", "att2"])
-    pairs = items.select(F.inline(F.array(*[F.struct(F.lit(a).alias("att"), F.col(a).alias("x")) for a in items.columns])))
+    each = [F.struct(F.lit(name).alias("att"), F.col(name).alias("x")) for name in items.columns]
+    pairs = items.select(F.inline(F.array(*each)))
     slack = 6 / F.sqrt(F.count("x"))  # six standard errors
     return pairs.groupBy("att").agg(
         F.count("x").alias("n"),

@@ -57,7 +57,8 @@ class ShardedReader(DataSourceReader):
 
 class ShardedSource(DataSource):
     """Parquet items, dealt to `copies` instances. Subclass and override `items` to read in your own
-    way. Options: `path` (absolute, or a URI all executors can read), `copies`. Give the schema to read: only its columns leave the file."""
+    way. Options: `path` (absolute, or a URI all executors can read), `copies`. Give the schema to
+    read: only its columns leave the file."""
 
     @classmethod
     def name(cls) -> str:

@@ -98,7 +98,8 @@ def test_values_beyond_the_sample(spark):
 
 def test_text_behind_a_crowded_number(spark):
     rows = [(n % 2, f"k{n % 3}" if n % 5 else None, n) for n in range(2000)]
-    check(spark, rows, "a int, b string, tie long", ["a", "b", "tie"], lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    schema = "a int, `b c` string, tie long"
+    check(spark, rows, schema, ["a", "b c", "tie"], lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
 
 
 def test_random_tables_against_a_plain_sort(spark):

@@ -26,10 +26,8 @@ def test_branches_and_rest_are_the_input(events):
     routed = [i for items in branches.values() for i in ids(items)]
     rest = ids(events.where("event_type NOT IN ('error', 'click')"))
     assert sorted(routed + rest) == ids(events)
-    assert {q: set(row["queue"] for row in items.select("queue").distinct().collect()) for q, items in branches.items()} == {
-        "gamma": {"gamma"},
-        "hadron": {"hadron"},
-    }
+    for queue, items in branches.items():
+        assert [row["queue"] for row in items.select("queue").distinct().collect()] == [queue]
 
 
 def test_branch_filter_reaches_the_scan(events):
@@ -47,7 +45,8 @@ def test_unknown_test_routes_nowhere(spark):
 
 
 def test_label_is_exact_and_stays(spark):
-    items = spark.createDataFrame([(1, "gamma"), (2, " gamma"), (3, None), (4, "gammas")], "event_id long, queue string")
+    rows = [(1, "gamma"), (2, " gamma"), (3, None), (4, "gammas")]
+    items = spark.createDataFrame(rows, "event_id long, queue string")
     assert ids(r.select_queues(items, [" gamma "])) == [1]
     assert r.select_queues(items, ["gamma"]).first()["queue"] == "gamma"
 

@@ -191,7 +191,8 @@ def test_live_counts_into_memory(spark, events, live):
 
 def test_run_until_stopped(spark, events, folder):
     live = read_live(spark, folder, events.schema)
-    query = run_live(writer(live.select("event_id"), "live").format("memory").queryName("live_items"), "100 milliseconds")
+    sink = writer(live.select("event_id"), "live").format("memory").queryName("live_items")
+    query = run_live(sink, "100 milliseconds")
     query.processAllAvailable()
     assert query.isActive
     query.stop()
