@@ -5,6 +5,15 @@ from millrace.functions.items import (
     has_attribute,
     merge_streams,
     put,
+    with_attributes,
 )
 
-__all__ = ["attribute", "condition", "epoch_micros", "has_attribute", "merge_streams", "put"]
+__all__ = [
+    "attribute",
+    "condition",
+    "epoch_micros",
+    "has_attribute",
+    "merge_streams",
+    "put",
+    "with_attributes",
+]

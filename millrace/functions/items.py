@@ -30,6 +30,13 @@ def has_attribute(open_part: Column | str, key: str) -> Column:
     return F.get_json_object(open_part, f"$.{key}").isNotNull()
 
 
+def with_attributes(items: DataFrame, open_part: str, *keys: str) -> DataFrame:
+    """Items with the values of several keys of a JSON column as text, from one look at the JSON."""
+    named = [f"_attribute{place}" for place in range(len(keys))]
+    found = items.select("*", F.json_tuple(open_part, *keys).alias(*named))
+    return found.withColumns({key: F.col(name) for key, name in zip(keys, named)}).drop(*named)
+
+
 def put(items: DataFrame, key: str, value: object) -> DataFrame:
     """Items with `key` set; `value` is a Column or a constant."""
     return items.withColumn(key, value if isinstance(value, Column) else F.lit(value))

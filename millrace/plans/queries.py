@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import attribute, epoch_micros, has_attribute, merge_streams
+from millrace.functions import epoch_micros, merge_streams, with_attributes
 from millrace.operators import chain as c
 from millrace.operators import keyed as k
 from millrace.operators import ordering as o
@@ -181,9 +181,8 @@ def instance_tag(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def attr_access(spark: SparkSession, folder: str) -> DataFrame:
-    return _events(spark, folder).select(
-        "event_id", attribute("props", "k", "bigint").alias("k"), has_attribute("props", "zz").alias("has_zz")
-    )
+    events = with_attributes(_events(spark, folder, "event_id", "props"), "props", "k", "zz")
+    return events.select("event_id", F.col("k").cast("bigint"), F.col("zz").isNotNull().alias("has_zz"))
 
 
 def skip_rows(spark: SparkSession, folder: str) -> DataFrame:

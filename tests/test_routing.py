@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import attribute, condition, has_attribute, merge_streams, put
+from millrace.functions import attribute, condition, has_attribute, merge_streams, put, with_attributes
 from millrace.operators import chain as c
 from millrace.operators import routing as r
 from millrace.operators.lookup import lookup
@@ -115,6 +115,10 @@ def test_open_attributes(spark):
     got = items.select(attribute("props", "k", "long").alias("k"), has_attribute("props", "n").alias("n")).collect()
     assert [(row["k"], row["n"]) for row in got] == [(3, False), (None, False), (None, False)]
     assert put(items, "x", 1).first()["x"] == 1
+    rows = with_attributes(items, "props", "k", "n").collect()
+    assert [(row["k"], row["n"]) for row in rows] == [("3", None), (None, None), (None, None)]
+    odd = spark.createDataFrame([("rubbish",), ('{"k": {"a": 1}}',)], "props string")
+    assert [row["k"] for row in with_attributes(odd, "props", "k").collect()] == [None, '{"a":1}']
 
 
 def test_streams_with_other_columns_meet(spark):
