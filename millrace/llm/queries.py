@@ -1,4 +1,4 @@
-"""The registered queries of the operators, and their SQL where SQL can express them."""
+"""The registered queries of the operators; their SQL is in `oracles`."""
 
 from __future__ import annotations
 
@@ -6,9 +6,12 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe_counts, curriculum, quality_rules
+from millrace.llm import bpe_counts, curriculum, decontaminate, fm_index, langid, licenses, minhash
+from millrace.llm import quality_rules, surrogates, weak_labels
 from millrace.llm.tables import documents
+from millrace.session import table
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -22,14 +25,57 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(documents(spark, folder)))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(spark, documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_counts.token_counts(documents(spark, folder), vocabulary())
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.scored(spark, documents(spark, folder), table(spark, folder, "labels"))
+
+
+def op5_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    out = surrogates.with_surrogates(spark, documents(spark, folder))
+    found = F.transform("mentions", lambda m: F.struct(m["what"].alias("kind"), m["made"].alias("surrogate")))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "text", F.size("mentions").alias("n_mentions"), found.alias("surrogates"))
+
+
+def op6_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.components(spark, documents(spark, folder))
+
+
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = fm_index.without_repeats(spark, documents(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.held_out_predictions(spark, documents(spark, folder))
+
+
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(spark, documents(spark, folder))
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum.mixed(spark, documents(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_token_counts, op10_source_mix)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_decontamination,
+        op3_token_counts,
+        op4_quality_classifier,
+        op5_pii_surrogates,
+        op6_minhash_dedup,
+        op7_substring_dedup,
+        op8_language_id,
+        op9_license_scan,
+        op10_source_mix,
+    )
 }

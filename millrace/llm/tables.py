@@ -10,11 +10,21 @@ from millrace.session import table, work_dir
 #: Words of a text, as a pattern of Spark SQL and of Python.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """`rows` as a table below `spark.checkpoint.dir`: computed once, safe when executors are lost."""
+    """`rows` as a table below `spark.checkpoint.dir`: computed once, safe when executors are lost.
+
+    The shuffles behind it are of no use afterwards and are removed as soon as it is written.
+    """
     path = work_dir(spark, name)
-    rows.write.parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        rows.select("*").write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(rows.schema).parquet(path)
 
 
