@@ -8,8 +8,9 @@ share a band are candidates. Links are not listed; what is asked for is the clas
 1. Every node is compared with one centre, the best connected node of its bands. A group of
    thousands of near copies takes one comparison each.
 2. What is still apart in a band is compared exactly, except pairs that cannot be linked: by size,
-   and by the shingles that a node shares with no other open node. These bounds are exact, so no
-   link is lost. Copies with many changes of their own drop out here without being compared.
+   by the shingles that a node shares with no other open node, and by what each shares with their
+   common centre. These bounds are exact, so no link is lost. Copies with many changes of their
+   own drop out here without being compared.
 
 A link of Jaccard 0.85 is missed by all 24 bands of 5 coordinates with probability 8e-7.
 
@@ -111,8 +112,11 @@ def signatures(docs: DataFrame, near: Near = Near()) -> DataFrame:
     return rows.mapInArrow(_signed(near), "doc_id long, n_shingles long, node binary, bands array<long>")
 
 
-def _linked(near: Near) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of rows (a, b, text_a, text_b): the pairs whose sets are similar enough."""
+COMPARED = "a binary, b binary, both long, size_a long, size_b long"
+
+
+def _compared(near: Near) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows (a, b, text_a, text_b): the common shingles and the sizes of the two sets."""
 
     def sets_of(texts: pa.Array) -> list[np.ndarray]:
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
@@ -122,11 +126,11 @@ def _linked(near: Near) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Reco
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.slice(low, 256)
-                hold = []
-                for a, b in zip(sets_of(part.column(2)), sets_of(part.column(3)), strict=True):
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    hold.append(100 * both >= near.percent * (len(a) + len(b) - both))
-                yield part.select([0, 1]).filter(pa.array(hold, pa.bool_()))
+                sides = list(zip(sets_of(part.column(2)), sets_of(part.column(3)), strict=True))
+                both = [len(np.intersect1d(a, b, assume_unique=True)) for a, b in sides]
+                numbers = (both, [len(a) for a, _ in sides], [len(b) for _, b in sides])
+                columns = [part.column(0), part.column(1), *(pa.array(n, pa.int64()) for n in numbers)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "size_a", "size_b"])
 
     return run
 
@@ -167,13 +171,16 @@ class Grouping:
         found = rows.select("text").mapInArrow(name, "node binary, text string")
         return found.join(keyed.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The links among candidate pairs (a, b). Texts travel and are shingled again: they compress
-        well, hashes do not."""
+    def compared(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b) with their exact numbers; adds the links among them. Texts travel and are
+        shingled again: they compress well, hashes do not."""
         sides = pairs.join(self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         sides = sides.join(self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        found = sides.select("a", "b", "text_a", "text_b").mapInArrow(_linked(self.near), "a binary, b binary")
-        return written(self.spark, found, f"{name}-links")
+        found = sides.select("a", "b", "text_a", "text_b").mapInArrow(_compared(self.near), COMPARED)
+        found = written(self.spark, found, name)
+        linked = F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * self.near.percent
+        self.links = self.links.union(found.where(linked).select("a", "b"))
+        return found
 
     def classes(self) -> DataFrame:
         """`node`, `root` for every node with a link; the root is the smallest name of the class.
@@ -213,27 +220,28 @@ class Grouping:
 
     def star(self) -> None:
         """Compare every node with the best connected node of its bands."""
-        members = self.members
-        scores = members.groupBy("node").agg(F.sum("n").alias("score"))
-        scored = members.join(scores, "node")
+        scores = self.members.groupBy("node").agg(F.sum("n").alias("score"))
+        scored = self.members.join(scores, "node")
         best = scored.groupBy("band").agg(F.max(F.struct("score", "node")).alias("best"))
         pairs = scored.join(best, "band").where("best.node <> node")
         chosen = pairs.groupBy("node").agg(F.max("best").alias("best"))
-        self.add(chosen.select(F.col("node").alias("a"), F.col("best.node").alias("b")), "star")
-
-    def add(self, pairs: DataFrame, name: str) -> None:
-        sizes = self.nodes.select("node", "size")
-        pairs = pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b")
-        fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.near.percent
-        self.links = self.links.union(self.verified(pairs.where(fits).select("a", "b"), name))
+        self.centres = self.compared(chosen.select(F.col("node").alias("a"), F.col("best.node").alias("b")), "star")
 
     def rest(self, members: DataFrame) -> None:
-        """Compare all nodes that share an open band and could be linked by the exact bounds."""
+        """Compare the nodes that share an open band and could be linked by the exact bounds.
+
+        What a node shares with no other node cannot be common. Where two nodes were compared with the
+        same centre, they have at most the lesser of what each shares with it in common, and of
+        what lies outside of it the lesser of what each shares with anyone.
+        """
         near = self.near
         members = written(self.spark, members, "rest")
         if members.isEmpty():
             return
-        wanted = members.select("node").distinct()
+        centres = self.centres.select(F.col("a").alias("node"), F.col("b").alias("centre"), F.col("both").alias("inner"))
+        nodes = members.select("node").distinct().join(centres, "node", "left")
+        nodes = written(self.spark, nodes, "open-nodes")
+        wanted = nodes.select("node").union(nodes.where("centre IS NOT NULL").select("centre")).distinct()
 
         def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -245,21 +253,27 @@ class Grouping:
         held = self.texts.join(wanted, "node", "left_semi").mapInArrow(shingles, "node binary, shingle long")
         alone = held.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
         alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-        sizes = self.nodes.join(wanted, "node", "left_semi").join(alone, "node", "left")
-        sizes = sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+        sizes = nodes.join(self.nodes.select("node", "size"), "node").join(alone, "node", "left").select(
+            "node",
+            "size",
+            (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"),
+            F.coalesce("centre", "node").alias("centre"),
+            F.coalesce("inner", "size").alias("inner"),
+        )
         sizes = written(self.spark, sizes.where(F.col("common") * 100 >= F.col("size") * near.percent), "sizes")
-        rows = members.join(sizes, "node").select("band", "node", "root", "size", "common")
-        rows = written(self.spark, rows, "candidates")
-        left = rows.toDF("band", "a", "root_a", "size_a", "common_a")
-        right = rows.toDF("band", "b", "root_b", "size_b", "common_b")
-        most = F.least("common_a", "common_b")
+        columns = ["node", "root", "size", "common", "centre", "inner"]
+        rows = written(self.spark, members.join(sizes, "node").select("band", *columns), "candidates")
+        left, right = (rows.toDF("band", *(side if c == "node" else f"{c}_{side}" for c in columns)) for side in "ab")
+        outer = F.least(F.col("common_a") - F.col("inner_a"), F.col("common_b") - F.col("inner_b"))
+        most = F.when(F.col("centre_a") == F.col("centre_b"), F.least("inner_a", "inner_b") + outer)
+        most = most.otherwise(F.least("common_a", "common_b"))
         fits = most * 100 >= (F.col("size_a") + F.col("size_b") - most) * near.percent
         pairs = left.join(right, "band").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits)
-        self.links = self.links.union(self.verified(pairs.select("a", "b").distinct(), "rest"))
+        self.compared(pairs.select("a", "b").distinct(), "rest-pairs")
 
 
-def components(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """`doc_id`, `n_shingles`, `component_id`, `kept` for every document."""
+def classified(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """`doc_id`, `node`, `n_shingles`, `component_id`, `kept` for every document."""
     group = Grouping(spark, docs, near)
     group.star()
     group.rest(group.open_members())
@@ -270,27 +284,46 @@ def components(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> Dat
     ids = nodes.join(named, "root").select("node", "component_id")
     out = group.signed.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select("doc_id", "node", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
+
+
+def components(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """`doc_id`, `n_shingles`, `component_id`, `kept` for every document."""
+    return classified(spark, docs, near).drop("node")
+
+
+def _with_nodes(docs: DataFrame, near: Near) -> DataFrame:
+    """`row` (the document as a struct), `_id`, `_text` and `_node`."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+
+    def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, sets in _sets(batch, near.shingle):
+                names = pa.array([node_name(s) if len(s) else None for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), names], names=["row", "_node"])
+
+    named = rows.mapInArrow(name, f"row {rows.schema['row'].dataType.simpleString()}, _node binary")
+    return named.select("row", F.col("row.doc_id").cast("long").alias("_id"), F.col("row.text").cast("string").alias("_text"), "_node")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> DataFrame:
     """The documents with one of each class, the one that names it, with their columns.
 
-    Rows are chosen by id; where an id stands on several rows, one of them stays (the smallest text),
-    and of rows without an id those stay whose class has no id at all, one of each text.
+    Where an id stands on several rows, one of those that name their class stays. Of rows without
+    an id those stay whose class has no id at all, one of each text.
     """
-    found = written(spark, components(spark, docs, near).select("doc_id", "kept"), "kept")
-    ids = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    again = ids.where("n > 1").select("doc_id")
-    keep = docs.join(ids.select(F.col("doc_id").alias("_kept_id")), F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
-    many = not again.isEmpty()
-    nameless = found.where("doc_id IS NULL AND kept").isEmpty()
-    if not many and nameless:
-        return keep
-    single = keep.join(again, "doc_id", "left_anti")
-    extra = keep.join(again, "doc_id", "left_semi").union(docs.where("doc_id IS NULL"))
-    first = F.row_number().over(Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))).orderBy("text"))
-    kept = extra.withColumn("_row_of_id", first).where("_row_of_id = 1").drop("_row_of_id").select(*docs.columns)
-    return single.select(*docs.columns).union(kept)
+    found = written(spark, classified(spark, docs, near).select("doc_id", "node", "kept"), "kept")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    plain = ids.where("n = 1 AND kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"))
+    once = docs.join(plain, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    odd = written(spark, ids.where("n > 1 OR doc_id IS NULL").select("doc_id"), "odd")
+    if odd.isEmpty():
+        return once
+    some = docs.join(odd.withColumnRenamed("doc_id", "_odd"), F.col("doc_id").cast("long").eqNullSafe(F.col("_odd")), "left_semi")
+    right = found.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node")).distinct()
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & F.col("_node").eqNullSafe(F.col("_kept_node"))
+    kept = _with_nodes(some, near).join(right, same, "left_semi")
+    one = Window.partitionBy("_id", F.when(F.col("_id").isNull(), F.col("_text"))).orderBy("_text")
+    kept = kept.withColumn("_place", F.row_number().over(one)).where("_place = 1")
+    return once.unionByName(kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))

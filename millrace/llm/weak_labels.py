@@ -29,35 +29,40 @@ from millrace.llm.tables import written
 from millrace.llm.words import NOT_WORD, flat_bytes, mixed, span_hashes, text_blocks, word_spans
 from millrace.llm.decontaminate import lowered
 
-#: Votes: SQL over the numbers and the human labels; 1 bad, 0 good, null no vote. With each labeller
-#: the accuracies to start from (right on bad, right on good) and how many texts that belief is worth.
+#: Votes: SQL over the numbers and the human labels; 1 bad, 0 not bad, null no vote. With each labeller
+#: the shares of bad texts that it calls bad and of good texts that it does not, as expected, and what
+#: this belief is worth as a share of all its votes. Rules see one kind of fault each, so a rule that
+#: stays silent says little; people see all kinds.
 Labeller = tuple[str, float, float, float]
 QUESTIONS: dict[str, dict[str, Labeller]] = {
     "low_quality": {
-        "symbols": ("CASE WHEN 100 * n_symbols > 2 * word_chars THEN 1 WHEN n_symbols = 0 THEN 0 END", 0.7, 0.9, 10),
-        "repetition": ("CASE WHEN 2 * n_repeat_words > n_words THEN 1 WHEN 10 * n_repeat_words <= n_words THEN 0 END", 0.7, 0.9, 10),
-        "capitals": ("CASE WHEN n_upper > n_lower THEN 1 WHEN 4 * n_upper < n_lower THEN 0 END", 0.7, 0.9, 10),
-        "shouts": ("CASE WHEN 10 * n_shouts > n_words THEN 1 WHEN 100 * n_shouts <= n_words THEN 0 END", 0.7, 0.9, 10),
-        "lines": ("CASE WHEN n_dup_lines >= 3 THEN 1 WHEN n_dup_lines = 0 THEN 0 END", 0.6, 0.9, 10),
-        "empty": ("CASE WHEN n_words = 0 THEN 1 END", 0.9, 0.99, 10),
-        "human": ("CASE WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END", 0.95, 0.95, 200),
+        "symbols": ("CASE WHEN 100 * n_symbols > 2 * word_chars THEN 1 ELSE 0 END", 0.35, 0.99, 0.02),
+        "repetition": ("CASE WHEN 2 * n_repeat_words > n_words THEN 1 ELSE 0 END", 0.35, 0.99, 0.02),
+        "capitals": ("CASE WHEN n_upper > n_lower THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
+        "shouts": ("CASE WHEN 10 * n_shouts > n_words THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
+        "lines": ("CASE WHEN n_dup_lines >= 3 THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
+        "empty": ("CASE WHEN n_words = 0 THEN 1 END", 0.9, 0.99, 0.02),
+        "human": ("CASE WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END", 0.98, 0.995, 1.0),
     },
     "abusive": {
-        "lexicon": ("CASE WHEN n_abuse > 0 THEN 1 ELSE 0 END", 0.6, 0.99, 50),
-        "density": ("CASE WHEN 100 * n_abuse > n_words THEN 1 WHEN n_abuse = 0 THEN 0 END", 0.5, 0.99, 50),
-        "human": ("CASE WHEN toxic = 1 THEN 1 WHEN toxic = 0 THEN 0 END", 0.95, 0.95, 200),
+        "lexicon": ("CASE WHEN n_abuse > 0 THEN 1 ELSE 0 END", 0.5, 0.99, 0.02),
+        "density": ("CASE WHEN 100 * n_abuse > n_words THEN 1 END", 0.9, 0.1, 0.02),
+        "human": ("CASE WHEN toxic = 1 THEN 1 WHEN toxic = 0 THEN 0 END", 0.98, 0.995, 1.0),
     },
 }
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Texts of each posterior class the scorer is fitted on, hash bits, penalty, steps."""
+    """Texts of each posterior class the scorer is fitted on, hash bits, features kept, least texts of
+    a feature, penalty, steps, and the chance of bad where nothing can be learned."""
 
     texts: int = 4_000
     bits: int = 18
-    penalty: float = 2e-4
-    steps: int = 120
+    kept: int = 2_048
+    least: int = 4
+    penalty: float = 1e-3
+    steps: int = 200
     prior: float = 0.1
 
 
@@ -81,7 +86,8 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, labellers: list[L
     """Accuracies of overlapping labellers from counted vote patterns."""
     start_bad = np.array([x[1] for x in labellers])
     start_good = np.array([x[2] for x in labellers])
-    worth = np.array([x[3] for x in labellers])
+    cast_by = np.array([n[votes[:, j] >= 0].sum() for j in range(votes.shape[1])])
+    worth = np.array([x[3] for x in labellers]) * cast_by + 1
     now = Beliefs(0.1, start_bad, start_good)
     for _ in range(rounds):
         bad = now.posterior(votes)
@@ -145,35 +151,53 @@ class Scorer:
 
 
 def fitted(rows: list[np.ndarray], target: np.ndarray, fit: Fit) -> Scorer:
-    """Logistic regression with an L1 penalty, by accelerated proximal steps scaled per feature."""
-    size = 1 << fit.bits
-    weights = np.zeros(size + 1)
+    """Logistic regression with an L1 penalty on the features that depend most on the target."""
+    weights = np.zeros((1 << fit.bits) + 1)
     weights[-1] = np.log(fit.prior / (1 - fit.prior))
     if not rows or target.max() - target.min() < 0.5:
         return Scorer(weights)
-    share = np.clip(target.mean(), 0.01, 0.99)
-    balance = np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share))
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n, size = len(rows), 1 << fit.bits
+    of = np.repeat(np.arange(n), [len(r) for r in rows])
     flat = np.concatenate(rows)
-    used, column = np.unique(flat, return_inverse=True)
-    n, steps = len(rows), 1.0 / np.sqrt(np.bincount(column))
-    small, ahead, intercept, momentum = np.zeros(len(used)), np.zeros(len(used)), 0.0, 1.0
-    longest = max(len(r) for r in rows)
-    rate = 4.0 / np.sqrt(longest)
-    squares = np.full(len(used), 1e-8)
+    held = np.bincount(flat, minlength=size).astype(np.float64)
+    bad = np.bincount(flat, target[of], minlength=size)
+    share = target.mean()
+    spread = np.maximum(held * (1 - held / n), 1e-9)
+    chi = np.where((held >= fit.least) & (held < n), (bad - held * share) ** 2 / spread, 0)
+    used = np.sort(np.argsort(-chi, kind="stable")[: fit.kept])
+    used = used[chi[used] > 0]
+    if not len(used):
+        return Scorer(weights)
+    column = np.full(size, -1)
+    column[used] = np.arange(len(used))
+    table = np.zeros((n, len(used)), np.float32)
+    inside = column[flat] >= 0
+    table[of[inside], column[flat[inside]]] = 1
+    scale = 1 / np.sqrt(np.maximum(table.mean(0) * (1 - table.mean(0)), 1e-4))
+    center = table.mean(0)
+    balance = np.where(target > 0.5, 0.5 / share, 0.5 / (1 - share))
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        return table @ (w * scale).astype(np.float32) - (center * scale) @ w
+
+    def back(e: np.ndarray) -> np.ndarray:
+        return (e.astype(np.float32) @ table - e.sum() * center) * scale / n
+
+    probe = np.ones(len(used)) / np.sqrt(len(used))
+    for _ in range(12):  # largest curvature, by power iteration
+        probe = back(balance * sums(probe))
+        largest = np.linalg.norm(probe)
+        probe /= max(largest, 1e-12)
+    rate = 1 / max(0.25 * 1.1 * largest, 1e-6)
+    now, ahead, intercept, momentum = np.zeros(len(used)), np.zeros(len(used)), 0.0, 1.0
     for _ in range(fit.steps):
-        sums = np.bincount(of, ahead[column], n) + intercept
-        error = balance * (1 / (1 + np.exp(-np.clip(sums, -500, 500))) - target)
-        slope = np.bincount(column, error[of], len(used)) / n
-        squares += slope * slope
-        scale = rate * steps.max() / np.sqrt(squares) * 0.05
-        step = ahead - scale * slope
-        new = np.sign(step) * np.maximum(np.abs(step) - scale * fit.penalty, 0)
+        error = balance * (1 / (1 + np.exp(-np.clip(sums(ahead) + intercept, -500, 500))) - target)
+        step = ahead - rate * back(error)
+        new = np.sign(step) * np.maximum(np.abs(step) - rate * fit.penalty, 0)
         after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        ahead = new + (momentum - 1) / after * 0.5 * (new - small)
-        small, momentum = new, after
-        intercept -= 0.5 * error.mean()
-    weights[used], weights[-1] = small, intercept
+        ahead, now, momentum = new + (momentum - 1) / after * (new - now), new, after
+        intercept -= error.mean()
+    weights[used], weights[-1] = now * scale, intercept - (center * scale) @ now
     return Scorer(weights)
 
 
@@ -222,10 +246,14 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
         for side in ("chance > 0.9", "chance < 0.1"):
             part = judged.where(side).orderBy(*order).limit(fit.texts).select("doc_id", "chance")
             picked = part if picked is None else picked.unionByName(part)
-        sample = rows.join(picked, "doc_id").mapInArrow(_featured(fit.bits), "chance double, features array<int>")
+        # At most 2 * fit.texts rows: bounded for the broadcast and for the driver.
+        sample = rows.join(F.broadcast(picked), "doc_id").mapInArrow(_featured(fit.bits), "chance double, features array<int>")
         held = sample.toArrow()
-        lists = [np.array(x, np.int64) for x in held.column("features").to_pylist()]
-        scorers[question] = fitted(lists, np.array(held.column("chance").to_pylist()), fit)
+        lists = held.column("features").combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
+        split = np.split(lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py())
+        scorers[question] = fitted(split if len(lists) else [], held.column("chance").to_numpy(), fit)
     return scorers, beliefs, cast
 
 
