@@ -45,8 +45,9 @@ class Repeat:
     most: int = 20_000
 
 
-#: Text bytes whose anchors make one bucket, and symbols of one shard's index.
-BUCKET_BYTES, SHARD_SYMBOLS = 128 << 20, 1 << 20
+#: Text bytes whose anchors make one bucket, documents whose spans are gathered together, and symbols
+#: of one shard's index.
+BUCKET_BYTES, GROUP_DOCS, SHARD_SYMBOLS = 128 << 20, 512, 1 << 20
 
 
 class WaveletMatrix:
@@ -212,27 +213,39 @@ def _packed(spec: Repeat, buckets: int) -> Callable[[Iterable[pa.RecordBatch]],
 _SPAN = np.dtype([("anchor", np.uint64), ("at", np.uint32), ("n", np.uint8)])
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Of a bucket: the spans whose anchor stands in several documents, a row for each document."""
+def _repeated(groups: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a bucket: the entries whose anchor stands in several documents, packed by group of documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        entries = np.concatenate([np.frombuffer(b.as_py(), _ENTRY) for b in table.column("entries").combine_chunks()])
+        entries = entries[np.lexsort((entries["doc"], entries["anchor"]))]
+        new = np.concatenate(([True], entries["anchor"][1:] != entries["anchor"][:-1]))
+        other = np.concatenate(([False], ~new[1:] & (entries["doc"][1:] != entries["doc"][:-1])))
+        anchor = np.cumsum(new) - 1
+        entries = entries[np.bincount(anchor, other | entries["seen"])[anchor] > 0]
+        group = (mixed(entries["doc"].view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        entries, group = entries[order], group[order]
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(group) > 0, [True]))) if len(group) else np.zeros(1, np.int64)
+        blobs = [entries[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"group": pa.array(group[cuts[:-1]]), "entries": pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """Of a group of documents: one row for each with all its spans."""
     entries = np.concatenate([np.frombuffer(b.as_py(), _ENTRY) for b in table.column("entries").combine_chunks()])
-    order = np.lexsort((entries["doc"], entries["anchor"]))
-    entries = entries[order]
-    new = np.concatenate(([True], entries["anchor"][1:] != entries["anchor"][:-1]))
-    other = np.concatenate(([False], ~new[1:] & (entries["doc"][1:] != entries["doc"][:-1])))
-    group = np.cumsum(new) - 1
-    keep = np.bincount(group, other | entries["seen"])[group] > 0
-    entries = entries[keep]
-    entries = entries[np.lexsort((entries["part"], entries["doc"]))]
+    entries = entries[np.lexsort((entries["at"], entries["part"], entries["doc"]))]
     spans = np.zeros(len(entries), _SPAN)
     for name in _SPAN.names:
         spans[name] = entries[name]
-    cut = np.flatnonzero(
-        np.concatenate(([True], (np.diff(entries["doc"]) != 0) | (np.diff(entries["part"]) != 0), [True]))
-    ) if len(entries) else np.zeros(1, np.int64)
-    blobs = [spans[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+    changed = (np.diff(entries["doc"]) != 0) | (np.diff(entries["part"]) != 0)
+    cuts = np.flatnonzero(np.concatenate(([True], changed, [True])))
+    blobs = [spans[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
     return pa.table({
-        "doc_id": pa.array(entries["doc"][cut[:-1]]),
-        "part": pa.array(entries["part"][cut[:-1]]),
+        "doc_id": pa.array(entries["doc"][cuts[:-1]]),
+        "part": pa.array(entries["part"][cuts[:-1]]),
         "spans": pa.array(blobs, pa.binary()),
     })
 
@@ -242,8 +255,8 @@ def _fragment_key(text: bytes) -> bytes:
 
 
 def _cut(spec: Repeat) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (doc_id, part, text, list of spans) -> a row for each fragment; its words are sent once
-    for each batch."""
+    """Rows (doc_id, part, text, spans) -> a row for each fragment; its words are sent once for each
+    batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,8 +267,8 @@ def _cut(spec: Repeat) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
                 out: list[list] = [[], [], [], [], [], []]
                 lists = rows.column(3).to_pylist()
                 ids, parts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-                for i, (low, blobs) in enumerate(zip(words[:-1].tolist(), lists, strict=True)):
-                    spans = np.frombuffer(b"".join(blobs), _SPAN)
+                for i, (low, blob) in enumerate(zip(words[:-1].tolist(), lists, strict=True)):
+                    spans = np.frombuffer(blob, _SPAN)
                     begin = offset[low + spans["at"]]
                     end = offset[low + spans["at"] + spans["n"] + spec.window - 1] - 1
                     for a, b, at, anchor in zip(begin.tolist(), end.tolist(), spans["at"].tolist(), spans["anchor"].view(np.int64).tolist(), strict=True):
@@ -370,25 +383,25 @@ def _without(spec: Repeat) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def keyed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """`doc_id`, `part`, `text`, and the bytes of all texts. `part` tells rows with the same id apart;
+def keyed(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """`doc_id`, `part`, `text`, the bytes of all texts and the number of ids. `part` tells rows with the same id apart;
     it is 0 throughout where no id repeats."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    most, size = ids.agg(F.max("n"), F.sum("bytes")).first()
+    most, size, count = ids.agg(F.max("n"), F.sum("bytes"), F.count("*")).first()
     part = F.xxhash64("text") if (most or 0) > 1 else F.lit(0).cast("long")
-    return rows.select("doc_id", part.alias("part"), "text"), size or 0
+    return rows.select("doc_id", part.alias("part"), "text"), size or 0, count
 
 
-def removable(spark: SparkSession, rows: DataFrame, size: int, spec: Repeat = Repeat()) -> DataFrame:
+def removable(spark: SparkSession, rows: DataFrame, size: int, count: int, spec: Repeat = Repeat()) -> DataFrame:
     """`doc_id`, `part`, `windows`: the places of windows that a smaller document holds too."""
     buckets = max(spread(spark), -(-size // BUCKET_BYTES))
     known = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
     packed = known.mapInArrow(_packed(spec, buckets), "bucket long, entries binary")
-    found = packed.groupBy("bucket").applyInArrow(_repeated, "doc_id long, part long, spans binary")
-    found = written(spark, found, "spans")
-    lists = found.groupBy("doc_id", "part").agg(F.collect_list("spans").alias("spans"))
-    texts = known.join(lists, ["doc_id", "part"]).select("doc_id", "part", "text", "spans")
+    groups = max(spread(spark), -(-count // GROUP_DOCS))
+    found = packed.groupBy("bucket").applyInArrow(_repeated(groups), "group long, entries binary")
+    spans = found.groupBy("group").applyInArrow(_by_document, "doc_id long, part long, spans binary")
+    texts = known.join(written(spark, spans, "spans"), ["doc_id", "part"]).select("doc_id", "part", "text", "spans")
     shape = "anchor long, fragment binary, doc_id long, part long, at int, words string"
     places = written(spark, texts.mapInArrow(_cut(spec), shape), "fragments")
 
@@ -415,8 +428,8 @@ def removable(spark: SparkSession, rows: DataFrame, size: int, spec: Repeat = Re
 
 def without_repeats(spark: SparkSession, docs: DataFrame, spec: Repeat = Repeat()) -> DataFrame:
     """`doc_id`, `n_words`, `n_removed`, `kept_text` of every document."""
-    rows, size = keyed(docs)
-    found = written(spark, removable(spark, rows, size, spec), "removable")
+    rows, size, count = keyed(docs)
+    found = written(spark, removable(spark, rows, size, count, spec), "removable")
     joined = rows.join(found, ["doc_id", "part"], "left").select("doc_id", "part", "text", "windows")
     shape = "doc_id long, part long, n_words long, n_removed long, kept_text string"
     return joined.mapInArrow(_without(spec), shape).drop("part")
