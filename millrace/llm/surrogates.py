@@ -16,6 +16,10 @@ documents travel in one struct, so no name can clash.
 
 from __future__ import annotations
 
+import operator
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +32,13 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 MALE_TITLES = r"(?:Mr|Herr|Monsieur|M|Señor|Sr|Don|Signor)"
 FEMALE_TITLES = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Mademoiselle|Mlle|Señora|Sra|Doña|Signora)"
 CYRILLIC_TITLES = r"(?:г-н|г-жа|господин|госпожа)"
+_KEYWORD = r"(?:[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Pp]assword|PASSWORD|[Kk]ey|KEY)[ \"']{0,2}[=:][ \"']{0,2}"
 #: Kinds of entities and their patterns, in the order in which they are tried. Runs are possessive and
 #: begin where no run can be going on, so that matching is linear in the text.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![\p{L}\d._+\-])[\p{L}\d._+\-]++@[\p{L}\d\-]++(?:\.[\p{L}\d\-]++)++",
-    "secret": r"(?<=(?:[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Pp]assword|PASSWORD|[Kk]ey|KEY)[ \"']{0,2}[=:][ \"']{0,2})[A-Za-z\d_+/\-]{8,}+"
-    r"|(?<![A-Za-z\d])(?:[\da-f]{32,128}+|[\dA-F]{32,128}+)(?![A-Za-z\d])",
+    "email": r"(?<![\p{L}\d._+\-])[\p{L}\d._+\-]++@[\p{L}\d\-]++(?:\.[\p{L}\d\-]++){1,12}+",
+    "secret": rf"{_KEYWORD}[A-Za-z\d_+/\-]{{8,}}+"
+    r"|(?<![A-Za-z\d])(?:(?=[a-f]{0,127}\d)[\da-f]{32,128}+|(?=[A-F]{0,127}\d)[\dA-F]{32,128}+)(?![A-Za-z\d])",
     "iban": r"(?<![A-Za-z\d])[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){3,7}(?: ?[A-Z\d]{1,3})?(?![A-Za-z\d])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -42,7 +47,25 @@ PATTERNS: dict[str, str] = {
     r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "name": rf"(?<![\p{{L}}])(?:(?:{MALE_TITLES}|{FEMALE_TITLES}|Dr|Prof|{CYRILLIC_TITLES})\.? )\p{{Lu}}[\p{{L}}'\-]++(?: \p{{Lu}}[\p{{L}}'\-]++){{0,2}}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+
+
+def _any_of(*kinds: str) -> str:
+    return "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+
+
+#: What must be in a text for some pattern to match, as plain searches, and the pattern to use then. A
+#: pattern that cannot match is left out, which changes nothing but the time.
+TITLES = re.findall(r"[^\W\d_][\w\-]*", "|".join((MALE_TITLES, FEMALE_TITLES, "Dr", "Prof", CYRILLIC_TITLES)))
+WITHOUT_MAIL = _any_of(*(k for k in PATTERNS if k != "email"))
+ANY = _any_of(*PATTERNS)
+
+
+def may_hold(text: Column) -> Column:
+    """Whether a text has what some pattern needs: an at sign, a digit, a keyword's sign or a title."""
+    signs = [text.contains(sign) for sign in ("@", "=", ":")]
+    titles = [text.contains(f"{t}{end}") for t in TITLES for end in (" ", ". ")]
+    return F.coalesce(reduce(operator.or_, [*signs, text.rlike("[0-9]"), *titles]), F.lit(False))
+
 
 #: Given names by gender and script for surrogates.
 GIVEN = {
@@ -60,7 +83,13 @@ SYLLABLES = {
 
 def found(text: Column) -> Column:
     """The mentions of a text in their order."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)), F.array().cast("array<string>"))
+    every, some = (F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(1)) for p in (ANY, WITHOUT_MAIL))
+    return F.coalesce(F.when(text.contains("@"), every).otherwise(some), F.array().cast("array<string>"))
+
+
+def between(text: Column) -> Column:
+    """The parts of a text before, between and after its mentions."""
+    return F.when(text.contains("@"), F.split(text, ANY, -1)).otherwise(F.split(text, WITHOUT_MAIL, -1))
 
 
 def kind(mention: Column) -> Column:
@@ -82,28 +111,26 @@ def kind(mention: Column) -> Column:
 
 
 def title(mention: Column) -> Column:
-    return F.regexp_extract(mention, r"^(\S+ )", 1)
+    """The part of a name or secret that stays: its title, or its keyword."""
+    return F.regexp_extract(mention, rf"^(\S+ (?=\p{{Lu}})|{_KEYWORD})", 1)
 
 
 def entity(mention: Column, what: Column) -> Column:
     """What all writings of one entity have in common."""
     plain = F.regexp_replace(mention, r"[^\p{L}\d]", "")
-    name = F.lower(F.substr(mention, F.length(title(mention)) + 1))
+    own = F.substr(mention, F.length(title(mention)) + 1)
+    name = F.lower(own)
     female, male = title(mention).rlike(rf"^(?:{FEMALE_TITLES}|г-жа|госпожа)\b"), title(mention).rlike(rf"^(?:{MALE_TITLES}|г-н|господин)\b")
     gender = F.when(female, "f").when(male | name.rlike(r"\p{IsCyrillic}"), "m").otherwise("n")
     return (
         F.when(what == "email", F.lower(mention))
         .when(what == "name", F.concat(gender, F.lit(":"), name))
-        .when(what.isin("ip", "secret"), mention)
+        .when(what == "ip", mention)
+        .when(what == "secret", own)
         .otherwise(plain)
     )
 
 
-def _digit(stream: Column, place: Column) -> Column:
-    """A decimal digit from a hex stream."""
-    return (F.conv(F.substr(stream, place * 2 + 1, F.lit(2)), 16, 10).cast("int") % 10).cast("string")
-
-
 def _like(value: Column, stream: Column, keep: int | Column = 0, hexadecimal: bool | Column = False) -> Column:
     """Every letter and digit replaced by one of its kind; `keep` leading characters stay."""
     hexadecimal = hexadecimal if isinstance(hexadecimal, Column) else F.lit(hexadecimal)
@@ -197,7 +224,8 @@ def written_as(mention: Column, what: Column, value: Column) -> Column:
     name = F.initcap(F.substr(value, F.lit(3)))
     rest = F.substr(mention, F.length(title(mention)) + 1)
     name = F.concat(title(mention), F.when(F.upper(rest) == rest, F.upper(name)).otherwise(name))
-    return F.when(what == "email", email).when(what == "name", name).when(what.isin("ip", "secret"), value).otherwise(laid)
+    secret = F.concat(title(mention), value)
+    return F.when(what == "email", email).when(what == "name", name).when(what == "ip", value).when(what == "secret", secret).otherwise(laid)
 
 
 def distinct_surrogates(spark: SparkSession, entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
@@ -226,9 +254,10 @@ def with_surrogates(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY
     """`row` (the document), `mentions` (kind, original, surrogate, in their order) and the new `text`."""
     text = F.col("text").cast("string")
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text.alias("text"), F.col("doc_id").cast("string").alias("_id"))
-    rows = rows.withColumn("found", found(F.col("text")))
+    # The patterns run once, over the texts that may hold a mention; the others pass by.
+    suspects = written(spark, rows.where(may_hold(F.col("text"))).withColumn("found", found(F.col("text"))), "suspects")
     name = F.sha2(F.concat_ws("|", F.coalesce("_id", F.lit("null")), F.col("text")), 256)
-    held = rows.where(F.size("found") > 0).withColumn("_row", name)
+    held = suspects.where(F.size("found") > 0).withColumn("_row", name)
     each = held.select("_row", F.posexplode("found").alias("at", "mention"))
     each = each.withColumn("what", kind(F.col("mention"))).withColumn("name", entity(F.col("mention"), F.col("what")))
     each = written(spark, each, "mentions")
@@ -236,12 +265,13 @@ def with_surrogates(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY
     made = each.join(known, ["what", "name"]).withColumn("made", written_as(F.col("mention"), F.col("what"), F.col("value")))
     lists = made.distinct().groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "what", "mention", "made"))).alias("mentions"))
     joined = held.join(lists, "_row")
-    parts = F.split(F.col("text"), ANY, -1)
     ends = F.concat(F.transform("mentions", lambda m: m["made"]), F.array(F.lit("")))
-    new = F.array_join(F.zip_with(parts, ends, lambda p, e: F.concat(p, e)), "")
+    new = F.array_join(F.zip_with(between(F.col("text")), ends, lambda p, e: F.concat(p, e)), "")
     changed = joined.select("row", "mentions", new.alias("text"))
-    clean = rows.where(F.size("found") == 0).select("row", F.array().cast(changed.schema["mentions"].dataType).alias("mentions"), "text")
-    return changed.unionByName(clean)
+    none = F.array().cast(changed.schema["mentions"].dataType).alias("mentions")
+    clean = suspects.where(F.size("found") == 0).select("row", none, "text")
+    others = rows.where(~may_hold(F.col("text"))).select("row", none, "text")
+    return changed.unionByName(clean).unionByName(others)
 
 
 def replaced(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
