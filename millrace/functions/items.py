@@ -11,23 +11,46 @@ from pyspark.sql import types as T
 
 # Fixed value: how a condition string names an attribute of the item.
 _ATTRIBUTE = re.compile(r"%\{data\.([^}]+)\}")
+#: The JSON column that holds an item's further attributes.
+OPEN_PART = "props"
 
 
-def condition(test: Column | str) -> Column:
-    """A test over one item: a Column, or a SQL string that may say `%{data.key}` for a column."""
-    if isinstance(test, str):
-        return F.expr(_ATTRIBUTE.sub(r"`\1`", test))
-    return test
+def _path(key: str) -> str:
+    """The JSON path of one key, whatever characters it has: `a.b` is a key, not a way."""
+    if "'" in key:
+        raise ValueError(f"a key cannot hold a quote: {key!r}")
+    return f"$['{key}']"
+
+
+def condition(test: Column | str, items: DataFrame | None = None, open_part: str = OPEN_PART) -> Column:
+    """A test over one item: a Column, or a SQL string that may say `%{data.key}` for an attribute.
+
+    With `items` given, a key that is no column is looked up in the JSON column `open_part`, and is
+    NULL where that lacks it.
+    """
+    if not isinstance(test, str):
+        return test
+    columns = None if items is None else items.columns
+
+    def named(match: re.Match) -> str:
+        key = match[1]
+        if columns is None or key in columns:
+            return f"`{key}`"
+        if open_part in columns:
+            return f'get_json_object(`{open_part}`, "{_path(key)}")'
+        return "NULL"
+
+    return F.expr(_ATTRIBUTE.sub(named, test))
 
 
 def attribute(open_part: Column | str, key: str, kind: str = "string") -> Column:
     """The value under `key` of a JSON column, NULL where the key is missing."""
-    return F.get_json_object(open_part, f"$.{key}").cast(kind)
+    return F.get_json_object(open_part, _path(key)).cast(kind)
 
 
 def has_attribute(open_part: Column | str, key: str) -> Column:
     """Whether a JSON column has a value under `key`; a null value counts as missing."""
-    return F.get_json_object(open_part, f"$.{key}").isNotNull()
+    return F.get_json_object(open_part, _path(key)).isNotNull()
 
 
 def with_attributes(items: DataFrame, open_part: str, *keys: str) -> DataFrame:
@@ -37,9 +60,19 @@ def with_attributes(items: DataFrame, open_part: str, *keys: str) -> DataFrame:
     return found.withColumns({key: F.col(name) for key, name in zip(keys, named)}).drop(*named)
 
 
-def put(items: DataFrame, key: str, value: object) -> DataFrame:
-    """Items with `key` set; `value` is a Column or a constant."""
-    return items.withColumn(key, value if isinstance(value, Column) else F.lit(value))
+def put(items: DataFrame, key: str, value: object, open_part: str | None = None) -> DataFrame:
+    """Items with `key` set; `value` is a Column or a constant.
+
+    With `open_part`, the key is set inside that JSON column: other keys keep their values and types, a
+    missing or broken JSON text becomes an object with this key alone.
+    """
+    new = value if isinstance(value, Column) else F.lit(value)
+    if open_part is None:
+        return items.withColumn(key, new)
+    held = F.try_parse_json(F.col(open_part)).try_cast("map<string, variant>")
+    others = F.map_filter(F.coalesce(held, F.create_map().cast("map<string, variant>")), lambda k, v: k != key)
+    added = F.create_map(F.lit(key), new.cast("variant"))
+    return items.withColumn(open_part, F.to_json(F.map_concat(others, added)))
 
 
 def epoch_micros(items: DataFrame, name: str) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from millrace.functions import condition
+from millrace.functions import condition, merge_streams
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -28,18 +28,30 @@ def set_value(key: str, value: object, when: Column | str | None = None) -> Step
         if when is None:
             return items.withColumn(key, new)
         old = F.col(key) if key in items.columns else F.lit(None)
-        return items.withColumn(key, F.when(condition(when), new).otherwise(old))
+        return items.withColumn(key, F.when(condition(when, items), new).otherwise(old))
 
+    step.keeps_rows = True
     return step
 
 
 def only_if(when: Column | str, step: Step) -> Step:
-    """Let a step that sets attributes change only the items that pass the test. The test is made
-    on the item as it was before the step."""
+    """Run a step only on the items that pass the test, made on the item as it was before.
+
+    A step that says it keeps its rows (`keeps_rows`, as `set_value` does) stays one projection. Any
+    other step gets the passing items alone, and the rest are merged with what it gives; attributes
+    that one side lacks are NULL. The input is then read once for each side.
+    """
+
+    def split(items: DataFrame) -> DataFrame:
+        test = F.coalesce(condition(when, items), F.lit(False))
+        return merge_streams(step(items.where(test)), items.where(~test))
+
+    if not getattr(step, "keeps_rows", False):
+        return split
 
     def run(items: DataFrame) -> DataFrame:
         old = {name: f"_old_{name}" for name in items.columns}
-        kept = items.withColumns({"_passes": condition(when), **{copy: F.col(name) for name, copy in old.items()}})
+        kept = items.withColumns({"_passes": condition(when, items), **{copy: F.col(name) for name, copy in old.items()}})
         done = step(kept)
         new = [name for name in done.columns if name != "_passes" and name not in old.values()]
         chosen = [
@@ -48,6 +60,7 @@ def only_if(when: Column | str, step: Step) -> Step:
         ]
         return done.select(*chosen)
 
+    run.keeps_rows = True
     return run
 
 
@@ -57,7 +70,7 @@ def skip(when: Column | str | None = None) -> Step:
     def step(items: DataFrame) -> DataFrame:
         if when is None:
             return items.where(F.lit(False))
-        return items.where(~F.coalesce(condition(when), F.lit(False)))
+        return items.where(~F.coalesce(condition(when, items), F.lit(False)))
 
     return step
 
@@ -66,7 +79,7 @@ def null_unless(when: Column | str) -> Step:
     """Turn an item into a null item (every attribute NULL) unless it passes the test."""
 
     def step(items: DataFrame) -> DataFrame:
-        test = condition(when)
+        test = condition(when, items)
         return items.select(*[F.when(test, F.col(name)).alias(name) for name in items.columns])
 
     return step

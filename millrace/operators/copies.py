@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def parse_copies(value: object) -> int:
-    """A `copies` setting as a number; anything that is none means 1."""
+    """A `copies` setting as a number from 1. Anything else is an error: a slip of the pen must not
+    send a whole stream through one task."""
     try:
-        return max(1, int(str(value)))
+        copies = int(str(value))
     except ValueError:
-        return 1
+        copies = 0
+    if copies < 1:
+        raise ValueError(f"copies must be a number from 1, not {value!r}")
+    return copies
 
 
 def with_copies(items: DataFrame, copies: object) -> DataFrame:

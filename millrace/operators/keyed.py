@@ -1,8 +1,8 @@
 """Grouping by key, and work that carries state from item to item of a key.
 
-A key is normally kept whole in one partition. A key with more rows than one task should hold is
-cut into segments along its order; every segment is worked on its own, starting from state carried
-over from the segments before it. The state must therefore be an aggregate that merges.
+A key is kept whole in one partition. Only where state is given as an aggregate that merges (`Carry`)
+may a key with more rows than one task should hold be cut into segments along its order; every
+segment is then worked on its own, starting from state carried over from the segments before it.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ _MAX_SHARDS = 1 << 24
 _MAX_HOT = 1 << 18
 ROWS_PER_SEGMENT = 1_000_000
 ROWS_PER_CALL = 100_000
+BYTES_PER_SEGMENT = 512 << 20
+BYTES_PER_CALL = 64 << 20
+SAMPLED_WIDTHS = 1_000
 MAX_SEGMENTS = 1 << 17
 SAMPLES_PER_SEGMENT = 24
 
@@ -107,23 +110,27 @@ def with_segments(items: DataFrame, found: KeyCuts) -> DataFrame:
     return ranged.withColumn(SEGMENT, segment).drop("_hot")
 
 
-def group_by_key(
-    items: DataFrame,
-    key: str,
-    order: Sequence[str],
-    copies: int | None = None,
-    rows_per_segment: int = ROWS_PER_SEGMENT,
-) -> DataFrame:
-    """All items of a key in one partition; NULL is a key of its own.
+def group_by_key(items: DataFrame, key: str, order: Sequence[str], copies: int | None = None) -> DataFrame:
+    """All items of a key in one partition, in their order; NULL is a key of its own.
 
-    Only a key beyond `rows_per_segment` is spread, by ranges of `order`. On a stream, where keys
-    cannot be counted ahead, every key stays whole within a micro-batch.
+    A key is never spread, however many items it has, as what follows may rely on meeting all of
+    them. The sort spills, so a hot key costs time and disk, not memory; work that can carry state
+    over (`keyed_apply`, `running_count`) cuts it instead. On a stream the order holds within a
+    micro-batch only and is not made.
     """
-    if items.isStreaming:
-        return items.repartition(copies, key) if copies else items.repartition(key)
-    parted = with_segments(items, key_cuts(items, key, order, rows_per_segment))
-    by = [F.col(key), F.col(SEGMENT)]
-    return (parted.repartition(copies, *by) if copies else parted.repartition(*by)).drop(SEGMENT)
+    placed = items.repartition(copies, key) if copies else items.repartition(key)
+    return placed if items.isStreaming else placed.sortWithinPartitions(key, *order)
+
+
+def rows_within(items: DataFrame, rows: int, most_bytes: int) -> int:
+    """`rows`, or fewer where so many would exceed `most_bytes`, by the mean width of the first rows.
+
+    Items of fixed width are taken as they come, without looking."""
+    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if items.isStreaming or not any(isinstance(field.dataType, wide) for field in items.schema):
+        return rows
+    width = items.limit(SAMPLED_WIDTHS).agg(F.avg(F.length(F.to_json(F.struct("*"))))).first()[0]
+    return max(1, min(rows, int(most_bytes / max(width or 1, 1))))
 
 
 def with_carry(
@@ -200,8 +207,24 @@ def keyed_apply(
     then a call has one segment of it. Carried state comes as further columns, NULL in a key's first
     segment. Columns have Arrow types, so integers stay exact beside NULL. Select only the columns
     it needs beforehand.
+
+    A key with more than `rows_per_segment` rows (fewer if rows are wide) is cut if `carries` say how
+    its state goes on. Without them it is an error that names the key: a process that saw pieces as
+    whole keys would give wrong results.
     """
-    found = key_cuts(items, key, order, rows_per_segment)
+    rows_per_segment = rows_within(items, rows_per_segment, BYTES_PER_SEGMENT)
+    rows_per_call = rows_within(items, rows_per_call, BYTES_PER_CALL)
+    if carries:
+        found = key_cuts(items, key, order, rows_per_segment)
+    else:
+        sizes = items.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        rows, largest = sizes.agg(F.sum("_rows"), F.max_by(F.struct(key, "_rows"), "_rows")).first()
+        if largest and largest["_rows"] > rows_per_segment:
+            raise ValueError(
+                f"key {largest[key]!r} has {largest['_rows']} rows, a call may have {rows_per_segment}: "
+                "give carries, or a larger rows_per_segment"
+            )
+        found = KeyCuts(key, tuple(order), rows or 0)
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.drop_columns([_CALL, SEGMENT]).to_pandas(types_mapper=pd.ArrowDtype)

@@ -18,10 +18,15 @@ MAX_HOT_KEYS = 4_096
 
 def fits_broadcast(side: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Measure whether a table is small enough to copy to every executor."""
-    if side.count() > max_rows:
-        return False
-    size = side.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("size")).first()["size"]
-    return (size or 0) <= max_bytes
+    size = F.sum(F.length(F.to_json(F.struct("*"))))
+    rows, total = side.agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (total or 0) <= max_bytes
+
+
+def _refuse_doubled(side: DataFrame) -> None:
+    doubled = side.where(F.col("_service_key").isNotNull()).groupBy("_service_key").count().where("count > 1").first()
+    if doubled is not None:
+        raise ValueError(f"the service has {doubled['count']} rows under key {doubled['_service_key']!r}; it must have one")
 
 
 def lookup(
@@ -36,29 +41,32 @@ def lookup(
 ) -> DataFrame:
     """Every item, with the `take` columns of the service row of its key or NULL.
 
-    A service measured as small is broadcast. For a larger one both sides are shuffled by key,
-    except the items of keys with more than `hot_rows` items and of NULL keys: they stay where they
-    are and meet a broadcast of just their service rows, at most MAX_HOT_KEYS keys.
-    On a stream, where keys cannot be counted ahead, a large service is simply joined by key.
-    The service holds one row per key.
+    The service must hold one row per key, or it is refused; rows under a NULL key are never found. A
+    service measured as small is broadcast. For a larger one both sides are shuffled by key, except
+    the items of keys with more than `hot_rows` items and of NULL keys: they stay where they are
+    and meet a broadcast of just their service rows, if that is measured as small too. One
+    pass over the key column finds the hot keys, at most MAX_HOT_KEYS. On a stream, where keys cannot be
+    counted ahead, a large service is simply joined by key; `lookup_reset` works on counted batches.
     """
     missing = [name for name in (service_key, *take) if name not in service.columns]
     if missing:
         raise KeyError(f"service has no column {missing}")
     side = service.select(F.col(service_key).alias("_service_key"), *take)
     same = F.col(key) == F.col("_service_key")
+    _refuse_doubled(side)
     if fits_broadcast(side, max_rows, max_bytes):
         return items.join(F.broadcast(side), same, "left").drop("_service_key")
     if items.isStreaming:
         return items.join(side, same, "left").drop("_service_key")
-    counts = items.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = max(hot_rows, -(-items.count() // MAX_HOT_KEYS))
-    hot = counts.where(F.col(key).isNotNull() & (F.col("_rows") > limit)).select(key).collect()
+    counts = items.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = [row[:1] for row in counts.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()]
     kind = T.StructType([T.StructField("_hot_key", items.schema[key].dataType)])
     known = F.broadcast(small_table(items.sparkSession, hot, kind))
+    hot_side = side.join(known, F.col("_service_key") == F.col("_hot_key"), "left_semi")
+    if not fits_broadcast(hot_side, max_rows=MAX_HOT_KEYS, max_bytes=max(max_bytes, MAX_BROADCAST_BYTES)):
+        return items.join(side, same, "left").drop("_service_key")
     marked = items.join(known, F.col(key) == F.col("_hot_key"), "left")
     stays = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    hot_side = side.join(known, F.col("_service_key") == F.col("_hot_key"), "left_semi")
     in_place = marked.where(stays).join(F.broadcast(hot_side), same, "left")
     shuffled = marked.where(~stays).join(side, same, "left")
     return in_place.unionByName(shuffled).drop("_service_key", "_hot_key")

@@ -30,6 +30,7 @@ BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 48
+MAX_TOP_K = 100_000
 
 
 def bucket_count(items: DataFrame, rows: int, rows_per_bucket: int | None = None) -> int:
@@ -99,12 +100,35 @@ def number_rows(
     known = small_table(items.sparkSession, starts, f"{BUCKET} long, _start long")
     return (
         bucketed.withColumn("_inside", inside.cast("long"))
-        .join(F.broadcast(known), BUCKET)
-        .withColumn(name, F.col("_start") + F.col("_inside") - 1)
+        .join(F.broadcast(known), BUCKET, "left")
+        .withColumn(name, F.coalesce(F.col("_start"), _unseen()) + F.col("_inside") - 1)
         .drop(BUCKET, "_inside", "_start")
     )
 
 
+def _unseen() -> Column:
+    """An error in place of a row's number: dropping the row would hide that the input changed."""
+    return F.raise_error(F.lit("the items changed while they were numbered; write them to a table first")).cast("long")
+
+
+def running_total(items: DataFrame, order: str | Sequence[str], value: str, name: str) -> DataFrame:
+    """The sum of `value` over all items before each one along the order columns, which must be unique
+    together; cut into buckets as in `number_rows`."""
+    order = [order] if isinstance(order, str) else list(order)
+    cuts = cut_points(items, order)
+    bucketed = with_buckets(items, cuts)
+    sums = sorted(with_buckets(items.select(*order, value), cuts).groupBy(BUCKET).agg(F.sum(value)).collect())
+    starts = [(bucket, total) for (bucket, _), total in zip(sums, accumulate((s or 0 for _, s in sums), initial=0))]
+    known = small_table(items.sparkSession, starts, f"{BUCKET} long, _offset long")  # a row per bucket
+    before = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        bucketed.withColumn("_inside", F.coalesce(F.sum(value).over(before), F.lit(0)))
+        .join(F.broadcast(known), BUCKET, "left")
+        .withColumn(name, F.coalesce(F.col("_offset"), _unseen()) + F.col("_inside"))
+        .drop(BUCKET, "_inside", "_offset")
+    )
+
+
 def create_id(items: DataFrame, order: str | Sequence[str], name: str = "id", **options: int) -> DataFrame:
     """Put a running number, from 0, on each item."""
     return number_rows(items, order, name, **options)
@@ -133,7 +157,10 @@ def data_rate(items: DataFrame, order: str | Sequence[str], micros: Column, ever
 
 
 def source_limit(items: DataFrame, limit: int, order: str | Sequence[str] | None = None) -> DataFrame:
-    """Only the first `limit` items; with `order` the same ones on each run (a top-k plan)."""
+    """Only the first `limit` items; with `order` the same ones on each run: a top-k plan, or, where
+    so many would be too much for one task, the items with the first numbers."""
     if order is None:
         return items.limit(limit)
+    if limit > MAX_TOP_K:
+        return number_rows(items, order, "_number").where(F.col("_number") < limit).drop("_number")
     return items.orderBy(*([order] if isinstance(order, str) else order)).limit(limit)

@@ -1,7 +1,7 @@
 """Labelling items with a queue name and branching on the label.
 
 Branch tests are written on source columns, so each branch pushes its own filter into the scan;
-whatever needs all branches at once (`emit`, `route`) reads the input a single time.
+whatever needs all branches at once (`emit`, `first_match`) reads the input a single time.
 """
 
 from __future__ import annotations
@@ -26,15 +26,16 @@ def _any_of(tests: Sequence[Column]) -> Column:
 
 def enqueue(items: DataFrame, queue: str, when: Column | str | None = None) -> DataFrame:
     """Items that pass the test, labelled with one queue name."""
-    chosen = items if when is None else items.where(condition(when))
+    chosen = items if when is None else items.where(condition(when, items))
     return chosen.withColumn(QUEUE, F.lit(queue))
 
 
-def route(items: DataFrame, rules: Rules) -> DataFrame:
-    """Label each item with the first queue whose test it passes; drop items that pass none."""
+def first_match(items: DataFrame, rules: Rules) -> DataFrame:
+    """Label each item with the first queue whose test it passes, and with no other; drop items that
+    pass none. To write an item to every queue it passes, use `emit`."""
     label, tests = None, []
     for queue, when in rules.items():
-        test = F.lit(True) if when is None else condition(when)
+        test = F.lit(True) if when is None else condition(when, items)
         tests.append(test)
         label = F.when(test, queue) if label is None else label.when(test, queue)
     return items.where(_any_of(tests)).withColumn(QUEUE, label)
@@ -53,12 +54,12 @@ def emit(
     With `output`, the item itself comes first under `output_label`. `ordinal` names a column for
     the position of the row among those of its item, since Spark keeps no row order.
     """
-    tests = [F.lit(True) if when is None else F.coalesce(condition(when), F.lit(False)) for when in rules.values()]
+    tests = [F.lit(True) if when is None else F.coalesce(condition(when, items), F.lit(False)) for when in rules.values()]
     targets: list[tuple[str | None, Column]] = list(zip(rules, tests))
     if output:
         targets.insert(0, (output_label, F.lit(True)))
     elif all(when is not None for when in rules.values()):
-        items = items.where(_any_of([condition(when) for when in rules.values()]))
+        items = items.where(_any_of([condition(when, items) for when in rules.values()]))
     copies, place = [], F.lit(0)
     for queue, test in targets:
         copy = F.struct(F.lit(queue).cast("string").alias(label), place.alias("_place"))

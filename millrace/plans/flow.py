@@ -6,15 +6,17 @@ never read.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import merge_streams
 from millrace.operators.chain import Step
 from millrace.operators.copies import parse_copies, with_copies
-from millrace.operators.keyed import group_by_key
+from millrace.operators.keyed import ROWS_PER_SEGMENT, Carry, group_by_key, keyed_apply
 from millrace.operators.routing import emit, empty_queue, enqueue
 
 
@@ -34,6 +36,20 @@ class Enqueue:
         return [name.strip() for name in self.queues.split(",") if name.strip()]
 
 
+@dataclass(frozen=True)
+class Keyed:
+    """A chain step that works on the items of each key in their order; needs `group_by` and `order`.
+
+    `process`, `schema` and `carries` are those of `keyed_apply`: with `carries` a key too big for one
+    task is cut and its state carried on, without them such a key is refused.
+    """
+
+    process: Callable[[pd.DataFrame], pd.DataFrame]
+    schema: str
+    carries: Mapping[str, Carry] | None = None
+    rows_per_segment: int = ROWS_PER_SEGMENT
+
+
 class Flow:
     """Named streams of one job."""
 
@@ -64,7 +80,7 @@ class Flow:
     def process(
         self,
         name: str,
-        *steps: Step | Enqueue,
+        *steps: Step | Enqueue | Keyed,
         input: str | None = None,
         output: str = "",
         group_by: str | None = None,
@@ -76,22 +92,30 @@ class Flow:
         Reads `input`, or the stream published under the process's own name. A name that is
         published again replaces the stream for later processes; nothing is merged silently. Queues
         that were not declared stay empty. With `output` (names with commas) the items are published
-        unsplit: the results, and after them everything written to declared queues. `group_by` needs
-        a unique `order` and brings the items of a key together first; `copies` spreads the work over
-        so many instances, which costs a shuffle. Returns the results, for processes that only feed a
-        sink.
+        unsplit: the results, and after them everything written to declared queues; they replace a
+        queue of the same name. `group_by` needs a unique `order`; it brings the items of a key together
+        in one instance and in that order, and `Keyed` steps get them so. `copies` spreads the work
+        over so many instances, which costs a shuffle. Returns the results, for processes that only
+        feed a sink.
         """
         items = self[input or name]
-        if group_by and group_by.strip():
-            if not order:
-                raise ValueError("group_by needs an order")
-            items = group_by_key(items, group_by.strip(), order, None if copies is None else parse_copies(copies))
-        elif copies is not None:
+        key = (group_by or "").strip()
+        if key and not order:
+            raise ValueError("group_by needs an order")
+        if any(isinstance(step, Keyed) for step in steps) and not key:
+            raise ValueError("a keyed step needs group_by")
+        if key and not isinstance(steps[0] if steps else None, Keyed):
+            items = group_by_key(items, key, order, None if copies is None else parse_copies(copies))
+        elif copies is not None and not key:
             items = with_copies(items, copies)
         written: dict[str, list[DataFrame]] = {}
         points: list[tuple[DataFrame, list[tuple[str, Column | str | None]]]] = []
         self._written[name] = points
         for step in steps:
+            if isinstance(step, Keyed):
+                options = {"carries": step.carries, "rows_per_segment": step.rows_per_segment}
+                items = keyed_apply(items, key, order, step.process, step.schema, **options)
+                continue
             if not isinstance(step, Enqueue):
                 items = items.transform(step)
                 continue
@@ -103,12 +127,13 @@ class Flow:
                 written.setdefault(queue, []).append(branch)
                 if known:
                     points[-1][1].append((queue, step.when))
+        # Queues first: an output of the same name replaces the queue.
+        for queue, branches in written.items():
+            self._streams[queue] = merge_streams(*branches)
         outputs = [out.strip() for out in output.split(",") if out.strip()]
         if outputs:
             published = self._unsplit(items, points)
             self._streams.update(dict.fromkeys(outputs, published))
-        for queue, branches in written.items():
-            self._streams[queue] = merge_streams(*branches)
         return items
 
     @staticmethod

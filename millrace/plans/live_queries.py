@@ -7,27 +7,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.plans.queries import CLICK, ERROR
+from millrace.plans.queries import OVERLAPPING
 from millrace.session import table, work_dir
 from millrace.sources.tables import read_live
 from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, json_batches, parquet_batches, write_queues_live
 from millrace.streaming.run import run_to_end, writer
-from millrace.streaming.state import GROUP, Context, combined, grouped, keyed_state
+from millrace.streaming.state import Context, combined, keyed_state
 
-RULES = {"gamma": ERROR, "hadron": CLICK}
 
+BATCHES = 6
 
-def live_events(spark: SparkSession, folder: str, **options: int) -> DataFrame:
-    # As a pattern, so that the table may be a folder of files or, as in the small test data, one file.
-    return read_live(spark, f"{folder}/event[s].parquet", table(spark, folder, "events").schema, **options)
+
+def live_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream of several files, one of them in each micro-batch."""
+    events = table(spark, folder, "events")
+    path = work_dir(spark, "arriving")
+    events.repartition(BATCHES).write.parquet(path)
+    return read_live(spark, path, events.schema, max_files=1)
 
 
 def stream_route(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     live = live_events(spark, folder) if events is None else events
     path = work_dir(spark, "routed")
-    run_to_end(write_queues_live(live.select("event_id", "event_type"), RULES, path))
+    run_to_end(write_queues_live(live.select("event_id", "event_type", "value"), OVERLAPPING, path))
     return spark.read.schema("event_id long, queue string").parquet(path)
 
 
@@ -36,7 +40,7 @@ def stream_fan_out(spark: SparkSession, folder: str, events: DataFrame | None =
     live = live_events(spark, folder) if events is None else events
     path = work_dir(spark, "fan-out")
     sinks = {"gamma": parquet_batches(f"{path}/gamma"), "hadron": json_batches(f"{path}/hadron")}
-    run_to_end(fan_out(live.select("event_id", "event_type"), RULES, sinks))
+    run_to_end(fan_out(live.select("event_id", "event_type", "value"), OVERLAPPING, sinks))
     schema = "event_id long, queue string"
     gamma = spark.read.schema(schema).parquet(f"{path}/gamma/batch=*")
     return gamma.unionByName(spark.read.schema(schema).json(f"{path}/hadron/batch=*"))
@@ -47,27 +51,20 @@ def count_piece(rows: pa.Table) -> pa.Table:
 
 
 def add_counts(key: tuple, rows: pd.DataFrame, context: Context) -> pd.DataFrame:
-    """Running number of items of each user of the group, kept in the context."""
-    counts = context.get("counts")
-    parts = rows.groupby("user", dropna=False)["part"].sum()
-    users = [None if pd.isna(user) else user for user in parts.index]
-    for user, part in zip(users, parts):
-        name = "null" if user is None else user
-        counts[name] = counts.get(name, 0) + int(part)
-    return pd.DataFrame({"user": users, "n": [counts["null" if user is None else user] for user in users]})
-
-
-def stream_counts(spark: SparkSession, live: DataFrame) -> DataFrame:
-    """Every update of the running counts per user."""
+    """Running number of items of a user, kept in the user's context."""
+    context.set("n", context.get("n", 0) + int(rows["part"].sum()))
+    return pd.DataFrame({"user": [key[0]], "n": [context.get("n")]})
+
+
+def stream_counts(spark: SparkSession, live: DataFrame, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+    """Every update of the running counts per user: one state for each user."""
     parts = combined(live.select("user_id"), count_piece, "user_id long, part long")
     # Users as text from here, since pandas would make a nullable number a float.
     users = parts.select(F.col("user_id").cast("string").alias("user"), "part")
-    groups = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = "user string, n long"
-    items = grouped(users, "user", groups)
-    counts = keyed_state(items, [GROUP], add_counts, schema, start=lambda context: context.set("counts", {}))
-    path = work_dir(spark, "counts")
-    run_to_end(writer(counts, "counts").format("parquet").option("path", path))
+    counts = keyed_state(users, ["user"], add_counts, schema)
+    path = path or work_dir(spark, "counts")
+    run_to_end(writer(counts, "counts", checkpoint=checkpoint).format("parquet").option("path", path))
     return spark.read.schema(schema).parquet(path).select(F.col("user").cast("long").alias("user_id"), "n")
 
 

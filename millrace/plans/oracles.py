@@ -1,8 +1,8 @@
 """The same results as SQL over the whole tables, written independently of the DataFrame code."""
 
 _ROUTED = """
-    SELECT event_id, CASE WHEN event_type = 'error' THEN 'gamma' ELSE 'hadron' END AS queue
-    FROM events WHERE event_type IN ('error', 'click')
+    SELECT event_id, 'gamma' AS queue FROM events WHERE event_type = 'error'
+    UNION ALL SELECT event_id, 'hadron' FROM events WHERE value > 10
 """
 _SERVICE = """
     SELECT event_id, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey
@@ -27,14 +27,18 @@ ORACLES = {
         FROM events, (VALUES ('att1'), ('att2')) t(att) GROUP BY att
     """,
     "constant_source": """
-        SELECT CAST(1 AS BIGINT) AS id, 'streams Framework' AS name, ['v1', 'v2', 'v3'] AS data FROM events
+        SELECT event_id, CAST(1 AS BIGINT) AS id, 'streams Framework' AS name, ['v1', 'v2', 'v3'] AS data FROM events
     """,
     "source_limit": "SELECT event_id FROM events ORDER BY event_id LIMIT 1000",
-    "tolerant_read": _EVENTS + " WHERE event_type <> 'error'",
-    "arrival_id": "SELECT event_id, row_number() OVER () - 1 AS id FROM events",
+    "tolerant_read": _EVENTS + " WHERE event_type NOT IN ('error', 'click')",
+    "tolerant_projection": """
+        SELECT count(*) AS n, count(event_id) AS ids, CAST(sum(event_id) AS BIGINT) AS total, count(*) AS "rows"
+        FROM events WHERE event_type NOT IN ('error', 'click')
+    """,
+    "arrival_id": "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS id FROM events",
     "json_sink": _EVENTS,
     "queue_sink": _ROUTED,
-    "custom_sink": _COUNT,
+    "custom_sink": "SELECT event_id, value FROM events",
     "log_tap": "SELECT event_id FROM events",
     "terminal_process": _COUNT + " WHERE event_type = 'click'",
     "process_chain": "SELECT event_id, value * 2 AS v2, 'data' AS src FROM events WHERE event_type = 'click'",
@@ -61,6 +65,18 @@ ORACLES = {
     """,
     "skip_rows": "SELECT event_id FROM events WHERE event_type <> 'error'",
     "conditional_set": "SELECT event_id, CASE WHEN value > 10 THEN 'high' END AS level FROM events",
+    "conditional_skip": """
+        SELECT event_id, CASE WHEN value > 10 THEN 'high' END AS level
+        FROM events WHERE event_type <> 'error' AND NOT (value > 10 AND event_type = 'click')
+    """,
+    "open_condition": """
+        SELECT event_id, CASE WHEN k > 3 THEN 'yes' END AS big
+        FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) WHERE k <> 1
+    """,
+    "open_put": """
+        SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS dotted,
+               event_type AS same, event_id AS n FROM events
+    """,
     "drop_null_items": "SELECT event_id, event_type FROM events WHERE value > 10",
     "unrouted_dropped": "SELECT event_id, 'gamma' AS queue FROM events WHERE event_type = 'error'",
     "enqueue_one": "SELECT event_id, 'q1' AS queue FROM events",
@@ -95,6 +111,10 @@ ORACLES = {
         SELECT event_id, CAST(NULL AS VARCHAR) AS queue FROM events
         UNION ALL SELECT event_id, 'gamma' FROM events WHERE event_type = 'error'
     """,
+    "output_named_as_queue": """
+        SELECT event_id, CAST(NULL AS VARCHAR) AS queue FROM events
+        UNION ALL SELECT event_id, 'gamma' FROM events WHERE event_type = 'error'
+    """,
     "undeclared_queue": """
         SELECT 'gamma' AS queue, count(*) AS n FROM events WHERE event_type = 'error'
         UNION ALL SELECT 'ghost', CAST(0 AS BIGINT)
@@ -114,10 +134,16 @@ ORACLES = {
                coalesce(event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS d
         FROM events
     """,
+    "flow_keyed_process": """
+        SELECT event_id, user_id, gap, gap > 200 AS far
+        FROM (SELECT event_id, user_id, coalesce(event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS gap
+              FROM events)
+    """,
     "item_count": _COUNT,
     "finish_totals": _COUNT,
     "udf_processor": "SELECT event_id, upper(event_type) AS t FROM events",
     "service_lookup": _SERVICE,
+    "service_lookup_large": _SERVICE,
     "partition_setup": """
         SELECT event_id, CAST(CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 2 ELSE 0 END AS BIGINT) AS code
         FROM events

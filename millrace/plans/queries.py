@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import epoch_micros, merge_streams, with_attributes
+from millrace.functions import attribute, epoch_micros, merge_streams, put, with_attributes
 from millrace.operators import chain as c
 from millrace.operators import keyed as k
 from millrace.operators import ordering as o
@@ -16,7 +16,7 @@ from millrace.operators import routing as r
 from millrace.operators.copies import rescale, with_copies
 from millrace.operators.lookup import lookup
 from millrace.plans import samples
-from millrace.plans.flow import Enqueue, Flow
+from millrace.plans.flow import Enqueue, Flow, Keyed
 from millrace.session import table, work_dir
 from millrace.sinks import files as sinks
 from millrace.sources import sharded, synthetic, tables
@@ -24,6 +24,7 @@ from millrace.sources import sharded, synthetic, tables
 ERROR = "event_type = 'error'"
 CLICK = "event_type = 'click'"
 HIGH = "value > 10"
+OVERLAPPING = {"gamma": ERROR, "hadron": HIGH}
 
 
 def _events(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -47,33 +48,29 @@ def multi_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sharded_source(spark: SparkSession, folder: str) -> DataFrame:
-    copies = spark.sparkContext.defaultParallelism
-    path = f"{folder}/events.parquet"
     schema = "event_id long, event_type string, value double"
-    return sharded.read_custom(spark, sharded.ShardedSource, schema, path=path, copies=copies)
+    return sharded.read_sharded(spark, f"{folder}/events.parquet", schema)
 
 
-class BigOrders(sharded.ShardedSource):
+class BigOrders(sharded.ItemSource):
     """A source of one's own: leaves out orders of small total while it reads."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "big_orders"
+    def __init__(self, least: float):
+        self.least = least
 
     def items(self, batch):
-        return batch.filter(pc.greater(batch.column("o_totalprice"), 100_000.0))
+        return batch.filter(pc.greater(batch.column("o_totalprice"), self.least))
 
 
 def custom_source(spark: SparkSession, folder: str) -> DataFrame:
     schema = "o_orderkey long, o_custkey long, o_totalprice double"
-    return sharded.read_custom(spark, BigOrders, schema, path=f"{folder}/orders.parquet")
+    return sharded.read_custom(spark, BigOrders, f"{folder}/orders.parquet", schema, least=100_000.0)
 
 
 def random_source(spark: SparkSession, folder: str) -> DataFrame:
-    """As many items as there are events; per attribute, whether it looks standard normal."""
-    size = _events(spark, folder).count()
-    items = synthetic.gaussian_items(spark, size, ["att1", "att2"])
-    each = [F.struct(F.lit(name).alias("att"), F.col(name).alias("x")) for name in items.columns]
+    """Two drawn attributes on every event; per attribute, whether it looks standard normal."""
+    items = synthetic.with_gaussian(_events(spark, folder, "event_id"), "event_id", ["att1", "att2"])
+    each = [F.struct(F.lit(name).alias("att"), F.col(name).alias("x")) for name in ("att1", "att2")]
     pairs = items.select(F.inline(F.array(*each)))
     slack = 6 / F.sqrt(F.count("x"))  # six standard errors
     return pairs.groupBy("att").agg(
@@ -84,24 +81,44 @@ def random_source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def constant_source(spark: SparkSession, folder: str) -> DataFrame:
-    return synthetic.constant_items(spark, _events(spark, folder).count())
+    return synthetic.with_constants(_events(spark, folder, "event_id"))
 
 
 def source_limit(spark: SparkSession, folder: str) -> DataFrame:
     return o.source_limit(_events(spark, folder, "event_id"), 1_000, "event_id")
 
 
-def tolerant_read(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as JSON lines, those of type error cut short, read back past the broken lines."""
+def _broken_lines(spark: SparkSession, folder: str) -> str:
+    """Events as JSON lines, those of type error cut short and those of clicks with a wrong type."""
+    wrong = F.to_json(F.struct("event_id", "event_type", F.lit("none").alias("value")))
     line = F.to_json(F.struct("event_id", "event_type", "value"))
-    lines = _events(spark, folder).select(F.when(F.expr(ERROR), F.substring(line, 1, 14)).otherwise(line).alias("line"))
+    cut = F.when(F.expr(ERROR), F.substring(line, 1, 14)).when(F.expr(CLICK), wrong).otherwise(line)
     path = work_dir(spark, "broken-lines")
-    lines.write.text(path)
-    return tables.read_tolerant(spark, path, "event_id long, event_type string, value double")
+    _events(spark, folder).select(cut.alias("line")).write.text(path)
+    return path
+
+
+ITEM = "event_id long, event_type string, value double"
+
+
+def tolerant_read(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.read_tolerant(spark, _broken_lines(spark, folder), ITEM)
+
+
+def tolerant_projection(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows count whichever columns are asked for."""
+    items = tables.read_tolerant(spark, _broken_lines(spark, folder), ITEM)
+    few = items.select("event_id")
+    rows = F.lit(items.count()).alias("rows")
+    return few.agg(F.count(F.lit(1)).alias("n"), F.count("event_id").alias("ids"), F.sum("event_id").alias("total"), rows)
 
 
 def arrival_id(spark: SparkSession, folder: str) -> DataFrame:
-    items = tables.read_items(spark, f"{folder}/events.parquet").select("event_id")
+    """Events as several files in the order of their id, numbered as they come."""
+    path = work_dir(spark, "arrivals")
+    sorted_items = _events(spark, folder, "event_id").repartitionByRange(6, "event_id").sortWithinPartitions("event_id")
+    sorted_items.write.parquet(path)
+    items = tables.read_items(spark, path)
     return tables.number_arrivals(items).select("event_id", "id")
 
 
@@ -116,26 +133,27 @@ def json_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 def queue_sink(spark: SparkSession, folder: str) -> DataFrame:
     path = work_dir(spark, "queues")
-    labelled = r.route(_events(spark, folder, "event_id", "event_type"), {"gamma": ERROR, "hadron": CLICK})
-    sinks.write_queues(labelled.drop("event_type"), path)
+    labelled = r.emit(_events(spark, folder, "event_id", "event_type", "value"), OVERLAPPING)
+    sinks.write_queues(labelled.drop("event_type", "value"), path)
     return spark.read.schema("event_id long, queue string").parquet(path)
 
 
 def custom_sink(spark: SparkSession, folder: str) -> DataFrame:
-    """Items a Python sink says it wrote."""
+    """Items that two write jobs of a Python sink left behind."""
     path = work_dir(spark, "arrow")
-    sinks.write_custom(_events(spark, folder, "event_id", "value"), sinks.ItemSink, path=path)
-    counts = sinks.committed_counts(path)
-    return spark.createDataFrame([(sum(counts.values()),)], "n long")
+    events = _events(spark, folder, "event_id", "event_type", "value")
+    for part in (ERROR, f"NOT ({ERROR})"):
+        sinks.write_custom(events.where(part).select("event_id", "value"), sinks.ItemSink, path=path)
+    return sinks.read_written(spark, sinks.ItemSink, "event_id long, value double", path=path)
 
 
 def log_tap(spark: SparkSession, folder: str) -> DataFrame:
-    return c.log_tap(_events(spark, folder, "event_id"), "beforeEnqueue")[0]
+    return c.log_tap(_events(spark, folder, "event_id"), "before")[0]
 
 
 def terminal_process(spark: SparkSession, folder: str) -> DataFrame:
     """What a tap saw of a chain that keeps nothing."""
-    tapped, tap = c.log_tap(_events(spark, folder, "event_id", "event_type").where(CLICK), "perfBolt1")
+    tapped, tap = c.log_tap(_events(spark, folder, "event_id", "event_type").where(CLICK), "clicks")
     sinks.run_terminal(tapped)
     return spark.createDataFrame([(tap.get["items"],)], "n long")
 
@@ -196,6 +214,35 @@ def conditional_set(spark: SparkSession, folder: str) -> DataFrame:
     return marked.drop("value")
 
 
+def conditional_skip(spark: SparkSession, folder: str) -> DataFrame:
+    """A step that drops items, under a condition; and a chain of steps under another."""
+    events = _events(spark, folder, "event_id", "event_type", "value")
+    both = lambda items: c.chain(items, c.skip(CLICK), c.set_value("level", "high"))
+    done = c.chain(events, c.only_if(ERROR, c.skip()), c.only_if(HIGH, both))
+    return done.select("event_id", "level")
+
+
+def open_condition(spark: SparkSession, folder: str) -> DataFrame:
+    """Tests on attributes of the open part, and on one that no item has."""
+    events = _events(spark, folder, "event_id", "props")
+    steps = (c.set_value("big", "yes", when="%{data.k} > 3"), c.skip("%{data.nowhere} = 'x' OR %{data.k} = 1"))
+    return c.chain(events, *steps).drop("props")
+
+
+def open_put(spark: SparkSession, folder: str) -> DataFrame:
+    """A key set in the open part beside the others, one with a dot in its name, and one replaced."""
+    events = _events(spark, folder, "event_id", "event_type", "props")
+    for key, value in (("a.b", F.col("event_type")), ("n", F.col("event_id") * 2), ("n", F.col("event_id"))):
+        events = put(events, key, value, open_part="props")
+    return with_attributes(events, "props", "k", "a.b", "n").select(
+        "event_id",
+        F.col("k").cast("bigint"),
+        F.col("`a.b`").alias("dotted"),
+        attribute("props", "a.b").alias("same"),
+        F.col("n").cast("bigint"),
+    )
+
+
 def drop_null_items(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder, "event_id", "event_type", "value")
     return c.chain(events, c.null_unless(HIGH), c.drop_null_items).drop("value")
@@ -205,9 +252,9 @@ def drop_null_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unrouted_dropped(spark: SparkSession, folder: str) -> DataFrame:
-    label = F.when(F.expr(ERROR), "gamma").when(F.expr(CLICK), "other")
-    labelled = _events(spark, folder, "event_id", "event_type").withColumn(r.QUEUE, label)
-    return r.select_queues(labelled, ["gamma"]).drop("event_type")
+    """Of the rules of several queues only those of the queues that exist are ever read."""
+    branches = r.split(_events(spark, folder, "event_id", "event_type"), {"gamma": ERROR, "other": CLICK})
+    return branches["gamma"].drop("event_type")
 
 
 def enqueue_one(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,8 +262,8 @@ def enqueue_one(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enqueue_route(spark: SparkSession, folder: str) -> DataFrame:
-    events = _events(spark, folder, "event_id", "event_type")
-    return r.route(events, {"gamma": ERROR, "hadron": CLICK}).drop("event_type")
+    events = _events(spark, folder, "event_id", "event_type", "value")
+    return r.emit(events, OVERLAPPING).drop("event_type", "value")
 
 
 def enqueue_multi(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +278,7 @@ def enqueue_bulk(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_select(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder, "event_id", "event_type")
-    labelled = r.route(events, {"gamma": ERROR, "hadron": CLICK})
+    labelled = r.emit(events, {"gamma": ERROR, "hadron": CLICK})
     return (
         r.select_queues(labelled, ["gamma", "hadron"])
         .groupBy("queue")
@@ -247,19 +294,21 @@ def flatmap_emit(spark: SparkSession, folder: str) -> DataFrame:
     return emitted.select("event_id", "ord", "target")
 
 
-@F.udtf(returnType="pos: int, v: double")
+@F.arrow_udtf(returnType="event_id: bigint, pos: int, v: double")
 class BothSigns:
-    """Emits two items for one."""
+    """Emits two items for one, a batch of items at a time."""
 
-    def eval(self, value: float):
-        yield 0, value
-        yield 1, -value
+    def eval(self, items: pa.RecordBatch):
+        ids, values = items.column("event_id"), items.column("value")
+        for pos, signed in enumerate((values, pc.negate(values))):
+            places = pa.array([pos] * items.num_rows, pa.int32())
+            yield pa.table({"event_id": ids, "pos": places, "v": signed})
 
 
 def udtf_emit(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder, "event_id", "value")
-    emitted = events.lateralJoin(BothSigns(F.col("value").outer()))
-    return emitted.select("event_id", "pos", "v").transform(c.set_value(r.QUEUE, "q1"))
+    emitted = BothSigns(events.asTable())
+    return emitted.transform(c.set_value(r.QUEUE, "q1"))
 
 
 def custom_emit(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,6 +361,13 @@ def output_plus_queues(spark: SparkSession, folder: str) -> DataFrame:
     return flow["x"].select("event_id", "queue")
 
 
+def output_named_as_queue(spark: SparkSession, folder: str) -> DataFrame:
+    """An output of a queue's name replaces it, with what the process gives and what it queued."""
+    flow = Flow({"data": _events(spark, folder, "event_id", "event_type")}, queues="gamma")
+    flow.process("p", Enqueue("gamma", when=ERROR), input="data", output="gamma")
+    return flow["gamma"].select("event_id", "queue")
+
+
 def undeclared_queue(spark: SparkSession, folder: str) -> DataFrame:
     flow = Flow({"data": _events(spark, folder)}, queues="gamma")
     flow.process("p", Enqueue("gamma, ghost", when=ERROR), input="data")
@@ -361,6 +417,21 @@ def keyed_apply(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flow_keyed_process(spark: SparkSession, folder: str) -> DataFrame:
+    """A process of a job that meets each user's events in order, with what it knows carried over."""
+
+    def gaps(rows: pd.DataFrame) -> pd.DataFrame:
+        before = rows.groupby("user_id", dropna=False)["event_id"].shift(1)
+        gap = rows["event_id"] - before.fillna(rows["last"]).fillna(rows["event_id"])
+        return rows[["event_id", "user_id"]].assign(gap=gap)
+
+    flow = Flow({"data": _events(spark, folder, "event_id", "user_id")})
+    carries = {"last": k.Carry(F.max("event_id"), F.max)}
+    step = Keyed(gaps, "event_id long, user_id long, gap long", carries, rows_per_segment=100)
+    flow.process("gaps", step, c.set_value("far", F.col("gap") > 200), input="data", output="x", group_by="user_id", order=["event_id"])
+    return flow["x"]
+
+
 def item_count(spark: SparkSession, folder: str) -> DataFrame:
     return c.item_count(_events(spark, folder))
 
@@ -394,6 +465,14 @@ def service_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return lookup(events, customers, "user_id", "c_custkey", ["c_mktsegment"]).drop("user_id")
 
 
+def service_lookup_large(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lookup by the way of a large service, where some users count as hot."""
+    events = _events(spark, folder, "event_id", "user_id")
+    customers = table(spark, folder, "customer")
+    found = lookup(events, customers, "user_id", "c_custkey", ["c_mktsegment"], max_rows=10, hot_rows=60)
+    return found.drop("user_id")
+
+
 def partition_setup(spark: SparkSession, folder: str) -> DataFrame:
     """A table of codes, made anew by each instance before its first item."""
 
@@ -427,12 +506,13 @@ BATCH = {
     query.__name__: query
     for query in (
         source_scan, multi_source, sharded_source, custom_source, random_source, constant_source, source_limit,
-        tolerant_read, arrival_id, json_sink, queue_sink, custom_sink, log_tap, terminal_process, process_chain,
+        tolerant_read, tolerant_projection, arrival_id, json_sink, queue_sink, custom_sink, log_tap, terminal_process, process_chain,
         set_value, create_id, alternate_ab, data_rate, instance_tag, attr_access, skip_rows, conditional_set,
+        conditional_skip, open_condition, open_put,
         drop_null_items, unrouted_dropped, enqueue_one, enqueue_route, enqueue_multi, enqueue_bulk, split_select,
         flatmap_emit, udtf_emit, custom_emit, named_output, multi_output, shared_input, chain_by_id, rebind_name,
-        output_plus_queues, undeclared_queue, routing_sample, queue_sample, count_sample, key_partition,
-        keyed_running_count, keyed_apply, item_count, finish_totals, udf_processor, service_lookup,
+        output_plus_queues, output_named_as_queue, undeclared_queue, routing_sample, queue_sample, count_sample, key_partition,
+        keyed_running_count, keyed_apply, flow_keyed_process, item_count, finish_totals, udf_processor, service_lookup, service_lookup_large,
         partition_setup, copies_invariant, coalesce_leaf,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,9 +47,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = _LOCAL_BASES.setdefault(context.applicationId, "")
         if not base:
             base = _LOCAL_BASES[context.applicationId] = tempfile.mkdtemp(prefix="millrace-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/millrace/{context.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Remove everything this application made below `work_dir`. Call it when its results are read;
+    the temporary folder of a local session also goes when the process ends."""
+    folder = work_dir(spark, "").rsplit("/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from millrace.operators.routing import QUEUE
 
@@ -31,8 +38,17 @@ def write_queues(labelled: DataFrame, path: str) -> None:
     writer.partitionBy(QUEUE).parquet(path)
 
 
-def print_items(items: DataFrame, count: int = 20) -> None:
-    """Print the first items."""
+def show_item(row: Row) -> None:
+    print(row.asDict(), flush=True)
+
+
+def print_items(items: DataFrame, show: Callable[[Row], None] = show_item) -> None:
+    """Print every item, where it is: on the output of the executor that holds it."""
+    items.foreach(show)
+
+
+def preview_items(items: DataFrame, count: int = 20) -> None:
+    """Print only the first items, on the driver."""
     items.show(count, truncate=False)
 
 
@@ -55,22 +71,49 @@ class Written(WriterCommitMessage):
     items: int
 
 
+@dataclass
+class Piece(InputPartition):
+    """A committed file."""
+
+    name: str
+
+
+def _commits(files: pafs.FileSystem, root: str) -> list[str]:
+    """The commit lists of all write jobs; each names the files of its own job."""
+    found = files.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    return sorted(info.path for info in found if info.base_name.startswith("_committed-"))
+
+
+def _listed(files: pafs.FileSystem, commit: str) -> list[tuple[str, int]]:
+    with files.open_input_stream(commit) as found:
+        lines = found.read().decode().splitlines()
+    return [(name, int(count)) for name, count in (line.split(" ") for line in lines)]
+
+
 class ItemWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    """One write job: its files carry the job's id, and count once its commit list is there."""
+
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite, self.job = path, overwrite, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, root = pafs.FileSystem.from_uri(self.path)
         files.create_dir(root, recursive=True)
         task = TaskContext.get()
-        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.arrow"
+        name = f"part-{self.job}-{task.partitionId():05d}-{task.taskAttemptId()}.arrow"
         count, sink = 0, None
-        for batch in iterator:
-            if sink is None:
-                stream = files.open_output_stream(f"{root}/{name}")
-                sink = pa.ipc.new_stream(stream, batch.schema)
-            sink.write_batch(batch)
-            count += batch.num_rows
+        try:
+            for batch in iterator:
+                if sink is None:
+                    stream = files.open_output_stream(f"{root}/{name}")
+                    sink = pa.ipc.new_stream(stream, batch.schema)
+                sink.write_batch(batch)
+                count += batch.num_rows
+        except BaseException:
+            if sink is not None:
+                stream.close()
+                files.delete_file(f"{root}/{name}")
+            raise
         if sink is None:
             return Written("", 0)
         sink.close()
@@ -78,11 +121,17 @@ class ItemWriter(DataSourceArrowWriter):
         return Written(name, count)
 
     def commit(self, messages: list[Written | None]) -> None:
-        # Only files named here count: those of failed or repeated tasks are not listed.
         files, root = pafs.FileSystem.from_uri(self.path)
+        files.create_dir(root, recursive=True)
+        before = _commits(files, root) if self.overwrite else []
         listed = [f"{done.name} {done.items}" for done in messages if done and done.name]
-        with files.open_output_stream(f"{root}/_committed") as out:
+        with files.open_output_stream(f"{root}/_committed-{self.job}") as out:
             out.write("\n".join(listed).encode())
+        for commit in before:  # what an overwrite replaces stops counting before its files go
+            names = [name for name, _ in _listed(files, commit)]
+            files.delete_file(commit)
+            for name in names:
+                files.delete_file(f"{root}/{name}")
 
     def abort(self, messages: list[Written | None]) -> None:
         files, root = pafs.FileSystem.from_uri(self.path)
@@ -91,27 +140,49 @@ class ItemWriter(DataSourceArrowWriter):
                 files.delete_file(f"{root}/{done.name}")
 
 
+class ItemReader(DataSourceReader):
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self) -> list[Piece]:
+        return [Piece(name) for name in committed_counts(self.path)]
+
+    def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
+        files, root = pafs.FileSystem.from_uri(self.path)
+        if partition is None or not partition.name:
+            return
+        with files.open_input_stream(f"{root}/{partition.name}") as stream:
+            yield from pa.ipc.open_stream(stream)
+
+
 class ItemSink(DataSource):
-    """A sink written in Python: Arrow files plus a list of the committed ones. Option: `path`, a
-    URI that all executors share. Subclass it for a sink of your own."""
+    """A sink written in Python: Arrow files, and for each write job a list of those that count.
+    Option: `path`, a URI that all executors share. Subclass it for a sink of your own."""
 
     @classmethod
     def name(cls) -> str:
         return "millrace_sink"
 
     def writer(self, schema, overwrite: bool) -> ItemWriter:
-        return ItemWriter(self.options["path"])
+        return ItemWriter(self.options["path"], overwrite)
+
+    def reader(self, schema) -> ItemReader:
+        return ItemReader(self.options["path"])
 
 
-def write_custom(items: DataFrame, sink: type[DataSource], **options: object) -> None:
-    """Write items with a Python sink class."""
+def write_custom(items: DataFrame, sink: type[DataSource], mode: str = "append", **options: object) -> None:
+    """Write items with a Python sink class: added to what is there, or in its place (`overwrite`)."""
     items.sparkSession.dataSource.register(sink)
-    items.write.format(sink.name()).mode("append").options(**options).save()
+    items.write.format(sink.name()).mode(mode).options(**options).save()
+
+
+def read_written(spark: SparkSession, sink: type[DataSource], schema: str, **options: object) -> DataFrame:
+    """The items that a sink class has committed; `schema` is that of the items written."""
+    spark.dataSource.register(sink)
+    return spark.read.format(sink.name()).schema(schema).options(**options).load()
 
 
 def committed_counts(path: str) -> dict[str, int]:
     """Files of an `ItemSink` that count, with their items."""
     files, root = pafs.FileSystem.from_uri(path)
-    with files.open_input_stream(f"{root}/_committed") as found:
-        lines = found.read().decode().splitlines()
-    return {name: int(count) for name, count in (line.split(" ") for line in lines)}
+    return {name: count for commit in _commits(files, root) for name, count in _listed(files, commit)}

@@ -1,86 +1,55 @@
-"""Base for sources written in Python: each instance is told its shard and reads only that."""
+"""Sources with code of one's own, on top of Spark's file splits.
+
+Spark lists the files and cuts them by bytes (`spark.sql.files.maxPartitionBytes`); columns and filters
+reach the scan. An instance runs on each split, is told which shard it is, and gives items of its own
+from what the split holds.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.dataset as ds
-import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-@dataclass
-class Shard(InputPartition):
-    """Instance `index` of `count`, with the files it reads as (path, row groups or None)."""
-
-    index: int
-    count: int
-    pieces: tuple[tuple[str, tuple[int, ...] | None], ...]
-
-
-def assign_pieces(dataset: ds.Dataset, count: int) -> list[list[tuple[str, tuple[int, ...] | None]]]:
-    """Deal a dataset out to `count` shards, every row group to exactly one.
-
-    Whole files where there are enough of them, so their footers are not read here; row groups only
-    where there are fewer files than shards.
-    """
-    if len(dataset.files) >= count:
-        pieces = [(path, None) for path in dataset.files]
-    else:
-        pieces = [
-            (fragment.path, (group.id,)) for fragment in dataset.get_fragments() for group in fragment.row_groups
-        ]
-    return [pieces[index::count] for index in range(count)]
-
-
-class ShardedReader(DataSourceReader):
-    def __init__(self, source: ShardedSource, schema: StructType):
-        self.source = source
-        self.schema = schema
+class ItemSource:
+    """Reads the items of one shard. Subclass it and override `items`, and `init` for set-up."""
 
-    def partitions(self) -> list[Shard]:
-        count = max(1, int(self.source.options.get("copies", "8")))
-        files, root = pafs.FileSystem.from_uri(self.source.options["path"])
-        dataset = ds.dataset(root, format="parquet", filesystem=files)
-        return [Shard(i, count, tuple(part)) for i, part in enumerate(assign_pieces(dataset, count))]
-
-    def read(self, partition: Shard) -> Iterator[pa.RecordBatch]:
-        target = to_arrow_schema(self.schema)
-        for batch in self.source.read_shard(partition, target.names):
-            yield pa.RecordBatch.from_arrays([batch.column(f.name).cast(f.type) for f in target], schema=target)
-
-
-class ShardedSource(DataSource):
-    """Parquet items, dealt to `copies` instances. Subclass and override `items` to read in your own
-    way. Options: `path` (absolute, or a URI all executors can read), `copies`. Give the schema to
-    read: only its columns leave the file."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "millrace_sharded"
-
-    def reader(self, schema: StructType) -> ShardedReader:
-        return ShardedReader(self, schema)
+    def init(self, shard: int) -> None:
+        """Called once per instance, before the first batch."""
 
     def items(self, batch: pa.RecordBatch) -> pa.RecordBatch:
-        """What a batch of the file gives: override to drop or change items."""
+        """The items that a batch of the split gives: drop, change or add some."""
         return batch
 
-    def read_shard(self, shard: Shard, columns: list[str]) -> Iterator[pa.RecordBatch]:
-        files, _ = pafs.FileSystem.from_uri(self.options["path"])
-        for path, groups in shard.pieces:
-            for fragment in ds.dataset(path, format="parquet", filesystem=files).get_fragments():
-                part = fragment if groups is None else fragment.subset(row_group_ids=list(groups))
-                for batch in part.to_batches(columns=columns):
-                    yield self.items(batch)
+
+def read_sharded(spark: SparkSession, path: str, schema: StructType | str, where: str | None = None) -> DataFrame:
+    """The given columns of a parquet source, shard by shard as Spark splits it."""
+    items = spark.read.schema(schema).parquet(path)
+    return items if where is None else items.where(where)
 
 
-def read_custom(spark: SparkSession, source: type[DataSource], schema: StructType | str, **options: object):
-    """Items of a Python source class."""
-    spark.dataSource.register(source)
-    return spark.read.format(source.name()).schema(schema).options(**options).load()
+def read_custom(
+    spark: SparkSession, source: type[ItemSource], path: str, schema: StructType | str, where: str | None = None, **options: object
+) -> DataFrame:
+    """Items of a Python source class, one instance on each shard.
+
+    `options` go to the class. The number of shards follows the bytes of the source. `where` is tested
+    in the scan, before the class sees an item.
+    """
+    split = read_sharded(spark, path, schema, where)
+    shape = split.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(shape)
+        instance = source(**options)
+        instance.init(TaskContext.get().partitionId())
+        for batch in batches:
+            found = instance.items(batch)
+            yield pa.RecordBatch.from_arrays([found.column(f.name).cast(f.type) for f in target], schema=target)
+
+    return split.mapInArrow(run, shape)

@@ -50,6 +50,16 @@ def constant_items(spark: SparkSession, items: int) -> DataFrame:
     return spark.range(items).select(*_constant_columns())
 
 
+def with_gaussian(items: DataFrame, place: str, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """Items with one standard-normal number per key, drawn from the number under `place`."""
+    return items.select("*", *_gaussian_columns(F.col(place), keys))
+
+
+def with_constants(items: DataFrame) -> DataFrame:
+    """Items with the attributes of the fixed item."""
+    return items.select("*", *_constant_columns())
+
+
 def _ticks(spark: SparkSession, per_second: int) -> DataFrame:
     return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.lookup import lookup
-from millrace.operators.ranges import small_table
+from millrace.operators.ordering import running_total
+
+_BROKEN = "_broken_line"
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -27,9 +28,18 @@ def read_streams(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON items; broken ones are left out and reading goes on, also past unreadable files."""
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
-    return reader.option("ignoreCorruptFiles", "true").json(path)
+    """JSON items; broken ones are left out and reading goes on, also past unreadable files.
+
+    A line counts as broken by the whole schema, whichever columns are asked for afterwards: it is
+    parsed once, as one value, which no projection narrows.
+    """
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(path)
+    shape = T._parse_datatype_string(schema)
+    marked = T.StructType([*shape.fields, T.StructField(_BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    item = lines.select(F.from_json("value", marked, options).alias("item"))
+    whole = item.where(F.col("item").isNotNull() & F.col(f"item.{_BROKEN}").isNull())
+    return whole.select(*(F.col("item").getField(name).alias(name) for name in shape.names))
 
 
 def read_live(
@@ -56,15 +66,8 @@ def number_arrivals(items: DataFrame, name: str = "id") -> DataFrame:
     """
     path = F.col("_metadata.file_path")
     counts = items.select(path.alias("path")).groupBy("path").count()
-    files = sorted(counts.select("path", "count", F.xxhash64("path")).collect())
-    row = F.col("_metadata.row_index")
-    if len(files) <= 1:
-        return items.withColumn(name, row)
-    # Names of files are long; their hashes serve as long as no two are alike.
-    hashed = len({code for _, _, code in files}) == len(files)
-    starts = accumulate((rows for _, rows, _ in files), initial=0)
-    known = [(code if hashed else file, start) for (file, _, code), start in zip(files, starts)]
-    offsets = small_table(items.sparkSession, known, f"_key {'long' if hashed else 'string'}, _start long")
-    placed = items.withColumns({"_file": F.xxhash64(path) if hashed else path, "_row": row})
-    found = lookup(placed, offsets, "_file", "_key", ["_start"])
+    # One row per file, added up in buckets of files: no task and not the driver sees them all.
+    offsets = running_total(counts, "path", "count", "_start")
+    placed = items.withColumns({"_file": path, "_row": F.col("_metadata.row_index")})
+    found = lookup(placed, offsets, "_file", "path", ["_start"])
     return found.withColumn(name, F.col("_start") + F.col("_row")).drop("_file", "_row", "_start")

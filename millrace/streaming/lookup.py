@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -25,6 +26,10 @@ def lookup_reset(
     is seen from the next batch on."""
 
     def deliver(batch: DataFrame, number: int) -> None:
-        sink(lookup(batch, service(), key, service_key, take), number)
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            sink(lookup(kept, service(), key, service_key, take), number)
+        finally:
+            kept.unpersist()
 
     return writer(items, "lookup", checkpoint=checkpoint).foreachBatch(deliver)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.ordering import number_rows
@@ -41,10 +42,12 @@ def number_live(
         target = batch_folder(f"{path}/items", number)
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            number_rows(kept, order, name, start=start).write.mode("overwrite").parquet(target)
+            counted = Observation()
+            numbered = number_rows(kept, order, name, start=start).observe(counted, F.count(F.lit(1)).alias("items"))
+            numbered.write.mode("overwrite").parquet(target)
+            count = counted.get["items"]
         finally:
             kept.unpersist()
-        count = spark.read.parquet(target).count()
         ended = spark.createDataFrame([(start + count,)], "next long").coalesce(1)
         ended.write.mode("overwrite").json(batch_folder(f"{path}/next", number))
 

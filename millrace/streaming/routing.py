@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from millrace.operators.routing import QUEUE, Rules, emit, route, select_queues
+from millrace.operators.routing import QUEUE, Rules, emit, select_queues
 from millrace.streaming.run import writer
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -18,8 +18,9 @@ BatchSink = Callable[[DataFrame, int], None]
 def write_queues_live(
     items: DataFrame, rules: Rules, path: str, checkpoint: str | None = None
 ) -> DataStreamWriter:
-    """Each queue to its own folder below `path`, exactly once (the file sink's own log)."""
-    sink = writer(route(items, rules), "queues", checkpoint=checkpoint)
+    """Each queue to its own folder below `path`, exactly once (the file sink's own log). An item goes
+    to every queue whose test it passes."""
+    sink = writer(emit(items, rules), "queues", checkpoint=checkpoint)
     return sink.format("parquet").partitionBy(QUEUE).option("path", path)
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from millrace.session import work_dir
+from millrace.sinks.files import show_item
 
 
 def writer(items: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataStreamWriter:
@@ -31,16 +35,56 @@ def run_live(sink: DataStreamWriter, every: str = "1 second") -> StreamingQuery:
 
 
 def live_tap(items: DataFrame, prefix: str) -> DataFrame:
-    """Pass live items through and count them under `prefix`; see `tap_count`."""
+    """Pass live items through and count them under `prefix`; a `TapCounts` adds them up."""
     return items.observe(prefix, F.count(F.lit(1)).alias("items"))
 
 
-def tap_count(query: StreamingQuery, prefix: str) -> int:
-    """Items that passed a tap, over the batches the query still knows of."""
-    seen = [progress["observedMetrics"].get(prefix) for progress in query.recentProgress]
-    return sum(row["items"] for row in seen if row)
+class TapCounts(StreamingQueryListener):
+    """Adds up what live taps saw, batch by batch, from when it is listened to.
+
+    Progress is heard as it happens, so totals do not depend on how many reports a query keeps. A
+    batch that is reported again counts once.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._seen: dict[tuple[str, str], dict[int, int]] = {}
+        self._spark = spark
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for prefix, row in event.progress.observedMetrics.items():
+            self._seen.setdefault((str(event.progress.id), prefix), {})[event.progress.batchId] = row["items"]
+
+    def total(self, query: StreamingQuery, prefix: str, wait: float = 30.0) -> int:
+        """Items that passed a tap of a query up to its last report."""
+        last, until = query.lastProgress, time.monotonic() + wait
+        while last is not None and prefix in last["observedMetrics"]:
+            seen = self._seen.get((str(query.id), prefix), {})
+            if last["batchId"] in seen:
+                return sum(seen.values())
+            if time.monotonic() > until:
+                raise TimeoutError(f"no report of batch {last['batchId']} after {wait} s")
+            time.sleep(0.05)
+        return sum(self._seen.get((str(query.id), prefix), {}).values())
+
+    def close(self) -> None:
+        self._spark.streams.removeListener(self)
+
+
+def print_live(items: DataFrame, show: Callable[[Row], None] = show_item) -> DataStreamWriter:
+    """Print every item, on the output of the executor that holds it."""
+    return writer(items, "print").foreach(show)
 
 
-def print_live(items: DataFrame, count: int = 20) -> DataStreamWriter:
-    """Print the first items of each micro-batch."""
+def preview_live(items: DataFrame, count: int = 20) -> DataStreamWriter:
+    """Print only the first items of each micro-batch, on the driver."""
     return writer(items, "print").format("console").option("numRows", count).option("truncate", False)

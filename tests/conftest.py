@@ -21,7 +21,6 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
-            "spark.sql.streaming.numRecentProgressUpdates": "200",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import keyed as k
+from millrace.plans.flow import Flow, Keyed
 
 
 @pytest.fixture(scope="module")
@@ -155,11 +156,39 @@ def test_keys_stay_together(skewed):
     assert placed.groupBy("key").agg(F.countDistinct("part").alias("n")).where("n > 1").count() == 0
 
 
-def test_only_hot_keys_are_spread(skewed):
-    placed = k.group_by_key(skewed, "key", ORDER, copies=6, rows_per_segment=100)
-    parts = placed.withColumn("part", F.spark_partition_id()).groupBy("key").agg(F.countDistinct("part").alias("n"))
-    spread = {row["key"] for row in parts.where("n > 1").collect()}
-    assert "hot" in spread and spread <= {"hot", None}
+def test_items_of_a_key_come_in_order(skewed):
+    placed = k.group_by_key(skewed.repartition(7), "key", ORDER, copies=3)
+
+    def before(rows):
+        for batch in rows:
+            yield pd.DataFrame({"key": batch["key"], "at": batch["at"], "seq": batch["seq"]})
+
+    rows = placed.mapInPandas(before, "key string, at long, seq long").collect()
+    seen = {}
+    for row in rows:
+        assert seen.get(row["key"], (-1, -1)) < (row["at"], row["seq"])
+        seen[row["key"]] = (row["at"], row["seq"])
+
+
+def test_a_cut_without_carry_is_refused(skewed):
+    with pytest.raises(ValueError, match="hot"):
+        k.keyed_apply(skewed, "key", ORDER, lambda rows: rows[["seq"]], "seq long", rows_per_segment=100)
+
+
+def test_wide_rows_make_smaller_calls(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1_000).alias("x"))
+    assert k.rows_within(wide, 1_000_000, 100_000) in range(90, 101)
+    assert k.rows_within(wide.select("id"), 1_000_000, 100) == 1_000_000
+
+
+def test_a_keyed_step_of_a_flow(skewed, skewed_rows):
+    flow = Flow({"data": skewed})
+    for limit in (100, 10_000):
+        step = Keyed(many_keys, "seq long, total long, d long", carries(), rows_per_segment=limit)
+        done = flow.process("sums", step, input="data", group_by="key", order=ORDER)
+        assert {r["seq"]: (r["total"], r["d"]) for r in done.collect()} == wanted_sums(skewed_rows)
+    with pytest.raises(ValueError, match="group_by"):
+        flow.process("sums", step, input="data")
 
 
 def test_instances_set_up_process_and_finish(spark):

@@ -58,3 +58,9 @@ def test_size_is_measured(spark):
 def test_missing_column(items, service):
     with pytest.raises(KeyError):
         lookup(items, service, "key", "code", ["nothing"])
+
+
+def test_a_service_with_two_rows_of_a_key_is_refused(items, service):
+    for limits in ({}, {"max_rows": 10}):
+        with pytest.raises(ValueError, match="rows under key"):
+            lookup(items, service.union(service.limit(1)), "key", "code", ["name"], **limits)

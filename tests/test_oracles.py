@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = {name: query for name, query in entry_points.queries().items() if name not in entry_points.LLM}
+ORACLES = {name: sql for name, sql in entry_points.oracle_sql().items() if name not in entry_points.LLM}
 
 
 @pytest.fixture(scope="module")

@@ -1,3 +1,4 @@
+import json
 from collections import Counter
 
 import pytest
@@ -38,7 +39,7 @@ def test_branch_filter_reaches_the_scan(events):
 
 def test_unknown_test_routes_nowhere(spark):
     items = spark.createDataFrame([(1, None), (2, "A"), (3, "B")], "event_id long, flag string")
-    assert ids(r.route(items, {"a": "%{data.flag} == 'A'"})) == [2]
+    assert ids(r.first_match(items, {"a": "%{data.flag} == 'A'"})) == [2]
     assert ids(r.emit(items, {"a": "%{data.flag} == 'A'"})) == [2]
     assert ids(items.transform(c.skip("%{data.flag} == 'A'"))) == [1, 3]
     assert ids(items.transform(c.skip())) == []
@@ -51,10 +52,10 @@ def test_label_is_exact_and_stays(spark):
     assert r.select_queues(items, ["gamma"]).first()["queue"] == "gamma"
 
 
-def test_first_rule_wins_in_route_and_all_rules_count_in_emit(spark):
+def test_first_rule_wins_in_first_match_and_all_rules_count_in_emit(spark):
     items = spark.createDataFrame([(1, 5), (2, 50)], "event_id long, v long")
     rules = {"any": None, "big": "v > 10"}
-    assert Counter(row["queue"] for row in r.route(items, rules).collect()) == {"any": 2}
+    assert Counter(row["queue"] for row in r.first_match(items, rules).collect()) == {"any": 2}
     assert Counter(row["queue"] for row in r.emit(items, rules).collect()) == {"any": 2, "big": 1}
 
 
@@ -245,3 +246,44 @@ def test_samples(spark):
     done = samples.queue_sample(data)
     assert done.where("queue = 'q1' AND fromQueue = 'true'").count() == 1000
     assert samples.count_sample(spark.range(100_000)).first()["n"] == 100_000
+
+
+def test_an_output_replaces_a_queue_of_its_name(events):
+    flow = Flow({"data": events}, "gamma")
+    flow.process("p", Enqueue("gamma", "event_type = 'error'"), input="data", output="gamma")
+    errors = events.where("event_type = 'error'").count()
+    assert flow["gamma"].count() == events.count() + errors
+
+
+def test_conditions_read_the_open_part(spark):
+    rows = [(1, '{"k": 5, "a.b": "x"}'), (2, '{"k": 1}'), (3, None), (4, "broken")]
+    items = spark.createDataFrame(rows, "event_id long, props string")
+    assert ids(r.enqueue(items, "q", "%{data.k} > 3")) == [1]
+    assert ids(r.enqueue(items, "q", "%{data.a.b} = 'x'")) == [1]
+    assert ids(r.enqueue(items, "q", "%{data.event_id} > 2")) == [3, 4]
+    assert ids(r.emit(items, {"q": "%{data.nowhere} = 1"})) == []
+    assert ids(items.drop("props").transform(c.skip("%{data.k} = 1"))) == [1, 2, 3, 4]
+
+
+def test_only_if_with_any_step(spark):
+    items = spark.createDataFrame([(1, 5), (2, 50), (3, None)], "event_id long, v long")
+    assert ids(items.transform(c.only_if("v > 10", c.skip()))) == [1, 3]
+    doubled = items.transform(c.only_if("v > 10", lambda d: d.union(d)))
+    assert ids(doubled) == [1, 2, 2, 3]
+    marked = items.transform(c.only_if("v > 10", c.set_value("m", 1)))
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0
+    assert {row["event_id"]: row["m"] for row in marked.collect()} == {1: None, 2: 1, 3: None}
+
+
+def test_put_into_the_open_part(spark):
+    rows = [(1, '{"k": 5, "s": "t", "o": {"x": [1, null]}}'), (2, None), (3, "broken"), (4, "[1]"), (5, '{"n": 1}')]
+    items = spark.createDataFrame(rows, "event_id long, props string")
+    got = {row["event_id"]: json.loads(row["props"]) for row in put(items, "n", F.col("event_id"), "props").collect()}
+    assert got[1] == {"k": 5, "s": "t", "o": {"x": [1, None]}, "n": 1}
+    assert [got[i] for i in (2, 3, 4, 5)] == [{"n": i} for i in (2, 3, 4, 5)]
+
+
+def test_a_dot_in_a_key_is_part_of_it(spark):
+    items = spark.createDataFrame([(1, '{"a.b": 1, "a": {"b": 2}}')], "event_id long, props string")
+    row = with_attributes(items, "props", "a.b").select("`a.b`", attribute("props", "a.b").alias("x"), has_attribute("props", "b.a"))
+    assert tuple(row.first()) == ("1", "1", False)

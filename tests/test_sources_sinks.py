@@ -1,13 +1,16 @@
 import math
+import tempfile
 from pathlib import Path
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.chain import instance_tag
 from millrace.operators.copies import parse_copies, rescale, with_copies
-from millrace.session import set_copies, work_dir
+from millrace.session import clear_work, set_copies, work_dir
 from millrace.sinks import files as sinks
 from millrace.sources import sharded, synthetic, tables
 
@@ -31,23 +34,62 @@ def test_sources_are_named_and_needed(spark, data):
         tables.read_items(spark, f"{data}/missing.parquet")
 
 
-@pytest.mark.parametrize("copies", [1, 4, 9, 40])
-def test_any_number_of_shards_reads_every_item_once(spark, events, many_files, copies):
-    schema = "event_id long, event_type string"
-    got = sharded.read_custom(spark, sharded.ShardedSource, schema, path=many_files, copies=copies)
-    assert got.rdd.getNumPartitions() == copies
-    want = events.select("event_id", "event_type")
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+def numbered_source():
+    """A source class made here, so that it travels to the workers by value."""
 
+    class Numbered(sharded.ItemSource):
+        """Gives its shard's number with every item."""
 
-def test_pieces_are_dealt_once(many_files):
-    dataset = sharded.ds.dataset(many_files, format="parquet")
-    groups = sum(len(list(f.row_groups)) for f in dataset.get_fragments())
-    assert groups > 6
-    for count in (1, 6, 7, 100):
-        pieces = [piece for part in sharded.assign_pieces(dataset, count) for piece in part]
-        assert len(pieces) == len(set(pieces)) == (len(dataset.files) if count <= 6 else groups)
+        def init(self, shard):
+            self.shard = shard
+
+        def items(self, batch):
+            shards = pa.array([self.shard] * batch.num_rows, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column("event_id"), shards], names=["event_id", "user_id"])
+
+    return Numbered
+
+
+@pytest.mark.parametrize("split", [1 << 13, 1 << 16, 1 << 27])
+def test_shards_follow_the_bytes_and_read_every_item_once(spark, events, many_files, split):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = sharded.read_custom(spark, numbered_source(), many_files, "event_id long, user_id long")
+        shards = got.rdd.getNumPartitions()
+        rows = [row["event_id"] for row in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(rows) == sorted(row["event_id"] for row in events.select("event_id").collect())
+    size = sum(f.stat().st_size for f in Path(many_files).glob("*.parquet"))
+    assert shards >= size // split
+    if split < 1 << 14:
+        assert shards > 6  # a file is split too
+
+
+def test_columns_and_filters_of_a_custom_source_reach_the_scan(spark, many_files):
+    got = sharded.read_custom(spark, sharded.ItemSource, many_files, "event_id long, value double", "value > 400")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(value,400.0)" in plan and "ReadSchema: struct<event_id:bigint,value:double>" in plan
+    assert got.count() == spark.read.parquet(many_files).where("value > 400").count()
+
+
+def test_arrivals_of_many_files(spark, many_files):
+    items = tables.read_items(spark, many_files).select("event_id")
+    got = tables.number_arrivals(items).select("event_id", "id").collect()
+    files = sorted(Path(many_files).glob("*.parquet"))
+    arrived = [x for f in files for x in pq.read_table(f, columns=["event_id"]).column(0).to_pylist()]
+    assert {row["id"]: row["event_id"] for row in got} == dict(enumerate(arrived))
+
+
+def test_tolerant_rows_do_not_depend_on_the_columns(spark, tmp_path):
+    lines = ['{"a": 1, "b": "x"}', '{"a": 2, "b": "y', '{"a": "no", "b": "z"}', '{"a": 3}', "", "[]", '{"b": "w"}']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/lines.json").write_text("\n".join(lines))
+    items = tables.read_tolerant(spark, str(tmp_path / "in"), "a long, b string")
+    assert items.count() == len(items.collect()) == items.select("b").count() == len(items.select("a").collect()) == 3
 
 
 def test_gaussian(spark):
@@ -84,7 +126,9 @@ def test_arrival_numbers_over_many_files(spark, many_files):
     assert sorted(row["id"] for row in rows) == list(range(len(rows)))
     # These files are in event order, so the order of arrival is too.
     assert all(row["id"] == row["event_id"] for row in rows)
-    assert "Exchange hashpartitioning" not in numbered._jdf.queryExecution().executedPlan().toString()
+    # Only the list of files is shuffled, by bucket; the items are not.
+    exchanges = [x for x in numbered._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in x]
+    assert all("_bucket" in x or "path" in x for x in exchanges)
     odd = tables.number_arrivals(items).where("event_id % 2 = 1")
     assert odd.where("id <> event_id").count() == 0
 
@@ -116,15 +160,31 @@ def test_custom_sink_lists_what_counts(spark, events, tmp_path):
     assert {p.name for p in Path(path).glob("part-*")} == set(counts)
 
 
+def test_a_second_write_adds_and_an_overwrite_replaces(spark, tmp_path):
+    path = str(tmp_path / "arrow")
+    read = lambda: sorted(r["id"] for r in sinks.read_written(spark, sinks.ItemSink, "id long", path=path).collect())
+    sinks.write_custom(spark.range(10), sinks.ItemSink, path=path)
+    sinks.write_custom(spark.range(10, 15), sinks.ItemSink, path=path)
+    assert read() == list(range(15))
+    (tmp_path / "arrow/part-of-a-failed-task.arrow").write_bytes(b"broken")
+    sinks.write_custom(spark.range(3), sinks.ItemSink, mode="overwrite", path=path)
+    assert read() == [0, 1, 2]
+    sinks.write_custom(spark.range(0), sinks.ItemSink, path=path)
+    assert read() == [0, 1, 2]
+
+
 def test_collect_is_bounded(spark):
     assert len(sinks.collect_items(spark.range(5), 5)) == 5
     with pytest.raises(ValueError):
         sinks.collect_items(spark.range(6), 5)
 
 
-def test_print(spark, capfd):
-    sinks.print_items(spark.range(3), 2)
+def test_print(spark, capfd, tmp_path):
+    sinks.preview_items(spark.range(3), 2)
     assert "only showing top 2 rows" in capfd.readouterr().out
+    path = str(tmp_path / "printed")
+    sinks.print_items(spark.range(60, numPartitions=3), lambda row: print(row, file=open(path, "a")))
+    assert len(Path(path).read_text().splitlines()) == 60
 
 
 def test_terminal(events):
@@ -135,10 +195,13 @@ def test_terminal(events):
 
 
 def test_copies(spark, events):
-    assert [parse_copies(x) for x in (3, "4", "x", None, "", "-2")] == [3, 4, 1, 1, 1, 1]
+    assert [parse_copies(x) for x in (3, "4")] == [3, 4]
+    for bad in ("x", None, "", "-2", 0):
+        with pytest.raises(ValueError, match="copies"):
+            with_copies(events, bad)
     assert with_copies(events, 5).rdd.getNumPartitions() == 5
     assert rescale(with_copies(events, 5), 2).rdd.getNumPartitions() == 2
-    assert rescale(events, 2).count() == with_copies(events, "bad").count() == events.count()
+    assert rescale(events, 2).count() == with_copies(events, 3).count() == events.count()
 
 
 def test_job_copies(spark):
@@ -174,4 +237,13 @@ def test_work_dir_is_in_the_shared_folder():
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(session_like("yarn", None), "x")
-    assert work_dir(session_like("local[2]", None), "x").startswith("/tmp/millrace-")
+    assert work_dir(session_like("local[2]", None), "x").startswith(f"{tempfile.gettempdir()}/millrace-")
+
+
+def test_work_is_cleared(spark):
+    path = work_dir(spark, "cleared")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    clear_work(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

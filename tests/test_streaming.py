@@ -1,4 +1,5 @@
 import time
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -12,7 +13,7 @@ from millrace.sources.tables import read_live
 from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live
 from millrace.streaming.routing import fan_out, live_counts, parquet_batches, write_queues_live
-from millrace.streaming.run import live_tap, print_live, run_live, run_to_end, tap_count, writer
+from millrace.streaming.run import TapCounts, live_tap, preview_live, print_live, run_live, run_to_end, writer
 from millrace.streaming.state import SALT, Context, keyed_state, salted
 
 FILES = 6
@@ -35,9 +36,12 @@ def same(got, want):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+RULES = q.OVERLAPPING
+
+
 def routed(events):
-    label = F.when(F.col("event_type") == "error", "gamma").otherwise("hadron")
-    return events.where("event_type IN ('error', 'click')").select("event_id", label.alias("queue"))
+    gamma = events.where("event_type = 'error'").select("event_id", F.lit("gamma").alias("queue"))
+    return gamma.unionAll(events.where("value > 10").select("event_id", F.lit("hadron").alias("queue")))
 
 
 def test_stream_equals_batch_over_several_batches(spark, data, events, live):
@@ -144,7 +148,7 @@ def test_restart_goes_on_and_repeats_nothing(spark, events, folder, tmp_path):
     progress, path = str(tmp_path / "progress"), str(tmp_path / "out")
     for _ in range(2):
         live = read_live(spark, folder, events.schema, max_files=2)
-        run_to_end(write_queues_live(live.select("event_id", "event_type"), q.RULES, path, checkpoint=progress))
+        run_to_end(write_queues_live(live.select("event_id", "event_type", "value"), RULES, path, checkpoint=progress))
     same(spark.read.schema("event_id long, queue string").parquet(path), routed(events))
 
 
@@ -208,13 +212,13 @@ def test_failure_is_raised(spark, live):
         raise RuntimeError("broken sink")
 
     with pytest.raises(Exception, match="broken sink"):
-        run_to_end(fan_out(live, q.RULES, {"gamma": fail}))
+        run_to_end(fan_out(live, RULES, {"gamma": fail}))
 
 
 def test_a_flow_over_a_live_stream(spark, events, live, tmp_path):
-    flow = Flow({"data": live.select("event_id", "event_type", "user_id")}, "gamma, hadron")
+    flow = Flow({"data": live.select("event_id", "event_type", "user_id", "value")}, "gamma, hadron")
     flow.process(
-        "split", Enqueue("gamma", q.RULES["gamma"]), Enqueue("hadron", q.RULES["hadron"]),
+        "split", Enqueue("gamma", RULES["gamma"]), Enqueue("hadron", RULES["hadron"]),
         input="data", group_by="user_id", order=["event_id"],
     )
     out = str(tmp_path / "out")
@@ -222,16 +226,46 @@ def test_a_flow_over_a_live_stream(spark, events, live, tmp_path):
     same(spark.read.parquet(out), routed(events))
 
 
-def test_tap_on_a_live_stream(events, live):
-    done = run_to_end(writer(live_tap(live, "before"), "noop").format("noop"))
-    assert tap_count(done, "before") == events.count()
-    assert tap_count(done, "other") == 0
+def test_tap_on_a_live_stream(spark, events, live):
+    """All items count, although the query keeps only the reports of its last two batches."""
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    taps = TapCounts(spark)
+    try:
+        done = run_to_end(writer(live_tap(live, "before"), "noop").format("noop"))
+        assert len(done.recentProgress) <= 2
+        assert taps.total(done, "before") == events.count()
+        assert taps.total(done, "other") == 0
+    finally:
+        taps.close()
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
 
 
-def test_print_on_a_live_stream(live):
-    done = run_to_end(print_live(live.select("event_id"), 2))
+def test_print_on_a_live_stream(live, tmp_path):
+    done = run_to_end(preview_live(live.select("event_id"), 2))
     assert "ConsoleTable" in done.lastProgress["sink"]["description"]
     assert done.lastProgress["batchId"] >= FILES - 1
+    path = str(tmp_path / "printed")
+    run_to_end(print_live(live.where("event_id < 50"), lambda row: print(row["event_id"], file=open(path, "a"))))
+    assert sorted(map(int, Path(path).read_text().split())) == list(range(50))
+
+
+def test_state_survives_another_shuffle_setting(spark, events, folder, tmp_path):
+    """Half the files, a stop, another number of shuffle partitions, then the rest."""
+    source, out, progress = (str(tmp_path / name) for name in ("source", "out", "progress"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    users = events.select("event_id", "user_id")
+    users.where("event_id % 2 = 0").repartition(3).write.parquet(source)
+    try:
+        for part, partitions in ((None, before), ("event_id % 2 = 1", "3")):
+            if part:
+                users.where(part).repartition(3).write.mode("append").parquet(source)
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            live = read_live(spark, source, users.schema, max_files=1)
+            got = q.stream_counts(spark, live, progress, out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    same(got.groupBy("user_id").agg(F.max("n").alias("n")), events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
 
 
 def test_endless_sources(spark):
