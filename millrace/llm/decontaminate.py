@@ -217,7 +217,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, spec:
     """The documents without a match, with their columns."""
     names = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string").alias("text"))
-    shape = f"row {packed.schema['row'].dataType.simpleString()}, text string"
+    shape = packed.schema
     for block in item_blocks(spark, items, spec):
         packed = packed.mapInArrow(_clean(block), shape)
     return packed.select(*(F.col("row").getField(c).alias(c) for c in names))

@@ -30,9 +30,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.tables import written
-from millrace.llm.words import lower_ascii, mixed, shingle_sets, text_blocks, windows, word_hashes
+from millrace.llm.words import lower_ascii, mixed, shingle_sets, text_blocks, word_hashes
 
 SLOTS = 1 << 20
 
@@ -303,7 +304,7 @@ def _with_nodes(docs: DataFrame, near: Near) -> DataFrame:
                 names = pa.array([node_name(s) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), names], names=["row", "_node"])
 
-    named = rows.mapInArrow(name, f"row {rows.schema['row'].dataType.simpleString()}, _node binary")
+    named = rows.mapInArrow(name, T.StructType([rows.schema["row"], T.StructField("_node", T.BinaryType())]))
     return named.select("row", F.col("row.doc_id").cast("long").alias("_id"), F.col("row.text").cast("string").alias("_text"), "_node")
 
 

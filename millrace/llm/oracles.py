@@ -55,4 +55,41 @@ SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
        CASE WHEN taken > 0 THEN 2 * z / (x + sqrt(greatest(0.0::DOUBLE, x * x + 2 * (y - x) * z))) END AS first_position FROM z
 """
 
-ORACLES = {"op1_quality_rules": QUALITY, "op10_source_mix": MIX}
+NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(words) >= 5
+        THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.size + y.size - shared)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+REPEATS = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS run
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+f AS (SELECT run, min(doc_id) AS first FROM g GROUP BY run),
+h AS (SELECT doc_id, i FROM g JOIN f USING (run) WHERE first < doc_id),
+c AS (SELECT DISTINCT doc_id, i + k AS pos FROM h, (SELECT unnest(range(0, 13)) AS k)),
+e AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w),
+k AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.pos) FILTER (c.pos IS NULL) AS kept, count(c.pos) AS n_removed
+      FROM e LEFT JOIN c ON e.doc_id = c.doc_id AND e.pos = c.pos GROUP BY e.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES = {
+    "op1_quality_rules": QUALITY,
+    "op6_minhash_dedup": NEAR,
+    "op7_substring_dedup": REPEATS,
+    "op10_source_mix": MIX,
+}

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.words import (
     NOT_WORD,
@@ -204,7 +205,6 @@ def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
     """
     names = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string").alias("text"))
-    schema = packed.schema
 
     def bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +214,7 @@ def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
                     [part.column(0), *(pa.array(found[n], pa.int64()) for n in NUMBERS)], names=["row", *NUMBERS]
                 )
 
-    shape = f"row {schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} long" for n in NUMBERS)
+    shape = T.StructType([packed.schema["row"], *(T.StructField(n, T.LongType()) for n in NUMBERS)])
     measured = packed.mapInArrow(bits, shape)
     reject = F.lit(False)
     for rule in policy.rules:

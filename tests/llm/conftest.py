@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType(
@@ -19,8 +20,8 @@ def corpus(spark):
     def make(rows, extra=None):
         full = [(*r, *[None, None, None][len(r) - 2 :])[:4] for r in rows]
         frame = spark.createDataFrame([(*r, len(r[1]) if r[1] else 0) for r in full], SCHEMA)
-        for name in extra or ():
-            frame = frame.selectExpr("*", f"'x' AS {name}")
+        for name in [*(extra or ()), *(["odd name-1.x"] if extra else [])]:
+            frame = frame.withColumn(name, F.lit("x"))
         return frame
 
     return make
