@@ -5,6 +5,7 @@ from millrace.functions.items import (
     has_attribute,
     merge_streams,
     put,
+    rows_within,
     with_attributes,
 )
 
@@ -15,5 +16,6 @@ __all__ = [
     "has_attribute",
     "merge_streams",
     "put",
+    "rows_within",
     "with_attributes",
 ]

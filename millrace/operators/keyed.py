@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import rows_within
 from millrace.operators.ranges import (
     NUMBER,
     Cuts,
@@ -37,7 +38,6 @@ ROWS_PER_SEGMENT = 1_000_000
 ROWS_PER_CALL = 100_000
 BYTES_PER_SEGMENT = 512 << 20
 BYTES_PER_CALL = 64 << 20
-SAMPLED_WIDTHS = 1_000
 MAX_SEGMENTS = 1 << 17
 SAMPLES_PER_SEGMENT = 24
 
@@ -122,17 +122,6 @@ def group_by_key(items: DataFrame, key: str, order: Sequence[str], copies: int |
     return placed if items.isStreaming else placed.sortWithinPartitions(key, *order)
 
 
-def rows_within(items: DataFrame, rows: int, most_bytes: int) -> int:
-    """`rows`, or fewer where so many would exceed `most_bytes`, by the mean width of the first rows.
-
-    Items of fixed width are taken as they come, without looking."""
-    wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    if items.isStreaming or not any(isinstance(field.dataType, wide) for field in items.schema):
-        return rows
-    width = items.limit(SAMPLED_WIDTHS).agg(F.avg(F.length(F.to_json(F.struct("*"))))).first()[0]
-    return max(1, min(rows, int(most_bytes / max(width or 1, 1))))
-
-
 def with_carry(
     items: DataFrame,
     key: str,

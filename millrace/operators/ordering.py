@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import rows_within
 from millrace.operators.ranges import (
     NUMBER,
     Cuts,
@@ -28,6 +29,7 @@ from millrace.operators.ranges import (
 
 BUCKET = "_bucket"
 ROWS_PER_BUCKET = 1_000_000
+BYTES_PER_BUCKET = 512 << 20
 MAX_BUCKETS = 16_384
 SAMPLES_PER_BUCKET = 48
 MAX_TOP_K = 100_000
@@ -84,10 +86,12 @@ def number_rows(
     """Dense running numbers from `start` along the order columns, which must be unique together.
 
     Three looks at the input: the order columns twice (sample, bucket sizes) and one full pass with
-    a single shuffle by bucket. The input must give the same rows each time; write it to a table
+    a single shuffle by bucket; where rows are of no fixed width, the first rows are looked at too, and
+    wide rows make smaller buckets. The input must give the same rows each time; write it to a table
     first if it does not.
     """
     order = [order] if isinstance(order, str) else list(order)
+    rows_per_bucket = rows_per_bucket or rows_within(items, ROWS_PER_BUCKET, BYTES_PER_BUCKET)
     cuts = cut_points(items, order, rows_per_bucket)
     bucketed = with_buckets(items, cuts)
     sizes = sorted(with_buckets(items.select(*order), cuts).groupBy(BUCKET).count().collect())
