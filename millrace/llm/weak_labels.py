@@ -103,8 +103,11 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, labellers: list[L
         share = n @ now.posterior(votes)
         weight = np.log(now.accuracy / (1 - now.accuracy))
         others = (sign @ weight)[:, None] - sign * weight
-        right = cast / (1 + np.exp(-np.clip(others * sign, -500, 500)))
-        accuracy = np.clip((right.sum(0) + worth * start) / (cast.sum(0) + worth), 0.5, 0.9999)
+        # What the others expect, from -1 to 1. A vote of accuracy a agrees with it by (2a - 1) t * t.
+        expect = np.tanh(np.clip(others, -500, 500) / 2)
+        agreed, certain = (cast * sign * expect).sum(0), (cast * expect**2).sum(0)
+        found = 0.5 + 0.5 * np.clip(agreed / np.maximum(certain, 1e-9), 0, 0.9998)
+        accuracy = np.clip((cast.sum(0) * found + worth * start) / (cast.sum(0) + worth), 0.5, 0.9999)
         new = Beliefs(float(np.clip((share + 1) / (n.sum() + 10), 0.001, 0.5)), accuracy)
         moved = np.abs(new.accuracy - now.accuracy).max() + abs(new.bad - now.bad)
         now = new
