@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import table, work_dir
@@ -38,6 +38,16 @@ def spread(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def hashed_sample(rows: DataFrame, key: Column, wanted: int, count: int, salt: str) -> DataFrame:
+    """About `wanted` of `count` rows and at most twice as many: those whose hashed key is small.
+
+    Rows are chosen where they are, so nothing but the sample is ever moved.
+    """
+    share = min(1.0, wanted / max(count, 1))
+    chosen = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 30)) < F.lit(round(share * (1 << 30)))
+    return rows.where(chosen).limit(2 * wanted)
+
+
 def fold(doc_id):
     """crc32 of the id as text, modulo 4: the folds of the language query."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
