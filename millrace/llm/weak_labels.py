@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.quality_rules import NUMBERS, ledger, text_numbers
-from millrace.llm.tables import written
+from millrace.llm.tables import hashed_sample, written
 from millrace.llm.words import NOT_WORD, flat_bytes, mixed, span_hashes, text_blocks, word_spans
 from millrace.llm.decontaminate import lowered
 
@@ -241,17 +241,21 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
         patterns, n = coded([r[question] for r in counted]), np.array([r["n"] for r in counted], np.float64)
         belief = beliefs[question] = expectation_maximisation(patterns, n, list(labellers.values()))
         chance = belief.posterior(patterns)
-        label = {r[question]: float(c) for r, c in zip(counted, chance, strict=True)}
-        table = spark.createDataFrame(list(label.items()), f"{question} string, chance double")
-        # The sample: of each posterior class the texts with the smallest hash of the id, those with a
-        # human vote first, as they tell most.
-        judged = cast.join(table, question).where("doc_id IS NOT NULL AND (chance > 0.8 OR chance < 0.2)")
-        order = [F.substring(question, -1, 1) == "-", F.md5(F.col("doc_id").cast("string"))]
-        picked = None
-        for side in ("chance > 0.8", "chance < 0.2"):
-            part = judged.where(side).orderBy(*order).limit(fit.texts).select("doc_id", "chance")
-            picked = part if picked is None else picked.unionByName(part)
-        # At most 2 * fit.texts rows: bounded for the broadcast and for the driver.
+        known = [(r[question], float(c), r["n"]) for r, c in zip(counted, chance, strict=True)]
+        table = spark.createDataFrame([k[:2] for k in known], f"{question} string, chance double")
+        judged = cast.join(F.broadcast(table), question).where("doc_id IS NOT NULL")  # at most 3 ** labellers rows
+        # The sample: of each posterior class the texts with a human vote first, as they tell most.
+        picked = cast.select("doc_id", F.lit(0.0).alias("chance")).limit(0)
+        for low, high in ((0.8, 1.0), (0.0, 0.2)):
+            left = fit.texts
+            for human in (True, False):
+                count = sum(n for p, c, n in known if low <= c <= high and (p[-1] != "-") == human)
+                if left <= 0 or not count:
+                    continue
+                side = judged.where(F.col("chance").between(low, high) & ((F.substring(question, -1, 1) != "-") == human))
+                picked = picked.unionByName(hashed_sample(side, F.col("doc_id"), left, count, question).select("doc_id", "chance"))
+                left -= count
+        # At most 8 * fit.texts rows: bounded for the broadcast and for the driver.
         sample = rows.join(F.broadcast(picked), "doc_id").mapInArrow(_featured(fit.bits), "chance double, features array<int>")
         held = sample.toArrow()
         lists = held.column("features").combine_chunks()
