@@ -116,15 +116,26 @@ def expectation_maximisation(votes: np.ndarray, n: np.ndarray, labellers: list[L
     return now
 
 
-def features(texts: pa.Array, bits: int) -> list[np.ndarray]:
-    """Sorted distinct hashed features of every text."""
+def features(texts: pa.Array, bits: int, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hashed feature of every distinct feature of a text, sorted; only `used` ones if given."""
     low, first = flat_bytes(lowered(texts))
     starts, ends, words = word_spans(low, first, NOT_WORD)
     kinds = [span_hashes(low, starts, ends)]
     for length in (4, 6, 8):
         kinds.append(span_hashes(low, starts, np.minimum(ends, starts + length)) + np.uint64(length))
     shift = np.uint64(64 - bits)
-    slots = [(mixed(k) >> shift).astype(np.int32) for k in kinds]
+    of = np.repeat(np.arange(len(texts)), np.diff(words))
+    keys = []
+
+    def note(text: np.ndarray, hashes: np.ndarray) -> None:
+        slots = (mixed(hashes) >> shift).astype(np.int64)
+        if used is not None:
+            known = used[slots]
+            text, slots = text[known], slots[known]
+        keys.append(text << bits | slots)
+
+    for hashes in kinds:
+        note(of, hashes)
     raw, whole = flat_bytes(texts.cast(pa.large_string()).fill_null(""))
     found = text_numbers(raw, whole)
     n_words, chars = np.maximum(found["n_words"], 1), np.maximum(found["word_chars"], 1)
@@ -133,15 +144,11 @@ def features(texts: pa.Array, bits: int) -> list[np.ndarray]:
         "upper": 10 * found["n_upper"] // np.maximum(found["n_upper"] + found["n_lower"], 1),
         "shouts": 10 * found["n_shouts"] // n_words, "words": found["n_words"], "length": chars // n_words,
     }
-    levels = []
     for i, value in enumerate(numbers.values()):
         level = np.frexp(value.astype(np.float64))[1]  # 0, 1, 2-3, 4-7, ...
-        levels.append((mixed((level + 100 * (i + 1)).astype(np.uint64)) >> shift).astype(np.int32))
-    out = []
-    for t, (a, b) in enumerate(zip(words[:-1].tolist(), words[1:].tolist(), strict=True)):
-        own = [s[a:b] for s in slots]
-        out.append(np.unique(np.concatenate([*own, np.array([v[t] for v in levels], np.int32)])))
-    return out
+        note(np.arange(len(texts)), (level + 100 * (i + 1)).astype(np.uint64))
+    found_keys = np.unique(np.concatenate(keys))
+    return found_keys >> bits, found_keys & ((1 << bits) - 1)
 
 
 @dataclass
@@ -150,8 +157,8 @@ class Scorer:
 
     weights: np.ndarray
 
-    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
-        sums = np.array([self.weights[r].sum() for r in rows], np.float64) + self.weights[-1]
+    def scores(self, of: np.ndarray, slots: np.ndarray, texts: int) -> np.ndarray:
+        sums = np.bincount(of, self.weights[slots], texts) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
 
 
@@ -273,10 +280,12 @@ def _featured(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, _, _ in text_blocks(batch):
-                lists = features(part.column(part.schema.get_field_index("text")), bits)
+                of, slots = features(part.column(part.schema.get_field_index("text")), bits)
+                ends = np.searchsorted(of, np.arange(len(part) + 1))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slots, pa.int32()))
                 chance = part.column(part.schema.get_field_index("chance"))
                 yield pa.RecordBatch.from_arrays(
-                    [chance, pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], names=["chance", "features"]
+                    [chance, lists], names=["chance", "features"]
                 )
 
     return run
@@ -285,12 +294,12 @@ def _featured(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
 def _scored(shared, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorers: dict[str, Scorer] = shared.value
+        used = np.any([scorers[q].weights[:-1] != 0 for q in QUESTIONS], axis=0)
         for batch in batches:
             for part, _, _ in text_blocks(batch):
-                rows = features(part.column(1), bits)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(scorers[q].scores(rows)) for q in QUESTIONS)], names=["doc_id", *QUESTIONS]
-                )
+                found = features(part.column(1), bits, used)
+                scores = [pa.array(scorers[q].scores(*found, len(part))) for q in QUESTIONS]
+                yield pa.RecordBatch.from_arrays([part.column(0), *scores], names=["doc_id", *QUESTIONS])
 
     return run
 

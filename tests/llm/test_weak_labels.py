@@ -30,13 +30,24 @@ def test_scorer_learns_rare_features():
         rows.append(np.unique(row))
         target.append(float(i % 2))
     scorer = fitted(rows[:800], np.array(target[:800]), Fit(bits=13))
-    scores = scorer.scores(rows[800:])
+    scores = scorer.scores(np.repeat(np.arange(400), [len(r) for r in rows[800:]]), np.concatenate(rows[800:]), 400)
     assert ((scores > 0.5) == np.array(target[800:])).mean() > 0.97
 
 
 def test_one_class_stays_at_prior():
     scorer = fitted([np.array([1, 2])], np.array([0.0]), Fit(bits=4))
-    assert scorer.scores([np.array([1])])[0] == pytest.approx(Fit().prior)
+    assert scorer.scores(np.array([0]), np.array([1]), 1)[0] == pytest.approx(Fit().prior)
+
+
+def test_only_used_features_change_nothing():
+    import pyarrow as pa
+
+    texts = pa.array(["the words of a text, the words", None, "", "OTHER words! " * 30])
+    generator = np.random.default_rng(1)
+    weights = np.where(generator.random(1 << 12) < 0.3, generator.normal(size=1 << 12), 0)
+    scorer = weak_labels.Scorer(np.append(weights, 0.5))
+    whole = scorer.scores(*weak_labels.features(texts, 12), 4)
+    assert scorer.scores(*weak_labels.features(texts, 12, weights != 0), 4) == pytest.approx(whole)
 
 
 def test_held_out_labels(spark, data):
