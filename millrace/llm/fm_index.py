@@ -321,7 +321,15 @@ def _searched(spec: Repeat) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.
     def shard(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
         docs = table.column("first").to_numpy()
-        firsts = first_documents(table.column("words").to_pylist(), docs, spec.window)
+        texts = table.column("words").to_pylist()
+        _, group, sizes = np.unique(table.column("anchor").to_numpy(), return_inverse=True, return_counts=True)
+        # A fragment that is the only one of its anchor shares its windows with no other.
+        firsts = [np.full(t.count(" ") + 2 - spec.window, d) for t, d in zip(texts, docs.tolist(), strict=True)]
+        several = np.flatnonzero(sizes[group] > 1)
+        if len(several):
+            found = first_documents([texts[i] for i in several], docs[several], spec.window)
+            for i, f in zip(several.tolist(), found, strict=True):
+                firsts[i] = f
         lists = pa.array([f.tolist() for f in firsts], pa.list_(pa.int64()))
         return pa.RecordBatch.from_arrays([table.column("fragment").combine_chunks(), lists], names=["fragment", "firsts"])
 
