@@ -104,6 +104,29 @@ def test_items_in_blocks(spark, documents, data, monkeypatch):
     assert parts.keys() == whole.keys()
 
 
+def test_repeated_rows_change_nothing(spark, corpus):
+    words = [f"q{i}" for i in range(40)]
+    edited = corpus([(1, "so " + " ".join([*words[:-1], "other"]) + " it is")])
+    once = found(spark, edited, frame_of(spark, [(0, " ".join(words))]))
+    often = [(i, (", " if i % 2 else " ").join(words)) for i in range(10)]
+    assert once == {(1, 0): pytest.approx(35 / 37)}
+    assert found(spark, edited, frame_of(spark, often)) == {(1, i): pytest.approx(35 / 37) for i in range(10)}
+    assert decontaminate.decontaminated(spark, edited, frame_of(spark, often)).count() == 0
+
+
+def test_scores_do_not_depend_on_blocks(spark, corpus, monkeypatch):
+    """Items that share half of their words: the weights are those of the whole benchmark."""
+    head = [f"h{i}" for i in range(20)]
+    items = [(i, " ".join(head + [f"t{i}x{k}" for k in range(20)])) for i in range(12)]
+    rows = [(i, text.rsplit(" ", 1 + i % 4)[0] + " some end") for i, text in items]
+    rows += [(100 + i, text.replace("h3", "g3")) for i, text in items]
+    whole = found(spark, corpus(rows), frame_of(spark, items))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    parts = found(spark, corpus(rows), frame_of(spark, items))
+    assert parts == whole and len(set(whole.values())) > 2
+    assert whole == {k: pytest.approx(v) for k, v in brute(rows, items).items()}
+
+
 @pytest.mark.parametrize("radius", [0, 3, 22])
 def test_index_finds_all_within_radius(radius):
     generator = np.random.default_rng(radius)
