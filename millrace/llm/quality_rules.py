@@ -5,12 +5,17 @@ a `Policy` is a versioned mask over those bits, so a new policy or an ablation r
 never the texts. Defined cases: a null or empty text has all numbers 0 (it fails `few_words`), a
 null id is carried as it is, repeated rows give repeated rows, an empty table gives an empty ledger,
 and of the input only the id and the text are read, so further columns cannot clash.
+
+The rules of the ledger are those of its SQL and know ASCII letters and words between spaces. Documents
+are kept by `ANY_SCRIPT`, whose rules count letters of all scripts, take two letters of a script
+written without spaces as a word, and see abuse as a share of the words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +46,9 @@ NUMBERS = (
     "n_lines", "n_upper", "n_lower", "n_shouts", "n_abuse",
 )
 
+#: Counts over all scripts: letters, capitals, and letters of scripts written without spaces.
+SCRIPT_NUMBERS = ("n_letters", "n_capitals", "n_unspaced")
+
 #: Rule -> condition under which a text fails it, over the numbers; the place in this list is the bit.
 RULES: dict[str, str] = {
     "few_words": "n_words < 50",
@@ -52,6 +60,15 @@ RULES: dict[str, str] = {
     "long_words": "word_chars > 20 * n_words",
     "abuse": "n_abuse >= 2 OR 200 * n_abuse > n_words",
 }
+#: The same for texts of any script, over the script numbers too.
+_WORDS = "(n_words + n_unspaced DIV 2)"
+SCRIPT_RULES: dict[str, str] = {
+    "few_words_any": f"{_WORDS} < 50",
+    "capitals": "2 * n_capitals > n_letters",
+    "shouting_any": f"100 * n_shouts > 10 * {_WORDS}",
+    "long_words_any": f"word_chars > 20 * {_WORDS}",
+    "abuse_share": f"n_abuse >= 2 AND 200 * n_abuse > {_WORDS}",
+}
 BITS = {name: 1 << i for i, name in enumerate(RULES)}
 
 
@@ -77,6 +94,8 @@ POLICIES = (
     Policy("web", 2, tuple(RULES)),
 )
 PRODUCTION = POLICIES[-1]
+#: For documents, not for the ledger: its rules have no bits there.
+ANY_SCRIPT = Policy("web", 3, ("repeated_words", "symbols", "repeated_lines", *SCRIPT_RULES))
 
 
 def _sums(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -142,6 +161,41 @@ def text_numbers(raw: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+#: Blocks of scripts written without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Tai Le and New Tai Lue,
+#: Tai Tham, kana, Han, Yi, Javanese, Myanmar and Tai Viet extensions.
+_UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+    (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA48F), (0xA980, 0xA9DF),
+    (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x1B000, 0x1B16F), (0x20000, 0x323AF),
+)
+_LAST = 0x323B0  # no letter from here on
+
+
+@cache
+def _script_table() -> np.ndarray:
+    """Of every character: 1 a letter, 2 a capital, 4 a letter of a script without spaces."""
+    table = np.array([(c := chr(i)).isalpha() + 2 * c.isupper() * c.isalpha() for i in range(_LAST + 1)], np.uint8)
+    for low, high in _UNSPACED:
+        table[low : high + 1] |= (table[low : high + 1] & 1) << 2
+    return table
+
+
+def script_numbers(raw: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+    """The script numbers of every text of a block."""
+    table = _script_table()
+    flags = np.where(raw < 128, table[raw], 0)
+    at = np.flatnonzero(raw >= 0xC0)
+    if len(at):
+        lead = raw[at].astype(np.int32)
+        size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+        code = lead & (0x7F >> size)
+        for i in (1, 2, 3):
+            inside = size > i
+            code[inside] = code[inside] << 6 | raw[np.minimum(at[inside] + i, len(raw) - 1)] & 0x3F
+        flags[at] = table[np.minimum(code, _LAST)]
+    return {name: _sums(flags & bit != 0, first) for name, bit in zip(SCRIPT_NUMBERS, (1, 2, 4), strict=True)}
+
+
 def _measured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, raw, first in text_blocks(batch):
@@ -150,10 +204,20 @@ def _measured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *NUMBERS])
 
 
-def measure(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id` and the numbers of every text, read once."""
+def _measured_any(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = (*NUMBERS, *SCRIPT_NUMBERS)
+    for batch in batches:
+        for part, raw, first in text_blocks(batch):
+            found = text_numbers(raw, first) | script_numbers(raw, first)
+            columns = [part.column(0), *(pa.array(found[name], pa.int64()) for name in names)]
+            yield pa.RecordBatch.from_arrays(columns, names=[part.schema.names[0], *names])
+
+
+def measure(docs: DataFrame, *, id: str = "doc_id", text: str = "text", scripts: bool = False) -> DataFrame:
+    """`doc_id` and the numbers of every text, with `scripts` the script numbers too, read once."""
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_measured, ", ".join(f"{name} long" for name in ("doc_id", *NUMBERS)))
+    names = ("doc_id", *NUMBERS, *(SCRIPT_NUMBERS if scripts else ()))
+    return rows.mapInArrow(_measured_any if scripts else _measured, ", ".join(f"{name} long" for name in names))
 
 
 def ledger(docs: DataFrame, **names: str) -> DataFrame:
@@ -197,7 +261,7 @@ def ablations(book: DataFrame, policies: Iterable[Policy] = POLICIES) -> DataFra
     return out
 
 
-def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
+def kept_documents(docs: DataFrame, policy: Policy = ANY_SCRIPT) -> DataFrame:
     """The documents a policy keeps, with their columns.
 
     Verdicts are taken where the rows are: the text is measured beside the other columns, so
@@ -205,18 +269,10 @@ def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
     """
     names = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").cast("string").alias("text"))
-
-    def bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, raw, first in text_blocks(batch):
-                found = text_numbers(raw, first)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(found[n], pa.int64()) for n in NUMBERS)], names=["row", *NUMBERS]
-                )
-
-    shape = T.StructType([packed.schema["row"], *(T.StructField(n, T.LongType()) for n in NUMBERS)])
-    measured = packed.mapInArrow(bits, shape)
+    numbers = (*NUMBERS, *SCRIPT_NUMBERS)
+    shape = T.StructType([packed.schema["row"], *(T.StructField(n, T.LongType()) for n in numbers)])
+    measured = packed.mapInArrow(_measured_any, shape)
     reject = F.lit(False)
     for rule in policy.rules:
-        reject = reject | F.expr(RULES[rule])
+        reject = reject | F.expr((RULES | SCRIPT_RULES)[rule])
     return measured.where(~reject).select(*(F.col("row").getField(c).alias(c) for c in names))

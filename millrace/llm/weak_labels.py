@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.quality_rules import NUMBERS, ledger, text_numbers
+from millrace.llm.quality_rules import measure, script_numbers, text_numbers
 from millrace.llm.tables import hashed_sample, written
 from millrace.llm.words import NOT_WORD, flat_bytes, mixed, span_hashes, text_blocks, word_spans
 from millrace.llm.decontaminate import lowered
@@ -37,7 +37,7 @@ Labeller = tuple[str, float, float]
 FAULTS = {
     "symbols": "100 * n_symbols > 2 * word_chars",
     "repetition": "2 * n_repeat_words > n_words",
-    "capitals": "n_upper > n_lower",
+    "capitals": "2 * n_capitals > n_letters",
     "shouts": "10 * n_shouts > n_words",
     "lines": "n_dup_lines >= 3",
 }
@@ -137,11 +137,11 @@ def features(texts: pa.Array, bits: int, used: np.ndarray | None = None) -> tupl
     for hashes in kinds:
         note(of, hashes)
     raw, whole = flat_bytes(texts.cast(pa.large_string()).fill_null(""))
-    found = text_numbers(raw, whole)
+    found = text_numbers(raw, whole) | script_numbers(raw, whole)
     n_words, chars = np.maximum(found["n_words"], 1), np.maximum(found["word_chars"], 1)
     numbers = {
         "symbols": 100 * found["n_symbols"] // chars, "repeats": 10 * found["n_repeat_words"] // n_words, "lines": found["n_dup_lines"],
-        "upper": 10 * found["n_upper"] // np.maximum(found["n_upper"] + found["n_lower"], 1),
+        "upper": 10 * found["n_capitals"] // np.maximum(found["n_letters"], 1),
         "shouts": 10 * found["n_shouts"] // n_words, "words": found["n_words"], "length": chars // n_words,
     }
     for i, value in enumerate(numbers.values()):
@@ -220,7 +220,7 @@ def human_labels(labels: DataFrame) -> DataFrame:
 
 def votes(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`doc_id` and a string of votes for each question: `0` good, `1` bad, `-` none."""
-    book = ledger(docs).select("doc_id", *NUMBERS)
+    book = measure(docs, scripts=True)
     known = human_labels(labels)
     joined = book.join(known, book["doc_id"] == known["_labelled"], "left")
     columns = [

@@ -85,5 +85,30 @@ def test_ablations(spark, documents, policy):
         assert r.kept_without == sum(b & mask & ~bit == 0 for b in bits)
 
 
+def clean_texts():
+    """Clean texts of scripts that ASCII rules misjudge, and a very long one with two listed words."""
+    cyrillic = " ".join(f"слово{chr(0x430 + i % 30)}{chr(0x430 + i // 30)}" for i in range(90)) + " НАТО NATO"
+    chinese = "，".join("".join(chr(0x4E00 + (37 * i + 11 * k) % 5_000) for k in range(12)) for i in range(40)) + "。 DNA!"
+    long = " ".join(f"w{i}" for i in range(10_000)) + " trash " + " ".join(f"v{i}" for i in range(10_000)) + " stupid"
+    return [cyrillic, chinese, "Ελληνικά " + " ".join(f"λέξη{chr(0x3B1 + i % 24)}{chr(0x3B1 + i // 24)}" for i in range(70)) + " NASA", long]
+
+
+def test_clean_texts_of_any_script_stay(spark, corpus):
+    rows = list(enumerate(clean_texts()))
+    rows += [(10, clean_texts()[0].upper()), (11, "汉字！" * 5), (12, "x" * 5_000), (13, " ".join(f"w{i}" for i in range(60)) + " trash stupid")]
+    kept = {r.doc_id for r in quality_rules.kept_documents(corpus(rows)).collect()}
+    assert kept == {0, 1, 2, 3}
+
+
+def test_script_numbers(spark, corpus):
+    texts = [*TEXTS, *clean_texts(), "Ǆ ß Жж 漢字かな ไทย \U0001f600 \U00020000 \U00010400", "Ünï"]
+    got = {r.doc_id: r for r in quality_rules.measure(corpus(list(enumerate(texts))), scripts=True).collect()}
+    for doc, text in enumerate(texts):
+        letters = [c for c in text or "" if c.isalpha()]
+        assert got[doc].n_letters == len(letters), text
+        assert got[doc].n_capitals == sum(c.isupper() for c in letters), text
+    assert got[len(TEXTS) + 4].n_unspaced == 8
+
+
 def test_bits_are_distinct():
     assert len(set(BITS.values())) == len(RULES)

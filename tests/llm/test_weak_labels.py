@@ -64,6 +64,14 @@ def test_held_out_labels(spark, data):
     assert np.mean([r.kept for r in toxic]) < 0.45  # the rest are in languages with few labelled texts
 
 
+def test_an_acronym_is_no_fault(spark, corpus):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    rows = [(1, "слово и дело " * 10 + "NATO"), (2, "СЛОВО И ДЕЛО " * 10), (3, "WORD AND DEED " * 10)]
+    at = list(weak_labels.QUESTIONS["low_quality"]).index("capitals")
+    got = {r.doc_id: r.low_quality[at] for r in weak_labels.votes(corpus(rows), labels).collect()}
+    assert got == {1: "-", 2: "1", 3: "1"}
+
+
 def test_odd_rows(spark, corpus, odd_rows):
     labels = spark.createDataFrame([(1, 0, 0), (1, 1, None), (None, 0, 1), (5, None, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
     out = weak_labels.scored(spark, corpus(odd_rows, extra=["quality", "toxic", "kept"]), labels).collect()
