@@ -4,7 +4,9 @@ One pattern finds mentions of mail addresses, network addresses, card and accoun
 numbers, secrets and names with a title. A mention is reduced to its entity (its digits, its lower-cased
 address), so all writings of one entity share a surrogate throughout the corpus. The surrogate
 comes from a keyed hash of the entity and keeps kind, length, script, gender, separators, case and
-check digit. Entities whose surrogates meet, or meet a real entity, are drawn again until all differ.
+check digit. Entities whose surrogates meet, or meet a real entity, are drawn again; what still meets
+after MOST_ROUNDS gets the free values of its form by rank. A phone number or name whose form is used up
+gets a longer one; other kinds have a fixed form, and one without enough free values is refused.
 
 The key is a parameter; without it surrogates cannot be recomputed. Only mentions are shuffled, and
 only documents that hold one meet them again, by a hash of the row's id and text.
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.tables import written
+from millrace.operators.ordering import number_rows
 
 DEFAULT_KEY = "surrogates-1"
 MOST_ROUNDS = 20
@@ -43,7 +46,7 @@ PATTERNS: dict[str, str] = {
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19})(?!\d)",
-    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,5}\)|\d{1,5})(?:[ .\-]?\d{2,5}){1,4}|\+\d{8,15}"
+    "phone": r"(?<![\p{L}\d])(?:\+(?=(?:[ .\-()]{0,2}\d){7})\d{1,3}[ .\-]?(?:\(\d{1,5}\)|\d{1,5})(?:[ .\-]?\d{2,5}){1,4}|\+\d{8,15}"
     r"|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)",
     "name": rf"(?<![\p{{L}}])(?:(?:{MALE_TITLES}|{FEMALE_TITLES}|Dr|Prof|{CYRILLIC_TITLES})\.? )\p{{Lu}}[\p{{L}}'\-]++(?: \p{{Lu}}[\p{{L}}'\-]++){{0,2}}",
 }
@@ -219,6 +222,8 @@ def written_as(mention: Column, what: Column, value: Column) -> Column:
         return F.when(c.rlike(r"[\p{L}\d]"), F.substr(value, at, F.lit(1))).otherwise(c)
 
     laid = F.array_join(F.transform(F.split(mention, ""), one), "")
+    own = F.aggregate(places, F.lit(0), lambda a, b: a + b)
+    laid = F.concat(laid, F.substr(value, own + 1))  # of a longer form
     shouted = F.upper(mention) == mention
     email = F.when(shouted & mention.rlike(r"\p{Lu}"), F.upper(value)).otherwise(value)
     name = F.initcap(F.substr(value, F.lit(3)))
@@ -228,17 +233,146 @@ def written_as(mention: Column, what: Column, value: Column) -> Column:
     return F.when(what == "email", email).when(what == "name", name).when(what == "ip", value).when(what == "secret", secret).otherwise(laid)
 
 
+def _strings(values) -> Column:
+    """One literal, which keeps the plan small."""
+    return F.split(F.lit("|".join(values)), r"\|")
+
+
+DIGITS, HEX, LETTERS, CYRILLIC = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуф"
+
+
+def _slots_like(value: Column, keep: Column, hexadecimal: Column) -> Column:
+    """What `_like` may put at each place of a value."""
+
+    def one(c: Column, i: Column) -> Column:
+        plain = (
+            F.when(i < keep, F.array(c))
+            .when(hexadecimal & c.rlike(r"[\da-fA-F]"), _strings(HEX))
+            .when(c.rlike(r"\d"), _strings(DIGITS))
+            .when(c.rlike(r"\p{IsCyrillic}"), _strings(CYRILLIC))
+            .when(c.rlike(r"\p{L}"), _strings(LETTERS))
+            .otherwise(F.array(c))
+        )
+        return F.when((i >= keep) & c.rlike(r"\p{Lu}"), F.transform(plain, F.upper)).otherwise(plain)
+
+    return F.transform(F.split(value, ""), one)
+
+
+def form(what: Column, name: Column, extra: Column) -> Column:
+    """The form of an entity's surrogates: what may stand at each place, a card's check digit left out.
+
+    `extra` places more make a phone number or a name longer.
+    """
+    none, no = F.lit(0), F.lit(False)
+    fixed = lambda text: F.array(F.array(F.lit(text)))
+    repeated = lambda values, n: F.array_repeat(_strings(values), n)
+    local = F.split_part(name, F.lit("@"), F.lit(1))
+    email = F.concat(_slots_like(local, none, no), fixed("@m"), repeated(HEX, 8), fixed(".example.org"))
+    octet = F.array(_strings(map(str, range(1, 255))))
+    ip = F.concat(octet, *(x for _ in range(3) for x in (fixed("."), octet)))
+    body = F.when(_luhn(name) % 10 == 0, F.substr(name, F.lit(1), F.length(name) - 1)).otherwise(name)
+    kept = F.greatest(none, F.least(F.length(name) - 9, F.lit(3)))
+    phone = F.concat(_slots_like(name, kept, no), repeated(DIGITS, extra))
+    cyrillic, gender, words = name.rlike(r"\p{IsCyrillic}"), F.substr(name, F.lit(1), F.lit(1)), F.size(F.split(name, " "))
+    given = F.array(F.array(F.lit("")))
+    for (g, s), names in GIVEN.items():
+        given = F.when((gender == g) & (cyrillic == F.lit(s == "cyrillic")), F.array(_strings(n.lower() for n in names))).otherwise(given)
+    family = F.when(cyrillic, repeated(SYLLABLES["cyrillic"], extra + 5)).otherwise(repeated(SYLLABLES["latin"], extra + 5))
+    first, space = F.array(F.array(F.concat(gender, F.lit(":")))), fixed(" ")
+    person = (
+        F.when(words > 2, F.concat(first, given, space, repeated(SYLLABLES["latin"], 2), space, family))
+        .when(words > 1, F.concat(first, given, space, family))
+        .otherwise(F.concat(first, family))
+    )
+    return (
+        F.when(what == "email", email)
+        .when(what == "ip", ip)
+        .when(what == "card", _slots_like(body, F.lit(1), no))
+        .when(what == "iban", _slots_like(name, F.lit(4), no))
+        .when(what == "name", person)
+        .when(what == "phone", phone)
+        .when(what == "ssn", _slots_like(name, none, no))
+        .otherwise(_slots_like(name, none, name.rlike(r"^[\da-f]+$|^[\dA-F]+$")))
+    )
+
+
+def _nth(slots: Column, number: Column) -> Column:
+    """The value of a form with this number, the last place counting fastest."""
+
+    def put(state: Column, slot: Column) -> Column:
+        size = F.size(slot)
+        text = F.concat(F.element_at(slot, (state["rest"] % size + 1).cast("int")), state["text"])
+        return F.struct(F.floor(state["rest"] / size).cast("long").alias("rest"), text.alias("text"))
+
+    start = F.struct(number.cast("long").alias("rest"), F.lit("").alias("text"))
+    return F.aggregate(F.reverse(slots), start, put, lambda state: state["text"])
+
+
+def _per_form(rows: DataFrame, order: str, name: str) -> DataFrame:
+    """Rows numbered from 0 inside each form."""
+    numbered = number_rows(rows, ["form", order], "_place")
+    least = numbered.groupBy("form").agg(F.min("_place").alias("_least"))
+    return numbered.join(least, "form").withColumn(name, F.col("_place") - F.col("_least")).drop("_place", "_least")
+
+
+def ranked(spark: SparkSession, left: DataFrame, taken: DataFrame) -> DataFrame:
+    """`what`, `name`, `value` for the entities of `left`: values of their forms that `taken` does not hold.
+
+    Forms are gone through in growing stretches; the open entities and the free values of a stretch are
+    numbered, and equal numbers go together. `taken` has distinct rows (`what`, `value`).
+    """
+    # The numbers of a form are counted in doubles, exact up to this.
+    most = 1 << 50
+    left = left.select("what", "name", F.lit(0).alias("extra"), F.lit(0).cast("long").alias("start"))
+    out = spark.createDataFrame([], "what string, name string, value string")
+    stretch = 2
+    while True:
+        slots = form(F.col("what"), F.col("name"), F.col("extra"))
+        shaped = left.withColumn("slots", slots).withColumn("checked", (F.col("what") == "card") & (F.size("slots") < F.length("name")))
+        shaped = shaped.withColumn("form", F.sha2(F.to_json(F.struct("what", "checked", "slots")), 256))
+        shaped = written(spark, shaped, "open")
+        if shaped.isEmpty():
+            return out
+        forms = shaped.groupBy("form").agg(
+            F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("what", "checked", "slots", "start"))
+        )
+        space = F.aggregate("slots", F.lit(1.0), lambda a, s: F.least(a * F.size(s), F.lit(float(most)))).cast("long")
+        forms = forms.withColumn("space", space).withColumn("end", F.least("space", F.col("start") + F.col("n") * stretch + 64))
+        forms = written(spark, forms, "forms")
+        # In two steps, so that no row holds a long list.
+        parts = forms.where("start < end").withColumn("low", F.explode(F.sequence("start", F.col("end") - 1, F.lit(4096).cast("long"))))
+        numbers = parts.withColumn("number", F.explode(F.sequence("low", F.least(F.col("low") + 4095, F.col("end") - 1))))
+        check = ((10 - _luhn(F.concat("body", F.lit("0"))) % 10) % 10).cast("string")
+        bodies = numbers.select("form", "what", "checked", _nth(F.col("slots"), F.col("number")).alias("body"))
+        offers = bodies.select("form", "what", F.when(F.col("checked"), F.concat("body", check)).otherwise(F.col("body")).alias("value"))
+        offers = offers.groupBy("what", "value").agg(F.min("form").alias("form")).join(taken, ["what", "value"], "left_anti")
+        offers = written(spark, _per_form(written(spark, offers, "free").select("form", "value"), "value", "rank"), "offers")
+        asking = _per_form(shaped.select("form", "what", "name", "extra"), "name", "rank")
+        given = written(spark, asking.join(offers, ["form", "rank"], "left"), "ranked")
+        new = given.where("value IS NOT NULL").select("what", "name", "value")
+        out, taken = out.unionByName(new), taken.unionByName(new.select("what", "value"))
+        still = given.where("value IS NULL").join(forms.select("form", "end", "space"), "form")
+        used_up, longer = F.col("end") >= F.col("space"), F.col("what").isin("phone", "name")
+        if not still.where(used_up & ~longer).isEmpty():
+            raise ValueError("the form of an entity is too small for distinct values: fewer of its values are free than are needed")
+        left = still.select(
+            "what", "name", (F.col("extra") + used_up.cast("int")).alias("extra"), F.when(used_up, 0).otherwise(F.col("end")).cast("long").alias("start")
+        )
+        stretch *= 2
+
+
 def distinct_surrogates(spark: SparkSession, entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """`what`, `name`, `value` for a table of distinct entities (`what`, `name`), no two values alike.
 
     In each round, of the entities that share a value the smallest keeps it and the others draw again,
-    as do those whose value is a real entity. Rounds only touch what met.
+    as do those whose value is a real entity. Rounds only touch what met; the last open ones get free
+    values by rank.
     """
     draw = surrogate(F.col("what"), F.col("name"), F.col("attempt"), key)
     entities = written(spark, entities, "entities")
     settled = written(spark, entities.withColumn("attempt", F.lit(0)).withColumn("value", draw), "surrogates")
-    for _ in range(MOST_ROUNDS):
-        real = entities.select("what", F.col("name").alias("value"), F.lit(True).alias("real"))
+    real = entities.select("what", F.col("name").alias("value"), F.lit(True).alias("real"))
+    for turn in range(MOST_ROUNDS + 1):
         seen = settled.groupBy("what", "value").agg(F.count("*").alias("n"), F.min("name").alias("keeper"))
         met = seen.join(real, ["what", "value"], "left").where("n > 1 OR real")
         again = settled.join(met, ["what", "value"]).where("real OR name <> keeper").select("what", "name", "attempt")
@@ -246,8 +380,12 @@ def distinct_surrogates(spark: SparkSession, entities: DataFrame, key: str = DEF
         if again.isEmpty():
             return settled.select("what", "name", "value")
         kept = settled.join(again.select("what", "name"), ["what", "name"], "left_anti")
+        if turn == MOST_ROUNDS:
+            break
         settled = written(spark, kept.unionByName(again.select(*settled.columns)), "surrogates")
-    raise ValueError(f"surrogates still meet after {MOST_ROUNDS} rounds: the form of an entity is too small for distinct values")
+    kept = kept.select("what", "name", "value")
+    taken = kept.select("what", "value").unionByName(real.select("what", "value"))
+    return kept.unionByName(ranked(spark, again, written(spark, taken.distinct(), "taken")))
 
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:

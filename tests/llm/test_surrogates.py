@@ -132,6 +132,40 @@ def test_forms_too_small_are_refused(spark):
         surrogates.distinct_surrogates(spark, spark.createDataFrame(names, "what string, name string"))
 
 
+@pytest.mark.parametrize(
+    "names",
+    [
+        [("phone", f"{i:04d}") for i in range(0, 10_000, 2)] + [("phone", f"{i:04d}") for i in range(1, 4_001, 2)],  # over half
+        [("ssn", f"{i:03d}") for i in range(490)],
+        [("card", f"4{i:03d}") for i in range(300)],
+        [("secret", f"{a}{b}-x") for a in "abcdefghijkl" for b in "ABCDEFGHIJKLMNOPQR"],
+        [("email", f"{a}@b.org") for a in "abc"] + [("name", "f:jane smith"), ("name", "m:иван петров"), ("name", "n:o")] + [("ip", "1.2.3.4")],
+    ],
+)
+def test_crowded_forms_get_free_values_by_rank(spark, monkeypatch, names):
+    monkeypatch.setattr(surrogates, "MOST_ROUNDS", 1)
+    draw = surrogates.surrogate
+    few = lambda what, name, attempt, key: F.when(F.lit(len(names) < 10), F.lit("1")).otherwise(draw(what, name, attempt, key))
+    monkeypatch.setattr(surrogates, "surrogate", few)
+    rows = surrogates.distinct_surrogates(spark, spark.createDataFrame(names, "what string, name string")).collect()
+    assert {(r.what, r.name) for r in rows} == set(names) and len(rows) == len(names)
+    assert len({(r.what, r.value) for r in rows}) == len(names)
+    assert not {(r.what, r.value) for r in rows} & set(names)
+    for r in rows:
+        if r.what in ("ssn", "card", "secret"):
+            assert len(r.value) == len(r.name)
+        if r.what == "card":
+            assert r.value[0] == "4" and (luhn(r.value) == 0 or luhn(r.name) != 0)
+        if r.what == "phone":
+            assert re.fullmatch(r"\d{4,5}", r.value)
+
+
+def test_scores_are_no_phone_numbers(spark, corpus):
+    texts = ["it got +1234 votes", "a change of +12 345", "call +1234567 now", "+49 30 1234567", "+1 (743) 555-3824"]
+    counts = {r.doc_id: len(r.mentions) for r in result(spark, corpus(list(enumerate(texts))))}
+    assert counts == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1}
+
+
 def test_no_python_in_the_plan(spark, documents):
     plan = surrogates.replaced(spark, documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
