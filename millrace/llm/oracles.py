@@ -87,6 +87,30 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT A
 FROM w LEFT JOIN k USING (doc_id)
 """
 
+DIVERGENCE = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+t AS (SELECT lang, source, doc, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+v AS (SELECT lang, count(*) AS terms, sum(lang_n) AS size FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT lang, source, coalesce(size, 0) AS size FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source) USING (lang, source)),
+x AS (SELECT g.lang, g.source, term, coalesce(n, 0) AS n,
+             1 + (1000000000 * (coalesce(n, 0) + 5)::HUGEINT) // (g.size + 5 * v.terms)::HUGEINT AS p,
+             1 + (1000000000 * (lang_n + 5)::HUGEINT) // (v.size + 5 * v.terms)::HUGEINT AS q
+      FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM x a JOIN x b USING (lang, term) GROUP BY ALL),
+p AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+f AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM x WHERE n > 0 AND p > q),
+r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+      FROM (FROM p UNION ALL FROM f))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
 NEGATIVES = r"""
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
@@ -108,5 +132,6 @@ ORACLES = {
     "op6_minhash_dedup": NEAR,
     "op7_substring_dedup": REPEATS,
     "op10_source_mix": MIX,
+    "op12_source_divergence": DIVERGENCE,
     "op13_hard_negatives": NEGATIVES,
 }

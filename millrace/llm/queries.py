@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_counts, curriculum, decontaminate, fm_index, langid, licenses, minhash
+from millrace.llm import bpe_counts, curriculum, decontaminate, divergence, fm_index, langid, licenses, minhash
 from millrace.llm import negatives, quality_rules, surrogates, weak_labels
 from millrace.llm.tables import documents
 from millrace.session import table
@@ -64,6 +64,10 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum.mixed(spark, documents(spark, folder))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(spark, documents(spark, folder))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(spark, table(spark, folder, "embeddings"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_license_scan,
         op10_source_mix,
+        op12_source_divergence,
         op13_hard_negatives,
     )
 }
