@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe_counts, curriculum, decontaminate, divergence, fm_index, langid, licenses, minhash
-from millrace.llm import negatives, quality_rules, surrogates, weak_labels
+from millrace.llm import negatives, quality_rules, surrogates, weak_labels, wrappers
 from millrace.llm.tables import documents
 from millrace.session import table
 
@@ -64,6 +64,10 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return curriculum.mixed(spark, documents(spark, folder))
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extracted(spark, table(spark, folder, "pages"))
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(spark, documents(spark, folder))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_license_scan,
         op10_source_mix,
+        op11_html_extraction,
         op12_source_divergence,
         op13_hard_negatives,
     )

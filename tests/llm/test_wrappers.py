@@ -1,0 +1,169 @@
+import html
+import random
+import re
+
+import pytest
+
+from millrace.llm import dom
+from millrace.llm.dom import Matcher, Node, parse
+from millrace.llm.queries import QUERIES
+from millrace.llm.wrappers import Induction, blocks, extracted, main_text, regions
+
+
+SPEC = Induction()
+
+
+def text_of(page):
+    return main_text(parse(page), None, {}, Matcher(), SPEC)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><h1>T &amp; U</h1><p>a  b<br>c<p>d <b>e</b>f</article>", "T & U\na b c\nd ef"),
+        ("<body><p><b>first.<br><p>second</p></body>", "first.\nsecond"),
+        ("<ul><li>one<li>two<ul><li>in</ul><li>three</ul>", "one\ntwo\nin\nthree"),
+        ("<table><tr><td>a<td>b<tr><th>c</th><td>d</table>", "a b\nc d"),
+        ("<p>x<script>var t='</p>';</script>y</p><style>p{}</style><!-- no --><p>z", "xy\nz"),
+        ("text only &lt;b&gt; &#233;&eacute; &am", "text only <b> éé &am"),
+        ("1 < 2 and <3 <b", "1 < 2 and <3"),
+        ("<article><p>cut in the mid", "cut in the mid"),
+        ("<main><article>A<aside>no</aside><footer>no</footer><header>yes</header></article><p>no</main><article>no</article>", "A\nyes"),
+        ("<header>no</header><main><nav>no</nav><form>no</form><p>yes</main><footer>no</footer>", "yes"),
+        ("<article>A<article class='comment'>no</article><div id=comments><p>no</div><p class='cookie-notice'>no</p></article>", "A"),
+        ("<div class='ad'>no</div><div role=navigation>no</div><div hidden>no</div><div class=shadow>yes</div>", "yes"),
+        ("<div class='ad' data-x='a>b'>no</div><a href='x\">'>k</a> and words that are not linked at all", "k and words that are not linked at all"),
+        ("<div><a>one</a> <a>two</a></div><p>long text with one <a>link</a></p>", "long text with one link"),
+        ("<p>a &nbsp; b c\n\td</p>", "a b c d"),
+        ("", ""),
+        ("<b><p>x</b>y</p>z", "xy\nz"),
+        ("</div></p>a</b>", "a"),
+        ("<textarea>no</textarea><title>no</title>a<br/>b<hr>c", "a b\nc"),
+    ],
+)
+def test_text_of_a_page(page, want):
+    assert text_of(page) == want
+
+
+def test_deep_and_broken_pages_lose_no_text():
+    deep = "<div>" * 5_000 + "x" + "</div>" * 5_000 + "y"
+    assert text_of(deep).split() == ["x", "y"]
+    assert text_of("<b>" * 3_000 + "x") == "x"
+    assert text_of("<article>" + "<a href=\"open " * 300 + "><p>x").endswith("x")
+
+
+def matched(a, b):
+    """Simple tree matching as its definition says."""
+    if a.label != b.label:
+        return 0
+    n, m = len(a.nodes), len(b.nodes)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + matched(a.nodes[i - 1], b.nodes[j - 1]))
+    return 1 + best[n][m]
+
+
+def drawn(draw, depth):
+    node = Node(draw.choice(["p", "div", "b"]))
+    node.children = [draw.choice(["s", "t"])] + [drawn(draw, depth - 1) for _ in range(draw.randint(0, 4) if depth else 0)]
+    return node
+
+
+@pytest.mark.parametrize("small, cells", [(400, 4 << 20), (0, 4 << 20), (0, 4)])
+def test_matching_is_the_largest(small, cells, monkeypatch):
+    monkeypatch.setattr(dom, "_SMALL", small)
+    monkeypatch.setattr(dom, "_CELLS", cells)
+    draw = random.Random(7)
+    for _ in range(150):
+        a, b = Node("html"), Node("html")
+        for root in (a, b):
+            root.children = [drawn(draw, 3) for _ in range(draw.randint(0, 5))]
+            dom._name(root)
+        matcher = Matcher()
+        want = matched(a, b)
+        assert matcher.weight(a, b) == want
+        pairs = list(matcher.pairs(a, b))
+        assert len(pairs) == len({x.number for x, _ in pairs}) == len({y.number for _, y in pairs})
+        assert all(x.label == y.label for x, y in pairs)
+        assert len(pairs) == want
+        order = sorted(pairs, key=lambda p: p[0].number)
+        assert [y.number for _, y in order] == sorted(y.number for _, y in order)
+
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi".split()
+
+
+def site(draw, host, n, layout):
+    """Pages of one site with their article texts."""
+    out = []
+    for i in range(n):
+        def sentence(least=4):
+            return " ".join(draw.choice(WORDS) for _ in range(draw.randint(least, 14))) + f" {draw.random():.9f}"
+
+        parts = [sentence() for _ in range(draw.randint(2, 9))]
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in draw.sample(WORDS, 5))
+        if layout == "article":
+            body = (
+                f"<nav><ul>{menu}</ul></nav><div class='ad'>{sentence()}</div><article><h1>{parts[0]}</h1>"
+                + "".join(f"<p>{p}</p>" for p in parts[1:])
+                + f"<div class='share'>Share</div><p>Thank you for reading {host}</p></article><footer>&copy; {sentence()}</footer>"
+            )
+        else:  # no landmarks and no words of class: only the template tells
+            body = (
+                f"<div class='a'><b>Welcome to {host}</b><p>The best place for letters</p></div><table class='m'><tr>{menu}</tr></table>"
+                f"<div class='c'><h2>{parts[0]}</h2>"
+                + "".join(f"<div>{p}</div>" for p in parts[1:])
+                + "</div><div class='z'><p>All rights reserved</p><p>Made with care, every day</p></div>"
+            )
+        out.append((f"http://{host}/{i}", f"<!DOCTYPE html><html><head><title>x</title></head><body>{body}</body></html>", "\n".join(parts)))
+    return out
+
+
+def run(spark, rows):
+    frame = spark.createDataFrame([(i, u, h, "x", "y") for i, (u, h) in enumerate(rows)], "page_id long, url string, html string, seed string, host string")
+    found = extracted(spark, frame)
+    assert found.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    got = {r["page_id"]: r for r in found.collect()}
+    assert all(r["n_chars"] == len(r["text"]) and r["url"] == rows[i][0] for i, r in got.items())
+    return [got[i]["text"] for i in range(len(rows))]
+
+
+def test_templates_are_found_and_copies_are_none(spark):
+    draw = random.Random(3)
+    pages = site(draw, "blog.example.org", 30, "article") + site(draw, "soup.example.org", 30, "soup")
+    copied = site(draw, "copy.example.org", 2, "article")
+    pages += [copied[0]] * 25 + [copied[1]]  # a host of copies: their article stays
+    got = run(spark, [(u, h) for u, h, _ in pages])
+    want = [t for _, _, t in pages]
+    want[60:] = [t + "\nThank you for reading copy.example.org" for t in want[60:]]
+    assert got == want
+
+
+def test_odd_rows(spark):
+    rows = [
+        (None, None), (None, "<p>x"), ("no url", "<p>y"), ("http://h/1", None), ("http://h/2", ""), ("http://h/2", ""), ("http://h/3", "<p>z"),
+        ("http://h/4", "<p>" + "w " * 200_000), ("HTTP://u:p@H:80/5", "<article></article>"),
+    ]
+    assert run(spark, rows) == ["", "x", "y", "", "", "", "z", "w " * 199_999 + "w", ""]
+    assert run(spark, []) == []
+
+
+def plain(page):
+    """The articles of the tables' pages by patterns: no tree, no template."""
+    article = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    lines = re.split(r"</?(?:p|h1)>", re.sub(r"<br>", " ", article))
+    texts = (" ".join(html.unescape(re.sub(r"</?b>", "", line)).split()) for line in lines)
+    return "\n".join(t for t in texts if t)
+
+
+def test_query_over_the_whole_table(spark, data):
+    pages = spark.read.parquet(f"{data}/pages.parquet").collect()
+    want = sorted((p["page_id"], p["url"], t := plain(p["html"]), len(t)) for p in pages)
+    assert sorted(map(tuple, QUERIES["op11_html_extraction"](spark, data).collect())) == want
+
+
+def test_blocks_name_their_elements():
+    root = parse("<article><p>a<b>b</b></p>c</article>")
+    (article,), landmark = regions(root)
+    assert landmark and [(t, len(o)) for t, o, _ in blocks(article, True)] == [("ab", 2), ("c", 1)]
