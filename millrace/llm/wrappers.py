@@ -53,8 +53,9 @@ class Induction:
     linked: int = 60
 
 
-#: Seeds of up to so many bytes together are sent to all executors; more are joined by key.
-BROADCAST_BYTES = 32 << 20
+#: Seeds of up to so many bytes together, and sizes of so many groups, are sent to all executors; more are
+#: joined by key.
+BROADCAST_BYTES, BROADCAST_ROWS = 32 << 20, 200_000
 #: Counts a task holds before it sends them on, and trees of seeds it keeps.
 HELD_COUNTS, HELD_SEEDS = 200_000, 256
 
@@ -271,8 +272,9 @@ def seeds_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
     group = ["host", "layout"]
     size = F.struct(F.length("html").alias("length"), F.xxhash64("html").alias("hash"))
     sized = rows.where("host <> ''").withColumn("size", size)
-    least = sized.groupBy(*group).agg(F.min("size").alias("size"))
-    found = sized.join(least, [*group, "size"]).groupBy(*group).agg(F.min("html").alias("seed"))
+    least = written(spark, sized.groupBy(*group).agg(F.min("size").alias("size")), "least")
+    near = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
+    found = sized.join(near, [*group, "size"]).groupBy(*group).agg(F.min("html").alias("seed"))
     return written(spark, found, "seeds")
 
 
