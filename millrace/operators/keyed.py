@@ -45,10 +45,13 @@ SAMPLES_PER_SEGMENT = 24
 @dataclass(frozen=True)
 class Carry:
     """State at the start of a segment: `partial` aggregates one segment of a key, `merge` combines
-    the partials of the segments before."""
+    the partials of the segments before. On a stream `fold(old, rows)` gives the new state from the old
+    (None at first) and a key's next rows."""
 
     partial: Column
     merge: Callable[[Column], Column]
+    fold: Callable[[object, pd.DataFrame], object] | None = None
+
 
 @dataclass(frozen=True)
 class KeyCuts:

@@ -17,6 +17,7 @@ from millrace.functions import merge_streams
 from millrace.operators.chain import Step
 from millrace.operators.copies import parse_copies, with_copies
 from millrace.operators.keyed import ROWS_PER_SEGMENT, Carry, group_by_key, keyed_apply
+from millrace.operators.ordering import create_id
 from millrace.operators.routing import emit, empty_queue, enqueue
 
 
@@ -50,6 +51,15 @@ class Keyed:
     rows_per_segment: int = ROWS_PER_SEGMENT
 
 
+@dataclass(frozen=True)
+class CreateId:
+    """A chain step that puts a running number, from 0, on the items along `order`, whose columns are
+    unique together. On a live stream micro-batches follow one another, and `order` holds inside each."""
+
+    order: str | tuple[str, ...]
+    name: str = "id"
+
+
 class Flow:
     """Named streams of one job."""
 
@@ -80,7 +90,7 @@ class Flow:
     def process(
         self,
         name: str,
-        *steps: Step | Enqueue | Keyed,
+        *steps: Step | Enqueue | Keyed | CreateId,
         input: str | None = None,
         output: str = "",
         group_by: str | None = None,
@@ -104,7 +114,8 @@ class Flow:
             raise ValueError("group_by needs an order")
         if any(isinstance(step, Keyed) for step in steps) and not key:
             raise ValueError("a keyed step needs group_by")
-        if key and not isinstance(steps[0] if steps else None, Keyed):
+        leading = next((step for step in steps if not isinstance(step, CreateId)), None)
+        if key and not isinstance(leading, Keyed):
             items = group_by_key(items, key, order, None if copies is None else parse_copies(copies))
         elif copies is not None and not key:
             items = with_copies(items, copies)
@@ -113,8 +124,10 @@ class Flow:
         self._written[name] = points
         for step in steps:
             if isinstance(step, Keyed):
-                options = {"carries": step.carries, "rows_per_segment": step.rows_per_segment}
-                items = keyed_apply(items, key, order, step.process, step.schema, **options)
+                items = self._keyed(items, key, order, step)
+                continue
+            if isinstance(step, CreateId):
+                items = self._numbered(name, items, step)
                 continue
             if not isinstance(step, Enqueue):
                 items = items.transform(step)
@@ -136,6 +149,13 @@ class Flow:
             self._streams.update(dict.fromkeys(outputs, published))
         return items
 
+    def _keyed(self, items: DataFrame, key: str, order: list[str], step: Keyed) -> DataFrame:
+        options = {"carries": step.carries, "rows_per_segment": step.rows_per_segment}
+        return keyed_apply(items, key, order, step.process, step.schema, **options)
+
+    def _numbered(self, process: str, items: DataFrame, step: CreateId) -> DataFrame:
+        return create_id(items, step.order, step.name)
+
     @staticmethod
     def _unsplit(results: DataFrame, points: list) -> DataFrame:
         """Results and queued items as one stream, in one pass if the queues were written last."""

@@ -14,6 +14,11 @@ _BOTH_SIGNS = """
 _EVENTS = "SELECT event_id, event_type, value FROM events"
 _COUNT = "SELECT count(*) AS n FROM events"
 
+_RATE = """
+        SELECT block, count(*) AS n, max(us) - min(us) AS span_us
+        FROM (SELECT epoch_us(ts) AS us, (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS block FROM events)
+        GROUP BY block
+    """
 ORACLES = {
     "source_scan": "SELECT event_id, user_id, event_type, value FROM events",
     "multi_source": """
@@ -52,11 +57,7 @@ ORACLES = {
                CASE WHEN (row_number() OVER (ORDER BY event_id) - 1) % 2 = 0 THEN 'A' ELSE 'B' END AS flag
         FROM events
     """,
-    "data_rate": """
-        SELECT block, count(*) AS n, max(us) - min(us) AS span_us
-        FROM (SELECT epoch_us(ts) AS us, (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS block FROM events)
-        GROUP BY block
-    """,
+    "data_rate": _RATE,
     "instance_tag": "SELECT event_id, 'reader' AS process, true AS named FROM events",
     "attr_access": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
@@ -162,4 +163,15 @@ ORACLES = {
         FROM events
     """,
     "stream_service_lookup": _SERVICE,
+    "flow_live": """
+        WITH n AS (SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS id FROM events),
+        g AS (SELECT *, coalesce(id - lag(id) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS gap FROM n)
+        SELECT *, gap > 200 AS far, 'far' AS queue FROM g WHERE gap > 200
+        UNION ALL SELECT *, gap > 200 AS far, 'near' AS queue FROM g WHERE gap <= 250
+    """,
+    "custom_stream_source": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 100000",
+    "custom_stream_sink": "SELECT event_id, value FROM events",
+    "stateful_map": "SELECT event_type, user_id, count(*) AS n FROM events GROUP BY event_type, user_id",
+    "live_finish": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id",
+    "stream_data_rate": _RATE,
 }

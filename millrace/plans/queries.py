@@ -183,9 +183,12 @@ def alternate_ab(spark: SparkSession, folder: str) -> DataFrame:
     return o.alternate_ab(_events(spark, folder, "event_id"), "event_id")
 
 
+RATE_BLOCK = 1_000
+
+
 def data_rate(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder, "event_id", "ts")
-    return o.data_rate(events, "event_id", epoch_micros(events, "ts"), every=1_000)
+    return o.data_rate(events, "event_id", epoch_micros(events, "ts"), every=RATE_BLOCK)
 
 
 def instance_tag(spark: SparkSession, folder: str) -> DataFrame:

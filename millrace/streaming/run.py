@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,38 @@ def run_live(sink: DataStreamWriter, every: str = "1 second") -> StreamingQuery:
     return sink.trigger(processingTime=every).start()
 
 
+def run_until_idle(sink: DataStreamWriter, idle_seconds: float = 0, every: str = "100 milliseconds", longest: float = 600) -> StreamingQuery:
+    """Work off everything that is there micro-batch by micro-batch, then stop; a failure is raised here.
+
+    For sources that `availableNow` asks only once, and for jobs with timers: with `idle_seconds` the job goes on
+    until a micro-batch without items began that long after the last one with items, so whatever falls due by
+    then has come out. Longer than `longest` seconds without items in sight of an end is an error.
+    """
+    query = run_live(sink, every)
+    try:
+        if not idle_seconds:
+            query.processAllAvailable()
+            return query
+        last, seen, until = None, -1, time.monotonic() + longest
+        while True:
+            if query.exception() is not None:
+                raise query.exception()
+            for progress in query.recentProgress:
+                if progress["batchId"] < seen:
+                    continue
+                began = datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).timestamp()
+                if progress["numInputRows"]:
+                    last, seen = began, progress["batchId"]
+                    until = time.monotonic() + longest
+                elif last is not None and began > last + idle_seconds:
+                    return query
+            if time.monotonic() > until:
+                raise TimeoutError(f"not idle after {longest} s")
+            time.sleep(0.05)
+    finally:
+        query.stop()
+
+
 def live_tap(items: DataFrame, prefix: str) -> DataFrame:
     """Pass live items through and count them under `prefix`; a `TapCounts` adds them up."""
     return items.observe(prefix, F.count(F.lit(1)).alias("items"))
