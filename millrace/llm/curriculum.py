@@ -136,18 +136,20 @@ def position(mix: Mix, words: Column) -> Column:
 
 def mixed(spark: SparkSession, docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """`doc_id`, `size`, `source_size`, `target`, `taken`, and the `first_position` in the training
-    (null where nothing is taken)."""
+    (null where nothing is taken), sorted along it over all partitions."""
     rows = written(spark, sized(docs), "sizes")
     out = placed(spark, rows, mix)
     first = F.when(F.col("taken") > 0, position(mix, F.col("ahead")))
-    return out.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
+    out = written(spark, out.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position")), "mix")
+    return out.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
 def training_order(spark: SparkSession, docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The documents as the mix takes them, sorted along the training over all partitions.
 
     One row for each pass of a document, with its columns, `words_taken` of that pass and
-    `position`; where a source ends inside a document, its text is cut to the words taken.
+    `position`; where a source ends inside a document, its text is cut to the words taken. Where the
+    documents have a column of one of these names, the new one gets `_` behind it.
     """
     sizes = written(spark, sized(docs), "sizes")
     rows = placed(spark, sized(docs, payload=True), mix, sizes)
@@ -159,7 +161,16 @@ def training_order(spark: SparkSession, docs: DataFrame, mix: Mix = Mix()) -> Da
     columns = [
         (F.when(F.col("words_taken") < F.col("size"), cut).otherwise(F.col("row.text")).alias(c) if c == "text" else F.col("row").getField(c).alias(c))
         for c in docs.columns
-        if c not in ("words_taken", "position")
     ]
-    out = passes.select(*columns, "words_taken", "position")
-    return out.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+    new = {name: _free(name, docs.columns) for name in ("words_taken", "position")}
+    out = passes.select(*columns, *(F.col(name).alias(free) for name, free in new.items()))
+    along = [F.col(f"`{name}`") for name in (new["position"], "doc_id")]
+    return out.repartitionByRange(*along).sortWithinPartitions(*along)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """The name, with as many `_` behind it as no column of this name needs."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name += "_"
+    return name

@@ -317,14 +317,17 @@ def deduplicated(spark: SparkSession, docs: DataFrame, near: Near = Near()) -> D
     found = written(spark, classified(spark, docs, near).select("doc_id", "node", "kept"), "kept")
     ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
     plain = ids.where("n = 1 AND kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id"))
-    once = docs.join(plain, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    # Documents travel in one struct, so that no column of theirs can clash.
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("_id"))
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    once = packed.join(plain, F.col("_id") == F.col("_kept_id"), "left_semi").select(*own)
     odd = written(spark, ids.where("n > 1 OR doc_id IS NULL").select("doc_id"), "odd")
     if odd.isEmpty():
         return once
-    some = docs.join(odd.withColumnRenamed("doc_id", "_odd"), F.col("doc_id").cast("long").eqNullSafe(F.col("_odd")), "left_semi")
+    some = packed.join(odd.withColumnRenamed("doc_id", "_odd"), F.col("_id").eqNullSafe(F.col("_odd")), "left_semi").select(*own)
     right = found.where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("node").alias("_kept_node")).distinct()
     same = F.col("_id").eqNullSafe(F.col("_kept_id")) & F.col("_node").eqNullSafe(F.col("_kept_node"))
     kept = _with_nodes(some, near).join(right, same, "left_semi")
     one = Window.partitionBy("_id", F.when(F.col("_id").isNull(), F.col("_text"))).orderBy("_text")
     kept = kept.withColumn("_place", F.row_number().over(one)).where("_place = 1")
-    return once.unionByName(kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))
+    return once.unionByName(kept.select(*own))

@@ -93,3 +93,16 @@ def test_position_inverts_demand(spark, start, end):
     for r in rows.withColumn("t", curriculum.position(mix, rows["words"])).collect():
         demand = (start * r.t + (end - start) * r.t**2 / 2) / ((start + end) / 2)
         assert abs(demand - r.words / 100) < 1e-9
+
+
+def test_columns_of_the_same_names_stay(spark, documents):
+    frame = documents.limit(50).selectExpr("*", "doc_id AS position", "'x' AS words_taken", "'y' AS words_taken_")
+    out = curriculum.training_order(spark, frame)
+    assert out.columns == [*frame.columns, "words_taken__", "position_"]
+    assert all(r.position == r.doc_id and r.words_taken == "x" and 0 <= r.position_ <= 1 and r.words_taken__ > 0 for r in out.collect())
+
+
+def test_the_query_is_sorted_over_all_partitions(spark, documents):
+    rows = curriculum.mixed(spark, documents).collect()
+    keys = [(r.first_position is not None, r.first_position or 0, r.doc_id) for r in rows]
+    assert keys == sorted(keys)

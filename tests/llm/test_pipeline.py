@@ -47,7 +47,7 @@ def test_run(spark, data):
 
 def test_stages_on_odd_rows(spark, corpus, odd_rows, data):
     for rows in (odd_rows, []):
-        frame = corpus(rows, extra=["position_", "kept", "row", "node"])
+        frame = corpus(rows, extra=["position_", "position", "words_taken", "_kept_id", "_odd", "_id", "kept", "row", "node"])
         names = frame.columns
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, frame, data)
