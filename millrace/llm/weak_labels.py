@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.quality_rules import measure, script_numbers, text_numbers
+from millrace.llm.quality_rules import NUMBERS, SCRIPT_NUMBERS, _measured_any, script_numbers, text_numbers
 from millrace.llm.tables import hashed_sample, written
 from millrace.llm.words import NOT_WORD, flat_bytes, mixed, span_hashes, text_blocks, word_spans
 from millrace.llm.decontaminate import lowered
@@ -218,16 +218,23 @@ def human_labels(labels: DataFrame) -> DataFrame:
     return rows.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `text`, and `key`, a name of the two: an id may stand on many rows."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.withColumn("key", F.xxhash64("doc_id", "text"))
+
+
 def votes(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`doc_id` and a string of votes for each question: `0` good, `1` bad, `-` none."""
-    book = measure(docs, scripts=True)
-    known = human_labels(labels)
-    joined = book.join(known, book["doc_id"] == known["_labelled"], "left")
+    """`doc_id`, `key` and a string of votes for each question: `0` good, `1` bad, `-` none."""
+    packed = keyed(docs).select(F.struct("doc_id", "key").alias("id"), "text")
+    numbers = ", ".join(f"{name} long" for name in (*NUMBERS, *SCRIPT_NUMBERS))
+    book = packed.mapInArrow(_measured_any, f"id struct<doc_id:bigint,key:bigint>, {numbers}").withColumn("doc_id", F.col("id.doc_id"))
+    joined = book.join(human_labels(labels), book["doc_id"] == F.col("_labelled"), "left")
     columns = [
         F.concat(*(F.coalesce(F.expr(test).cast("string"), F.lit("-")) for test, *_ in labellers.values())).alias(question)
         for question, labellers in QUESTIONS.items()
     ]
-    return joined.select("doc_id", *columns)
+    return joined.select("doc_id", F.col("id.key").alias("key"), *columns)
 
 
 def coded(patterns: list[str]) -> np.ndarray:
@@ -237,7 +244,7 @@ def coded(patterns: list[str]) -> np.ndarray:
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> tuple[dict[str, Scorer], dict[str, Beliefs], DataFrame]:
     """Scorers and beliefs by question, and the votes of all documents."""
     cast = written(spark, votes(docs, labels), "votes")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = keyed(docs)
     scorers, beliefs = {}, {}
     for question, labellers in QUESTIONS.items():
         counted = cast.groupBy(question).agg(F.count("*").alias("n")).orderBy(question).collect()  # at most 3 ** labellers
@@ -252,7 +259,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
         table = spark.createDataFrame([k[:2] for k in known], f"{question} string, chance double")
         judged = cast.join(F.broadcast(table), question).where("doc_id IS NOT NULL")  # at most 3 ** labellers rows
         # The sample: of each posterior class the texts with a human vote first, as they tell most.
-        picked = cast.select("doc_id", F.lit(0.0).alias("chance")).limit(0)
+        picked = cast.select("key", F.lit(0.0).alias("chance")).limit(0)
         for low, high in ((0.8, 1.0), (0.0, 0.2)):
             left = fit.texts
             for human in (True, False):
@@ -260,10 +267,13 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit: Fit = Fi
                 if left <= 0 or not count:
                     continue
                 side = judged.where(F.col("chance").between(low, high) & ((F.substring(question, -1, 1) != "-") == human))
-                picked = picked.unionByName(hashed_sample(side, F.col("doc_id"), left, count, question).select("doc_id", "chance"))
+                picked = picked.unionByName(hashed_sample(side, F.col("doc_id"), left, count, question).select("key", "chance"))
                 left -= count
-        # At most 8 * fit.texts rows: bounded for the broadcast and for the driver.
-        sample = rows.join(F.broadcast(picked), "doc_id").mapInArrow(_featured(fit.bits), "chance double, features array<int>")
+        # At most 8 * fit.texts rows: bounded for the broadcast and for the driver. Repeated rows, of one name and
+        # one vote, count once.
+        picked = picked.groupBy("key").agg(F.max("chance").alias("chance"))
+        texts = rows.join(F.broadcast(picked), "key").groupBy("key").agg(F.first("text").alias("text"), F.first("chance").alias("chance"))
+        sample = texts.mapInArrow(_featured(fit.bits), "chance double, features array<int>")
         held = sample.toArrow()
         lists = held.column("features").combine_chunks()
         if isinstance(lists, pa.ChunkedArray):

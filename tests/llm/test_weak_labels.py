@@ -80,3 +80,23 @@ def test_odd_rows(spark, corpus, odd_rows):
     assert weak_labels.scored(spark, corpus([]), labels).count() == 0
     nothing = spark.createDataFrame([], labels.schema)
     assert weak_labels.scored(spark, corpus(odd_rows), nothing).count() == len(odd_rows)
+
+
+def test_an_id_on_many_rows(spark, corpus):
+    """Rows are known by id and text: one id on all of them changes nothing but the votes of its labels."""
+    draw = np.random.default_rng(4)
+    words = ["the", "of", "river", "garden", "stone", "light", "house", "paper"]
+    texts = [" ".join(draw.choice(words, 80)) if i % 3 else "### !!! " * 30 + str(i) for i in range(300)]
+    labels = spark.createDataFrame([(-1, 1, 0)], "doc_id long, quality int, toxic int")
+    one = weak_labels.scored(spark, corpus([(7, t) for t in texts]), labels)
+    many = weak_labels.scored(spark, corpus([(100 + i, t) for i, t in enumerate(texts)]), labels)
+    assert one.count() == many.count() == 300
+    scorers, _, cast = weak_labels.train(spark, corpus([(7, t) for t in texts]), labels)
+    assert cast.select("key").distinct().count() == len(set(texts))
+    assert sorted(r.kept for r in one.collect()) == sorted(r.kept for r in many.collect())
+
+
+def test_repeated_rows_are_one_text_of_the_sample(spark, corpus):
+    rows = [(1, "good words stand here in a row " * 9)] * 60 + [(i, f"### !!! {i} " * 40) for i in range(2, 40)]
+    out = weak_labels.scored(spark, corpus(rows), spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()
+    assert len(out) == len(rows) and len({r.score for r in out if r.doc_id == 1}) == 1
