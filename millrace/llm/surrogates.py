@@ -8,6 +8,10 @@ check digit. Entities whose surrogates meet, or meet a real entity, are drawn ag
 after MOST_ROUNDS gets the free values of its form by rank. A phone number or name whose form is used up
 gets a longer one; other kinds have a fixed form, and one without enough free values is refused.
 
+Names are replaced word by word, so that the long and the short form of a person's name share their words: each
+given name (with its gender) and each family name is an entity. A name found behind a title is then replaced in
+its whole document, also where its words stand without a title, together or alone.
+
 The key is a parameter; without it surrogates cannot be recomputed. Only mentions are shuffled, and
 only documents that hold one meet them again, by a hash of the row's id and text.
 
@@ -118,16 +122,18 @@ def title(mention: Column) -> Column:
     return F.regexp_extract(mention, rf"^(\S+ (?=\p{{Lu}})|{_KEYWORD})", 1)
 
 
+def gender(mention: Column) -> Column:
+    """f or m by a name's title, empty where it does not say."""
+    female, male = title(mention).rlike(rf"^(?:{FEMALE_TITLES}|г-жа|госпожа)\b"), title(mention).rlike(rf"^(?:{MALE_TITLES}|г-н|господин)\b")
+    return F.when(female, "f").when(male, "m").otherwise("")
+
+
 def entity(mention: Column, what: Column) -> Column:
-    """What all writings of one entity have in common."""
+    """What all writings of one entity, other than a name, have in common."""
     plain = F.regexp_replace(mention, r"[^\p{L}\d]", "")
     own = F.substr(mention, F.length(title(mention)) + 1)
-    name = F.lower(own)
-    female, male = title(mention).rlike(rf"^(?:{FEMALE_TITLES}|г-жа|госпожа)\b"), title(mention).rlike(rf"^(?:{MALE_TITLES}|г-н|господин)\b")
-    gender = F.when(female, "f").when(male | name.rlike(r"\p{IsCyrillic}"), "m").otherwise("n")
     return (
         F.when(what == "email", F.lower(mention))
-        .when(what == "name", F.concat(gender, F.lit(":"), name))
         .when(what == "ip", mention)
         .when(what == "secret", own)
         .otherwise(plain)
@@ -197,16 +203,23 @@ def surrogate(what: Column, name: Column, attempt: Column, key: str) -> Column:
         given = F.when((gender == g) & (script == s), pick(names, 1)).otherwise(given)
     for s, parts in SYLLABLES.items():
         family = F.when(script == s, F.initcap(F.concat(*(pick(parts, 7 + 6 * i) for i in range(5))))).otherwise(family)
-    words = F.size(F.split(name, " "))
-    person = F.when(words > 2, F.concat(given, F.lit(" "), F.initcap(F.concat(*(pick(SYLLABLES["latin"], 60 + 6 * i) for i in range(2)))), F.lit(" "), family))
-    person = F.concat(gender, F.lit(":"), F.lower(person.when(words > 1, F.concat(given, F.lit(" "), family)).otherwise(family)))
+    # A given name of the list, then two of them, then one with a made-up ending.
+    more = F.lit(None).cast("string")
+    for (g, s), names in GIVEN.items():
+        more = F.when((gender == g) & (script == s), pick(names, 60)).otherwise(more)
+    ending = F.lit(None).cast("string")
+    for s, parts in SYLLABLES.items():
+        ending = F.when(script == s, F.concat(*(pick(parts, 70 + 6 * i) for i in range(3)))).otherwise(ending)
+    given = F.when(attempt == 0, given).when(attempt < 4, F.concat(given, F.lit("-"), more)).otherwise(F.concat(given, ending))
+    given = F.concat(gender, F.lit(":"), F.lower(given))
     hexadecimal = name.rlike(r"^[\da-f]+$|^[\dA-F]+$")
     return (
         F.when(what == "email", email)
         .when(what == "ip", F.concat_ws(".", *octets))
         .when(what == "card", card)
         .when(what == "iban", iban)
-        .when(what == "name", person)
+        .when(what == "given", given)
+        .when(what == "family", F.lower(family))
         .when(what == "phone", phone)
         .when(what == "ssn", _like(name, stream))
         .otherwise(_like(name, stream, 0, hexadecimal))
@@ -226,11 +239,14 @@ def written_as(mention: Column, what: Column, value: Column) -> Column:
     laid = F.concat(laid, F.substr(value, own + 1))  # of a longer form
     shouted = F.upper(mention) == mention
     email = F.when(shouted & mention.rlike(r"\p{Lu}"), F.upper(value)).otherwise(value)
-    name = F.initcap(F.substr(value, F.lit(3)))
-    rest = F.substr(mention, F.length(title(mention)) + 1)
-    name = F.concat(title(mention), F.when(F.upper(rest) == rest, F.upper(name)).otherwise(name))
     secret = F.concat(title(mention), value)
-    return F.when(what == "email", email).when(what == "name", name).when(what == "ip", value).when(what == "secret", secret).otherwise(laid)
+    return F.when(what == "email", email).when(what == "ip", value).when(what == "secret", secret).otherwise(laid)
+
+
+def word_as(word: Column, value: Column) -> Column:
+    """A surrogate in the case of a name's word."""
+    titled = F.array_join(F.transform(F.split(value, "-"), F.initcap), "-")
+    return F.when((F.upper(word) == word) & (F.length(word) > 1), F.upper(value)).otherwise(titled)
 
 
 def _strings(values) -> Column:
@@ -273,23 +289,19 @@ def form(what: Column, name: Column, extra: Column) -> Column:
     body = F.when(_luhn(name) % 10 == 0, F.substr(name, F.lit(1), F.length(name) - 1)).otherwise(name)
     kept = F.greatest(none, F.least(F.length(name) - 9, F.lit(3)))
     phone = F.concat(_slots_like(name, kept, no), repeated(DIGITS, extra))
-    cyrillic, gender, words = name.rlike(r"\p{IsCyrillic}"), F.substr(name, F.lit(1), F.lit(1)), F.size(F.split(name, " "))
+    cyrillic, sex = name.rlike(r"\p{IsCyrillic}"), F.substr(name, F.lit(1), F.lit(1))
     given = F.array(F.array(F.lit("")))
     for (g, s), names in GIVEN.items():
-        given = F.when((gender == g) & (cyrillic == F.lit(s == "cyrillic")), F.array(_strings(n.lower() for n in names))).otherwise(given)
-    family = F.when(cyrillic, repeated(SYLLABLES["cyrillic"], extra + 5)).otherwise(repeated(SYLLABLES["latin"], extra + 5))
-    first, space = F.array(F.array(F.concat(gender, F.lit(":")))), fixed(" ")
-    person = (
-        F.when(words > 2, F.concat(first, given, space, repeated(SYLLABLES["latin"], 2), space, family))
-        .when(words > 1, F.concat(first, given, space, family))
-        .otherwise(F.concat(first, family))
-    )
+        given = F.when((sex == g) & (cyrillic == F.lit(s == "cyrillic")), F.array(_strings(n.lower() for n in names))).otherwise(given)
+    syllables = lambda n: F.when(cyrillic, repeated(SYLLABLES["cyrillic"], n)).otherwise(repeated(SYLLABLES["latin"], n))
+    given = F.concat(F.array(F.array(F.concat(sex, F.lit(":")))), given, syllables(extra + 3))
     return (
         F.when(what == "email", email)
         .when(what == "ip", ip)
         .when(what == "card", _slots_like(body, F.lit(1), no))
         .when(what == "iban", _slots_like(name, F.lit(4), no))
-        .when(what == "name", person)
+        .when(what == "given", given)
+        .when(what == "family", syllables(extra + 5))
         .when(what == "phone", phone)
         .when(what == "ssn", _slots_like(name, none, no))
         .otherwise(_slots_like(name, none, name.rlike(r"^[\da-f]+$|^[\dA-F]+$")))
@@ -352,7 +364,7 @@ def ranked(spark: SparkSession, left: DataFrame, taken: DataFrame) -> DataFrame:
         new = given.where("value IS NOT NULL").select("what", "name", "value")
         out, taken = out.unionByName(new), taken.unionByName(new.select("what", "value"))
         still = given.where("value IS NULL").join(forms.select("form", "end", "space"), "form")
-        used_up, longer = F.col("end") >= F.col("space"), F.col("what").isin("phone", "name")
+        used_up, longer = F.col("end") >= F.col("space"), F.col("what").isin("phone", "given", "family")
         if not still.where(used_up & ~longer).isEmpty():
             raise ValueError("the form of an entity is too small for distinct values: fewer of its values are free than are needed")
         left = still.select(
@@ -388,6 +400,76 @@ def distinct_surrogates(spark: SparkSession, entities: DataFrame, key: str = DEF
     return kept.unionByName(ranked(spark, again, written(spark, taken.distinct(), "taken")))
 
 
+def name_words(each: DataFrame) -> DataFrame:
+    """`_row`, `word`, `what` (given or family), `name` and `plain` for the words of each document's names.
+
+    A word that stands before another in some name of the document is a given name, any other a family name.
+    A given name has the gender of its title, or else that of the document's other names with it. `plain`
+    marks the entity that the word stands for without a title: one for each word.
+    """
+    own = F.substr("mention", F.length(title(F.col("mention"))) + 1)
+    person = F.struct(gender(F.col("mention")).alias("gender"), F.split(F.lower(own), " ").alias("words"))
+    rows = each.where("what = 'name'").groupBy("_row").agg(F.collect_set(person).alias("people"))
+    # Lists of one document's names, as long as the document makes them.
+    firsts = F.flatten(F.transform("people", lambda p: F.slice(p["words"], 1, F.size(p["words"]) - 1)))
+    rows = rows.withColumn("given", F.array_distinct(firsts))
+    lasts = F.transform("people", lambda p: F.element_at(p["words"], -1))
+    rows = rows.withColumn("family", F.array_except(lasts, "given"))
+
+    def says(word: Column, sex: str) -> Column:
+        return F.exists("people", lambda p: (p["gender"] == sex) & F.array_contains(p["words"], word))
+
+    def usual(word: Column) -> Column:
+        unsaid = F.when(word.rlike(r"\p{IsCyrillic}"), "m").otherwise("n")
+        return F.when(says(word, "m") & ~says(word, "f"), "m").when(says(word, "f") & ~says(word, "m"), "f").otherwise(unsaid)
+
+    def one(word: Column, what: str, name: Column, plain: bool) -> Column:
+        return F.struct(word.alias("word"), F.lit(what).alias("what"), name.alias("name"), F.lit(plain).alias("plain"))
+
+    family = F.transform("family", lambda w: one(w, "family", w, True))
+    rows = rows.withColumn("usual", F.transform("given", lambda w: one(w, "given", F.concat(usual(w), F.lit(":"), w), True)))
+    titled = F.flatten(
+        F.transform(
+            F.filter("people", lambda p: p["gender"] != ""),
+            lambda p: F.transform(F.array_intersect(p["words"], F.col("given")), lambda w: one(w, "given", F.concat(p["gender"], F.lit(":"), w), False)),
+        )
+    )
+    more = F.filter(F.array_distinct(titled), lambda t: ~F.exists("usual", lambda u: u["name"] == t["name"]))
+    return rows.select("_row", F.explode(F.concat(family, "usual", more)).alias("w")).select("_row", "w.*")
+
+
+def _person(mention: Column) -> Column:
+    """A titled name with the surrogates of its words, from its document's maps."""
+    own = F.substr(mention, F.length(title(mention)) + 1)
+
+    def one(word: Column) -> Column:
+        usual = F.element_at(F.col("by_word"), F.lower(word))
+        titled = F.try_element_at(F.col("by_name"), F.concat(gender(mention), F.lit(":"), F.lower(word)))
+        value = F.when(usual["what"] == "given", F.coalesce(titled, usual["value"])).otherwise(usual["value"])
+        return word_as(word, F.regexp_replace(value, r"^[fmn]:", ""))
+
+    return F.concat(title(mention), F.array_join(F.transform(F.split(own, " "), one), " "))
+
+
+#: A word that may be a name's, where no title says so.
+CAPITALISED = r"(?<![\p{L}\d])\p{Lu}\p{L}*+(?:['\-]\p{L}++)*+"
+
+
+def _untitled(part: Column) -> Column:
+    """A part of a text between its mentions, with the surrogates of its document's names."""
+
+    def one(word: Column) -> Column:
+        bare = F.regexp_replace(word, r"'[sS]$", "")
+        whole = F.try_element_at(F.col("by_word"), F.lower(word))["value"]
+        owner = F.try_element_at(F.col("by_word"), F.lower(bare))["value"]
+        plain = lambda value: F.regexp_replace(value, r"^[fmn]:", "")
+        owned = F.concat(word_as(bare, plain(owner)), F.substr(word, F.length(bare) + 1))
+        return F.coalesce(word_as(word, plain(whole)), owned, word)
+
+    words = F.concat(F.transform(F.regexp_extract_all(part, F.lit(f"({CAPITALISED})"), F.lit(1)), one), F.array(F.lit("")))
+    return F.array_join(F.zip_with(F.split(part, CAPITALISED, -1), words, lambda gap, word: F.concat(gap, word)), "")
+
+
 def with_surrogates(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """`row` (the document), `mentions` (kind, original, surrogate, in their order) and the new `text`."""
     text = F.col("text").cast("string")
@@ -398,13 +480,26 @@ def with_surrogates(spark: SparkSession, docs: DataFrame, key: str = DEFAULT_KEY
     held = suspects.where(F.size("found") > 0).withColumn("_row", name)
     each = held.select("_row", F.posexplode("found").alias("at", "mention"))
     each = each.withColumn("what", kind(F.col("mention"))).withColumn("name", entity(F.col("mention"), F.col("what")))
-    each = written(spark, each, "mentions")
-    known = distinct_surrogates(spark, each.select("what", "name").distinct(), key)
-    made = each.join(known, ["what", "name"]).withColumn("made", written_as(F.col("mention"), F.col("what"), F.col("value")))
-    lists = made.distinct().groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "what", "mention", "made"))).alias("mentions"))
-    joined = held.join(lists, "_row")
+    each = written(spark, each.distinct(), "mentions")
+    words = written(spark, name_words(each), "name-words")
+    entities = each.where("what <> 'name'").select("what", "name").unionByName(words.select("what", "name"))
+    known = distinct_surrogates(spark, entities.distinct(), key)
+    made = each.where("what <> 'name'").join(known, ["what", "name"]).withColumn("made", written_as(F.col("mention"), F.col("what"), F.col("value")))
+    valued = words.join(known, ["what", "name"])
+    entry = F.struct("what", "name", "value")
+    maps = valued.groupBy("_row").agg(
+        F.map_from_entries(F.collect_set(F.struct("name", "value"))).alias("by_name"),
+        F.map_from_entries(F.collect_list(F.when(F.col("plain"), F.struct(F.col("word"), entry)))).alias("by_word"),
+    )
+    maps = written(spark, maps, "names")
+    people = each.where("what = 'name'").join(maps, "_row").withColumn("made", _person(F.col("mention")))
+    columns = ["_row", "at", "what", "mention", "made"]
+    every = made.select(*columns).unionByName(people.select(*columns))
+    lists = every.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "what", "mention", "made"))).alias("mentions"))
+    joined = held.join(lists, "_row").join(maps.select("_row", "by_word"), "_row", "left")
     ends = F.concat(F.transform("mentions", lambda m: m["made"]), F.array(F.lit("")))
-    new = F.array_join(F.zip_with(between(F.col("text")), ends, lambda p, e: F.concat(p, e)), "")
+    parts = F.when(F.col("by_word").isNull(), between(F.col("text"))).otherwise(F.transform(between(F.col("text")), _untitled))
+    new = F.array_join(F.zip_with(parts, ends, lambda p, e: F.concat(p, e)), "")
     changed = joined.select("row", "mentions", new.alias("text"))
     none = F.array().cast(changed.schema["mentions"].dataType).alias("mentions")
     clean = suspects.where(F.size("found") == 0).select("row", none, "text")

@@ -169,3 +169,54 @@ def test_scores_are_no_phone_numbers(spark, corpus):
 def test_no_python_in_the_plan(spark, documents):
     plan = surrogates.replaced(spark, documents)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_name_is_replaced_in_all_its_writings(spark, corpus):
+    text = "Mr. John Smith met us. Mr. Smith said so. Later John Smith left, and JOHN SMITH's car, Smith's and John. Johnson and Smithy stay; a smith too."
+    (row,) = result(spark, corpus([(1, text)]))
+    assert not re.search(r"\b(?:John|JOHN|Smith|SMITH)\b", row.text)
+    assert "Johnson and Smithy stay; a smith too." in row.text
+    given, family = row.mentions[0].made.split(" ")[1:]
+    want = text
+    for old, new in (("John", given), ("Smith", family), ("JOHN", given.upper()), ("SMITH", family.upper())):
+        want = re.sub(rf"\b{old}\b", new, want)
+    assert row.text == want
+
+
+def brute_names(text, known):
+    """Every capitalised word that is a name's word of the document, by a dictionary."""
+    def one(match):
+        word = match[0]
+        for end in ("", "'s"):
+            base = word[: len(word) - len(end)] if word.endswith(end) else word
+            if base.lower() in known:
+                value = known[base.lower()]
+                return (value.upper() if base.isupper() and len(base) > 1 else value) + word[len(base) :]
+        return word
+
+    return re.sub(r"(?<![^\W_])[A-ZÀ-Þ][^\W\d_]*(?:['-][^\W\d_]+)*", one, text)
+
+
+def test_names_against_a_dictionary(spark, corpus):
+    """Several people, genders and orders; words of one document's names stay in another's text."""
+    texts = [
+        "Mrs. Jane Smith and Mr. John Smith: Jane, John, the Smiths and Smith.",
+        "Jane and Smith without titles stay.",
+        "Señora María García habló. María se fue; García también. María García-López no.",
+        "Dr. Kim Lee wrote. Ms. Kim Lee signed. Kim Lee's book, Lee.",
+        "Mr. Brown, Ms. Anna Brown-Miller, Prof. Miller: Brown-Miller, Miller, Brown, Anna.",
+    ]
+    rows = {r.doc_id: r for r in result(spark, corpus(list(enumerate(texts))))}
+    assert rows[1].text == texts[1] and not rows[1].mentions
+    words = {}
+    for i in (0, 2, 3, 4):
+        known = {}
+        for m in rows[i].mentions:
+            old, new = m.mention.split(" ")[1:], m.made.split(" ")[1:]
+            assert len(old) == len(new) and m.made.split(" ")[0] == m.mention.split(" ")[0]
+            known |= {o.lower(): n for o, n in zip(old, new)}
+        assert rows[i].text == brute_names(texts[i], known), i
+        for old, new in known.items():
+            assert words.setdefault(old, new) == new
+    assert len(set(words.values())) == len(words)  # different names stay different
+    assert not set(words.values()) & {w.title() for w in words}
