@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import licenses
 
@@ -14,8 +15,55 @@ def lines(corpus, texts):
     return licenses.paragraphs(corpus(list(enumerate(texts))))
 
 
-def test_every_template_holds_a_cue():
-    assert all(re.search(licenses.CUES, t) for texts in licenses.TEMPLATES.values() for t in texts)
+def test_the_bound_is_exact(spark, classifier, documents, corpus):
+    """What the words of the list do not let through is unknown, paragraph by paragraph."""
+    rows = documents.select("doc_id", "text").limit(300).collect()
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts] + [" ".join(t.split()[::2]) for texts in licenses.TEMPLATES.values() for t in texts]
+    frame = corpus([(r.doc_id, r.text) for r in rows] + [(10_000 + i, t) for i, t in enumerate([*notices, *licenses.MISLEADING])])
+    key = ["doc_id", "paragraph", "lines"]
+    every = classifier.classify(licenses.paragraphs(frame))
+    believed = {tuple(r[k] for k in key) for r in every.where("family <> 'unknown'").collect()}
+    passed = {tuple(r[k] for k in key) for r in licenses.paragraphs(frame, classifier.telling).collect()}
+    assert believed <= passed and len(passed) < every.count() / 2
+    assert len(believed) > 80
+
+
+def test_unseen_notices_get_rows(classifier, corpus):
+    texts = {
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY': "mit",
+        "Distributed under MPL 2.0": "mpl-2.0",
+        "This file is GPLv3": "gpl-3.0",
+        "Code is available under Apache 2.0": "apache-2.0",
+        "(c) 2020 Some Company": "proprietary",
+        "Unless required by applicable law or agreed to in writing, software": "apache-2.0",
+        "Alle Rechte vorbehalten": "proprietary",
+    }
+    rows = classifier.classify(licenses.paragraphs(corpus(list(enumerate(texts))), classifier.telling)).collect()
+    assert {r.doc_id: r.family for r in rows} == dict(enumerate(texts.values()))
+
+
+def test_recall_on_held_out_variants(spark, classifier, documents):
+    """Variants drawn with another salt: families found, and other paragraphs left alone."""
+    strange = licenses.negatives(documents, licenses.Scan(negatives=400)).withColumn("salt", F.lit("other"))
+    rows = licenses.training_rows(spark, strange, licenses.Scan(), "other")
+    known = classifier.chances(classifier.labelled(rows)).where("label > 0 OR chance >= 0").collect()
+    notices = [r for r in known if r.label > 0]
+    right = [r for r in notices if r.chance >= classifier.least and classifier.families[int(r.label)] == r.best]
+    wrong = [r for r in known if r.label == 0 and r.chance >= classifier.least]
+    assert len(right) > 0.93 * len(notices)
+    assert len(wrong) < 0.02 * (len(known) - len(notices))
+
+
+def test_blocks_of_lines(classifier, corpus):
+    text = "Intro\n\nLicensed under the Apache License,\n Version 2.0 (the License); you may not\nuse this file except in compliance\n\n\nx\ny\n  \nz"
+    every = {(r.paragraph, r.lines): " ".join(r.words) for r in licenses.paragraphs(corpus([(1, text)])).collect()}
+    assert every == {
+        (0, 1): "intro", (2, 1): "licensed under the apache license", (3, 1): "version 2 0 the license you may not", (4, 1): "use this file except in compliance",
+        (2, 3): "licensed under the apache license version 2 0 the license you may not use this file except in compliance",
+        (7, 1): "x", (8, 1): "y", (7, 2): "x y", (10, 1): "z",
+    }
+    found = classifier.classify(licenses.paragraphs(corpus([(1, text)]), classifier.telling)).where("confirmed").collect()
+    assert (2, 3, "apache-2.0") in {(r.paragraph, r.lines, r.family) for r in found}
 
 
 def test_notices_of_the_given_table(spark, documents):
