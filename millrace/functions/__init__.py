@@ -1,4 +1,5 @@
 from millrace.functions.items import (
+    OpenPart,
     attribute,
     condition,
     epoch_micros,
@@ -10,6 +11,7 @@ from millrace.functions.items import (
 )
 
 __all__ = [
+    "OpenPart",
     "attribute",
     "condition",
     "epoch_micros",

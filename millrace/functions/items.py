@@ -76,6 +76,49 @@ def put(items: DataFrame, key: str, value: object, open_part: str | None = None)
     return items.withColumn(open_part, F.to_json(F.map_concat(others, added)))
 
 
+class OpenPart:
+    """The JSON column of some items, parsed once, changed by any number of puts, and written once.
+
+    The keys of the column are held as one map of variants from `OpenPart` to `items`; other keys keep their
+    values and types, a missing or broken JSON text is an object without keys.
+    """
+
+    _HELD = "_open_part"
+
+    def __init__(self, items: DataFrame, open_part: str = OPEN_PART):
+        self._name, self._names = open_part, items.columns
+        held = F.try_parse_json(F.col(open_part)).try_cast("map<string, variant>")
+        empty = F.create_map().cast("map<string, variant>")
+        # Spark does not repeat a costly value that several others are made of: the text is parsed here only.
+        self._items = items.withColumn(self._HELD, F.coalesce(held, empty))
+        self._puts: dict[str, Column] = {}
+
+    def get(self, key: str, kind: str = "string") -> Column:
+        """The value under `key` as it is now, NULL where it is missing or of another type."""
+        found = self._puts.get(key)
+        return (F.try_element_at(F.col(self._HELD), F.lit(key)) if found is None else found).try_cast(kind)
+
+    def put(self, key: str, value: object, when: Column | None = None) -> OpenPart:
+        """Set a key; with `when`, only on items that pass the test."""
+        new = (value if isinstance(value, Column) else F.lit(value)).cast("variant")
+        if when is not None:
+            old = self._puts.get(key)
+            new = F.when(when, new).otherwise(F.try_element_at(F.col(self._HELD), F.lit(key)) if old is None else old)
+        self._puts[key] = new
+        return self
+
+    def items(self, **columns: Column) -> DataFrame:
+        """The items with the JSON column written; `columns` adds values that `get` gave."""
+        kept = F.map_filter(F.col(self._HELD), lambda k, v: ~k.isin(*self._puts))
+        added = [F.struct(F.lit(key).alias("key"), value.alias("value")) for key, value in self._puts.items()]
+        new = F.col(self._HELD)
+        if added:
+            # A key put only on some items stays missing on those that never had it.
+            new = F.map_concat(kept, F.map_from_entries(F.filter(F.array(*added), lambda e: e["value"].isNotNull())))
+        text = F.to_json(new).alias(self._name)
+        return self._items.select(*(text if name == self._name else F.col(f"`{name}`") for name in self._names), *(c.alias(n) for n, c in columns.items()))
+
+
 def epoch_micros(items: DataFrame, name: str) -> Column:
     """Microseconds since 1970 of a time column.
 
@@ -92,13 +135,17 @@ def epoch_micros(items: DataFrame, name: str) -> Column:
 
 
 def rows_within(items: DataFrame, rows: int, most_bytes: int) -> int:
-    """`rows`, or fewer where so many would exceed `most_bytes`, by the mean width of the first rows.
+    """`rows`, or fewer where so many would exceed `most_bytes`, by the mean width of a sample that every
+    part of the input gives its share of, so that the order of rows decides nothing.
 
     Items of fixed width are taken as they come, without looking."""
     wide = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
     if items.isStreaming or not any(isinstance(field.dataType, wide) for field in items.schema):
         return rows
-    width = items.limit(SAMPLED_WIDTHS).agg(F.avg(F.length(F.to_json(F.struct("*"))))).first()[0]
+    count = items.count()
+    share = 1.0 if count <= SAMPLED_WIDTHS else SAMPLED_WIDTHS / count
+    some = items if share == 1 else items.where(F.rand(7) < share)
+    width = some.agg(F.avg(F.length(F.to_json(F.struct("*"))))).first()[0]
     return max(1, min(rows, int(most_bytes / max(width or 1, 1))))
 
 

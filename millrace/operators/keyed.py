@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import rows_within
+from millrace.operators.hot import COUNTERS, hot_keys
 from millrace.operators.ranges import (
     NUMBER,
     Cuts,
@@ -209,14 +210,18 @@ def keyed_apply(
     if carries:
         found = key_cuts(items, key, order, rows_per_segment)
     else:
-        sizes = items.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        rows, largest = sizes.agg(F.sum("_rows"), F.max_by(F.struct(key, "_rows"), "_rows")).first()
-        if largest and largest["_rows"] > rows_per_segment:
+        rows, nameless = items.agg(F.count(F.lit(1)), F.count_if(F.col(f"`{key}`").isNull())).first()
+        largest = [(None, nameless)] if nameless > rows_per_segment else []
+        if not largest and rows > rows_per_segment:
+            # So many counters that no key beyond the limit can escape the summary.
+            counters = max(COUNTERS, 2 * -(-rows // rows_per_segment))
+            largest = hot_keys(items, key, rows_per_segment, 1, counters)
+        if largest:
             raise ValueError(
-                f"key {largest[key]!r} has {largest['_rows']} rows, a call may have {rows_per_segment}: "
+                f"key {largest[0][0]!r} has {largest[0][1]} rows, a call may have {rows_per_segment}: "
                 "give carries, or a larger rows_per_segment"
             )
-        found = KeyCuts(key, tuple(order), rows or 0)
+        found = KeyCuts(key, tuple(order), rows)
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.drop_columns([_CALL, SEGMENT]).to_pandas(types_mapper=pd.ArrowDtype)

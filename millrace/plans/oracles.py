@@ -36,6 +36,18 @@ ORACLES = {
     """,
     "source_limit": "SELECT event_id FROM events ORDER BY event_id LIMIT 1000",
     "tolerant_read": _EVENTS + " WHERE event_type NOT IN ('error', 'click')",
+    "tolerant_split": """
+        SELECT 'item' AS kind, event_id, NULL::VARCHAR AS broken FROM events WHERE event_type NOT IN ('error', 'click')
+        UNION ALL
+        SELECT 'broken', NULL, CASE event_type
+            WHEN 'error' THEN substr('{"event_id":' || event_id || ',"event_type":"error"', 1, 14)
+            ELSE '{"event_id":' || event_id || ',"event_type":"click","value":"none"}' END
+        FROM events WHERE event_type IN ('error', 'click')
+    """,
+    "large_limit": """
+        SELECT count(*) AS n, max(l_orderkey) AS l_orderkey, arg_max(l_linenumber, (l_orderkey, l_linenumber)) AS l_linenumber
+        FROM (SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY ALL LIMIT (SELECT 2 * count(*) // 3 FROM lineitem))
+    """,
     "tolerant_projection": """
         SELECT count(*) AS n, count(event_id) AS ids, CAST(sum(event_id) AS BIGINT) AS total, count(*) AS "rows"
         FROM events WHERE event_type NOT IN ('error', 'click')

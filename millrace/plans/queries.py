@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import attribute, epoch_micros, merge_streams, put, with_attributes
+from millrace.functions import OpenPart, attribute, epoch_micros, merge_streams, with_attributes
 from millrace.operators import chain as c
 from millrace.operators import keyed as k
 from millrace.operators import ordering as o
@@ -105,6 +105,29 @@ def tolerant_read(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_tolerant(spark, _broken_lines(spark, folder), ITEM)
 
 
+def tolerant_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Good items and broken lines from one reading, written once and taken apart."""
+    split = tables.read_split(spark, _broken_lines(spark, folder), ITEM)
+    path = work_dir(spark, "split-lines")
+    split.write.parquet(path)
+    both = spark.read.schema(split.schema).parquet(path)
+    good = tables.good_items(both).select(F.lit("item").alias("kind"), "event_id", F.lit(None).cast("string").alias("broken"))
+    bad = tables.broken_lines(both).where("line > 0 AND file IS NOT NULL")
+    return good.unionByName(bad.select(F.lit("broken").alias("kind"), F.lit(None).cast("long").alias("event_id"), "broken"))
+
+
+def large_limit(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the line items, in the order of the source: how many, and whether they are the first ones."""
+    path = work_dir(spark, "limited")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    lines.repartitionByRange(6, "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey", "l_linenumber").write.parquet(path)
+    wanted = 2 * lines.count() // 3
+    taken = tables.limit_items(tables.read_items(spark, path), wanted, small=0)
+    return taken.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("l_orderkey", "l_linenumber")).alias("last")).select(
+        "n", F.col("last.l_orderkey").alias("l_orderkey"), F.col("last.l_linenumber").alias("l_linenumber")
+    )
+
+
 def tolerant_projection(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows count whichever columns are asked for."""
     items = tables.read_tolerant(spark, _broken_lines(spark, folder), ITEM)
@@ -234,10 +257,10 @@ def open_condition(spark: SparkSession, folder: str) -> DataFrame:
 
 def open_put(spark: SparkSession, folder: str) -> DataFrame:
     """A key set in the open part beside the others, one with a dot in its name, and one replaced."""
-    events = _events(spark, folder, "event_id", "event_type", "props")
+    held = OpenPart(_events(spark, folder, "event_id", "event_type", "props"))
     for key, value in (("a.b", F.col("event_type")), ("n", F.col("event_id") * 2), ("n", F.col("event_id"))):
-        events = put(events, key, value, open_part="props")
-    return with_attributes(events, "props", "k", "a.b", "n").select(
+        held.put(key, value)
+    return with_attributes(held.items(), "props", "k", "a.b", "n").select(
         "event_id",
         F.col("k").cast("bigint"),
         F.col("`a.b`").alias("dotted"),
@@ -509,7 +532,7 @@ BATCH = {
     query.__name__: query
     for query in (
         source_scan, multi_source, sharded_source, custom_source, random_source, constant_source, source_limit,
-        tolerant_read, tolerant_projection, arrival_id, json_sink, queue_sink, custom_sink, log_tap, terminal_process, process_chain,
+        tolerant_read, tolerant_split, tolerant_projection, large_limit, arrival_id, json_sink, queue_sink, custom_sink, log_tap, terminal_process, process_chain,
         set_value, create_id, alternate_ab, data_rate, instance_tag, attr_access, skip_rows, conditional_set,
         conditional_skip, open_condition, open_put,
         drop_null_items, unrouted_dropped, enqueue_one, enqueue_route, enqueue_multi, enqueue_bulk, split_select,
