@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import curriculum, decontaminate, minhash, quality_rules, surrogates
-from millrace.llm.tables import documents, written
+from millrace.llm.tables import documents, scratch, written
 from millrace.session import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -53,7 +53,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; every stage's result is a table of its own."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), name)
+        # What a stage wrote in between goes when its result is written, and so does the result before it.
+        with scratch(spark) as made:
+            docs = written(spark, stage(spark, docs, sf_dir), name)
+            result = made.pop()
+            made += [before] if before else []
+        before = result
     return STAGES[-1][1](spark, docs, sf_dir)

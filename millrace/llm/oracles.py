@@ -33,6 +33,16 @@ b AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_word
 SELECT *, failed_bits & 3 != 0 AS base_failed, failed_bits = 0 AS kept FROM b
 """
 
+ABLATIONS = f"""
+WITH q AS ({QUALITY}),
+p(policy, version, mask) AS (VALUES ('base', 1, 3), ('web', 1, 15), ('web', 2, 255)),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('upper_case', 16),
+                        ('shouting', 32), ('long_words', 64), ('abuse', 128))
+SELECT policy, version, rule, count(*) FILTER (failed_bits & bit != 0) AS fails, count(*) FILTER (failed_bits & mask = bit) AS only_here,
+       count(*) FILTER (failed_bits & mask & ~bit = 0) AS kept_without
+FROM p JOIN r ON mask & bit != 0 CROSS JOIN q GROUP BY policy, version, rule
+"""
+
 MIX = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1)::BIGINT AS place
@@ -129,6 +139,7 @@ QUALIFY rank <= 3
 
 ORACLES = {
     "op1_quality_rules": QUALITY,
+    "rule_ablations": ABLATIONS,
     "op6_minhash_dedup": NEAR,
     "op7_substring_dedup": REPEATS,
     "op10_source_mix": MIX,

@@ -6,9 +6,10 @@ never the texts. Defined cases: a null or empty text has all numbers 0 (it fails
 null id is carried as it is, repeated rows give repeated rows, an empty table gives an empty ledger,
 and of the input only the id and the text are read, so further columns cannot clash.
 
-The rules of the ledger are those of its SQL and know ASCII letters and words between spaces. Documents
-are kept by `ANY_SCRIPT`, whose rules count letters of all scripts, take two letters of a script
-written without spaces as a word, and see abuse as a share of the words.
+The rules of the query's ledger are those of its SQL and know ASCII letters and words between spaces. The
+ledger of documents (`scripts`) has bits for further rules too: letters of all scripts are counted, two letters
+of a script written without spaces are taken as a word, and abuse is seen as a share of the words. Documents are
+kept by `ANY_SCRIPT`, a policy over that ledger.
 """
 
 from __future__ import annotations
@@ -70,6 +71,8 @@ SCRIPT_RULES: dict[str, str] = {
     "abuse_share": f"n_abuse >= 2 AND 200 * n_abuse > {_WORDS}",
 }
 BITS = {name: 1 << i for i, name in enumerate(RULES)}
+#: Those of the ledger of documents; the first ones are the same.
+ALL_BITS = {name: 1 << i for i, name in enumerate(RULES | SCRIPT_RULES)}
 
 
 @dataclass(frozen=True)
@@ -82,7 +85,7 @@ class Policy:
 
     @property
     def mask(self) -> int:
-        return sum(BITS[r] for r in self.rules)
+        return sum(ALL_BITS[r] for r in self.rules)
 
     def keeps(self, bits: Column) -> Column:
         return bits.bitwiseAND(F.lit(self.mask)) == 0
@@ -94,7 +97,7 @@ POLICIES = (
     Policy("web", 2, tuple(RULES)),
 )
 PRODUCTION = POLICIES[-1]
-#: For documents, not for the ledger: its rules have no bits there.
+#: For documents of any script: over a ledger made with `scripts`.
 ANY_SCRIPT = Policy("web", 3, ("repeated_words", "symbols", "repeated_lines", *SCRIPT_RULES))
 
 
@@ -220,10 +223,16 @@ def measure(docs: DataFrame, *, id: str = "doc_id", text: str = "text", scripts:
     return rows.mapInArrow(_measured_any if scripts else _measured, ", ".join(f"{name} long" for name in names))
 
 
-def ledger(docs: DataFrame, **names: str) -> DataFrame:
-    """The numbers and `failed_bits`: bit i is set if rule i of RULES failed."""
-    bits = sum((F.expr(f"IF({test}, {BITS[name]}L, 0L)") for name, test in RULES.items()), F.lit(0).cast("long"))
-    return measure(docs, **names).withColumn("failed_bits", bits)
+def failed(scripts: bool = False) -> Column:
+    """The bits of all rules that fail, over the numbers."""
+    tests = RULES | SCRIPT_RULES if scripts else RULES
+    return sum((F.expr(f"IF({test}, {ALL_BITS[name]}L, 0L)") for name, test in tests.items()), F.lit(0).cast("long"))
+
+
+def ledger(docs: DataFrame, scripts: bool = False, **names: str) -> DataFrame:
+    """The numbers and `failed_bits`: the bit of a rule is set if it failed. With `scripts` the rules for all
+    scripts have theirs too."""
+    return measure(docs, scripts=scripts, **names).withColumn("failed_bits", failed(scripts))
 
 
 def verdicts(book: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
@@ -237,28 +246,23 @@ def ablations(book: DataFrame, policies: Iterable[Policy] = POLICIES) -> DataFra
 
     The ledger is reduced to one row per set of failed rules first; there are at most 2 ** rules.
     """
+    asked = [(p.name, p.version, rule, p.mask, ALL_BITS[rule]) for p in policies for rule in p.rules]
+    rules = book.sparkSession.createDataFrame(asked, "policy string, version int, rule string, mask long, bit long")
     patterns = book.groupBy("failed_bits").agg(F.count("*").alias("n"))
-    bits = F.col("failed_bits")
-    parts = []
-    for policy in policies:
-        for rule in policy.rules:
-            seen = bits.bitwiseAND(F.lit(policy.mask))
-            parts.append(
-                patterns.agg(
-                    F.lit(policy.name).alias("policy"),
-                    F.lit(policy.version).alias("version"),
-                    F.lit(rule).alias("rule"),
-                    F.coalesce(F.sum(F.when(bits.bitwiseAND(F.lit(BITS[rule])) != 0, F.col("n"))), F.lit(0)).alias("fails"),
-                    F.coalesce(F.sum(F.when(seen == BITS[rule], F.col("n"))), F.lit(0)).alias("only_here"),
-                    F.coalesce(
-                        F.sum(F.when(bits.bitwiseAND(F.lit(policy.mask & ~BITS[rule])) == 0, F.col("n"))), F.lit(0)
-                    ).alias("kept_without"),
-                )
-            )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    each = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(row, rules.columns, strict=True))) for row in asked))
+    held = patterns.withColumn("asked", F.explode(each)).select("failed_bits", "n", "asked.*")
+    bits, bit, mask = F.col("failed_bits"), F.col("bit").cast("long"), F.col("mask").cast("long")
+
+    def texts(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+
+    counts = held.groupBy("policy", "version", "rule").agg(
+        texts(bits.bitwiseAND(bit) != 0).alias("fails"),
+        texts(bits.bitwiseAND(mask) == bit).alias("only_here"),
+        texts(bits.bitwiseAND(mask.bitwiseAND(F.bitwise_not(bit))) == 0).alias("kept_without"),
+    )
+    out = rules.join(counts, ["policy", "version", "rule"], "left").fillna(0)
+    return out.select("policy", "version", "rule", "fails", "only_here", "kept_without")
 
 
 def kept_documents(docs: DataFrame, policy: Policy = ANY_SCRIPT) -> DataFrame:
@@ -272,7 +276,4 @@ def kept_documents(docs: DataFrame, policy: Policy = ANY_SCRIPT) -> DataFrame:
     numbers = (*NUMBERS, *SCRIPT_NUMBERS)
     shape = T.StructType([packed.schema["row"], *(T.StructField(n, T.LongType()) for n in numbers)])
     measured = packed.mapInArrow(_measured_any, shape)
-    reject = F.lit(False)
-    for rule in policy.rules:
-        reject = reject | F.expr((RULES | SCRIPT_RULES)[rule])
-    return measured.where(~reject).select(*(F.col("row").getField(c).alias(c) for c in names))
+    return measured.where(policy.keeps(failed(scripts=True))).select(*(F.col("row").getField(c).alias(c) for c in names))

@@ -25,6 +25,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(documents(spark, folder)))
 
 
+def rule_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of each policy does, from the bits of the ledger alone."""
+    return quality_rules.ablations(quality_rules.ledger(documents(spark, folder)))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(spark, documents(spark, folder), table(spark, folder, "benchmark"))
 
@@ -92,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_html_extraction,
         op12_source_divergence,
         op13_hard_negatives,
+        rule_ablations,
     )
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +14,9 @@ from millrace.session import table, work_dir
 #: Words of a text, as a pattern of Spark SQL and of Python.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Paths of the tables that are written inside a `scratch`, of this thread.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -19,6 +26,8 @@ def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     The shuffles behind it are of no use afterwards and are removed as soon as it is written.
     """
     path = work_dir(spark, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     before = spark.conf.get(_CLEAN, "false")
     spark.conf.set(_CLEAN, "true")
     try:
@@ -28,6 +37,21 @@ def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that are written inside are removed at the end, but for those taken off the list: results of the
+    work inside that are still lazy need theirs, so write them before it ends."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of a folder of tables."""
     return table(spark, folder, "documents")

@@ -24,4 +24,4 @@ def test_query_matches_sql(spark, data, name):
 
 
 def test_every_operator_has_its_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
+    assert [name.split("_")[0] for name in QUERIES if name.startswith("op")] == [f"op{n}" for n in range(1, 14)]

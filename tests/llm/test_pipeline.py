@@ -1,8 +1,10 @@
+from pathlib import Path
+
 import corpus_pipeline
 from brute import components
 
 from millrace.llm import curriculum, decontaminate, minhash, quality_rules, surrogates
-from millrace.session import table
+from millrace.session import table, work_dir
 
 
 def test_stages_one_by_one(spark, data):
@@ -40,7 +42,11 @@ def test_stages_one_by_one(spark, data):
 
 
 def test_run(spark, data):
+    folder = Path(work_dir(spark, "x")).parent
+    before = set(folder.iterdir()) if folder.exists() else set()
     out = corpus_pipeline.run(spark, data)
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert "pii_surrogates" in left and not left & {"quality_rules", "minhash_near_dedup", "benchmark_decontamination", "classes", "entities"}
     rows = out.select("doc_id", "position").collect()
     assert rows and [r.position for r in rows] == sorted(r.position for r in rows)
 

@@ -112,3 +112,18 @@ def test_script_numbers(spark, corpus):
 
 def test_bits_are_distinct():
     assert len(set(BITS.values())) == len(RULES)
+
+
+def test_the_policy_for_all_scripts_reads_the_ledger(spark, documents):
+    """Documents are kept by the bits of a ledger that any other policy can read as well."""
+    book = quality_rules.ledger(documents, scripts=True)
+    policy = quality_rules.ANY_SCRIPT
+    kept = {r.doc_id for r in quality_rules.kept_documents(documents).collect()}
+    bits = {r.doc_id: r.failed_bits for r in book.collect()}
+    assert kept == {doc for doc, b in bits.items() if b & policy.mask == 0}
+    assert {doc: b & 255 for doc, b in bits.items()} == {r.doc_id: r.failed_bits for r in quality_rules.ledger(documents).collect()}
+    for r in quality_rules.ablations(book, [policy]).collect():
+        bit = quality_rules.ALL_BITS[r.rule]
+        assert (r.fails, r.only_here, r.kept_without) == (
+            sum(b & bit != 0 for b in bits.values()), sum(b & policy.mask == bit for b in bits.values()), sum(b & policy.mask & ~bit == 0 for b in bits.values()),
+        )
