@@ -18,7 +18,9 @@ _TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?(?=\s|/|$)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TOLD = frozenset("class id role itemprop hidden aria-hidden".split())
+_TELLS = re.compile("class|id|role|itemprop|hidden", re.I)
 _DIGITS = re.compile(r"\d+")
 
 #: Elements whose content is not markup, and of those the ones that hold no text to read.
@@ -65,10 +67,10 @@ class Node:
 
 
 def _hints(attributes: str) -> str:
-    if not attributes or attributes.isspace():
+    if not _TELLS.search(attributes):
         return ""
-    found = _ATTRIBUTE.findall(attributes)
-    return " ".join(f"{name.lower()}={(a or b or c).lower().strip()}" for name, a, b, c in found)
+    found = ((name.lower(), a or b or c) for name, a, b, c in _ATTRIBUTE.findall(attributes))
+    return " ".join(f"{name}={value.lower().strip()}" for name, value in found if name in _TOLD)
 
 
 def parse(page: str) -> Node:

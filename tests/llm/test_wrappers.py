@@ -38,6 +38,8 @@ def text_of(page):
         ("", ""),
         ("<b><p>x</b>y</p>z", "xy\nz"),
         ("</div></p>a</b>", "a"),
+        ("<a title='hidden gem' data-id=ad>yes</a> no link in here, and many words", "yes no link in here, and many words"),
+        ("<p hidden>no</p><p aria-hidden='true'>no</p><p alt='class=ad'>yes</p><p CLASS = ad>no</p><p class=\"x\tads\">no</p>", "yes"),
         ("<textarea>no</textarea><title>no</title>a<br/>b<hr>c", "a b\nc"),
     ],
 )
