@@ -212,13 +212,14 @@ def keyed_apply(
     else:
         rows, nameless = items.agg(F.count(F.lit(1)), F.count_if(F.col(f"`{key}`").isNull())).first()
         largest = [(None, nameless)] if nameless > rows_per_segment else []
-        if not largest and rows > rows_per_segment:
+        if rows > rows_per_segment:
             # So many counters that no key beyond the limit can escape the summary.
             counters = max(COUNTERS, 2 * -(-rows // rows_per_segment))
-            largest = hot_keys(items, key, rows_per_segment, 1, counters)
+            largest += hot_keys(items, key, rows_per_segment, 1, counters)
         if largest:
+            name, count = max(largest, key=lambda found: found[1])
             raise ValueError(
-                f"key {largest[0][0]!r} has {largest[0][1]} rows, a call may have {rows_per_segment}: "
+                f"key {name!r} has {count} rows, a call may have {rows_per_segment}: "
                 "give carries, or a larger rows_per_segment"
             )
         found = KeyCuts(key, tuple(order), rows)
