@@ -22,7 +22,7 @@ from millrace.streaming.lookup import lookup_reset
 from millrace.streaming.numbering import number_live, rate_live, rates_so_far
 from millrace.streaming.routing import fan_out, json_batches, parquet_batches, write_queues_live
 from millrace.streaming.run import run_to_end, run_until_idle, writer
-from millrace.streaming.state import Context, combined, keyed_state
+from millrace.streaming.state import SALT, Context, combined, keyed_state, salted
 from millrace.streaming.typed import State, typed_state
 
 BATCHES = 6
@@ -177,16 +177,21 @@ def count_users(key: tuple, rows: pd.DataFrame, state: State) -> pd.DataFrame:
     counts, out = state.maps["users"], []
     for user, n in rows["user"].value_counts(dropna=False).items():
         name = user if isinstance(user, str) else ""
-        counts.set(name, counts.get(name, 0) + int(n))
-        out.append((key[0], name, counts.get(name)))
+        total = counts.get(name, 0) + int(n)
+        counts.set(name, total)
+        out.append((key[0], name, total))
     return pd.DataFrame(out, columns=["event_type", "user", "n"])
 
 
+SALTS = 32
+
+
 def stateful_map(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
-    """Items per event type and user, counted in a map per type: the largest count is the last one."""
+    """Items per event type and user, counted in a map per type and salt of the users, as there are few types: the
+    largest count is the last one."""
     live = live_events(spark, folder) if events is None else events
-    items = live.select("event_type", F.col("user_id").cast("string").alias("user"))
-    counts = typed_state(items, ["event_type"], count_users, "event_type string, user string, n long", maps={"users": ("user string", "n long")})
+    items = salted(live.select("event_type", F.col("user_id").cast("string").alias("user")), "user", SALTS)
+    counts = typed_state(items, ["event_type", SALT], count_users, "event_type string, user string, n long", maps={"users": ("user string", "n long")})
     path = work_dir(spark, "maps")
     run_to_end(writer(counts, "maps").format("parquet").option("path", path))
     found = spark.read.schema("event_type string, user string, n long").parquet(path)

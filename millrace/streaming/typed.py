@@ -1,20 +1,139 @@
 """Typed state per key on a live stream: single values and maps whose entries are read and written one by one.
 
 State lies in the checkpointed state store (RocksDB). Nothing is parsed or written as a whole: a key with a
-million map entries costs what its batch touches.
+million map entries costs what its batch touches. Every call from Python to the store is a message there and
+back, so map entries lie in pages of about PAGE, each read and written by one call and at most once a batch.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import MapState, StatefulProcessor, StatefulProcessorHandle, TimerValues, ValueState
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows of a page on average: what one touched row costs at most, and the share of calls that are left.
+PAGE = 64
+#: Pages of one table that a task holds before it writes the changed ones and lets go of all.
+HELD_PAGES = 4_096
+_NAN = float("nan")
+
+
+def shape_of(shape: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(shape) if isinstance(shape, str) else shape
+
+
+def _tuples(value: object) -> object:
+    """Rows inside a value as tuples, which the store takes."""
+    if isinstance(value, (list, tuple)):
+        return [_tuples(v) for v in value] if isinstance(value, list) else tuple(_tuples(v) for v in value)
+    return value
+
+
+def _same(kind: T.DataType) -> Callable[[object], object]:
+    """Gives equal names the one form in which the store gives them back."""
+    if isinstance(kind, T.IntegralType):
+        return int
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        size = np.float32 if isinstance(kind, T.FloatType) else np.float64
+        return lambda v: _NAN if v != v else float(size(v)) + 0.0
+    if isinstance(kind, T.DecimalType):
+        return lambda v: Decimal(v).quantize(Decimal(1).scaleb(-kind.scale))
+    if isinstance(kind, T.BinaryType):
+        return bytes
+    return lambda v: v.item() if isinstance(v, np.generic) else v.to_pydatetime() if hasattr(v, "to_pydatetime") else _tuples(v)
+
+
+def _page(name: tuple, pages: int) -> int:
+    """Linear hashing: one page more splits one page and leaves the others as they are."""
+    code, bits = zlib.crc32(repr(name).encode("utf-8", "surrogatepass")), pages.bit_length()
+    at = code & ((1 << bits) - 1)
+    return at if at < pages else code & ((1 << (bits - 1)) - 1)
+
+
+class Pages:
+    """Rows by name in pages of a map state; the number of pages grows with the rows, one split at a time.
+
+    A page is stored by columns: one list for each field of the names, then of the rows.
+    """
+
+    def __init__(self, state: MapState, names: T.StructType, width: int):
+        self._state, self._same, self._width = state, [_same(f.dataType) for f in names], len(names) + width
+        self._held: dict[int, dict[tuple, tuple]] = {}
+        self._changed: set[int] = set()
+        self.pages = self.count = 0
+
+    @staticmethod
+    def stored(names: T.StructType, rows: T.StructType) -> T.StructType:
+        """Schema of a page."""
+        return T.StructType([T.StructField(f"c{i}", T.ArrayType(f.dataType)) for i, f in enumerate([*names, *rows])])
+
+    def open(self, pages: int, count: int) -> None:
+        """Go on with a table of so many pages and rows; nothing is held yet."""
+        self._held, self._changed = {}, set()
+        self.pages, self.count = pages, count
+
+    def name(self, values: tuple) -> tuple:
+        return tuple(None if v is None else same(v) for same, v in zip(self._same, values, strict=True))
+
+    def _read(self, page: int) -> dict[tuple, tuple]:
+        names = len(self._same)
+        rows = zip(*self._state.getValue((page,)))
+        return {self.name(row[:names]): tuple(map(_tuples, row[names:])) for row in rows}
+
+    def _at(self, page: int) -> dict[tuple, tuple]:
+        if page not in self._held:
+            if len(self._held) >= HELD_PAGES:
+                self.flush()
+                self._held = {}
+            self._held[page] = self._read(page)
+        return self._held[page]
+
+    def get(self, name: tuple) -> tuple | None:
+        return self._at(_page(name, self.pages)).get(name) if self.pages else None
+
+    def put(self, name: tuple, row: tuple) -> None:
+        if not self.pages:
+            self.pages, self._held[0] = 1, {}
+        page = _page(name, self.pages)
+        rows = self._at(page)
+        self.count += name not in rows
+        rows[name] = row
+        self._changed.add(page)
+        while self.count > self.pages * PAGE:
+            self._split()
+
+    def _split(self) -> None:
+        new, old = self.pages, self.pages - (1 << (self.pages.bit_length() - 1))
+        rows = self._at(old)
+        self.pages += 1
+        self._held[new] = {name: rows.pop(name) for name in [n for n in rows if _page(n, self.pages) == new]}
+        self._changed |= {old, new}
+
+    def pop(self, name: tuple) -> None:
+        if self.get(name) is not None:
+            page = _page(name, self.pages)
+            del self._at(page)[name]
+            self._changed.add(page)
+            self.count -= 1
+
+    def items(self) -> Iterator[tuple[tuple, tuple]]:
+        """All rows, page by page; not to be changed meanwhile."""
+        for page in range(self.pages):
+            yield from (self._held[page] if page in self._held else self._read(page)).items()
+
+    def flush(self) -> None:
+        for page in sorted(self._changed):
+            rows = [name + row for name, row in self._held[page].items()]
+            self._state.updateValue((page,), tuple(map(list, zip(*rows))) if rows else ([],) * self._width)
+        self._changed = set()
 
 
 class Value:
@@ -35,35 +154,57 @@ class Value:
 
 
 class Entries:
-    """A map of a key. Only the entries that are asked for are read."""
+    """A map of a key. Only the pages of the entries that are asked for are read."""
 
-    def __init__(self, state: MapState):
-        self._state = state
+    def __init__(self, state: MapState, size: ValueState, names: T.StructType, width: int):
+        self._state, self._size, self._rows = state, size, Pages(state, names, width)
+        self._known = False
 
     @staticmethod
     def _tuple(value: object) -> tuple:
         return value if isinstance(value, tuple) else (value,)
 
+    def _open(self) -> Pages:
+        if not self._known:
+            self._before = tuple(self._size.get()) if self._size.exists() else (0, 0)
+            self._rows.open(*self._before)
+            self._known = True
+        return self._rows
+
     def get(self, entry: object, default: object = None) -> object:
-        name = self._tuple(entry)
-        found = self._state.getValue(name) if self._state.containsKey(name) else None
-        return default if found is None else found[0] if len(found) == 1 else tuple(found)
+        rows = self._open()
+        found = rows.get(rows.name(self._tuple(entry)))
+        return default if found is None else found[0] if len(found) == 1 else found
 
     def set(self, entry: object, value: object) -> None:
-        self._state.updateValue(self._tuple(entry), self._tuple(value))
+        rows = self._open()
+        rows.put(rows.name(self._tuple(entry)), self._tuple(value))
 
     def remove(self, entry: object) -> None:
-        self._state.removeKey(self._tuple(entry))
+        rows = self._open()
+        rows.pop(rows.name(self._tuple(entry)))
 
     def __contains__(self, entry: object) -> bool:
-        return self._state.containsKey(self._tuple(entry))
+        rows = self._open()
+        return rows.get(rows.name(self._tuple(entry))) is not None
 
     def items(self) -> Iterator[tuple[tuple, tuple]]:
-        """All entries: for results at the end of a key, not for every batch."""
-        return self._state.iterator()
+        """All entries, which must not change meanwhile: for results at the end of a key, not for every batch."""
+        return self._open().items()
 
     def clear(self) -> None:
         self._state.clear()
+        self._size.clear()
+        self._rows.open(0, 0)
+        self._known, self._before = True, (0, 0)
+
+    def close(self) -> None:
+        """Write what changed; another key may follow."""
+        if self._known:
+            self._rows.flush()
+            if (size := (self._rows.pages, self._rows.count)) not in (self._before, (0, 0)):
+                self._size.update(size)
+        self._known = False
 
 
 @dataclass
@@ -82,14 +223,17 @@ Finish = Callable[[tuple, State], "pd.DataFrame | None"]
 class _Keyed(StatefulProcessor):
     """One instance per task; the state of the current key is behind its handles."""
 
-    def __init__(self, process: Process, values: Mapping[str, str], maps: Mapping[str, tuple[str, str]], finish: Finish | None, idle_ms: int):
+    def __init__(self, process: Process, values: Mapping[str, T.StructType], maps: Mapping[str, tuple[T.StructType, T.StructType]], finish: Finish | None, idle_ms: int):
         self._process, self._values, self._maps = process, dict(values), dict(maps)
         self._finish, self._idle = finish, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         values = {name: Value(handle.getValueState(name, shape)) for name, shape in self._values.items()}
-        maps = {name: Entries(handle.getMapState(name, *shapes)) for name, shapes in self._maps.items()}
+        maps = {}
+        for name, (names, rows) in self._maps.items():
+            pages = handle.getMapState(name, "page int", Pages.stored(names, rows))
+            maps[name] = Entries(pages, handle.getValueState(f"{name}_size", "pages int, count long"), names, len(rows))
         self._state = State(values, maps)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
@@ -98,6 +242,8 @@ class _Keyed(StatefulProcessor):
             out = self._process(key, piece, self._state)
             if out is not None and len(out):
                 yield out
+        for held in self._state.maps.values():
+            held.close()
         if self._finish is not None:
             for timer in list(self._handle.listTimers()):
                 self._handle.deleteTimer(timer)
@@ -108,6 +254,8 @@ class _Keyed(StatefulProcessor):
         out = self._finish(key, self._state)
         for held in (*self._state.values.values(), *self._state.maps.values()):
             held.clear()
+        for held in self._state.maps.values():
+            held.close()
         if out is not None and len(out):
             yield out
 
@@ -132,6 +280,8 @@ def typed_state(
     The state needs the RocksDB store, which is set for the session here.
     """
     items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    processor = _Keyed(process, values or {}, maps or {}, finish, int(idle_seconds * 1000))
+    values = {name: shape_of(shape) for name, shape in (values or {}).items()}
+    maps = {name: (shape_of(names), shape_of(rows)) for name, (names, rows) in (maps or {}).items()}
+    processor = _Keyed(process, values, maps, finish, int(idle_seconds * 1000))
     time = "ProcessingTime" if finish is not None else "None"
     return items.groupBy(*keys).transformWithStateInPandas(processor, output, "append", time)
