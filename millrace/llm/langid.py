@@ -22,6 +22,7 @@ rows; an empty table gives an empty result. Only id, text and language are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -31,14 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import fold, hashed_sample, written
+from millrace.llm.tables import fold, written
 from millrace.llm.words import mixed, text_blocks
 
 ORDER = 4
 #: Entries of one part of the model, 14 bytes each in a task: bounds what is collected and broadcast at once.
 PART_ENTRIES = 2_000_000
-#: About so many training texts set temperature and acceptance, chosen by a hash of the id.
-CALIBRATION_TEXTS = 4_000
+#: Temperatures that training tries.
+TEMPERATURES = [2.0**k for k in range(-4, 7)]
 UNKNOWN = "und"
 _SHIFT = np.uint64(21)  # bits of a code point
 
@@ -378,50 +379,66 @@ def entropies(spark: SparkSession, rows: DataFrame, model: Model) -> DataFrame:
 
 def train(spark: SparkSession, rows: DataFrame, part: int = PART_ENTRIES) -> Model | None:
     """A model of all rows (`doc_id`, `text`, `lang`), or None if no text with a language has a letter."""
-    known = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang", "doc_id")
+    known = learned(rows).select("lang", "text")
     model = fitted(spark, counted(known), part)
-    if model is None:
-        return None
-    few = hashed_sample(known, F.col("doc_id"), CALIBRATION_TEXTS, rows.where("lang IS NOT NULL").count(), "fit").select("lang", "text")
-    found = entropies(spark, few, model).where("chars > 0").collect()
-    calibrate(model, [(r["lang"], r["bits"]) for r in found])
+    if model is not None:
+        calibrate(model, entropies(spark, known, model))
     return model
 
 
-def calibrate(model: Model, rows: list[tuple[str, list[float]]]) -> None:
-    """Temperature of the highest likelihood; per language the entropy that its own texts hardly exceed."""
-    rows = [(model.langs.index(lang), bits) for lang, bits in rows if lang in model.langs]
-    model.limits = tuple(float("inf") for _ in model.langs)
-    if not rows:
-        return
-    own = np.array([i for i, _ in rows])
-    bits = np.array([b for _, b in rows])
-    gap = bits - bits[np.arange(len(bits)), own][:, None]
-    steps = [2.0**k for k in range(-4, 7)]
-    model.temperature = min(steps, key=lambda t: np.logaddexp2.reduce(-t * gap, axis=1).mean())
-    limits = []
-    for i in range(len(model.langs)):
-        mine = bits[own == i, i]
-        limits.append(float(mine.mean() + 6 * mine.std() + 0.5) if len(mine) > 1 else float("inf"))
+def learned(rows: DataFrame) -> DataFrame:
+    return rows.where("lang IS NOT NULL AND text IS NOT NULL")
+
+
+def calibrate(model: Model, scored: DataFrame) -> None:
+    """Temperature of the highest likelihood over all training texts (`lang`, `bits`, `chars`); per language the
+    entropy that its own texts hardly exceed. One aggregate, with a row for each language."""
+    place = F.array_position(F.array(*map(F.lit, model.langs)), F.col("lang")).cast("int")
+    rows = scored.where("chars > 0").withColumns({"place": place, "least": F.array_min("bits")}).where("place > 0")
+    rows = rows.withColumn("own", F.element_at("bits", F.col("place")))
+
+    def cost(t: float) -> Column:  # of the right language in bits, that is minus log2 of its score
+        powers = F.transform("bits", lambda b: F.pow(F.lit(2.0), (F.col("least") - b) * t))
+        return (F.col("own") - F.col("least")) * t + F.log2(F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+
+    costs = [F.sum(cost(t)).alias(f"cost{i}") for i, t in enumerate(TEMPERATURES)]
+    found = rows.groupBy("place").agg(F.count("own").alias("n"), F.avg("own").alias("mean"), F.stddev_pop("own").alias("std"), *costs).collect()
+    limits = [float("inf")] * len(model.langs)
+    for r in found:
+        if r["n"] > 1:
+            limits[r["place"] - 1] = r["mean"] + 6 * r["std"] + 0.5
     model.limits = tuple(limits)
+    if found:
+        totals = [math.fsum(r[f"cost{i}"] for r in found) for i in range(len(TEMPERATURES))]
+        model.temperature = TEMPERATURES[totals.index(min(totals))]
 
 
 def predict(spark: SparkSession, rows: DataFrame, model: Model | None) -> DataFrame:
     """`doc_id`, `lang_pred`, `score`, `bits_per_char`, `accepted` of every text."""
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
-        blank = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_char")]
-        return rows.select("doc_id", *blank, F.lit(False).alias("accepted"))
+        return unknown(rows)
+    return judged(entropies(spark, rows, model), model)
+
+
+def unknown(rows: DataFrame) -> DataFrame:
+    """The answers where nothing was learned."""
+    blank = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_char")]
+    return rows.select("doc_id", *blank, F.lit(False).alias("accepted"))
+
+
+def judged(scored: DataFrame, model: Model) -> DataFrame:
+    """The answers from `doc_id`, `bits`, `chars` of every text."""
 
     def of(values: list, place: Column) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), place)
 
     some = F.col("chars") > 0
-    judged = entropies(spark, rows, model).withColumn("least", F.array_min("bits"))
-    judged = judged.withColumn("place", F.array_position("bits", F.col("least")).cast("int"))
+    scored = scored.withColumn("least", F.array_min("bits"))
+    scored = scored.withColumn("place", F.array_position("bits", F.col("least")).cast("int"))
     gaps = F.transform("bits", lambda b: F.pow(F.lit(2.0), (F.col("least") - b) * model.temperature))
     score = 1 / F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b)
-    return judged.select(
+    return scored.select(
         "doc_id",
         F.when(some, of(model.langs, F.col("place"))).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(some, score).otherwise(0.0).alias("score"),
@@ -433,6 +450,12 @@ def predict(spark: SparkSession, rows: DataFrame, model: Model | None) -> DataFr
 def held_out_predictions(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Learn from the folds other than 2, predict every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "lang")
-    model = train(spark, rows.where(fold(F.col("doc_id")) != 2))
-    out = predict(spark, rows, model)
+    model = fitted(spark, counted(learned(rows.where(fold(F.col("doc_id")) != 2))))
+    if model is None:
+        out = unknown(rows)
+    else:  # every text is scored once: the answers and what is fitted to the training texts come from the same bits
+        known = F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 2)
+        scored = written(spark, entropies(spark, rows.select("doc_id", F.when(known, F.col("lang")).alias("lang"), "text"), model), "entropies")
+        calibrate(model, scored.where("lang IS NOT NULL"))
+        out = judged(scored, model)
     return out.withColumn("held_out", fold(F.col("doc_id")) == 2)

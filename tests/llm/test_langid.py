@@ -166,3 +166,24 @@ def test_hash_array():
     ask = np.concatenate((keys[::7], generator.integers(0, 2**63, 999).astype(np.uint64)))
     known = {int(k): i for i, k in enumerate(keys)}
     assert table.find(ask).tolist() == [known.get(int(k), -1) for k in ask]
+
+
+def test_temperature_and_limits_come_from_all_training_texts(spark, corpus):
+    """More texts than any sample would take, some of them far from the others."""
+    draw = np.random.default_rng(5)
+    words = {"a": ["the", "cat", "sat", "on", "mat", "casa"], "b": ["el", "gato", "casa", "loma", "the", "todo"]}
+    rows = [(i, " ".join(draw.choice(words["ab"[i % 2]], 1 + i % 7)), "ab"[i % 2]) for i in range(9_000)]
+    frame = corpus(rows)
+    model = langid.train(spark, frame)
+    found = langid.entropies(spark, frame.select("lang", "text"), model).collect()
+    bits, own = np.array([r.bits for r in found]), np.array([model.langs.index(r.lang) for r in found])
+    for i, limit in enumerate(model.limits):
+        mine = bits[own == i, i]
+        assert limit == pytest.approx(mine.mean() + 6 * mine.std() + 0.5, rel=1e-9)
+    gap = bits - bits[np.arange(len(bits)), own][:, None]
+    assert model.temperature == min(langid.TEMPERATURES, key=lambda t: np.logaddexp2.reduce(-t * gap, axis=1).mean())
+    whole = langid.held_out_predictions(spark, frame).where("NOT held_out").orderBy("doc_id").collect()
+    same = frame.where(langid.fold(F.col("doc_id")) != 2)
+    again = langid.predict(spark, same, langid.train(spark, same)).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.lang_pred, r.accepted) for r in whole] == [(r.doc_id, r.lang_pred, r.accepted) for r in again]
+    assert [r.score for r in whole] == pytest.approx([r.score for r in again], rel=1e-12)
