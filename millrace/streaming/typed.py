@@ -2,7 +2,8 @@
 
 State lies in the checkpointed state store (RocksDB). Nothing is parsed or written as a whole: a key with a
 million map entries costs what its batch touches. Every call from Python to the store is a message there and
-back, so map entries lie in pages of about PAGE, each read and written by one call and at most once a batch.
+back, so keys with their values, and the entries of a map, lie in pages of about PAGE, each read and written by one
+call. For the same reason one call of the processor serves the many keys of a group.
 """
 
 from __future__ import annotations
@@ -11,18 +12,23 @@ import zlib
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import MapState, StatefulProcessor, StatefulProcessorHandle, TimerValues, ValueState
+from pyspark.sql.streaming.stateful_processor import MapState, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows of a page on average: what one touched row costs at most, and the share of calls that are left.
 PAGE = 64
 #: Pages of one table that a task holds before it writes the changed ones and lets go of all.
 HELD_PAGES = 4_096
+#: Keys in one list of those that close at the same time.
+DUE_KEYS = 4_096
+GROUP = "group_of_keys"
 _NAN = float("nan")
 
 
@@ -75,17 +81,21 @@ class Pages:
         """Schema of a page."""
         return T.StructType([T.StructField(f"c{i}", T.ArrayType(f.dataType)) for i, f in enumerate([*names, *rows])])
 
-    def open(self, pages: int, count: int) -> None:
-        """Go on with a table of so many pages and rows; nothing is held yet."""
-        self._held, self._changed = {}, set()
+    def open(self, prefix: tuple, pages: int, count: int) -> None:
+        """Go on with the table under `prefix`, of so many pages and rows; nothing is held yet."""
+        self._prefix, self._held, self._changed = prefix, {}, set()
         self.pages, self.count = pages, count
 
+    @property
+    def held(self) -> int:
+        return len(self._held)
+
     def name(self, values: tuple) -> tuple:
         return tuple(None if v is None else same(v) for same, v in zip(self._same, values, strict=True))
 
     def _read(self, page: int) -> dict[tuple, tuple]:
         names = len(self._same)
-        rows = zip(*self._state.getValue((page,)))
+        rows = zip(*self._state.getValue((*self._prefix, page)))
         return {self.name(row[:names]): tuple(map(_tuples, row[names:])) for row in rows}
 
     def _at(self, page: int) -> dict[tuple, tuple]:
@@ -132,43 +142,57 @@ class Pages:
     def flush(self) -> None:
         for page in sorted(self._changed):
             rows = [name + row for name, row in self._held[page].items()]
-            self._state.updateValue((page,), tuple(map(list, zip(*rows))) if rows else ([],) * self._width)
+            self._state.updateValue((*self._prefix, page), tuple(map(list, zip(*rows))) if rows else ([],) * self._width)
         self._changed = set()
 
+    def clear(self) -> None:
+        for page in range(self.pages):
+            self._state.removeKey((*self._prefix, page))
+        self.open(self._prefix, 0, 0)
+
 
 class Value:
-    """One value of a key."""
+    """One value of a key: a mark whether it is set and its parts, from place `at` of the key's row."""
 
-    def __init__(self, state: ValueState):
-        self._state = state
+    def __init__(self, at: int, width: int):
+        self._at, self._width = at, width
+        self.row: list = []
 
     def get(self, default: object = None) -> object:
-        found = self._state.get() if self._state.exists() else None
-        return default if found is None else found[0] if len(found) == 1 else tuple(found)
+        found = tuple(self.row[self._at + 1 : self._at + 1 + self._width])
+        return default if not self.row[self._at] else found[0] if len(found) == 1 else found
 
     def set(self, value: object) -> None:
-        self._state.update(value if isinstance(value, tuple) else (value,))
+        parts = value if isinstance(value, tuple) else (value,)
+        if len(parts) != self._width:
+            raise ValueError(f"{len(parts)} parts for a value of {self._width}")
+        self.row[self._at : self._at + 1 + self._width] = [True, *parts]
 
     def clear(self) -> None:
-        self._state.clear()
+        self.row[self._at : self._at + 1 + self._width] = [False] + [None] * self._width
 
 
 class Entries:
     """A map of a key. Only the pages of the entries that are asked for are read."""
 
-    def __init__(self, state: MapState, size: ValueState, names: T.StructType, width: int):
-        self._state, self._size, self._rows = state, size, Pages(state, names, width)
-        self._known = False
+    def __init__(self, make: Callable[[], Pages], at: int):
+        self._make, self._at = make, at
+        self._tables: dict[tuple, Pages] = {}
+        self._held = 0
 
     @staticmethod
     def _tuple(value: object) -> tuple:
         return value if isinstance(value, tuple) else (value,)
 
+    def start(self, key: tuple, row: list) -> None:
+        """Go on with the map of a key, whose size is at two places of the key's row."""
+        self._key, self._row, self._rows = key, row, self._tables.get(key)
+        self._before = self._rows.held if self._rows is not None else 0
+
     def _open(self) -> Pages:
-        if not self._known:
-            self._before = tuple(self._size.get()) if self._size.exists() else (0, 0)
-            self._rows.open(*self._before)
-            self._known = True
+        if self._rows is None:
+            self._rows = self._tables[self._key] = self._make()
+            self._rows.open(self._key, *self._row[self._at : self._at + 2])
         return self._rows
 
     def get(self, entry: object, default: object = None) -> object:
@@ -193,18 +217,24 @@ class Entries:
         return self._open().items()
 
     def clear(self) -> None:
-        self._state.clear()
-        self._size.clear()
-        self._rows.open(0, 0)
-        self._known, self._before = True, (0, 0)
+        self._open().clear()
 
     def close(self) -> None:
-        """Write what changed; another key may follow."""
-        if self._known:
-            self._rows.flush()
-            if (size := (self._rows.pages, self._rows.count)) not in (self._before, (0, 0)):
-                self._size.update(size)
-        self._known = False
+        """The size goes to the key's row; changes wait for `flush`, unless many pages are held."""
+        if self._rows is not None:
+            self._row[self._at : self._at + 2] = self._rows.pages, self._rows.count
+            self._held += self._rows.held - self._before
+            if self._held > HELD_PAGES:
+                self.flush()
+
+    def flush(self) -> None:
+        """Write what changed for all keys and let go of it."""
+        for rows in self._tables.values():
+            rows.flush()
+        self.drop()
+
+    def drop(self) -> None:
+        self._tables, self._held = {}, 0
 
 
 @dataclass
@@ -221,43 +251,143 @@ Finish = Callable[[tuple, State], "pd.DataFrame | None"]
 
 
 class _Keyed(StatefulProcessor):
-    """One instance per task; the state of the current key is behind its handles."""
+    """One instance per task, called for each group of keys.
 
-    def __init__(self, process: Process, values: Mapping[str, T.StructType], maps: Mapping[str, tuple[T.StructType, T.StructType]], finish: Finish | None, idle_ms: int):
-        self._process, self._values, self._maps = process, dict(values), dict(maps)
+    The row of a key has the time it is due to close, two places with the size of each map, and its values.
+    """
+
+    def __init__(self, process: Process, columns: list[str], keys: T.StructType, values: Mapping[str, T.StructType], maps: Mapping[str, tuple[T.StructType, T.StructType]], finish: Finish | None, idle_ms: int):
+        self._process, self._columns, self._keys = process, list(columns), keys
+        self._values, self._maps = dict(values), dict(maps)
         self._finish, self._idle = finish, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        values = {name: Value(handle.getValueState(name, shape)) for name, shape in self._values.items()}
-        maps = {}
-        for name, (names, rows) in self._maps.items():
-            pages = handle.getMapState(name, "page int", Pages.stored(names, rows))
-            maps[name] = Entries(pages, handle.getValueState(f"{name}_size", "pages int, count long"), names, len(rows))
+        page = T.StructField("page", T.IntegerType())
+        names = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(self._keys)])
+        row, self._fresh = [T.LongType()], [None]
+        maps, values = {}, {}
+        for name, (entries, parts) in self._maps.items():
+            state = handle.getMapState(f"map_{name}", T.StructType([*names, page]), Pages.stored(entries, parts))
+            maps[name] = Entries(partial(Pages, state, entries, len(parts)), len(row))
+            row += [T.IntegerType(), T.LongType()]
+            self._fresh += [0, 0]
+        for name, parts in self._values.items():
+            values[name] = Value(len(row), len(parts))
+            row += [T.BooleanType(), *(f.dataType for f in parts)]
+            self._fresh += [False] + [None] * len(parts)
+        rows = T.StructType([T.StructField("", kind) for kind in row])
+        self._rows = Pages(handle.getMapState("keys", T.StructType([page]), Pages.stored(names, rows)), names, len(row))
+        self._size = handle.getValueState("size", "pages int, count long")
+        self._due = handle.getMapState("due", "at long, part int", Pages.stored(names, T.StructType()))
         self._state = State(values, maps)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        self._state.now = timerValues.getCurrentProcessingTimeInMs()
-        for piece in rows:
-            out = self._process(key, piece, self._state)
-            if out is not None and len(out):
-                yield out
+    def _open(self, timers: TimerValues) -> None:
+        self._state.now = timers.getCurrentProcessingTimeInMs()
+        self._before = tuple(self._size.get()) if self._size.exists() else (0, 0)
+        self._rows.open((), *self._before)
+        for held in self._state.maps.values():
+            held.drop()
+
+    def _close(self) -> None:
+        for held in (*self._state.maps.values(), self._rows):
+            held.flush()
+        if (size := (self._rows.pages, self._rows.count)) != self._before:
+            self._size.update(size)
+
+    def _start(self, key: tuple, found: tuple | None) -> list:
+        row = list(self._fresh if found is None else found)
+        for held in self._state.values.values():
+            held.row = row
         for held in self._state.maps.values():
-            held.close()
+            held.start(key, row)
+        return row
+
+    def _each(self, piece: pd.DataFrame) -> Iterator[tuple[tuple, pd.DataFrame]]:
+        """The keys of a piece and their rows, in the order they came."""
+        piece = piece.iloc[:, : len(self._columns)]
+        piece.columns = self._columns
+        keys = [f.name for f in self._keys]
+        codes = piece.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+        order = np.argsort(codes, kind="stable")
+        sorted_rows, codes = piece.iloc[order], codes[order]
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+        names = sorted_rows[keys].iloc[cuts[:-1]].itertuples(index=False, name=None)
+        for name, low, high in zip(names, cuts, cuts[1:]):
+            rows = sorted_rows.iloc[low:high]
+            rows.index = pd.RangeIndex(high - low)
+            yield self._rows.name(tuple(None if v is None or v != v else v for v in name)), rows
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        self._open(timerValues)
+        touched: dict[tuple, None] = {}
+        due = self._state.now + self._idle
+
+        def results() -> Iterator[pd.DataFrame | None]:
+            for piece in rows:
+                for name, own in self._each(piece):
+                    found = self._rows.get(name)
+                    row = self._start(name, found)
+                    yield self._process(name, own, self._state)
+                    for held in self._state.maps.values():
+                        held.close()
+                    if self._finish is not None:
+                        row[0] = due
+                        touched[name] = None
+                    if row != self._fresh:
+                        self._rows.put(name, tuple(row))
+                    elif found is not None:
+                        self._rows.pop(name)
+
+        yield from joined(results())
+        self._close()
         if self._finish is not None:
-            for timer in list(self._handle.listTimers()):
-                self._handle.deleteTimer(timer)
-            self._handle.registerTimer(self._state.now + self._idle)
+            names, part = list(touched), 0
+            while self._due.containsKey((due, part)):
+                part += 1
+            for low in range(0, len(names), DUE_KEYS):
+                self._due.updateValue((due, part), tuple(map(list, zip(*names[low : low + DUE_KEYS]))))
+                part += 1
+            self._handle.registerTimer(due)
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._state.now = timerValues.getCurrentProcessingTimeInMs()
-        out = self._finish(key, self._state)
-        for held in (*self._state.values.values(), *self._state.maps.values()):
-            held.clear()
-        for held in self._state.maps.values():
-            held.close()
-        if out is not None and len(out):
-            yield out
+        """Close the keys that were to close at this time, but for those that got items since."""
+        self._open(timerValues)
+        due = expiredTimerInfo.getExpiryTimeInMs()
+
+        def results() -> Iterator[pd.DataFrame | None]:
+            part = 0
+            while self._due.containsKey((due, part)):
+                for name in map(self._rows.name, zip(*self._due.getValue((due, part)))):
+                    found = self._rows.get(name)
+                    if found is not None and found[0] == due:
+                        self._start(name, found)
+                        yield self._finish(name, self._state)
+                        for held in self._state.maps.values():
+                            held.clear()
+                        self._rows.pop(name)
+                self._due.removeKey((due, part))
+                part += 1
+
+        yield from joined(results())
+        self._close()
+
+
+def joined(results: Iterator[pd.DataFrame | None]) -> Iterator[pd.DataFrame]:
+    """Results of the same columns and types one below the other, some thousand rows at once."""
+    held: list[pd.DataFrame] = []
+    shape, size = None, 0
+    for out in results:
+        if out is None or not len(out):
+            continue
+        now = [*zip(out.columns, out.dtypes)]
+        if held and (now != shape or size + len(out) > 10_000):
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+        held.append(out)
+        shape, size = now, size + len(out)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def typed_state(
@@ -269,6 +399,7 @@ def typed_state(
     maps: Mapping[str, tuple[str, str]] | None = None,
     finish: Finish | None = None,
     idle_seconds: float = 600,
+    groups: int = 128,
 ) -> DataFrame:
     """Run `process(key, rows, state)` on the items of each key, batch by batch.
 
@@ -277,11 +408,18 @@ def typed_state(
     `idle_seconds` of processing time is closed: `finish(key, state)` gives its last result, once, and its
     state is gone; an item that comes later starts the key anew. Rows of a key come in Arrow-sized pieces.
 
+    Keys are dealt into `groups`, each worked on by one task at a time. Their number is part of the stored state and
+    stays for a job's life. A null or NaN in a key is None.
+
     The state needs the RocksDB store, which is set for the session here.
     """
     items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     values = {name: shape_of(shape) for name, shape in (values or {}).items()}
     maps = {name: (shape_of(names), shape_of(rows)) for name, (names, rows) in (maps or {}).items()}
-    processor = _Keyed(process, values, maps, finish, int(idle_seconds * 1000))
+    if GROUP in items.columns:
+        raise ValueError(f"a column must not be named {GROUP}")
+    shape = T.StructType([items.schema[k] for k in keys])
+    processor = _Keyed(process, items.columns, shape, values, maps, finish, int(idle_seconds * 1000))
     time = "ProcessingTime" if finish is not None else "None"
-    return items.groupBy(*keys).transformWithStateInPandas(processor, output, "append", time)
+    dealt = items.withColumn(GROUP, F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in keys)), F.lit(groups)).cast("int"))
+    return dealt.groupBy(GROUP).transformWithStateInPandas(processor, output, "append", time)
